@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, secret_scan
+from . import pii, quality_rules, secret_scan, warc, wavelet
 from ._shared import table
 
 
@@ -12,13 +12,28 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_report(table(spark, sf_dir, "documents"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_wavelet_tokens": op3_wavelet_tokens,
+    "op4_pii": op4_pii,
     "op7_quality_rules": op7_quality_rules,
+    "op10_warc_index": op10_warc_index,
 }
 
 
@@ -46,4 +61,10 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN per USING (doc_id)"""
 
 
-ORACLE = {"op1_secret_scan": _secret_sql()}
+WARC_SQL = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY h)
+SELECT page_id, n AS payload_bytes, p.h AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h AND n >= 100"""
+
+ORACLE = {"op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
