@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality_rules, secret_scan, warc, wavelet
+from . import decontaminate, mixing, pii, quality_rules, secret_scan, warc, wavelet
 from ._shared import table
 
 
@@ -12,6 +12,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
 def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_report(table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_report(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,8 +38,10 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_mixing": op2_mixing,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_pii": op4_pii,
+    "op5_decontaminate": op5_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op10_warc_index": op10_warc_index,
 }
