@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, pii, quality_rules, secret_scan, warc, wavelet
+from . import chat_quotes, decontaminate, mixing, pii, quality_rules, secret_scan, warc, wavelet
 from ._shared import table
 
 
@@ -28,6 +28,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.linked(table(spark, sf_dir, "conversations"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
+    "op6_quotation_links": op6_quotation_links,
     "op7_quality_rules": op7_quality_rules,
     "op10_warc_index": op10_warc_index,
 }
