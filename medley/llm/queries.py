@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_quotes, decontaminate, mixing, pii, quality_rules, secret_scan, warc, wavelet
+from . import chat_quotes, decontaminate, mixing, ngram_join, pii, quality_rules, secret_scan, warc, wavelet
 from ._shared import table
 
 
@@ -36,6 +36,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_quotation_links": op6_quotation_links,
     "op7_quality_rules": op7_quality_rules,
+    "op9_ngram_join": op9_ngram_join,
     "op10_warc_index": op10_warc_index,
 }
 
@@ -82,4 +87,15 @@ SELECT page_id, n AS payload_bytes, p.h AS payload_digest, CASE WHEN page_id > f
   CASE WHEN page_id > first THEN first END AS refers_to
 FROM p LEFT JOIN f ON p.h = f.h AND n >= 100"""
 
-ORACLE = {"op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
+JACCARD_SQL = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i+4]) END) AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+x AS (SELECT doc_id, unnest(s) AS g FROM s),
+k AS (SELECT doc_id, g FROM x WHERE g IN (SELECT g FROM x GROUP BY g HAVING count(*) > 1)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM k a JOIN k b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, m) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.doc_id WHERE r.m < e.b)
+SELECT n.doc_id, n.n AS n_shingles, min(m) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL"""
+
+ORACLE = {"op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
