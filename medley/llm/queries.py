@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_quotes, decontaminate, mixing, ngram_join, pii, quality_rules, secret_scan, warc, wavelet
+from . import chat_quotes, cotraining, decontaminate, mixing, ngram_join, pii, quality_rules, secret_scan, warc, wavelet
 from ._shared import table
 
 
@@ -36,6 +36,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_quotation_links": op6_quotation_links,
     "op7_quality_rules": op7_quality_rules,
+    "op8_cotraining": op8_cotraining,
     "op9_ngram_join": op9_ngram_join,
     "op10_warc_index": op10_warc_index,
 }
