@@ -12,8 +12,12 @@ ordered by text and all stay; an empty table gives an empty result. A text is en
 from __future__ import annotations
 
 import os
+import re
 import struct
+import sys
+import types
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 
@@ -32,7 +36,7 @@ CHUNK_BITS = 1 << 16
 SHARD_TOKENS = 1 << 22
 END_ID = 1
 #: Encoded pieces that a worker remembers, and the longest piece that is remembered.
-CACHED, CACHED_CHARS = 300_000, 64
+CACHED, CACHED_CHARS = 500_000, 64
 
 
 # ---- the file format -----------------------------------------------------------------------------------------------
@@ -45,10 +49,10 @@ def packed(ids: np.ndarray, doc_ids: list, counts: np.ndarray) -> Iterator[bytes
     n_chunks = -(-len(ids) // CHUNK_BITS)
     at = np.zeros((bits, n_chunks + 1), np.uint64)
     ones = np.zeros((bits, n_chunks + 1), np.uint64)
-    where, cur = len(MAGIC) + 8, ids
+    where, cur = len(MAGIC) + 8, ids.astype(np.uint16) if bits <= 16 else ids
     bodies = []
     for level in range(bits):
-        mask = (cur >> (bits - 1 - level)) & 1 != 0
+        mask = (cur & cur.dtype.type(1 << (bits - 1 - level))).astype(bool)
         plane = np.packbits(mask, bitorder="little")
         for c in range(n_chunks):
             raw = plane[c * CHUNK_BITS // 8 : (c + 1) * CHUNK_BITS // 8]
@@ -168,13 +172,13 @@ class Shard:
 
     def decode(self) -> np.ndarray:
         """All ids in order, from the last plane up."""
-        cur = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        cur = np.zeros(self.n, kind)
         for level in reversed(range(self.bits)):
             raw = b"".join(zstandard.decompress(self.file.read_at(hi - lo, lo)) for lo, hi in zip(self.at[level], self.at[level, 1:]))
             mask = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").astype(bool)
-            out = np.empty(self.n, np.uint32)
-            out[~mask], out[mask] = cur[: self.zeros[level]], cur[self.zeros[level] :]
-            out[mask] |= np.uint32(1 << (self.bits - 1 - level))
+            out = np.empty(self.n, kind)
+            out[~mask], out[mask] = cur[: self.zeros[level]], cur[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
             cur = out
         return cur
 
@@ -182,47 +186,86 @@ class Shard:
 # ---- tokens --------------------------------------------------------------------------------------------------------
 
 
-def piecewise_encoder(tokenizer_path: str) -> Callable[[list[str]], list[bytes]]:
-    """Encodes texts to little-endian uint32 ids.
+#: Texts of these characters are normalised by rule: blanks that separate, printable ASCII, and the letters of Latin-1, all
+#: of them in composed form, with one lower-case letter each.
+PLAIN = re.compile(r"[\n\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
+#: What the vocabulary's own split pattern finds in such a text.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+").findall
 
-    The vocabulary's tokens never cross a space or a line feed and both are dropped, so a text's ids are those of its
-    pieces between them; pieces that come again are taken from a bounded cache.
-    """
+
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes above ASCII in byte-level vocabularies."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(kept)]
+    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Known(dict):
+    """Ids (little-endian uint32) of what has been encoded, up to a bounded number of short strings."""
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, text: str) -> bytes:
+        ids = array("I", self.encode(text)).tobytes()
+        if len(text) <= CACHED_CHARS:
+            if len(self) >= CACHED:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
+def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(tokenizer_path)
-    cache: dict[str, bytes] = {"": b""}
-
-    def encode(texts: list[str]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({p for ps in pieces for p in ps}.difference(cache))
-        if len(cache) + len(new) > CACHED:
-            cache.clear()
-            cache[""] = b""
-            new = list({p for ps in pieces for p in ps if p})
-        fresh = {}
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for p, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                fresh[p] = np.asarray(e.ids, "<u4").tobytes()
-        cache.update(fresh)
-        out = [b"".join(map(cache.__getitem__, ps)) for ps in pieces]
-        for p in fresh:
-            if len(p) > CACHED_CHARS:
-                del cache[p]
-        return out
+    tokenizer, letters = Tokenizer.from_file(tokenizer_path), byte_letters()
+    tokenize = tokenizer.model.tokenize
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def of_part(part: str) -> list[int]:
+        return [t.id for t in tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(letters))]
+
+    part = Known(of_part).__getitem__
+
+    def of_piece(piece: str) -> list[int]:
+        return tokenizer.encode(piece, add_special_tokens=False).ids
+
+    odd = Known(of_piece).__getitem__
+
+    def plain(text: str) -> bool:
+        return bool(PLAIN(text)) and not any(s in text for s in special)
+
+    def encode(text: str) -> bytes:
+        if plain(text):
+            return b"".join(map(part, PARTS(text.lower())))
+        pieces = text.replace("\n", " ").split(" ")
+        return b"".join(b"".join(map(part, PARTS(p.lower()))) if plain(p) else odd(p) for p in pieces)
 
     return encode
 
 
+def worker_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
+    """Encodes a text to little-endian uint32 ids; one per worker process, so that what it knows outlives a task.
+
+    The vocabulary's tokens never cross a space or a line feed and both are dropped, so a text's ids are those of its
+    pieces between them. Plain texts are split by rule and go to the library's model, the pieces of others that are not
+    plain through its whole pipeline.
+    """
+    held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker"))
+    if getattr(held, "encoder", (None,))[0] != tokenizer_path:
+        held.encoder = (tokenizer_path, make_encoder(tokenizer_path))
+    return held.encoder[1]
+
+
 def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the shards of docs into out_dir; the manifest: part, seq, file, n_docs, n_tokens, start."""
     spark = docs.sparkSession
     end = struct.pack("<I", end_id)
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = piecewise_encoder(tokenizer_path), TaskContext.get().partitionId()
+        encode, part = worker_encoder(tokenizer_path), TaskContext.get().partitionId()
         rows, keys, held, size = [], [], [], 0
 
         def close() -> None:
@@ -234,14 +277,13 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str
             keys, held, size = [], [], 0
 
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                texts = [t or "" for t in batch.column(1)[lo:hi].to_pylist()]
-                for k, ids in zip(batch.column(0)[lo:hi].to_pylist(), encode(texts), strict=True):
-                    keys.append(k)
-                    held.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= shard_tokens:
-                        close()
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encode(t.as_py() or "") + end
+                keys.append(k)
+                held.append(ids)
+                size += len(ids) // 4
+                if size >= shard_tokens:
+                    close()
         if keys:
             close()
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
@@ -257,18 +299,6 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str
     return out.drop("_base")
 
 
-def slices(texts: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Row ranges of about most bytes of text each."""
-    import pyarrow.compute as pc
-
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
-    lo = 0
-    while lo < len(ends):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
-        yield lo, hi
-        lo = hi
-
-
 def read_documents(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
 
