@@ -46,7 +46,15 @@ class InferenceOptions:
             raise ValueError(f"unknown likelihood {self.likelihood}")
 
 
-_lgamma = np.vectorize(lgamma, otypes=[float])
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """By recurrence up to 12, then Stirling's series."""
+    x = np.array(x, float)
+    out = np.zeros_like(x)
+    while (small := x < 12).any():
+        out[small] -= np.log(x[small])
+        x[small] += 1
+    y = 1 / (x * x)
+    return out + (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y / 1680))) / x
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -84,7 +92,7 @@ class Model:
         else:
             c = kappa * n * r + 1e-6
             total_c = c.sum()
-            value = lgamma(total_c) - lgamma(total_c + n) + float((_lgamma(c + y) - _lgamma(c)).sum())
+            value = lgamma(total_c) - lgamma(total_c + n) + float((log_gamma(c + y) - log_gamma(c)).sum())
             d = digamma(np.array([total_c]))[0] - digamma(np.array([total_c + n]))[0] + digamma(c + y) - digamma(c)
             g_r, g_k = kappa * n * d, float((d * n * r).sum())
         g_e = self.t @ (mixed @ g_r)
