@@ -21,10 +21,9 @@ def share(value: Column, *by: str) -> Column:
 
 
 def shares_of(df: DataFrame, value: str, by: Sequence[str] = (), into: str = "share") -> DataFrame:
-    """df with a value over its group's total; totals are summed before they meet the rows."""
+    """df with a value over its group's total, in one pass; a group has as many rows as there are references at most."""
     if by:
-        total = df.groupBy(*by).agg(F.sum(value).alias("_total"))
-        return df.join(total, list(by)).withColumn(into, F.col(value) / F.col("_total")).drop("_total")
+        return df.withColumn(into, share(F.col(value), *by))
     total = df.agg(F.sum(value).alias("_total"))  # one row
     return df.join(F.broadcast(total)).withColumn(into, F.col(value) / F.col("_total")).drop("_total")
 
@@ -44,8 +43,8 @@ def observed_counts(hits: DataFrame, refs: DataFrame, by: Sequence[str] = ()) ->
 def translation_table(refs: DataFrame) -> DataFrame:
     """genome, refseq, weight: a genome's copies share its abundance evenly."""
     refs = refs if "genome" in refs.columns else refs.withColumn("genome", genome_of(F.col("refseq")))
-    copies = refs.groupBy("genome").agg(F.count(F.lit(1)).alias("_copies"))
-    return refs.join(copies, "genome").select("genome", "refseq", (F.lit(1.0) / F.col("_copies")).alias("weight"))
+    copies = F.count(F.lit(1)).over(Window.partitionBy("genome"))
+    return refs.select("genome", "refseq", (F.lit(1.0) / copies).alias("weight"))
 
 
 def rollup(observed: DataFrame, refs: DataFrame, value: str = "rel", by: Sequence[str] = ()) -> DataFrame:
@@ -68,9 +67,9 @@ def confusion_counts(hits: DataFrame, refs: DataFrame) -> DataFrame:
 
 def row_stochastic(counts: DataFrame, refs: DataFrame) -> DataFrame:
     """src, dst, p: rows sum to one; a reference without reads maps to itself."""
-    p = shares_of(counts.select("src", "dst", "n"), "n", ["src"], "p").drop("n")
-    empty = refs.select(F.col("refseq").alias("src")).distinct().join(counts.select("src").distinct(), "src", "left_anti")
-    return p.select("src", "dst", "p").unionByName(empty.select("src", F.col("src").alias("dst"), F.lit(1.0).alias("p")))
+    p = shares_of(counts.select("src", "dst", "n"), "n", ["src"], "p")
+    every = refs.select(F.col("refseq").alias("src")).distinct()
+    return every.join(p, "src", "left").select("src", F.coalesce("dst", "src").alias("dst"), F.coalesce("p", F.lit(1.0)).alias("p"))
 
 
 def identity(refs: DataFrame) -> DataFrame:
