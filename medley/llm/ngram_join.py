@@ -9,9 +9,9 @@ n - ceil(t * n) + 1 members.
 1. Equal sets become one class, so exact copies cost nothing further.
 2. Classes that share a rare-end member are grouped by it. A first round links each class to one leader of its groups
    (a star, not all pairs) and so collapses large groups of near copies into components.
-3. Groups within one component are done. The others are joined whole: small groups by pairs, bounded by the count and
-   positions of what they share, large ones by pairs of blocks of similar size, each block a trie in one task. No step
-   drops a candidate that could link.
+3. Groups within one component are done. The others are joined whole: small groups by pairs, large ones by pairs of
+   blocks of similar size. What two sets share in their rare ends and what can lie beyond bounds their overlap; pairs
+   whose bound is too low are left out. No step drops a candidate that could link.
 4. Each task builds a trie over its targets, walks it with every probe, carries the overlap of the shared path down, and
    prunes subtrees whose remaining lengths cannot reach the overlap that the threshold asks for.
 
@@ -41,8 +41,10 @@ PERCENT = 80
 FREQUENT, FREQUENT_FROM = 1 << 18, 20
 #: N-grams counted together in a task, and how often one must come there to be counted at all.
 COUNTED, COUNTED_FROM = 1 << 22, 3
-#: Groups up to this size are joined by pairs, larger ones by blocks of so many sets or n-grams.
-SMALL, BLOCK, BLOCK_NGRAMS = 24, 64, 1_000_000
+#: Groups up to SMALL are joined by pairs, larger ones by blocks of so many sets or n-grams, over BY_SIZE apart by size.
+SMALL, WIDE_BLOCK, BLOCK_NGRAMS, BY_SIZE = 24, 256, 20_000_000, 4096
+#: Most targets of one trie.
+BLOCK = 64
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD6E8FEB86659FD93
 
@@ -288,11 +290,13 @@ def with_sets(texts: DataFrame, frequent, keep: str, n: int = WORDS, percent: in
                 keys = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 held = [s[len(s) - prefix_length(len(s), percent) :][::-1] for s in sets] if keep == "rare" else sets
                 at = np.concatenate([[0], np.cumsum([len(h) for h in held])]).astype(np.int32)
+                # the last member of the rare end, in an order that signed comparison keeps
+                ends = np.array([int(s[len(s) - prefix_length(len(s), percent)]) - (1 << 63) if len(s) else 0 for s in sets], np.int64)
                 codes = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(held).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(done, len(some)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), codes], names=["id", "n", "k1", "k2", "codes"])
+                yield pa.RecordBatch.from_arrays([ids.slice(done, len(some)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(ends), codes], names=["id", "n", "k1", "k2", "end", "codes"])
                 done += len(some)
 
-    return texts.mapInArrow(build, "id long, n long, k1 long, k2 long, codes array<long>")
+    return texts.mapInArrow(build, "id long, n long, k1 long, k2 long, end long, codes array<long>")
 
 
 def verified(units: DataFrame, texts: DataFrame, frequent, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -329,19 +333,23 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     # 1. classes of equal sets, named by their least id
     known = rows.where("id is not null and n > 0")
     classes = written(known.groupBy("k1", "k2").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
-    heads = known.join(classes.select(F.col("class").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
+    copied = sized(written(classes.where("copies > 1"), "copied"))
+    copies = known.select("id", "k1", "k2").join(copied, ["k1", "k2"]).where(F.col("id") != F.col("class"))
+    heads = known.join(sized(written(copies.select("id", "k1", "k2").distinct(), "copies")), ["id", "k1", "k2"], "left_anti")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     entries = heads.select("id", "n", F.posexplode("codes").alias("pos", "code"))
 
-    # 2. groups of classes that share a member of their rare ends; frequent ones are summed before they meet
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
+    # 2. groups of classes that share a member of their rare ends. Rare members have small groups, so one shuffle brings
+    # each together; groups of frequent ones, FREQUENT at most, are summed before they meet their members.
     is_frequent = (F.col("code") >= 0) & (F.col("code") < n_frequent)
-    w, wb = Window.partitionBy("code"), Window.partitionBy("code", "band")
-    rare = entries.where(~is_frequent).withColumn("m", F.count(F.lit(1)).over(w)).where("m > 1").withColumn("band", band).withColumn("lead", F.min("id").over(wb))
+    by_code, by_band = Window.partitionBy("code"), Window.partitionBy("code", "band")
+    rare = entries.where(~is_frequent).withColumn("m", F.count(F.lit(1)).over(by_code)).where("m > 1")
+    rare = rare.withColumn("band", band).withColumn("lead", F.min("id").over(by_band))
     often = written(entries.where(is_frequent).withColumn("band", band), "frequent-entries")
-    per = often.groupBy("code", "band").agg(F.count(F.lit(1)).alias("_m"), F.min("id").alias("lead"))
-    per = per.join(often.groupBy("code").agg(F.count(F.lit(1)).alias("m")), "code").drop("_m")
-    often = often.join(sized(written(per, "frequent-groups")), ["code", "band"])
-    shared = written(rare.unionByName(often.where("m > 1").select(*rare.columns)), "shared")
+    sizes = F.broadcast(written(often.groupBy("code").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "frequent-groups"))
+    leads = sized(written(often.groupBy("code", "band").agg(F.min("id").alias("lead")), "frequent-leads"))
+    often = often.join(sizes, "code").join(leads, ["code", "band"]).select(*rare.columns)
+    shared = written(rare.unionByName(often), "shared")
 
     # a star per class: the leader with which it shares most
     best = shared.where("lead < id").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
@@ -357,30 +365,41 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     roots = written(components(links), "roots")
 
     # 3. groups that still hold several components
-    placed = shared.drop("lead", "band").join(sized(roots), "id", "left").withColumn("group", F.coalesce("root", "id")).drop("root")
-    placed = written(placed, "placed")
-    split = placed.groupBy("code").agg(F.min("group").alias("g1"), F.max("group").alias("g2"), F.sum(F.xxhash64("id") % (1 << 40)).alias("sig"), F.first("m").alias("m")).where("g1 <> g2")
-    split = written(split, "split")
-    open_small = placed.join(sized(split.where(F.col("m") <= SMALL).select("code")), "code", "left_semi")
+    ends = sized(written(heads.select("id", "end").join(sized(written(shared.select("id").distinct(), "sharing")), "id", "left_semi"), "ends"))
+    placed = shared.drop("band", "lead").join(sized(roots), "id", "left").withColumn("group", F.coalesce("root", "id")).drop("root").join(ends, "id")
+    g1, g2 = F.min("group"), F.max("group")
+    rare = placed.where(~is_frequent).withColumn("g1", g1.over(by_code)).withColumn("g2", g2.over(by_code)).where("g1 <> g2")
+    often = placed.where(is_frequent)
+    stats = F.broadcast(written(often.groupBy("code").agg(g1.alias("g1"), g2.alias("g2")).where("g1 <> g2"), "frequent-stats"))
+    placed = written(rare.unionByName(often.join(stats, "code").select(*rare.columns)), "placed")
+    open_small = placed.where(F.col("m") <= SMALL)
     # of large groups with the same members one is enough
-    large = split.where(F.col("m") > SMALL)
-    one = large.groupBy("m", "sig", "g1", "g2").agg(F.min("code").alias("code")).select("code")
-    large_counts = placed.join(sized(large.select("code")), "code", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("big"))
-    open_large = written(placed.join(sized(written(one, "large-groups")), "code", "left_semi"), "large-entries")
-
-    a = open_small.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("group").alias("ga"))
-    b = open_small.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("group").alias("gb"))
+    large = placed.where(F.col("m") > SMALL)
+    alike = large.groupBy("code").agg(F.first("m").alias("m"), F.min("g1").alias("g1"), F.max("g2").alias("g2"), F.sum(F.xxhash64("id") % (1 << 40)).alias("sig"))
+    one = alike.groupBy("m", "sig", "g1", "g2").agg(F.min("code").alias("code")).select("code")
+    large_counts = large.groupBy("id").agg(F.count(F.lit(1)).alias("big"))
+    open_large = written(large.join(sized(written(one, "large-groups")), "code", "left_semi"), "large-entries")
+
+    a = open_small.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("end").alias("ea"), F.col("pos").alias("pa"), F.col("group").alias("ga"))
+    b = open_small.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("end").alias("eb"), F.col("pos").alias("pb"), F.col("group").alias("gb"))
     pairs = a.join(b, "code").where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & compatible(F.col("na"), F.col("nb"), percent))
-    pairs = pairs.groupBy("a", "b", "na", "nb", "ga", "gb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    pairs = pairs.groupBy("a", "b", "na", "nb", "ea", "eb", "ga", "gb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     big = sized(written(large_counts, "large-counts"))
     pairs = pairs.join(big.select(F.col("id").alias("a"), F.col("big").alias("ba")), "a", "left").join(big.select(F.col("id").alias("b"), F.col("big").alias("bb")), "b", "left")
-    most = F.col("c") + F.least(F.coalesce("ba", F.lit(0)), F.coalesce("bb", F.lit(0))) + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    pairs = written(pairs.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "ga", "gb"), "pairs")
+    # What they can have in common: what their rare ends share, and what lies beyond. The rare end that stops first in the
+    # order has all its common members in the other's, so only the rest of that set can add to them; and nothing
+    # adds that does not come after the last one shared.
+    both = F.col("c") + F.least(F.coalesce("ba", F.lit(0)), F.coalesce("bb", F.lit(0)))
+    rest = lambda n: F.ceil(F.col(n) * percent / 100) - 1
+    beyond = F.when(F.col("ea") == F.col("eb"), F.least(rest("na"), rest("nb"))).when(F.col("ea") > F.col("eb"), rest("na")).otherwise(rest("nb"))
+    most = both + F.least(beyond, F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
+    pairs = pairs.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "ga", "gb")
+    pairs = written(pairs.unionByName(block_pairs(open_large, placed, percent)).distinct(), "pairs")
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("chunks"), F.first("ga").alias("ga"))
-    targets = pairs.drop("ga").join(chunks, "a").select(F.xxhash64(F.lit("pair"), "a", F.pmod(F.xxhash64("b"), F.col("chunks"))).alias("unit"), F.col("b").alias("id"), F.col("gb").alias("group"), F.lit(1).alias("side"))
+    targets = pairs.drop("ga").join(chunks, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("chunks"))).alias("unit"), F.col("b").alias("id"), F.col("gb").alias("group"), F.lit(1).alias("side"))
     probes = chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    probes = probes.select(F.xxhash64(F.lit("pair"), "a", F.col("chunk")).alias("unit"), F.col("a").alias("id"), F.col("ga").alias("group"), F.lit(0).alias("side"))
-    units = targets.unionByName(probes).unionByName(block_units(open_large, percent))
+    probes = probes.select(F.xxhash64("a", F.col("chunk")).alias("unit"), F.col("a").alias("id"), F.col("ga").alias("group"), F.lit(0).alias("side"))
+    units = targets.unionByName(probes)
     more = verified(units, texts, frequent, n, percent)
 
     # components over both rounds; classes that stand alone need no row
@@ -393,19 +412,58 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
 
 
 def block_units(entries: DataFrame, percent: int) -> DataFrame:
-    """Units that join large groups (code, id, n, group): all pairs of their blocks whose sizes are compatible."""
+    """Units over large groups (code, id, n, m): all pairs of their blocks; very large ones only those of compatible sizes."""
     ratio = (100.0 / percent) ** 0.5
-    placed = entries.select("code", "id", "n", "group").withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(ratio))))
-    sizes = placed.groupBy("code", "size").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_NGRAMS)).alias("salts"))
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(ratio)))
+    # the smaller set of a pair shares one of its first n - ceil(2tn / (1 + t)) + 1 members in the order of rare ends
+    probe = F.col("pos") <= F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent))
+    placed = entries.select("code", "id", "n", probe.alias("probe"), F.when(F.col("m") > BY_SIZE, size).otherwise(F.lit(0)).alias("size"))
+    sizes = placed.groupBy("code", "size").agg(F.greatest(F.ceil(F.count(F.lit(1)) / WIDE_BLOCK), F.ceil(F.sum("n") / BLOCK_NGRAMS)).alias("salts"))
     all_sizes = sizes.groupBy("code").agg(F.collect_list(F.struct("size", "salts")).alias("sizes"))  # as many as there are size classes
     placed = placed.join(sizes, ["code", "size"]).join(all_sizes, "code").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
     # sizes that can link lie at most three classes of the square root of the ratio apart
     near = F.filter("sizes", lambda s: F.abs(s["size"] - F.col("size")) <= 3)
     other = placed.withColumn("near", F.explode(near)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("near.salts") - 1)))
     mine, theirs = F.struct("size", "salt"), F.struct(F.col("near.size").alias("size"), F.col("other").alias("salt"))
-    unit = F.xxhash64(F.lit("block"), "code", F.least(mine, theirs), F.greatest(mine, theirs))
-    side = F.when(mine == theirs, 2).when(mine < theirs, 0).otherwise(1)
-    return other.select(unit.alias("unit"), "id", "group", side.alias("side"))
+    unit = F.xxhash64("code", F.least(mine, theirs), F.greatest(mine, theirs))
+    block = F.when(mine == theirs, 2).when(mine < theirs, 0).otherwise(1)
+    return other.select(unit.alias("unit"), "id", "probe", block.alias("block"))
+
+
+def block_pairs(entries: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, ga, gb) of large groups that can link.
+
+    A unit brings two blocks together with what each of their sets shares of its rare end, a small part of the set; so what a pair
+    has in common there is known exactly, and what may lie beyond is bounded by the size of the other part.
+    """
+    units = block_units(entries, percent)
+    ends = shared.groupBy("id").agg(F.first("n").alias("n"), F.first("end").alias("end"), F.first("group").alias("group"), F.sort_array(F.collect_list("code")).alias("codes"))
+    units = units.join(ends, "id")
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n")
+        ids, n, end, group, probe, block = (pdf[c].to_numpy() for c in ("id", "n", "end", "group", "probe", "block"))
+        codes = pdf["codes"].tolist()
+        offsets = np.concatenate([[0], np.cumsum([len(c) for c in codes])])
+        flat, owner = np.concatenate(codes), np.repeat(np.arange(len(codes)), np.diff(offsets))
+        rest = -(-percent * n // 100) - 1
+        out = []
+        for i in np.flatnonzero(probe):
+            # partners of at least its size, up to the largest that can link
+            lo, hi = np.searchsorted(n, n[i]), np.searchsorted(n, 100 * n[i] // percent, "right")
+            mine, theirs = codes[i], flat[offsets[lo] : offsets[hi]]
+            hit = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+            common = np.bincount(owner[offsets[lo] : offsets[hi]][hit] - lo, minlength=hi - lo)
+            r, e = rest[lo:hi], end[lo:hi]
+            beyond = np.where(e == end[i], np.minimum(r, rest[i]), np.where(e > end[i], r, rest[i]))
+            can = (common > 0) & ((100 + percent) * (common + beyond) >= percent * (n[lo:hi] + n[i]))
+            can &= (group[lo:hi] != group[i]) & (ids[lo:hi] != ids[i]) & ((block[lo:hi] != block[i]) | (block[i] == 2))
+            for t in np.flatnonzero(can) + lo:
+                a, b = (i, t) if ids[i] < ids[t] else (t, i)
+                out.append((ids[a], ids[b], group[a], group[b]))
+        return pd.DataFrame(out, columns=["a", "b", "ga", "gb"], dtype="int64").drop_duplicates()
+
+    return units.groupBy("unit").applyInPandas(pairs, "a long, b long, ga long, gb long")
 
 
 def jaccard_report(docs: DataFrame, **options) -> DataFrame:

@@ -475,7 +475,7 @@ def near_copies(seed=0):
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_components(spark, monkeypatch, small):
     if small:  # frequent n-grams, large groups and blocks at test size
-        for name, v in (("FREQUENT_FROM", 4), ("COUNTED_FROM", 2), ("SMALL", 3), ("BLOCK", 5)):
+        for name, v in (("FREQUENT_FROM", 4), ("COUNTED_FROM", 2), ("SMALL", 3), ("BLOCK", 5), ("WIDE_BLOCK", 7), ("BY_SIZE", 30)):
             monkeypatch.setattr(ngram_join, name, v)
     texts = near_copies(int(small))
     n, comp = plain_components(texts)
