@@ -373,12 +373,13 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     stats = F.broadcast(written(often.groupBy("code").agg(g1.alias("g1"), g2.alias("g2")).where("g1 <> g2"), "frequent-stats"))
     placed = written(rare.unionByName(often.join(stats, "code").select(*rare.columns)), "placed")
     open_small = placed.where(F.col("m") <= SMALL)
-    # of large groups with the same members one is enough
+    # of large groups with the same members one is enough, with the place nearest the rare end that each set has in any of them
     large = placed.where(F.col("m") > SMALL)
     alike = large.groupBy("code").agg(F.first("m").alias("m"), F.min("g1").alias("g1"), F.max("g2").alias("g2"), F.sum(F.xxhash64("id") % (1 << 40)).alias("sig"))
-    one = alike.groupBy("m", "sig", "g1", "g2").agg(F.min("code").alias("code")).select("code")
-    large_counts = large.groupBy("id").agg(F.count(F.lit(1)).alias("big"))
-    open_large = written(large.join(sized(written(one, "large-groups")), "code", "left_semi"), "large-entries")
+    one = alike.withColumn("one", F.min("code").over(Window.partitionBy("m", "sig", "g1", "g2"))).where("one <> code").select("code", "one")
+    merged = large.join(sized(written(one, "alike-groups")), "code", "left").groupBy(F.coalesce("one", "code").alias("code"), "id")
+    open_large = written(merged.agg(F.first("n").alias("n"), F.first("m").alias("m"), F.min("pos").alias("pos"), F.count(F.lit(1)).alias("big")), "large-entries")
+    large_counts = open_large.groupBy("id").agg(F.sum("big").alias("big"))
 
     a = open_small.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("end").alias("ea"), F.col("pos").alias("pa"), F.col("group").alias("ga"))
     b = open_small.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("end").alias("eb"), F.col("pos").alias("pb"), F.col("group").alias("gb"))

@@ -494,6 +494,16 @@ def test_jaccard_odd_tables(spark):
     assert got == [(-1, 0, -1), (-1, 2, -1), (2, 2, 2), (5, 2, 2), (5, 2, 2), (7, 1, 7), (9, 0, 9)]
 
 
+def test_jaccard_leader_that_links_with_nobody(spark):
+    """The least id shares its rare end with a large family but is no near copy; the family's own groups have equal members."""
+    base, common = [f"w{i}" for i in range(100)], [f"p{i}" for i in range(60)]
+    texts = [[*common, *base[60:]], *([f"m{i}", *base[1:]] for i in range(30))]
+    texts = [" ".join(x) for x in texts + [[*common, *(f"o{i}x{j}" for j in range(60)), *base[1:64]] for i in range(35)]]
+    _, comp = plain_components(texts)
+    assert comp[:32] == [0, *[1] * 30, 31]
+    assert [x.component_id for x in ngram_join.jaccard_report(table(spark, texts)).orderBy("doc_id").collect()] == comp
+
+
 def test_trie_finds_all_links():
     r = np.random.default_rng(4)
     sets = []
