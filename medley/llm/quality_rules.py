@@ -18,10 +18,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BLANKS, bound, words_of, written
+from ._shared import BLANKS, bound, sized, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 #: Rule -> cutoffs from the loosest to the strictest; a text is rejected when the measure exceeds the cutoff.
@@ -32,9 +32,6 @@ RULES: dict[str, Sequence[float]] = {
     "upper_ratio": (0.9, 0.7, 0.5, 0.3, 0.2, 0.1),
     "mean_word": (40.0, 25.0, 15.0, 12.0, 10.0),
 }
-#: At most about so many labelled rows are used, so the strata that can be certified are bounded too.
-MAX_LABELLED = 200_000
-MAX_STRATA = 500
 
 
 def kept_only(text: Column, wanted: str) -> Column:
@@ -108,7 +105,7 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 
 def certified_cutoffs(labelled: DataFrame, stratum: str, good: str, alpha: float, delta: float, rules: dict[str, Sequence[float]] = RULES) -> DataFrame:
-    """(stratum, one column per rule with its cutoff or null), at most MAX_STRATA rows.
+    """(stratum, one column per rule with its cutoff or null), a row per stratum with good labels.
 
     labelled has the stratum, the label (1 good, 0 bad) and a column per rule. alpha bounds the rate of good
     texts rejected per stratum and is shared out evenly over the rules; delta is the chance that any bound fails.
@@ -121,11 +118,10 @@ def certified_cutoffs(labelled: DataFrame, stratum: str, good: str, alpha: float
         *(F.count_if(is_good & (F.col(r) > c)).alias(f"_k_{r}_{i}") for r, i, c in tests),
         *(F.count_if(is_bad & (F.col(r) > c)).alias(f"_b_{r}_{i}") for r, i, c in tests),
     )
-    # Only strata that could be certified with no false rejection at all; the most labelled ones, to a fixed number.
-    counts = counts.where(F.col("_n") > 0).orderBy(F.desc("_n"), F.asc_nulls_first("_stratum")).limit(MAX_STRATA)
-    n_strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    level = F.log(F.lit(delta) / (n_strata * len(rules)))
-    counts = counts.withColumn("_level", level)
+    counts = written(counts.where(F.col("_n") > 0), "strata")
+    # Only strata that could be certified with no false rejection at all, were they the only one, are tested and counted.
+    n_strata = counts.where(F.col("_n") * F.log(F.lit(1 - each)) <= F.log(F.lit(delta / len(rules)))).count()
+    counts = counts.withColumn("_level", F.log(F.lit(delta / (max(1, n_strata) * len(rules)))))
 
     def chosen(rule: str, cuts: Sequence[float]) -> Column:
         """Of the certified run of cutoffs from the loosest on, the first that rejects most bad texts."""
@@ -153,11 +149,9 @@ def judged(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     best = labels.select(F.col(key).alias("_key"), F.col("quality").alias("_q")).where("_q in (0, 1) and _key is not null").groupBy("_key").agg(F.max("_q").alias("_q"))
     held = best.join(measured.select("_key", "_s", "_m"), "_key").where(~base_failed(F.col("_m")))
     held = written(held.select("_key", "_s", "_q", *(v.alias(r) for r, v in rule_values(F.col("_m")).items())), "holdout")
-    n = held.count()
-    if n > MAX_LABELLED:  # a bounded holdout: an even, repeatable share of the labelled rows
-        held = held.where(F.pmod(F.xxhash64("_key", F.lit(7)), F.lit(1 << 20)) < int((1 << 20) * MAX_LABELLED / n))
     cuts = certified_cutoffs(held, "_s", "_q", alpha, delta)
-    out = measured.join(F.broadcast(cuts), measured["_s"].eqNullSafe(cuts["_stratum"]), "left")
+    cuts = sized(written(cuts.where(reduce(lambda a, b: a | b, (F.col(f"_cut_{r}").isNotNull() for r in RULES))), "cutoffs"))
+    out = measured.join(cuts, measured["_s"].eqNullSafe(cuts["_stratum"]), "left")
     values = rule_values(F.col("_m"))
     fails = reduce(lambda a, b: a | b, (F.coalesce(v > F.col(f"_cut_{r}"), F.lit(False)) for r, v in values.items()))
     out = out.withColumn("_base_failed", base_failed(F.col("_m"))).withColumn("_kept", ~F.col("_base_failed") & ~fails)

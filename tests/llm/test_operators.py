@@ -381,6 +381,16 @@ def test_cutoffs_are_certified_and_catch_junk(spark):
     assert cuts["rare"]._cut_a is None and all(c._cut_b is None for c in cuts.values())
 
 
+def test_cutoffs_use_all_labels_and_strata(spark, monkeypatch):
+    for name, v in (("MAX_LABELLED", 40), ("MAX_STRATA", 1)):  # caps there once were
+        monkeypatch.setattr(quality_rules, name, v, raising=False)
+    rows = [(f"{s}{i}", " ".join(f"{s}{i}w{j}" + "#" * 3 * (i >= 60) for j in range(60)), s, int(i < 60)) for s in "abc" for i in range(80)]
+    rows = [r for r in rows if r[2] != "c" or int(r[0][1:]) >= 50]  # ten good labels certify nothing
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string, quality int")
+    got = {r.doc_id for r in quality_rules.quality_report(docs.drop("quality"), docs.select("doc_id", "quality"), alpha=0.5).where("kept").collect()}
+    assert got == {r[0] for r in rows if r[3] or r[2] == "c"}
+
+
 # ---- 8 -------------------------------------------------------------------------------------------------------------
 
 
