@@ -3,10 +3,12 @@
 Quote levels are the '>' marks before a line, nested ones included ('> > text' is level 2). A quoted passage is a run of lines
 of one message at one level; passages and the unquoted paragraphs and lines of messages are normalised (case, blanks and
 outer punctuation dropped) and hashed. A passage is joined to the first earlier message of its conversation that
-holds it, and a message answers the message that holds its outermost first linked passage. Threads are the trees that
+holds it as a whole; if none does, it is cut into paragraphs and lines too, and joined to the earlier message that holds
+most of its lines in order (by line or by paragraph; ties go to the first). A message answers the message that holds its outermost first linked passage. Threads are the trees that
 these links make; ordered by (conv_id, thread, turn), each thread is together and no answer precedes what it answers.
 
-Only one row per conversation and hash enters the join, so a text that many messages share does not multiply. Roots of
+Only one row per conversation and hash enters the join of whole passages, so a text that many messages share does not
+multiply. For the other passages each message with another body that shares a part is weighed. Roots of
 threads are found by pointer doubling over the linked messages alone, which ends after log2(longest chain) rounds.
 
 Defined results: a null text counts as empty; rows with a null conversation or turn stay and link to nothing; of rows
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import sized, written
+from ._shared import bound, sized, written
 
 MARKS = r"^[\x20\t]*((?:>[\x20\t]?)+)"
 ATTRIBUTION = r"(?i)^(on\b.{0,200}\bwrote|.{0,100}\bschrieb|le\b.{0,200}\ba\x20écrit|el\b.{0,200}\bescribió)\x20?:\s*$"
@@ -36,6 +38,35 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(out, r"^[\p{Punct}\x20]+|[\p{Punct}\x20]+$", "")
 
 
+def parts(text: Column) -> Column:
+    """The lines of a text and its paragraphs of several lines: their first and last line (blank ones not counted) and hash."""
+    lines = lambda p: F.filter(F.transform(F.split(p, "\n"), normalised), lambda t: t != "")
+    found = F.filter(F.transform(F.split(text, r"\n\s*\n"), lambda p: F.struct(normalised(p).alias("t"), lines(p).alias("lines"))), lambda p: F.size(p["lines"]) > 0)
+
+    def numbered(ps: Column) -> Column:
+        def of(p: Column, k: Column) -> Column:
+            before = F.aggregate(F.slice(ps, 1, k), F.lit(0), lambda n, q: n + F.size(q["lines"]))
+            part = lambda first, last, t: F.struct(first.alias("first"), last.alias("last"), F.sha2(t, 256).alias("hash"))
+            own = lambda at: F.transform(p["lines"], lambda t, i: part(at + i, at + i, t))
+            return bound(before, lambda at: F.array_distinct(F.concat(F.array(part(at, at + F.size(p["lines"]) - 1, p["t"])), own(at))))
+
+        return F.flatten(F.transform(ps, of))
+
+    return bound(found, numbered)
+
+
+def most_in_order(matches: Column) -> Column:
+    """The most lines that matches (first, last; h_first, h_last in the holder), sorted, cover in the order of both."""
+
+    def step(done: Column, x: Column) -> Column:
+        before = F.filter(done, lambda y: (y["last"] < x["first"]) & (y["h_last"] < x["h_first"]))
+        n = x["last"] - x["first"] + 1 + F.coalesce(F.array_max(F.transform(before, lambda y: y["n"])), F.lit(0))
+        return F.concat(done, F.array(F.struct(x["last"].alias("last"), x["h_last"].alias("h_last"), n.alias("n"))))
+
+    none = F.array().cast("array<struct<last:int,h_last:int,n:int>>")
+    return F.aggregate(matches, none, step, lambda done: F.array_max(F.transform(done, lambda y: y["n"])))
+
+
 def parsed(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Messages with their lines by quote level: body, passages (level, hash, n lines) and what they hold themselves."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), r"\r?\n")
@@ -55,23 +86,41 @@ def parsed(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn", ro
     runs = F.transform("_starts", run)
     own = F.transform(F.filter("_lines", lambda x: (x["level"] == 0) & ~F.when(quoted, x["line"].rlike(ATTRIBUTION)).otherwise(F.lit(False))), lambda x: x["line"])
     rows = rows.select("conv_id", "turn", "role", runs.alias("_runs"), F.trim(F.array_join(own, "\n"), F.lit(" \t\r\n")).alias("body"), F.array_max(F.transform("_lines", lambda x: x["level"])).alias("quote_levels"))
-    passages = F.filter(F.transform(F.filter("_runs", lambda r: r["level"] > 0), lambda r: F.struct(r["level"].alias("level"), normalised(r["text"]).alias("t"))), lambda p: p["t"] != "")
-    return rows.select("conv_id", "turn", "role", "body", "quote_levels", F.transform(passages, lambda p: F.struct(p["level"].alias("level"), F.sha2(p["t"], 256).alias("hash"))).alias("passages"))
+    passages = F.filter(F.transform(F.filter("_runs", lambda r: r["level"] > 0), lambda r: F.struct(r["level"].alias("level"), normalised(r["text"]).alias("t"), r["text"].alias("text"))), lambda p: p["t"] != "")
+    return rows.select("conv_id", "turn", "role", "body", "quote_levels", F.transform(passages, lambda p: F.struct(p["level"].alias("level"), F.sha2(p["t"], 256).alias("hash"), parts(p["text"]).alias("parts"))).alias("passages"))
+
+
+def partly(rest: DataFrame, rows: DataFrame) -> DataFrame:
+    """(passage, holder) of passages that no message holds as a whole: the first of the messages that hold most of their lines in order."""
+    passage = ["conv_id", "turn", "pos", "level", "hash"]
+    wanted = rest.select(*passage, F.explode("parts").alias("p")).select(*passage, "p.first", "p.last", F.col("p.hash").alias("part"))
+    own = rows.where(F.col("turn").isNotNull()).join(sized(written(rest.select("conv_id").distinct(), "partly-quoted")), "conv_id", "left_semi")
+    # of messages with the same body the first holds as much as the others
+    own = own.groupBy("conv_id", "body").agg(F.min("turn").alias("holder")).select("conv_id", "holder", F.sha2("body", 256).alias("own"), F.explode(parts(F.col("body"))).alias("p"))
+    own = own.select("conv_id", "holder", "own", F.col("p.first").alias("h_first"), F.col("p.last").alias("h_last"), F.col("p.hash").alias("part"))
+    found = wanted.join(own, ["conv_id", "part"]).where("holder < turn").groupBy(*passage, "holder", "own")
+    found = found.agg(most_in_order(F.sort_array(F.collect_list(F.struct("first", "last", "h_first", "h_last")))).alias("n"))
+    return found.groupBy(*passage).agg(F.min_by("holder", F.struct(F.negative("n"), "holder")).alias("holder"))
 
 
 def linked(messages: DataFrame, **columns) -> DataFrame:
     """One row per message: conv_id, turn, role, body, quote_levels, n_quotes, n_linked, reply_to, thread."""
     rows = written(parsed(messages, **columns), "messages")
     quotes = rows.where((F.size("passages") > 0) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    quotes = quotes.select("conv_id", "turn", F.posexplode("passages").alias("pos", "p")).select("conv_id", "turn", "pos", "p.level", "p.hash").distinct()
+    quotes = quotes.select("conv_id", "turn", F.posexplode("passages").alias("pos", "p")).select("conv_id", "turn", "pos", "p.level", "p.hash", "p.parts").distinct()
     quotes = written(quotes, "quotes")
     wanted = sized(quotes.select("conv_id").distinct()) if quotes.count() else quotes.select("conv_id")
     # the first message of a conversation that holds a text as its whole body, a paragraph or a line
-    parts = F.array_distinct(F.concat(F.array("body"), F.split("body", r"\n\s*\n"), F.split("body", "\n")))
+    texts = F.array_distinct(F.concat(F.array("body"), F.split("body", r"\n\s*\n"), F.split("body", "\n")))
     holders = rows.where(F.col("turn").isNotNull()).join(wanted, "conv_id", "left_semi")
-    holders = holders.select("conv_id", "turn", F.explode(F.filter(F.transform(parts, normalised), lambda t: t != "")).alias("t"))
+    holders = holders.select("conv_id", "turn", F.explode(F.filter(F.transform(texts, normalised), lambda t: t != "")).alias("t"))
     holders = holders.groupBy("conv_id", F.sha2("t", 256).alias("hash")).agg(F.min("turn").alias("holder"))
-    links = quotes.join(holders, ["conv_id", "hash"]).where("holder < turn")
+    whole = written(quotes.drop("parts").join(holders, ["conv_id", "hash"]).where("holder < turn"), "whole")
+    passage = ["conv_id", "turn", "pos", "level", "hash"]
+    rest = written(quotes.join(whole, passage, "left_anti"), "rest")
+    links = whole.select(*passage, "holder")
+    if not rest.isEmpty():
+        links = links.unionByName(partly(rest, rows).select(*passage, "holder"))
     links = links.groupBy("conv_id", "turn").agg(F.min_by("holder", F.struct("level", "pos")).alias("reply_to"), F.count_distinct("pos").alias("n_linked"))
     links = written(links, "links")
 

@@ -326,6 +326,19 @@ def test_quotation_links(spark):
     assert chat_quotes.linked(df.limit(0)).count() == 0
 
 
+def test_partial_quotations(spark):
+    rows = [
+        (1, 0, "first line\nsecond line\nthird line"), (1, 1, "> first line\n> second line\n\nok"), (1, 2, "> second line\n> third line\nyes"),
+        (2, 0, "common"), (2, 1, "one a\none b\n\ntwo\n\nthree"), (2, 2, "> one a\n> one b\n>\n> two\nfine"), (2, 3, "> one a one b\n>\n> three\nre-wrapped, one left out"),
+        (3, 0, "start"), (3, 1, "> start\nmine 1\nmine 2\n> start\nmine 3"), (3, 2, "> mine 1\n> mine 2\nto this"), (3, 3, "> mine 2\n> mine 3\nto that"),
+        (4, 0, "common"), (4, 1, "b\na\ncommon"), (4, 2, "a\nb\ncommon"), (4, 3, "> common\n> elsewhere\none part"), (4, 4, "> a\n> [...]\n> b\n> common\nmost in order"), (4, 5, "> not here\n> nor here\nnone"),
+    ]
+    out = chat_quotes.linked(spark.createDataFrame([(c, i, "u", x) for c, i, x in rows], "conv_id long, turn long, role string, text string")).collect()
+    got = {(x.conv_id, x.turn): x.reply_to for x in out}
+    assert len(out) == len(rows) and {k: v for k, v in got.items() if v is not None} == {(1, 1): 0, (1, 2): 0, (2, 2): 1, (2, 3): 1, (3, 1): 0, (3, 2): 1, (3, 3): 1, (4, 3): 0, (4, 4): 2}
+    assert {(x.conv_id, x.turn): x.thread for x in out if x.conv_id == 3} == {(3, i): 0 for i in range(4)}
+
+
 def test_quotation_chains_of_any_length(spark):
     rows = [(7, i, "u", f"message {i}" if i == 0 else f"> message {i - 1}\nmessage {i}") for i in range(40)]
     out = chat_quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
