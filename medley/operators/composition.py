@@ -1,16 +1,19 @@
 """Counts, matrices and compositions as relations.
 
-Matrices are long (row, column, value) tables; a missing entry is zero. No operator collects them.
+Matrices are long (row, column, value) tables; a missing entry is zero. None comes to the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import sized, written
 from ..functions.sequence import genome_of, read_source
+from ..functions.uniform import uniform
 
 FLOOR = 1e-4
 
@@ -34,9 +37,9 @@ def observed_counts(hits: DataFrame, refs: DataFrame, by: Sequence[str] = ()) ->
     hits: hit (and the columns by); refs: refseq.
     """
     counts = hits.groupBy(*by, F.col("hit").alias("refseq")).agg(F.count(F.lit(1)).alias("n"))
-    groups = hits.select(*by).distinct() if by else None
     every = refs.select("refseq").distinct()
-    every = groups.join(F.broadcast(every)) if groups is not None else every
+    if by:  # each sample with every reference: the result has that many rows
+        every = hits.select(*by).distinct().join(sized(every))
     return every.join(counts, [*by, "refseq"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -57,12 +60,24 @@ def floored_start(shares: DataFrame, value: str = "rel", floor: float = FLOOR) -
     return shares_of(shares.withColumn("_lift", F.greatest(F.col(value), F.lit(floor))), "_lift", into="start").drop("_lift")
 
 
+def pair_counts(hits: DataFrame) -> DataFrame:
+    """src, dst, n of simulated reads (query, hit): counted first, so that later joins meet pairs and not reads."""
+    return hits.groupBy(read_source(F.col("query")).alias("src"), F.col("hit").alias("dst")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def confusion_counts(hits: DataFrame, refs: DataFrame) -> DataFrame:
     """src, dst, n of simulated reads (query, hit) whose source and hit are both known."""
-    known = F.broadcast(refs.select("refseq"))
-    out = hits.select(read_source(F.col("query")).alias("src"), F.col("hit").alias("dst"))
-    out = out.join(known, out["src"] == known["refseq"], "left_semi").join(known, out["dst"] == known["refseq"], "left_semi")
-    return out.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    known = refs.select("refseq")
+    out = pair_counts(hits)
+    return out.join(known, out["src"] == known["refseq"], "left_semi").join(known, out["dst"] == known["refseq"], "left_semi")
+
+
+def unknown_counts(hits: DataFrame, refs: DataFrame) -> DataFrame:
+    """src, dst, n of simulated reads whose source or hit is no reference."""
+    known = refs.select(F.col("refseq").alias("_r"), F.lit(True).alias("_known")).distinct()
+    out = pair_counts(hits)
+    out = out.join(known.toDF("src", "_s"), "src", "left").join(known.toDF("dst", "_d"), "dst", "left")
+    return out.where(F.col("_s").isNull() | F.col("_d").isNull()).select("src", "dst", "n")
 
 
 def row_stochastic(counts: DataFrame, refs: DataFrame) -> DataFrame:
@@ -124,38 +139,89 @@ def amplifiability(index: DataFrame) -> DataFrame:
     return index.agg(F.count(F.lit(1)).alias("n_refs"), F.count_if(ok).alias("n_amplifiable"), F.count_distinct("genome").alias("n_genomes"), F.count_distinct(F.when(ok, F.col("genome"))).alias("n_amplifiable_genomes"))
 
 
-def em(observed: DataFrame, matrix: DataFrame, iterations: int, by: Sequence[str] = ()) -> DataFrame:
+#: Entries of a composed matrix that may be packed into one row and sent to every task.
+PACKED = 500_000
+
+
+def em(observed: DataFrame, matrix: DataFrame, iterations: int, by: Sequence[str] = (), packed: int = PACKED) -> DataFrame:
     """Maximum-likelihood abundances of each sample by expectation-maximisation.
 
-    observed: refseq, n (and the columns by); matrix: genome, dst, a. The matrix is as small as the references, so it is
-    packed into one row; each sample is a row of counts, and its iterations run inside one expression, with
-    no shuffle between them.
+    observed: refseq, n (and the columns by); matrix: genome, dst, a. A matrix of up to so many entries goes to
+    every task once, a sample brings its counts only, and its iterations run inside one expression with no shuffle
+    between them. A larger matrix stays a relation, and each iteration is two joins and two sums.
     """
-    a = matrix.select("genome", F.col("dst").alias("refseq"), "a")
-    genomes = a.select("genome").distinct().agg(F.sort_array(F.collect_list("genome")).alias("genomes"))
-    refs = a.select("refseq").distinct()
-    grid = a.select("genome").distinct().join(F.broadcast(refs)).join(a, ["genome", "refseq"], "left")
-    rows = grid.groupBy("refseq").agg(F.transform(F.sort_array(F.collect_list(F.struct("genome", F.coalesce("a", F.lit(0.0)).alias("a")))), lambda x: x["a"]).alias("col"))
-    counted = observed.where("n > 0").join(F.broadcast(rows), "refseq")
-    packed = counted.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("refseq", F.col("n").cast("double").alias("n"), "col"))).alias("ys"), F.sum("n").cast("double").alias("total"))
-    packed = packed.join(F.broadcast(genomes))
-    start = F.transform("genomes", lambda g: F.lit(1.0) / F.size("genomes"))
-
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
+    a = written(matrix.where("a > 0").select("genome", F.col("dst").alias("refseq"), "a"), "composed")
+    counts = observed.where("n > 0").groupBy(*by, "refseq").agg(F.sum("n").cast("double").alias("n"))
+    counts = counts.join(a.select("refseq").distinct(), "refseq", "left_semi")
+    return (em_packed if a.limit(packed + 1).count() <= packed else em_joined)(counts, a, iterations, by)
+
+
+def em_packed(counts: DataFrame, a: DataFrame, iterations: int, by: Sequence[str]) -> DataFrame:
+    g = a.select("genome").distinct().withColumn("g", F.row_number().over(Window.orderBy("genome")) - 1)
+    j = a.select("refseq").distinct().withColumn("j", F.row_number().over(Window.orderBy("refseq")) - 1)
+    cells = a.join(F.broadcast(g), "genome").join(F.broadcast(j), "refseq")  # fewer rows than the packed matrix
+
+    def lines(row: str, column: str) -> DataFrame:
+        """One row: the non-zero entries of each line of the matrix, in order."""
+        each = cells.groupBy(row).agg(F.collect_list(F.struct(F.col(column).alias("i"), "a")).alias("xs"))
+        return each.agg(F.transform(F.sort_array(F.collect_list(F.struct(row, "xs"))), lambda x: x["xs"]).alias(f"by_{row}"))
+
+    pack = lines("j", "g").join(F.broadcast(lines("g", "j"))).join(F.broadcast(g.agg(F.sort_array(F.collect_list("genome")).alias("genomes"))))
+    ys = counts.join(F.broadcast(j), "refseq").groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("j", "n"))).alias("ys"), F.sum("n").alias("total"))
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    # counts of all references in order: each after the zeros since the one before
+    filled = F.transform("ys", lambda y, i: F.concat(zeros(y["j"] - F.when(i > 0, F.col("ys")[i - 1]["j"]).otherwise(-1) - 1), F.array(y["n"])))
+    filled = F.concat(F.flatten(filled), zeros(F.size("by_j") - F.element_at("ys", -1)["j"] - 1))
+    rows = ys.join(F.broadcast(pack)).withColumn("y", filled)
+
+    def dot(xs: Column, values: Column) -> Column:
+        return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x["a"] * values[x["i"]])
 
     def step(theta: Column, _: Column) -> Column:
-        # each reference's share of its expected rate, then each genome's part of it
-        scaled = F.transform("ys", lambda y: F.struct((y["n"] / dot(theta, y["col"])).alias("w"), y["col"].alias("col")))
-        zero = F.transform("genomes", lambda g: F.lit(0.0))
-        sums = F.aggregate(scaled, zero, lambda acc, s: F.zip_with(acc, s["col"], lambda u, v: u + F.when(v > 0, v * s["w"]).otherwise(0.0)))
-        return F.zip_with(theta, sums, lambda t, v: t * v / F.col("total"))
+        # each reference's count over its expected rate, then each genome's part of it
+        over = F.zip_with("y", "by_j", lambda n, xs: F.when(n > 0, n / dot(xs, theta)).otherwise(0.0))
+        return F.transform(F.array(over), lambda w: F.zip_with(theta, "by_g", lambda t, xs: t * dot(xs, w) / F.col("total")))[0]
 
+    start = F.transform("genomes", lambda x: F.lit(1.0) / F.size("genomes"))
     theta = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, step)
-    out = packed.select(*by, F.explode(F.arrays_zip(F.col("genomes").alias("genome"), theta.alias("theta"))).alias("x"))
+    out = rows.select(*by, F.explode(F.arrays_zip(F.col("genomes").alias("genome"), theta.alias("theta"))).alias("x"))
     return out.select(*by, "x.genome", "x.theta")
 
 
+def em_joined(counts: DataFrame, a: DataFrame, iterations: int, by: Sequence[str], every: int = 4) -> DataFrame:
+    """The same as relations; theta is written every few rounds, which cuts its lineage."""
+    counts = written(counts, "counts")
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
+    genomes = F.broadcast(a.agg(F.collect_set("genome").alias("_genomes")))  # one row
+    theta = totals.join(genomes).select(*by, F.explode("_genomes").alias("genome"), (F.lit(1.0) / F.size("_genomes")).alias("theta"))
+    for i in range(iterations):
+        rate = theta.join(a, "genome").groupBy(*by, "refseq").agg(F.sum(F.col("theta") * F.col("a")).alias("_rate"))
+        over = counts.join(rate, [*by, "refseq"]).select(*by, "refseq", (F.col("n") / F.col("_rate")).alias("_w"))
+        part = over.join(a, "refseq").groupBy(*by, "genome").agg(F.sum(F.col("a") * F.col("_w")).alias("_part"))
+        theta = theta.join(part, [*by, "genome"], "left").join(totals, list(by)) if by else theta.join(part, "genome", "left").join(F.broadcast(totals))
+        theta = theta.select(*by, "genome", (F.col("theta") * F.coalesce("_part", F.lit(0.0)) / F.col("_total")).alias("theta"))
+        if i % every == every - 1:
+            theta = written(theta, "theta")
+    return theta
+
+
+def replicates(observed: DataFrame, n: int, seed: int, by: Sequence[str] = ()) -> DataFrame:
+    """Poisson bootstrap: each count n times drawn anew, with a column replicate; for intervals of any estimate by counts.
+
+    Small counts by inversion of the Poisson distribution, from 30 on by a rounded normal.
+    """
+    out = observed.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    key = [F.col(c) for c in by] + [F.col("refseq"), F.col("replicate")]
+    u, v, mean = F.greatest(uniform(seed, *key, "u"), F.lit(2.0**-33)), uniform(seed, *key, "v"), F.col("n").cast("double")
+    normal = F.sqrt(-2 * F.log(u)) * F.cos(2 * math.pi * v)
+    large = F.greatest(F.round(mean + F.sqrt(mean) * normal), F.lit(0.0))
+    # k is the number of cumulated probabilities that u lies above
+    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0.0).alias("k"))
+    more = lambda acc, i: F.struct((acc["p"] * mean / i).alias("p"), (acc["cdf"] + acc["p"] * mean / i).alias("cdf"), (acc["k"] + F.when(u > acc["cdf"], 1.0).otherwise(0.0)).alias("k"))
+    small = F.aggregate(F.sequence(F.lit(1), F.lit(100)), start, more, lambda acc: acc["k"])
+    return out.withColumn("n", F.when(mean >= 30, large).otherwise(small).cast("long"))
+
+
 def posterior_summary(draws: DataFrame, by: Sequence[str], value: str = "theta") -> DataFrame:
     """Mean and exact 5 and 95 % quantiles per group."""
     q = F.percentile(value, F.array(F.lit(0.05), F.lit(0.95)))

@@ -1,8 +1,11 @@
 """Mapping reads to near-identical references: a similarity join with the best hit per read.
 
-Both sides are cut into k-mers; references that share most distinct k-mers with a read are candidates, which an edit distance
-scores. Equal reads are mapped once. Ties between references are split by a hash of read and reference, so identical
-references share their reads evenly. The same function maps simulated and observed reads.
+Reads and references are cut into k-mers. References with equal sequences count once, and k-mers that the same references
+hold form a class, so a read votes once per class and not once per k-mer and reference. An edit destroys at
+most k k-mers of a read, so votes bound the identity that a reference can reach: the one with most votes is scored first, then
+all others that can still reach its identity. No candidate that could win is left out. Ties between
+references are split by a hash of read and reference, so identical references share their reads evenly. The same
+function maps simulated and observed reads.
 """
 
 from __future__ import annotations
@@ -12,16 +15,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import sized, written
 from ..functions.uniform import hash_order
 
 
 @dataclass(frozen=True)
 class MapperOptions:
     k: int = 11
-    candidates: int = 16
     min_shared: int = 1
-    #: References up to this many k-mers are sent to every task; beyond it the join shuffles.
-    broadcast_kmers: int = 2_000_000
+
+    def __post_init__(self):
+        if self.k < 1 or self.min_shared < 1:
+            raise ValueError("k and min_shared are at least 1")
+
+
+@dataclass(frozen=True)
+class ReferenceIndex:
+    """References made ready for mapping, as written tables."""
+
+    #: kmer and its class (c1, c2): k-mers of one class are held by the same sequences.
+    kmers: DataFrame
+    #: class and rep, the least id among references of one sequence.
+    classes: DataFrame
+    #: refseq, rep, ref_seq.
+    references: DataFrame
 
 
 def kmers(seq: Column, k: int) -> Column:
@@ -30,30 +47,47 @@ def kmers(seq: Column, k: int) -> Column:
     return F.when(F.length(seq) >= k, F.array_distinct(each)).otherwise(F.array(seq))
 
 
-def kmer_index(refs: DataFrame, options: MapperOptions = MapperOptions()) -> DataFrame:
-    """kmer, refseq, ref_seq of references (refseq, sequence); build it once and use it for all reads."""
-    return refs.select(F.explode(kmers(F.col("sequence"), options.k)).alias("kmer"), "refseq", F.col("sequence").alias("ref_seq"))
-
-
-def map_reads(reads: DataFrame, refs: DataFrame, options: MapperOptions = MapperOptions()) -> DataFrame:
-    """query, hit, score, identity: the best reference of each read (query, sequence); reads that share nothing have no row."""
-    index = kmer_index(refs, options).select("kmer", "refseq")
-    if index.limit(options.broadcast_kmers + 1).count() <= options.broadcast_kmers:
-        index = F.broadcast(index)
-    distinct = reads.select("sequence").distinct()
-    shared = distinct.select("sequence", F.explode(kmers(F.col("sequence"), options.k)).alias("kmer")).join(index, "kmer")
-    votes = shared.groupBy("sequence", "refseq").agg(F.count(F.lit(1)).alias("votes")).where(F.col("votes") >= options.min_shared)
-    best = Window.partitionBy("sequence").orderBy(F.desc("votes"), "refseq")
-    top = votes.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= options.candidates)
-    scored = top.join(refs.select("refseq", F.col("sequence").alias("ref_seq")), "refseq")
-    distance = F.levenshtein("sequence", "ref_seq")
-    scored = scored.withColumn("identity", 1 - distance / F.greatest(F.length("sequence"), F.length("ref_seq")))
-    # candidates per distinct read that tie for the best
-    ties = Window.partitionBy("sequence")
-    scored = scored.withColumn("_best", F.max("identity").over(ties)).where(F.col("identity") == F.col("_best"))
-    hits = reads.select("query", "sequence").join(scored.select("sequence", "refseq", "votes", "identity"), "sequence")
+def cluster_references(refs: DataFrame, options: MapperOptions = MapperOptions()) -> ReferenceIndex:
+    """The index of references (refseq, sequence); make it once and use it for all reads."""
+    rep = F.min("refseq").over(Window.partitionBy("sequence"))
+    references = written(refs.select("refseq", rep.alias("rep"), F.col("sequence").alias("ref_seq")), "references")
+    held = references.where("refseq = rep").select(F.explode(kmers(F.col("ref_seq"), options.k)).alias("kmer"), "rep")
+    # the digest of a k-mer's holders is its class; it is built up without collecting them
+    digest = (F.bit_xor(F.xxhash64("rep")).alias("c1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("c2"))
+    by_kmer = written(held.groupBy("kmer").agg(*digest), "kmers")
+    first = by_kmer.groupBy("c1", "c2").agg(F.min("kmer").alias("kmer"))
+    classes = written(held.join(first, "kmer").select("c1", "c2", "rep"), "classes")
+    return ReferenceIndex(by_kmer, classes, references)
+
+
+def map_reads(reads: DataFrame, refs: DataFrame | ReferenceIndex, options: MapperOptions = MapperOptions()) -> DataFrame:
+    """query, hit, score, identity: the best reference of each read (query, sequence); reads that share nothing have no row.
+
+    refs: references (refseq, sequence) or their index. score counts the shared k-mers.
+    """
+    index = refs if isinstance(refs, ReferenceIndex) else cluster_references(refs, options)
+    # two 64-bit hashes stand for a read's sequence until it is scored
+    seq = F.col("sequence")
+    keyed = reads.select("query", "sequence", F.xxhash64(seq).alias("r1"), F.xxhash64(seq, F.lit(1)).alias("r2"))
+    distinct = keyed.groupBy("r1", "r2").agg(F.first("sequence").alias("sequence")).withColumn("kmers", kmers(seq, options.k))
+    each = distinct.select("r1", "r2", F.explode("kmers").alias("kmer")).join(sized(index.kmers), "kmer")
+    by_class = each.groupBy("r1", "r2", "c1", "c2").agg(F.count(F.lit(1)).alias("n"))
+    votes = by_class.join(sized(index.classes), ["c1", "c2"]).groupBy("r1", "r2", "rep").agg(F.sum("n").alias("votes")).where(F.col("votes") >= options.min_shared)
+
+    once = index.references.where("refseq = rep").select("rep", "ref_seq")
+    rows = votes.join(distinct.select("r1", "r2", "sequence", F.size("kmers").alias("size")), ["r1", "r2"]).join(sized(once), "rep")
+    longest = F.greatest(F.length("sequence"), F.length("ref_seq"))
+    identity = 1 - F.levenshtein("sequence", "ref_seq") / longest
+    per_read = Window.partitionBy("r1", "r2")  # as many rows as there are distinct references at most
+    rows = rows.withColumn("_top", F.max(F.struct("votes", "rep")).over(per_read)["rep"])
+    rows = rows.withColumn("_reached", F.max(F.when(F.col("rep") == F.col("_top"), identity)).over(per_read))
+    reachable = 1 - F.ceil((F.col("size") - F.col("votes")) / options.k) / longest
+    rows = rows.where(reachable >= F.col("_reached")).withColumn("identity", identity)
+    best = rows.withColumn("_best", F.max("identity").over(per_read)).where(F.col("identity") == F.col("_best"))
+    best = best.select("r1", "r2", "rep", "votes", "identity").join(sized(index.references.select("rep", "refseq")), "rep")
     one = F.min_by(F.struct("refseq", "votes", "identity"), hash_order(F.col("query"), F.col("refseq"))).alias("h")
-    return hits.groupBy("query").agg(one).select("query", F.col("h.refseq").alias("hit"), F.col("h.votes").cast("double").alias("score"), F.col("h.identity").alias("identity"))
+    hits = keyed.select("query", "r1", "r2").join(best, ["r1", "r2"]).groupBy("query").agg(one)
+    return hits.select("query", F.col("h.refseq").alias("hit"), F.col("h.votes").cast("double").alias("score"), F.col("h.identity").alias("identity"))
 
 
 def usable_hits(hits: DataFrame, min_identity: float | None = None, identity: str = "identity") -> DataFrame:

@@ -7,25 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import sized, written
 from ..functions.sequence import BASES, fragment, is_acgt
 from ..functions.uniform import hash_order, uniform
 
 
+#: Classes of a categorical draw.
+MAX_CLASSES = 100_000
+#: Hex digits of the hash by which a cut is looked for: 65,536 bins of each group.
+BIN_DIGITS = 4
+
+
 def reservoir(rows: DataFrame, k: int, seed: int, keys: Sequence[str], by: Sequence[str] = (), shuffled: bool = False) -> DataFrame:
     """k rows (of each group) uniformly without replacement; k = 0 takes all. shuffled adds their random order.
 
-    Ranks are cut per partition before groups meet, so a large group sends only k rows of each partition on.
+    Those with the least hashes are taken. A histogram of the hashes' first digits says up to which bin a group's rows
+    can be among them; only the rows up to there, about k, are ranked, whatever k and the group's size.
     """
-    order = hash_order(seed, *(F.col(c) for c in keys))
-    rows = rows.withColumn("_h", order)
+    at = hash_order(seed, *(F.col(c) for c in keys))
     if k:
-        w = Window.partitionBy(*by).orderBy("_h", *keys) if by else Window.orderBy("_h", *keys)
-        rows = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+        bins = rows.select(*by, F.substring(at, 1, BIN_DIGITS).alias("_bin")).groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        cuts = bins.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < k)
+        cuts = cuts.groupBy(*by).agg(F.max("_bin").alias("_cut"))  # one row per group
+        if by:
+            cuts = sized(written(cuts.select(F.struct(*by).alias("_g"), "_cut"), "cuts"))
+            rows = rows.join(cuts, F.struct(*by).eqNullSafe(F.col("_g"))).drop("_g")
+        else:
+            rows = rows.join(F.broadcast(cuts))
+        rows = rows.where(F.substring(at, 1, BIN_DIGITS) <= F.col("_cut")).drop("_cut").withColumn("_h", at)
+        w = Window.partitionBy(*by).orderBy("_h", *keys)
+        rows = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r", "_h")
     if shuffled:
-        again = hash_order(seed + 1, *(F.col(c) for c in keys))
-        w = Window.partitionBy(*by).orderBy(again, *keys) if by else Window.orderBy(again, *keys)
+        w = Window.partitionBy(*by).orderBy(hash_order(seed + 1, *(F.col(c) for c in keys)), *keys)
         rows = rows.withColumn("position", F.row_number().over(w) - 1)
-    return rows.drop("_h")
+    return rows
 
 
 def mutated(seq: Column, key: Sequence[Column], seed: int, sub: float, ins: float, dele: float) -> Column:
@@ -57,7 +73,12 @@ def simulated_reads(refs: DataFrame, n_per_ref: int, seed: int, *, read_len: int
 
 
 def categorical(draws: DataFrame, classes: DataFrame, *, u: str = "u", item: str = "item", p: str = "p") -> DataFrame:
-    """Each draw's class by inverse cumulative probability; classes are few and go to every task."""
+    """Each draw's class by inverse cumulative probability.
+
+    The classes' cumulative table is one row that goes to every task: at most MAX_CLASSES, else an error.
+    """
+    if (n := classes.count()) > MAX_CLASSES:
+        raise ValueError(f"{n} classes; a draw takes {MAX_CLASSES} at most")
     table = classes.agg(F.sort_array(F.collect_list(F.struct(item, p))).alias("_cs"))
     total = F.aggregate("_cs", F.lit(0.0), lambda acc, c: acc + c[p])
     walk = F.aggregate(
@@ -78,4 +99,4 @@ def random_truth(genomes: DataFrame, pair: tuple[str, str], n_present: int, low:
     total = present.agg(F.sum("_w").alias("_t"))
     present = present.join(F.broadcast(total)).select("genome", (F.col("_w") / F.col("_t") * (1.0 - low)).alias("theta"))
     present = present.unionByName(genomes.where(F.col("genome") == pair[0]).select("genome", F.lit(low).alias("theta")))
-    return genomes.select("genome").join(F.broadcast(present), "genome", "left").withColumn("theta", F.coalesce("theta", F.lit(0.0)))
+    return genomes.select("genome").join(present, "genome", "left").withColumn("theta", F.coalesce("theta", F.lit(0.0)))

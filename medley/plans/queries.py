@@ -268,6 +268,11 @@ def unknown_hits(spark, d):
     return o.join(li, o["o_orderkey"] == li["l_orderkey"], "left_anti").select("o_orderkey")
 
 
+@query("unknown_pairs", with_sql(SIMS, COUNTS) + "SELECT src, dst, n FROM counts WHERE src IN (SELECT n_name FROM nation WHERE n_regionkey = 0) OR dst IN (SELECT n_name FROM nation WHERE n_regionkey = 0)")
+def unknown_pairs(spark, d):
+    return C.unknown_counts(sims_of(spark, d), t(spark, d, "nation").where("n_regionkey <> 0").select(F.col("n_name").alias("refseq")))
+
+
 @query("branch_mix", "SELECT user_id, CASE WHEN value > 50 THEN 'supplied' ELSE 'trained:' || event_type END AS model, count(*) AS n FROM events GROUP BY ALL")
 def branch_mix(spark, d):
     e = t(spark, d, "events")
@@ -302,11 +307,11 @@ def composite_key_join(spark, d):
 
 LETTERS, FOUR = string.ascii_lowercase, ("ACGT" * 7)[:26]
 FWD, REV, BUDGET = "ACGTRY", "GYANTC", 1
-DNA_SQL = f"translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{FOUR}')[1:300]"
+DNA_SQL = f"translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{FOUR}')"
 
 
 def dna(text: str = "text"):
-    return F.substring(F.translate(F.regexp_replace(F.lower(text), "[^a-z]", ""), LETTERS, FOUR), 1, 300)
+    return F.translate(F.regexp_replace(F.lower(text), "[^a-z]", ""), LETTERS, FOUR)
 
 
 def sequences(spark, d, table="benchmark", key="item_id"):
@@ -467,18 +472,17 @@ def random_truth(spark, d):
 
 # ---- mapping -------------------------------------------------------------------------------------------------------
 
-K, TOP = 11, 16
+K = 11
 MAP_SQL = f"""rk AS (SELECT DISTINCT refseq, unnest(list_transform(range(1, length(sequence) - {K - 2}), lambda i: substr(sequence, i, {K}))) AS kmer FROM seqs),
 qs AS (SELECT DISTINCT sequence FROM sim WHERE sequence <> ''),
 qk AS (SELECT DISTINCT sequence, unnest(CASE WHEN length(sequence) >= {K} THEN list_transform(range(1, length(sequence) - {K - 2}), lambda i: substr(sequence, i, {K})) ELSE [sequence] END) AS kmer FROM qs),
 vo AS (SELECT sequence, refseq, count(*) AS votes FROM qk JOIN rk USING (kmer) GROUP BY ALL),
-ca AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY votes DESC, refseq) AS r FROM vo) WHERE r <= {TOP}),
-sc AS (SELECT ca.sequence, ca.refseq, votes, 1 - levenshtein(ca.sequence, seqs.sequence) / greatest(length(ca.sequence), length(seqs.sequence))::DOUBLE AS identity FROM ca JOIN seqs USING (refseq)),
+sc AS (SELECT vo.sequence, vo.refseq, votes, 1 - levenshtein(vo.sequence, seqs.sequence) / greatest(length(vo.sequence), length(seqs.sequence))::DOUBLE AS identity FROM vo JOIN seqs USING (refseq)),
 hit AS (SELECT name AS query, sc.refseq AS hit, votes::DOUBLE AS score, identity, row_number() OVER (PARTITION BY name ORDER BY identity DESC, md5(concat_ws('|', name, sc.refseq))) AS r FROM sim JOIN sc USING (sequence))"""
 
 
 def _hits(spark, d):
-    return mapper.map_reads(_sim(spark, d).select(F.col("name").alias("query"), "sequence"), sequences(spark, d), mapper.MapperOptions(k=K, candidates=TOP))
+    return mapper.map_reads(_sim(spark, d).select(F.col("name").alias("query"), "sequence"), sequences(spark, d), mapper.MapperOptions(k=K))
 
 
 @query("mapped_reads", with_sql(SEQS, sim_sql(), MAP_SQL) + "SELECT query, hit, score, round(identity, 9) AS identity FROM hit WHERE r = 1")
@@ -527,12 +531,21 @@ def duplicate_ids(spark, d):
     return validation.duplicate_ids(t(spark, d, "part").select(F.col("p_name").alias("refseq")))
 
 
-@query("matrix_violations", with_sql(REFS, SIMS, COUNTS, MATRIX) + "SELECT src AS id, 'row does not sum to one' AS rule FROM (SELECT src, sum(CASE WHEN src = 'FRANCE' OR src = (SELECT min(n_name) FROM nation) THEN p * 0.5 ELSE p END) AS s FROM m GROUP BY src) WHERE abs(s - 1) > 1e-6 + 1e-8")
+@query(
+    "matrix_violations",
+    with_sql(REFS, SIMS, COUNTS, MATRIX, "x AS (SELECT src, CASE WHEN dst = 'KENYA' THEN 'elsewhere' ELSE dst END AS dst, CASE WHEN src = 'FRANCE' OR src = (SELECT min(n_name) FROM nation) THEN p * 0.5 WHEN src = 'PERU' THEN -p ELSE p END AS p FROM m WHERE src <> 'JAPAN')")
+    + """SELECT refseq AS id, 'row is missing' AS rule FROM refs WHERE refseq NOT IN (SELECT src FROM x)
+UNION ALL SELECT DISTINCT src, 'row is unknown' FROM x WHERE src NOT IN (SELECT refseq FROM refs) UNION ALL SELECT DISTINCT dst, 'column is unknown' FROM x WHERE dst NOT IN (SELECT refseq FROM refs)
+UNION ALL SELECT DISTINCT src, 'entry is repeated' FROM (SELECT src FROM x GROUP BY src, dst HAVING count(*) > 1) UNION ALL SELECT DISTINCT src, 'entry is no probability' FROM x WHERE p IS NULL OR isnan(p) OR isinf(p) OR p < 0
+UNION ALL SELECT src, 'row does not sum to one' FROM x GROUP BY src HAVING abs(sum(p) - 1) > 1e-6 + 1e-8""",
+)
 def matrix_violations(spark, d):
     refs = refs_of(spark, d)
     least = F.broadcast(refs.agg(F.min("refseq").alias("bad")))
-    m = matrix_of(spark, d).join(least).withColumn("p", F.when((F.col("src") == "FRANCE") | (F.col("src") == F.col("bad")), F.col("p") * 0.5).otherwise(F.col("p"))).drop("bad")
-    return validation.matrix_violations(m, refs)
+    m = matrix_of(spark, d).join(least).where("src <> 'JAPAN'")
+    half = (F.col("src") == "FRANCE") | (F.col("src") == F.col("bad"))
+    p = F.when(half, F.col("p") * 0.5).when(F.col("src") == "PERU", -F.col("p")).otherwise(F.col("p"))
+    return validation.matrix_violations(m.select("src", F.when(F.col("dst") == "KENYA", "elsewhere").otherwise(F.col("dst")).alias("dst"), p.alias("p")), refs)
 
 
 @query("presence_calls", "SELECT event_type, count(*) FILTER (value / 100 >= 0.5) AS present, count(*) AS n FROM events GROUP BY event_type")
