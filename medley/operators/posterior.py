@@ -1,8 +1,8 @@
 """Posterior of a sample's composition: MAP, variational and Hamiltonian fits, one sample per group.
 
 Model: theta ~ Dirichlet(alpha); an optional gate z_g, a relaxed Bernoulli in logit space, switches genomes
-off and theta_eff is z * theta made to sum to one; reads follow theta_eff T M' with M' = (1 - s) I + s M and
-s ~ LogNormal(0, 0.3); counts are Dirichlet-multinomial with concentration kappa * N, kappa ~ LogNormal(1.1, 1), or
+off and theta_eff is z * theta made to sum to one; reads follow theta_eff T M' with M' = (1 - s) I + s M, clamped
+at zero with rows made to sum to one, and s ~ LogNormal(0, 0.3); counts are Dirichlet-multinomial with concentration kappa * N, kappa ~ LogNormal(1.1, 1), or
 multinomial. Spark brings each sample's counts together and fits samples in parallel; the matrices are as small as the
 references and travel with the function.
 """
@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import written
 from .composition import posterior_summary
 
 S_SCALE, K_MEAN, K_SCALE = 0.3, 1.1, 1.0
@@ -44,6 +45,11 @@ class InferenceOptions:
             raise ValueError("nuts has no presence gate")
         if self.likelihood not in ("dirichlet_multinomial", "multinomial"):
             raise ValueError(f"unknown likelihood {self.likelihood}")
+        positive = {n: getattr(self, n) for n in ("alpha", "steps", "lr", "num_samples", "presence_temp")}
+        if bad := [n for n, v in positive.items() if not v > 0]:
+            raise ValueError(f"{', '.join(bad)}: over zero")
+        if not 0 < self.presence_prior < 1 or self.warmup < 0:
+            raise ValueError("presence_prior lies between zero and one, warmup is not negative")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -72,19 +78,38 @@ class Model:
     """Log density and gradient in u = (genome logits, log s, log kappa) and the gate's logits."""
 
     def __init__(self, t: np.ndarray, m: np.ndarray, y: np.ndarray, o: InferenceOptions):
-        self.t, self.m, self.y, self.o = t, m, np.round(y), o
+        self.t, self.y, self.o = t, np.round(y), o
+        self.m = m / m.sum(1, keepdims=True)
         self.n = self.y.sum()
         self.g = len(t)
 
+    def confused(self, r: np.ndarray, s: float):
+        """r times M' = (1 - s) I + s M, negative entries made zero and rows made to sum to one.
+
+        Also two functions of a derivative by the result: its derivative by r, and by s. Only diagonal entries can be negative,
+        where s is over 1 / (1 - m_ii); what the clamp adds there is what the row's sum exceeds one by.
+        """
+        if not self.o.use_mismapping:
+            return r, lambda d: d, lambda d: 0.0
+        diagonal = np.diag(self.m)
+        over = np.maximum(s * (1 - diagonal) - 1, 0)
+        clamped, q = over > 0, r / (1 + over)
+
+        def by_r(d: np.ndarray) -> np.ndarray:
+            return (s * (self.m @ d) + (1 - s + over) * d) / (1 + over)
+
+        def by_s(d: np.ndarray) -> float:
+            more = np.where(clamped, (1 - diagonal) * (d - by_r(d)), 0)
+            return float(q @ (self.m @ d - d + more))
+
+        return s * (q @ self.m) + (1 - s + over) * q, by_r, by_s
+
     def likelihood(self, theta: np.ndarray, z: np.ndarray, s: float, kappa: float):
         """Log likelihood and its derivatives by theta, z, s and kappa."""
         u = z * theta
         total = u.sum()
         e = u / total
-        mixed = (1 - s) * np.eye(len(self.m)) + s * self.m if self.o.use_mismapping else np.eye(len(self.m))
-        r_true = e @ self.t
-        r = np.maximum(r_true @ mixed, 0)
-        r = r / r.sum()
+        r, by_r, by_s = self.confused(e @ self.t, s)
         y, n = self.y, self.n
         if self.o.likelihood == "multinomial":
             safe = np.maximum(r, 1e-300)
@@ -95,10 +120,9 @@ class Model:
             value = lgamma(total_c) - lgamma(total_c + n) + float((log_gamma(c + y) - log_gamma(c)).sum())
             d = digamma(np.array([total_c]))[0] - digamma(np.array([total_c + n]))[0] + digamma(c + y) - digamma(c)
             g_r, g_k = kappa * n * d, float((d * n * r).sum())
-        g_e = self.t @ (mixed @ g_r)
+        g_e = self.t @ by_r(g_r)
         g_u = (g_e - g_e @ e) / total
-        g_s = float(r_true @ ((self.m - np.eye(len(self.m))) @ g_r)) if self.o.use_mismapping else 0.0
-        return value, g_u * z, g_u * theta, g_s, g_k
+        return value, g_u * z, g_u * theta, by_s(g_r), g_k
 
     def joint(self, x: np.ndarray, z: np.ndarray | None = None, jacobian: bool = True):
         """Log joint and gradient at x; the gradient by z if a gate is given."""
@@ -143,66 +167,76 @@ def _start(model: Model, theta0: np.ndarray) -> np.ndarray:
     return np.concatenate([logits - logits.mean(), [0.0, np.log(3.0)]])
 
 
+class Gate:
+    """The variational gate: a relaxed Bernoulli per genome in logit space, drawn anew in each step."""
+
+    def __init__(self, model: Model, o: InferenceOptions, rng: np.random.Generator):
+        self.model, self.t, self.rng = model, o.presence_temp, rng
+        self.prior = np.log(o.presence_prior / (1 - o.presence_prior))
+        self.location = np.full(model.g, 2.0)
+
+    def draw(self) -> np.ndarray:
+        u = self.rng.uniform(1e-9, 1 - 1e-9, self.model.g)
+        return (self.location + np.log(u) - np.log1p(-u)) / self.t
+
+    def presence(self) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.location))
+
+    def joint(self, x: np.ndarray, jacobian: bool):
+        """One draw's log joint less the gate's own density, and the derivatives by x and by the gate's locations."""
+        zl = self.draw()
+        z = np.clip(1 / (1 + np.exp(-zl)), 1e-9, 1 - 1e-9)
+        value, grad, d_z, _ = self.model.joint(x, z, jacobian)
+        p, p_v, _ = self.model.gate(zl, self.prior)
+        q, q_v, q_l = self.model.gate(zl, self.location)
+        return value + p - q, grad, (d_z * z * (1 - z) + p_v - q_v) / self.t - q_l
+
+
 def fit_map(model: Model, theta0: np.ndarray, o: InferenceOptions):
-    """Point estimate: theta, presence, loss per step."""
-    x, l = _start(model, theta0), np.full(model.g, 2.0)
+    """Point estimate: theta, presence, loss per step. The gate is drawn in each step, and applied as a hard one at the end."""
+    x, gate = _start(model, theta0), Gate(model, o, np.random.default_rng(o.seed))
     adam, losses = Adam(len(x) + model.g, o.lr), []
-    prior = np.log(o.presence_prior / (1 - o.presence_prior))
     for _ in range(o.steps):
         if o.presence:
-            z = 1 / (1 + np.exp(-l))
-            value, grad, d_z, _ = model.joint(x, z, jacobian=False)
-            # the gate's own density at its mean, as one Bernoulli per genome
-            value += float((z * prior - np.log1p(np.exp(prior)) - z * np.log(z) - (1 - z) * np.log1p(-z)).sum())
-            d_l = z * (1 - z) * (d_z + prior - l)
+            value, grad, d_l = gate.joint(x, False)
         else:
             value, grad, _, _ = model.joint(x, None, jacobian=False)
             d_l = np.zeros(model.g)
         move = adam.step(np.concatenate([grad, d_l]))
-        x, l = x + move[: len(x)], np.clip(l + move[len(x) :], -12, 12)
+        x, gate.location = x + move[: len(x)], np.clip(gate.location + move[len(x) :], -20, 20)
         losses.append(-value)
     _, _, _, theta = model.joint(x, None, jacobian=False)
-    presence = 1 / (1 + np.exp(-l)) if o.presence else np.ones(model.g)
-    theta = theta * (presence >= 0.5) + 1e-12 if o.presence else theta
+    presence = gate.presence() if o.presence else np.ones(model.g)
+    if o.presence:
+        theta = theta * (presence >= 0.5) + 1e-12
     return (theta / theta.sum())[None, :], presence, losses
 
 
 def fit_vi(model: Model, theta0: np.ndarray, o: InferenceOptions):
     """Mean-field normal with a relaxed-Bernoulli gate, by reparameterised gradients; draws of theta_eff."""
     rng = np.random.default_rng(o.seed)
-    mu = _start(model, theta0)
-    rho, l = np.full(len(mu), np.log(0.1)), np.full(model.g, 2.0)
-    prior = np.log(o.presence_prior / (1 - o.presence_prior))
-    adam, losses, d = Adam(2 * len(mu) + model.g, o.lr), [], len(mu)
-
-    def draw():
-        eps, u = rng.standard_normal(d), rng.uniform(1e-9, 1 - 1e-9, model.g)
-        return eps, (l + np.log(u) - np.log1p(-u)) / o.presence_temp
-
+    mu, gate = _start(model, theta0), Gate(model, o, rng)
+    d = len(mu)
+    rho = np.full(d, np.log(0.1))
+    adam, losses = Adam(2 * d + model.g, o.lr), []
     for _ in range(o.steps):
-        eps, zl = draw()
+        eps = rng.standard_normal(d)
         x = mu + np.exp(rho) * eps
-        d_l = np.zeros(model.g)
         if o.presence:
-            z = np.clip(1 / (1 + np.exp(-zl)), 1e-9, 1 - 1e-9)
-            value, grad, d_z, _ = model.joint(x, z)
-            p, p_v, _ = model.gate(zl, prior)
-            q, q_v, q_l = model.gate(zl, l)
-            value += p - q
-            d_l = (d_z * z * (1 - z) + p_v - q_v) / o.presence_temp - q_l
+            value, grad, d_l = gate.joint(x, True)
         else:
             value, grad, _, _ = model.joint(x)
+            d_l = np.zeros(model.g)
         losses.append(-(value + rho.sum()))
         move = adam.step(np.concatenate([grad, grad * eps * np.exp(rho) + 1, d_l]))
-        mu, rho, l = mu + move[:d], np.clip(rho + move[d : 2 * d], -12, 2), np.clip(l + move[2 * d :], -20, 20)
+        mu, rho, gate.location = mu + move[:d], np.clip(rho + move[d : 2 * d], -12, 2), np.clip(gate.location + move[2 * d :], -20, 20)
     draws = []
     for _ in range(o.num_samples):
-        eps, zl = draw()
-        x = mu + np.exp(rho) * eps
+        x = mu + np.exp(rho) * rng.standard_normal(d)
         theta = np.exp(x[: model.g] - x[: model.g].max())
-        theta = theta / theta.sum() * (1 / (1 + np.exp(-zl)) if o.presence else 1)
+        theta = theta / theta.sum() * (1 / (1 + np.exp(-gate.draw())) if o.presence else 1)
         draws.append(theta / theta.sum())
-    return np.array(draws), 1 / (1 + np.exp(-l)) if o.presence else np.ones(model.g), losses
+    return np.array(draws), gate.presence() if o.presence else np.ones(model.g), losses
 
 
 def fit_nuts(model: Model, theta0: np.ndarray, o: InferenceOptions):
@@ -288,24 +322,65 @@ def split_r_hat(draws: np.ndarray) -> np.ndarray:
         return np.sqrt(((half - 1) / half * within + between / half) / within)
 
 
-def infer(observed: DataFrame, translation: DataFrame, matrix: DataFrame, options: InferenceOptions = InferenceOptions()) -> tuple[DataFrame, DataFrame]:
+def effective_size(draws: np.ndarray) -> np.ndarray:
+    """Effective number of draws of each column: autocorrelations are summed in pairs while their sum is positive."""
+    n = len(draws)
+    x = draws - draws.mean(0)
+    out = np.full(draws.shape[1], float(n))
+    spectrum = np.fft.rfft(x, 2 * n, axis=0)
+    acov = np.fft.irfft(np.abs(spectrum) ** 2, axis=0)[:n] / n
+    for i in range(draws.shape[1]):
+        if acov[0, i] <= 0:
+            continue
+        rho = acov[: n - n % 2, i] / acov[0, i]
+        pairs = np.minimum.accumulate(rho[::2] + rho[1::2])
+        total = pairs[: int(np.argmax(pairs <= 0)) if (pairs <= 0).any() else len(pairs)].sum()
+        out[i] = min(float(n), n / max(2 * total - 1, 1 / n))
+    return out
+
+
+#: References of one set that the fits take: their matrix is dense in each task.
+MAX_REFERENCES = 4096
+
+
+@dataclass
+class Fits:
+    """composition: a row per sample and genome; loss: sample, step, loss; chains: sample, genome_id, r_hat, n_eff (null but for nuts)."""
+
+    composition: DataFrame
+    loss: DataFrame
+    chains: DataFrame
+
+
+def infer(observed: DataFrame, translation: DataFrame, matrix: DataFrame, options: InferenceOptions = InferenceOptions()) -> Fits:
     """Compositions and loss traces of samples.
 
     observed: sample, refseq, n; translation: genome, refseq, weight; matrix: src, dst, p. The matrices are those of one
-    reference set and come to the driver once; samples are fitted in parallel.
+    reference set; they are counted, then sent to every task once in sparse form. Samples are fitted in parallel.
+    For larger sets use composition.em, which has no such limit.
     """
-    t, m = translation.toPandas(), matrix.toPandas()
+    spark = observed.sparkSession
+    n_refs = translation.select("refseq").distinct().limit(MAX_REFERENCES + 1).count()
+    if n_refs > MAX_REFERENCES:
+        raise ValueError(f"more than {MAX_REFERENCES} references; use composition.em")
+    # at most the square of the checked number of references
+    known = translation.select("refseq").distinct()
+    m = matrix.join(known.toDF("src"), "src", "left_semi").join(known.toDF("dst"), "dst", "left_semi").select("src", "dst", "p").toPandas()
+    t = translation.select("genome", "refseq", "weight").toPandas()
     genomes, refs = sorted(t["genome"].unique()), sorted(t["refseq"].unique())
     gi, ri = {g: i for i, g in enumerate(genomes)}, {r: i for i, r in enumerate(refs)}
-    tm, mm = np.zeros((len(genomes), len(refs))), np.zeros((len(refs), len(refs)))
-    tm[t["genome"].map(gi), t["refseq"].map(ri)] = t["weight"]
-    m = m[m["src"].isin(ri) & m["dst"].isin(ri)]
-    mm[m["src"].map(ri), m["dst"].map(ri)] = m["p"]
+    cells = lambda df, a, ai, b, bi, v: (df[a].map(ai).to_numpy(np.int32), df[b].map(bi).to_numpy(np.int32), df[v].to_numpy(float))
+    shared = spark.sparkContext.broadcast((genomes, refs, cells(t, "genome", gi, "refseq", ri, "weight"), cells(m, "src", ri, "dst", ri, "p")))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        genomes, refs, t_cells, m_cells = shared.value
+        tm, mm = np.zeros((len(genomes), len(refs))), np.zeros((len(refs), len(refs)))
+        for dense, (i, j, v) in ((tm, t_cells), (mm, m_cells)):
+            dense[i, j] = v
+        places = {r: i for i, r in enumerate(refs)}
         y = np.zeros(len(refs))
-        known = pdf[pdf["refseq"].isin(ri)]
-        np.add.at(y, known["refseq"].map(ri).to_numpy(int), known["n"].to_numpy(float))
+        found = pdf[pdf["refseq"].isin(places)]
+        np.add.at(y, found["refseq"].map(places).to_numpy(int), found["n"].to_numpy(float))
         sample = pdf["sample"].iloc[0]
         if not y.sum():
             raise ValueError(f"sample {sample} has no mapped reads")
@@ -313,15 +388,16 @@ def infer(observed: DataFrame, translation: DataFrame, matrix: DataFrame, option
         share = np.bincount(owner, y / y.sum(), len(genomes))
         start = np.maximum(share, 1e-4)
         draws, presence, losses = FITS[options.mode](Model(tm, mm, y, options), start / start.sum(), options)
-        r_hat = split_r_hat(draws) if options.mode == "nuts" else np.full(len(genomes), np.nan)
-        rows = [(sample, g, k, float(d[i]), share[i], float(presence[i]), float(r_hat[i]), None, None) for k, d in enumerate(draws) for i, g in enumerate(genomes)]
-        rows += [(sample, None, None, None, None, None, None, k, float(v)) for k, v in enumerate(losses)]
-        return pd.DataFrame(rows, columns=["sample", "genome_id", "draw", "theta", "observed", "presence", "r_hat", "step", "loss"])
-
-    schema = "sample string, genome_id string, draw int, theta double, observed double, presence double, r_hat double, step int, loss double"
-    fits = observed.select("sample", "refseq", "n").groupBy("sample").applyInPandas(fit, schema).persist()
+        chain = options.mode == "nuts"
+        r_hat, n_eff = (split_r_hat(draws), effective_size(draws)) if chain else [np.full(len(genomes), np.nan)] * 2
+        rows = [(sample, g, k, float(d[i]), share[i], float(presence[i]), float(r_hat[i]), float(n_eff[i]), None, None) for k, d in enumerate(draws) for i, g in enumerate(genomes)]
+        rows += [(sample, None, None, None, None, None, None, None, k, float(v)) for k, v in enumerate(losses)]
+        return pd.DataFrame(rows, columns=["sample", "genome_id", "draw", "theta", "observed", "presence", "r_hat", "n_eff", "step", "loss"])
+
+    schema = "sample string, genome_id string, draw int, theta double, observed double, presence double, r_hat double, n_eff double, step int, loss double"
+    fits = written(observed.select("sample", "refseq", "n").groupBy("sample").applyInPandas(fit, schema), "fits")
     draws = fits.where("genome_id is not null")
-    facts = draws.groupBy("sample", "genome_id").agg(F.first("observed").alias("observed_rel_abundance"), F.first("presence").alias("presence_prob"))
+    facts = draws.groupBy("sample", "genome_id").agg(F.first("observed").alias("observed_rel_abundance"), F.first("presence").alias("presence_prob"), F.first("r_hat").alias("r_hat"), F.first("n_eff").alias("n_eff"))
     out = posterior_summary(draws, ["sample", "genome_id"]).join(facts, ["sample", "genome_id"])
     none = F.lit(None).cast("double")
     point = options.mode == "mle"
@@ -329,19 +405,24 @@ def infer(observed: DataFrame, translation: DataFrame, matrix: DataFrame, option
         "sample", "genome_id", "observed_rel_abundance", F.col("mean").alias("inferred_mean"), (none if point else F.col("lo")).alias("inferred_lo"),
         (none if point else F.col("hi")).alias("inferred_hi"), (F.col("presence_prob") if options.presence else none).alias("presence_prob"),
     )
-    return composition, fits.where("step is not null").select("sample", "step", "loss")
+    number = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    return Fits(composition, fits.where("step is not null").select("sample", "step", "loss"), facts.select("sample", "genome_id", number("r_hat"), number("n_eff")))
 
 
-def diagnostics(observed: DataFrame, mean_diagonal: DataFrame, options: InferenceOptions, loss: DataFrame, composition: DataFrame, min_identity: float | None = None, group_id: str | None = None, matrix_path: str | None = None) -> DataFrame:
-    """One row per sample: options, reads, mean diagonal of the matrix and the fit's own figures."""
+def diagnostics(observed: DataFrame, mean_diagonal: DataFrame, options: InferenceOptions, fits: Fits, min_identity: float | None = None, group_id: str | None = None, matrix_path: str | None = None) -> DataFrame:
+    """One row per sample: options, reads, mean diagonal of the matrix and the fit's own figures as JSON values."""
     n = observed.groupBy("sample").agg(F.sum("n").alias("n_reads"))
-    last = loss.groupBy("sample").agg(F.max_by("loss", "step").alias("final_loss"))
-    present = composition.groupBy("sample").agg(F.count_if(F.col("presence_prob") >= 0.5).alias("n_present"))
+    last = fits.loss.groupBy("sample").agg(F.max_by("loss", "step").alias("final_loss"))
+    present = fits.composition.groupBy("sample").agg(F.count_if(F.col("presence_prob") >= 0.5).alias("n_present"))
+    in_order = lambda c: F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("genome_id", c))), lambda x: x[c]))
+    chains = fits.chains.groupBy("sample").agg(F.max("r_hat").alias("max_r_hat"), in_order("r_hat").alias("r_hat"), in_order("n_eff").alias("n_eff"))
     lit = lambda v, kind: F.lit(v).cast(kind)
-    out = n.join(last, "sample").join(present, "sample").join(F.broadcast(mean_diagonal))
+    names = ("max_r_hat", "r_hat", "n_eff") if options.mode == "nuts" else ("final_loss", "n_present") if options.presence else ("final_loss",)
+    extra = F.create_map(*(x for c in names for x in (F.lit(c), F.col(c).cast("string"))))
+    out = n.join(last, "sample").join(present, "sample").join(chains, "sample").join(F.broadcast(mean_diagonal))  # one row
     return out.select(
         "sample", lit(options.mode, "string").alias("mode"), lit(options.likelihood, "string").alias("likelihood"), lit(options.use_mismapping, "boolean").alias("use_mismapping"),
         lit(min_identity, "double").alias("min_identity"), lit(options.presence, "boolean").alias("use_presence"), lit(options.presence_prior, "double").alias("presence_prior"),
         lit(options.presence_temp, "double").alias("presence_temp"), lit(group_id, "string").alias("mismapping_group_id"), lit(matrix_path, "string").alias("mismapping_matrix_path"),
-        "n_reads", "mean_diagonal", F.create_map(F.lit("final_loss"), F.col("final_loss").cast("string"), F.lit("n_present"), F.col("n_present").cast("string")).alias("extra"),
+        "n_reads", "mean_diagonal", extra.alias("extra"),
     )
