@@ -53,7 +53,7 @@ def matrix_groups(samples: DataFrame) -> DataFrame:
     out = samples.groupBy("matrix_key").agg(
         F.min("id").alias("representative"), F.min("reference_sha256").alias("reference_sha256"), F.min(F.split_part("identity", F.lit(":"), F.lit(1))).alias("model_scope"), members.alias("members")
     )
-    return out.withColumn("source", F.when(F.col("model_scope") == "supplied", "supplied").otherwise("simulated"))
+    return out.withColumn("source", F.when(F.col("model_scope") == "supplied", "supplied").otherwise("generated"))
 
 
 def provenance(groups: DataFrame, settings: Mapping[str, object]) -> DataFrame:
@@ -65,7 +65,7 @@ def provenance(groups: DataFrame, settings: Mapping[str, object]) -> DataFrame:
 def group_records(groups: DataFrame) -> DataFrame:
     """The index of matrix bundles."""
     ids = F.array_join(F.transform("members", lambda m: m["id"]), ",")
-    return groups.select("matrix_key", "reference_sha256", "model_scope", "source", F.concat(F.lit("mismapping/"), "matrix_key", F.lit("/mismapping_matrix")).alias("matrix_path"), ids.alias("samples"))
+    return groups.select("matrix_key", "reference_sha256", "model_scope", "source", F.concat(F.lit("mismapping/"), "matrix_key", F.lit("/mismapping_matrix.csv")).alias("matrix_path"), ids.alias("samples"))
 
 
 def group_members(groups: DataFrame) -> DataFrame:

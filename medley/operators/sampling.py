@@ -44,6 +44,23 @@ def reservoir(rows: DataFrame, k: int, seed: int, keys: Sequence[str], by: Seque
     return rows
 
 
+#: Records that are numbered together.
+RUN = 1 << 16
+
+
+def running_index(rows: DataFrame, group: str, file: str, ordinal: str, into: str) -> DataFrame:
+    """Rows with their place, from 0 on, among those of a group in order of file and ordinal.
+
+    Runs of RUN ordinals are numbered each for itself and moved by the counts of the runs before, so no task orders a whole group.
+    """
+    rows = rows.withColumn("_run", F.floor(F.col(ordinal) / RUN))
+    counts = rows.groupBy(group, file, "_run").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy(file, "_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sized(written(counts.select(group, file, "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "runs"))
+    within = F.row_number().over(Window.partitionBy(group, file, "_run").orderBy(ordinal)) - 1
+    return rows.withColumn("_at", within).join(starts, [group, file, "_run"]).withColumn(into, F.col("_start") + F.col("_at")).drop("_run", "_at", "_start")
+
+
 def mutated(seq: Column, key: Sequence[Column], seed: int, sub: float, ins: float, dele: float) -> Column:
     """A sequence under a flat error model: per base a deletion or else a substitution by another base, then a geometric
     number of inserted bases after a base that stays."""

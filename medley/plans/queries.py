@@ -607,7 +607,7 @@ def matrix_keys(spark, d):
 @query(
     "group_records",
     with_sql(KEYED)
-    + "SELECT matrix_key, min(reference_sha256) AS reference_sha256, min(split_part(identity, ':', 1)) AS model_scope, CASE WHEN min(split_part(identity, ':', 1)) = 'supplied' THEN 'supplied' ELSE 'simulated' END AS source, 'mismapping/' || matrix_key || '/mismapping_matrix' AS matrix_path, string_agg(id, ',' ORDER BY id) AS samples FROM k GROUP BY matrix_key",
+    + "SELECT matrix_key, min(reference_sha256) AS reference_sha256, min(split_part(identity, ':', 1)) AS model_scope, CASE WHEN min(split_part(identity, ':', 1)) = 'supplied' THEN 'supplied' ELSE 'generated' END AS source, 'mismapping/' || matrix_key || '/mismapping_matrix.csv' AS matrix_path, string_agg(id, ',' ORDER BY id) AS samples FROM k GROUP BY matrix_key",
 )
 def group_records(spark, d):
     return provenance.group_records(provenance.matrix_groups(_keyed(spark, d)))

@@ -1,23 +1,28 @@
 """A whole run: amplicons, simulation, mapping, confusion matrix, observed counts, composition.
 
-Samples that share a matrix key share one matrix: groups are formed before anything is simulated.
+Samples that share a matrix key share one matrix: groups are formed from the content of their references and the
+settings before anything is simulated, and each group is simulated and mapped once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import sized, written
 from ..functions.sequence import trimmed_read
 from ..operators import composition as C
 from ..operators import provenance as V
 from ..operators.database import amplified, reference_index
-from ..operators.mapper import map_reads, usable_hits
+from ..operators.mapper import ReferenceIndex, cluster_references, map_reads, usable_hits
 from ..operators.posterior import diagnostics, infer
-from ..operators.sampling import reservoir, simulated_reads
+from ..operators.sampling import reservoir, running_index, simulated_reads
 from ..operators.validation import matrix_violations, require, sample_violations
+from ..sources import tables
+from ..sources.sequences import register
 from .options import Options
 
 
@@ -27,47 +32,60 @@ class Result:
     loss: DataFrame
     diagnostics: DataFrame
     matrix: DataFrame
+    #: src, dst, n of simulated reads that are left out of the matrix, as their source or hit is no reference.
+    unknown: DataFrame
     translation: DataFrame
     index: DataFrame
 
 
 def prepared_reads(reads: DataFrame, o: Options) -> DataFrame:
-    """sample, query, sequence: at most so many reads per sample, trimmed to the amplicon, empty ones left out, renamed."""
+    """sample, query, sequence: at most so many reads per sample, trimmed to the amplicon, empty ones left out.
+
+    The names get the running index of the reads that are left, in order of file and record.
+    """
     reads = reservoir(reads, o.obs_max_reads, o.seed, ["sample", "file_no", "ordinal"], ["sample"])
     if o.trim_primers:
         reads = reads.withColumn("sequence", trimmed_read(F.col("sequence"), o.fwd_primer, o.rev_primer, o.primer_mismatches))
-    reads = reads.where(F.length("sequence") > 0)
-    # file and record number make a name unique, without a global count
-    return reads.select("sample", F.concat_ws("_", "sample", "name", "file_no", "ordinal").alias("query"), "sequence")
+    reads = written(reads.where(F.length("sequence") > 0).select("sample", "file_no", "ordinal", "name", "sequence"), "reads")
+    numbered = running_index(reads, "sample", "file_no", "ordinal", into="at")
+    return numbered.select("sample", F.concat_ws("_", "name", "at").alias("read"), F.concat_ws("\t", "sample", F.concat_ws("_", "name", "at")).alias("query"), "sequence")
 
 
-def confusion_matrix(refs: DataFrame, o: Options) -> DataFrame:
-    """src, dst, p from reads simulated of every reference (refseq, sequence) and mapped back."""
+def simulated_hits(refs: DataFrame, index: ReferenceIndex, o: Options) -> DataFrame:
+    """Usable hits of reads that are simulated of every reference (refseq, sequence)."""
+    if o.sim_error_model != "flat":
+        raise ValueError("trained error models need their own trainer, which is not part of this engine; use flat, or supply a matrix")
     reads = simulated_reads(refs, o.sim_n_per_ref, o.seed, read_len=o.sim_read_len, sub=o.flat_sub_rate, ins=o.flat_ins_rate, dele=o.flat_del_rate)
-    hits = usable_hits(map_reads(reads.select(F.col("name").alias("query"), "sequence"), refs, o.mapper), o.min_identity)
-    return C.row_stochastic(C.confusion_counts(hits, refs), refs)
+    return usable_hits(map_reads(reads.select(F.col("name").alias("query"), "sequence"), index, o.mapper), o.min_identity)
+
+
+def build_matrix(refs: DataFrame, o: Options, index: ReferenceIndex | None = None) -> tuple[DataFrame, DataFrame]:
+    """The confusion matrix (src, dst, p) of references (refseq, sequence), and the counts of what it leaves out."""
+    hits = written(simulated_hits(refs, index or cluster_references(refs, o.mapper), o).select("query", "hit"), "simulated-hits")
+    return written(C.row_stochastic(C.confusion_counts(hits, refs), refs), "matrix"), C.unknown_counts(hits, refs)
 
 
-def compose(reads: DataFrame, references: DataFrame, o: Options = Options(), matrix: DataFrame | None = None) -> Result:
+def compose(reads: DataFrame, references: DataFrame, o: Options = Options(), matrix: DataFrame | None = None, group_id: str | None = None, matrix_path: str | None = None) -> Result:
     """Compositions of all samples of one reference set.
 
     reads: sample, file_no, ordinal, name, sequence; references: ordinal, header, sequence; matrix: a supplied src, dst, p.
     """
-    index = reference_index(references, o.fwd_primer, o.rev_primer, o.primer_mismatches).persist()
-    refs = amplified(index).persist()
+    index = written(reference_index(references, o.fwd_primer, o.rev_primer, o.primer_mismatches), "index")
+    refs = written(amplified(index), "amplicons")
+    clustered = cluster_references(refs, o.mapper)
     translation = C.translation_table(refs.select("refseq", "genome"))
     if matrix is None:
-        matrix = confusion_matrix(refs, o)
+        matrix, unknown = build_matrix(refs, o, clustered)
     else:
         require(matrix_violations(matrix, refs), "supplied matrix")
-    matrix = matrix.persist()
+        unknown = refs.sparkSession.createDataFrame([], "src string, dst string, n long")
     seqs = prepared_reads(reads, o)
-    hits = usable_hits(map_reads(seqs.select("query", "sequence"), refs, o.mapper), o.min_identity)
-    named = hits.join(seqs.select("query", "sample"), "query")
-    observed = C.observed_counts(named, refs, ["sample"])
-    composition, loss = infer(observed, translation, matrix, o.infer)
-    facts = diagnostics(observed, C.mean_diagonal(matrix, refs), o.infer, loss, composition, o.min_identity, None, o.mismapping_matrix)
-    return Result(composition, loss, facts, matrix, translation, index.drop("amplicon"))
+    hits = usable_hits(map_reads(seqs.select("query", "sequence"), clustered, o.mapper), o.min_identity)
+    named = hits.withColumn("sample", F.split_part("query", F.lit("\t"), F.lit(1)))
+    observed = written(C.observed_counts(named, refs, ["sample"]), "observed")
+    fits = infer(observed, translation, matrix, o.infer)
+    facts = diagnostics(observed, C.mean_diagonal(matrix, refs), o.infer, fits, o.min_identity, group_id, matrix_path or o.mismapping_matrix)
+    return Result(fits.composition, fits.loss, facts, matrix, unknown, translation, index)
 
 
 def matrix_plan(samples: DataFrame, amplicons: DataFrame, o: Options) -> DataFrame:
@@ -79,29 +97,88 @@ def matrix_plan(samples: DataFrame, amplicons: DataFrame, o: Options) -> DataFra
     return V.matrix_groups(keyed)
 
 
+def read_references(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """FASTA files as references (the path), ordinal, header, sequence."""
+    each = [spark.read.format("fasta").option("strict", "true").load(p).withColumn("references", F.lit(p)) for p in paths]
+    return reduce(DataFrame.unionByName, each)
+
+
 def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Options = Options()) -> None:
-    """Samples of a sheet to tables in out_dir, one matrix per group of samples that share references and settings."""
-    from ..sources.sequences import register
-    from ..sources.tables import read_matrix
+    """Samples of a sheet to out_dir, one matrix per group of samples that share references and settings.
 
+    Each group has a bundle in mismapping/<matrix key>, and groups.tsv lists them. Each sample has its CSV tables in
+    samples/sample=<id>. A trained error model is an error, as its trainer is not part of this engine.
+    """
+    if o.sim_error_model != "flat" and o.mismapping_matrix is None:
+        raise ValueError("trained error models need their own trainer, which is not part of this engine; use flat, or supply a matrix")
     register(spark)
-    sheet = samples.collect()  # a sample sheet, a few hundred rows
-    sets: dict[str, list] = {}
-    for s in sheet:
-        sets.setdefault(s["references"], []).append(s)
-    supplied = read_matrix(spark, o.mismapping_matrix) if o.mismapping_matrix else None
-    for i, (path, members) in enumerate(sorted(sets.items())):
-        references = spark.read.format("fasta").option("strict", "true").load(path)
-        reads = None
-        for s in members:
-            one = spark.read.format("fastq").load(",".join(s["reads"])).withColumn("sample", F.lit(s["id"]))
-            reads = one if reads is None else reads.unionByName(one)
-        result = compose(reads, references, o, supplied)
+    sheet = {s["id"]: s for s in samples.collect()}  # a sample sheet, a few hundred rows
+    references = read_references(spark, sorted({s["references"] for s in sheet.values()}))
+    cut = reference_index(references, o.fwd_primer, o.rev_primer, o.primer_mismatches, keep=["references"])
+    amplicons = cut.where("amplifiable").withColumnRenamed("amplicon", "sequence")
+    groups = written(matrix_plan(samples, amplicons, o), "groups")
+    found = groups.collect()
+    if lost := set(sheet) - {m["id"] for g in found for m in g["members"]}:
+        raise ValueError(f"no reference amplifies for samples {sorted(lost)}")
+    supplied = tables.read_matrix(spark, o.mismapping_matrix) if o.mismapping_matrix else None
+    papers = {r["matrix_key"]: r["provenance"] for r in V.provenance(groups, o.matrix_settings()).collect()}
+    for i, g in enumerate(found):
+        reads = [spark.read.format("fastq").load(",".join(sheet[m["id"]]["reads"])).withColumn("sample", F.lit(m["id"])) for m in g["members"]]
+        refs = references.where(F.col("references") == sheet[g["representative"]]["references"]).drop("references")
+        key, at = g["matrix_key"], f"mismapping/{g['matrix_key']}/mismapping_matrix.csv"
+        result = compose(reduce(DataFrame.unionByName, reads), refs, o, supplied, key, at)
+        write_bundle(result, f"{out_dir}/mismapping/{key}", papers[key], V.group_members(groups.where(F.col("matrix_key") == key)))
         mode = "overwrite" if i == 0 else "append"
-        result.composition.write.mode(mode).partitionBy("sample").parquet(f"{out_dir}/composition")
-        result.diagnostics.write.mode(mode).parquet(f"{out_dir}/diagnostics")
-        result.loss.write.mode(mode).parquet(f"{out_dir}/loss")
-        tagged = lambda df: df.withColumn("references", F.lit(path))
-        tagged(result.matrix).write.mode(mode).parquet(f"{out_dir}/matrix")
-        tagged(result.translation).write.mode(mode).parquet(f"{out_dir}/translation")
-        tagged(result.index).write.mode(mode).parquet(f"{out_dir}/index")
+        for name, df in (("inferred_composition", result.composition), ("inference_diagnostics", flat(result.diagnostics)), ("loss_trace", result.loss)):
+            df.write.mode(mode).partitionBy("sample").csv(f"{out_dir}/samples/{name}", header=True)
+    tables.write_tsv(V.group_records(groups), f"{out_dir}/mismapping/groups.tsv", "matrix_key")
+
+
+def flat(facts: DataFrame) -> DataFrame:
+    """Diagnostics with the fit's own figures as one JSON column, for text tables."""
+    return facts.withColumn("extra", F.to_json("extra"))
+
+
+def write_bundle(result: Result, folder: str, paper: str, members: DataFrame) -> None:
+    """A matrix with its provenance, its samples and the reference tables that it was made from."""
+    spark, refs = members.sparkSession, result.index.where("amplifiable")
+    tables.write_matrix(result.matrix, f"{folder}/mismapping_matrix.csv", refs.select(F.col("refseq").alias("dst")))
+    tables.write_tsv(members.select("sample_id", "platform"), f"{folder}/samples.tsv", "sample_id")
+    tables.write_text(spark, f"{folder}/provenance.json", paper + "\n")
+    tables.write_tsv(result.unknown, f"{folder}/unknown_hits.tsv", "src")
+    tables.write_reference(result.index, result.translation, f"{folder}/reference")
+
+
+def run_matrix(spark: SparkSession, references: str, out_dir: str, o: Options = Options()) -> None:
+    """The confusion matrix of a reference file alone, as CSV, with the reference tables."""
+    register(spark)
+    index = written(reference_index(read_references(spark, [references]), o.fwd_primer, o.rev_primer, o.primer_mismatches), "index")
+    refs = written(amplified(index), "amplicons")
+    matrix, unknown = build_matrix(refs, o)
+    tables.write_matrix(matrix, f"{out_dir}/mismapping_matrix.csv", refs.select(F.col("refseq").alias("dst")))
+    tables.write_tsv(unknown, f"{out_dir}/unknown_hits.tsv", "src")
+    tables.write_reference(index, C.translation_table(refs.select("refseq", "genome")), f"{out_dir}/reference")
+
+
+def run_hits(spark: SparkSession, reference: str, out_dir: str, *, observed: list[str], simulated: list[str] | None = None, o: Options = Options(), sample: str = "sample") -> None:
+    """The composition of one sample from hit tables that another mapper made; reference: a folder of write_reference."""
+    refs = written(tables.read_index(spark, reference).where("amplifiable"), "references")
+    if simulated:
+        hits = usable_hits(tables.read_hits(spark, simulated), o.min_identity)
+        matrix = written(C.row_stochastic(C.confusion_counts(hits, refs), refs), "matrix")
+    else:
+        matrix = written(tables.read_matrix(spark, o.mismapping_matrix), "matrix")
+        require(matrix_violations(matrix, refs), "supplied matrix")
+    tables.write_matrix(matrix, f"{out_dir}/mismapping_matrix.csv", refs.select(F.col("refseq").alias("dst")))
+    if not observed:
+        return
+    hits = usable_hits(tables.read_hits(spark, observed), o.min_identity).withColumn("sample", F.lit(sample))
+    counts = written(C.observed_counts(hits, refs, ["sample"]), "observed")
+    fits = infer(counts, C.translation_table(refs.select("refseq", "genome")), matrix, o.infer)
+    facts = diagnostics(counts, C.mean_diagonal(matrix, refs), o.infer, fits, o.min_identity, None, o.mismapping_matrix)
+    for name, df, order in (("inferred_composition", fits.composition, "genome_id"), ("inference_diagnostics", flat(facts), "sample"), ("loss_trace", fits.loss, "step")):
+        df.orderBy(order).coalesce(1).write.mode("overwrite").csv(f"{out_dir}/{name}", header=True)
+
+
+def with_inference(o: Options, **changes) -> Options:
+    return replace(o, infer=replace(o.infer, **changes))

@@ -45,7 +45,7 @@ def listed(paths: str) -> list[str]:
             if info.type == fs.FileType.NotFound:
                 raise FileNotFoundError(one)
             infos = system.get_file_info(fs.FileSelector(path)) if info.type == fs.FileType.Directory else [info]
-            found = [i.path for i in infos if i.is_file]
+            found = [i.path for i in infos if i.is_file and (len(infos) == 1 or not i.base_name.startswith(("_", ".")))]
         out += [prefix + f for f in found]
     return sorted(out)
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sequence import lineage
 from ..operators.composition import long, wide
 
 HITS = "query string, hit string, score string, identity string"
 SAMPLES = "id string, reads array<string>, platform string, references string, error_model string"
+# The comment lines of an amplicon taxonomy.
+AMPLICON_HEADER = "#cutoff: 0.00:0.08 0.80:0.35 0.95:0.05\n#name: refdb\n#levels: Kingdom Genome Copy"
 GENOMES = "entry int, id string, taxonomy string, fasta string"
 
 
-def read_hits(spark: SparkSession, path: str) -> DataFrame:
+def read_hits(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A hit table: tab-separated, '#' comments; identity stays text, so that unreadable ones can be judged."""
     raw = spark.read.csv(path, sep="\t", comment="#", quote="", schema=HITS)
     return raw.where("hit is not null and hit <> ''").select("query", "hit", F.expr("try_cast(score AS double)").alias("score"), "identity")
@@ -27,15 +32,80 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     return long(raw, "src", "dst", "p").withColumn("p", F.expr("try_cast(p AS double)"))
 
 
-def write_matrix(matrix: DataFrame, path: str, row: str = "src", column: str = "dst", value: str = "p") -> None:
-    """A long matrix as CSV with an index column; columns and rows in order."""
-    wide(matrix, row, column, value).orderBy(row).coalesce(1).write.csv(path, header=True, mode="overwrite")
+def write_matrix(matrix: DataFrame, path: str, ids: DataFrame | None = None, row: str = "src", column: str = "dst", value: str = "p") -> None:
+    """A long matrix as CSV with an index column; columns and rows in order.
+
+    ids (the column's name) has a column for each of its values, in order, also for those without an entry. A wide file has
+    a column per reference, so this is for matrices of a few thousand.
+    """
+    names = matrix.select(column) if ids is None else ids.select(column).unionByName(matrix.select(column))
+    columns = sorted(r[0] for r in names.distinct().collect())
+    wide(matrix, row, column, value, columns).orderBy(row).coalesce(1).write.csv(path, header=True, mode="overwrite")
 
 
 def read_models(spark: SparkSession, path: str) -> DataFrame:
-    """model_id, inference, aic (null where blank) and the row's place."""
+    """model_id, inference, aic (null where blank) and the row's place: its file, split and record."""
     raw = spark.read.csv(path, header=True)
-    return raw.select("model_id", "inference", F.expr("try_cast(aic AS double)").alias("aic")).withColumn("ordinal", F.monotonically_increasing_id())
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("record"))
+    return raw.select("model_id", "inference", F.expr("try_cast(aic AS double)").alias("aic"), place.alias("ordinal"))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as one file: written under another name, then moved over the old one."""
+    fs, part, final = _file_system(spark, path)
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    _moved(fs, [(part, final)])
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    final = place(path)
+    return final.getFileSystem(spark._jsc.hadoopConfiguration()), place(final.getParent(), f".{uuid.uuid4().hex}.part"), final
+
+
+def _moved(fs, pairs) -> None:
+    for part, final in pairs:
+        fs.delete(final, True)
+        if not fs.rename(part, final):
+            raise OSError(f"{part} could not be moved to {final}")
+
+
+def write_database(rows: DataFrame, header: str, prefix: str) -> tuple[str, str]:
+    """A reference set (refseq, sequence, lineage) as prefix.fasta and prefix.tax, both or none.
+
+    Rows are in order of entry and ordinal if there are such columns, else of refseq. Both are written under other names first;
+    if either fails, neither is left.
+    """
+    spark = rows.sparkSession
+    order = [c for c in ("entry", "ordinal") if c in rows.columns] or ["refseq"]
+    fasta, tax = f"{prefix}.fasta", f"{prefix}.tax"
+    fs, fasta_part, fasta_final = _file_system(spark, fasta)
+    _, tax_part, tax_final = _file_system(spark, tax)
+    try:
+        write_fasta(rows, fasta_part.toString(), order=order)
+        write_taxonomy(rows, tax_part.toString(), header, order=order)
+        _moved(fs, [(fasta_part, fasta_final), (tax_part, tax_final)])
+    finally:
+        fs.delete(fasta_part, True)
+        fs.delete(tax_part, True)
+    return fasta, tax
+
+
+def write_reference(index: DataFrame, translation: DataFrame, folder: str) -> None:
+    """The reference tables of an index: amplicons.fasta, amplicons.tax, translation_table.csv, refseq_index.csv."""
+    cut = index.where("amplifiable").select("ordinal", "refseq", F.col("amplicon").alias("sequence"), lineage(F.col("refseq")).alias("lineage"))
+    write_fasta(cut, f"{folder}/amplicons.fasta", order=["ordinal"], mode="overwrite")
+    write_taxonomy(cut, f"{folder}/amplicons.tax", AMPLICON_HEADER, order=["ordinal"], mode="overwrite")
+    write_matrix(translation, f"{folder}/translation_table.csv", cut.select("refseq"), "genome", "refseq", "weight")
+    rows = index.select("refseq", "genome", "amplicon_len", "amplifiable").orderBy("refseq").coalesce(1)
+    rows.write.csv(f"{folder}/refseq_index.csv", header=True, mode="overwrite")
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """refseq, genome, amplicon_len, amplifiable of a folder that write_reference made."""
+    return spark.read.csv(f"{folder}/refseq_index.csv", header=True, schema="refseq string, genome string, amplicon_len int, amplifiable boolean")
 
 
 def read_samples(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
@@ -75,10 +145,10 @@ def read_genomes(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, GENOMES)
 
 
-def write_fasta(rows: DataFrame, path: str, name: str = "refseq", sequence: str = "sequence", order: str | None = None) -> None:
-    """Records of two lines each; ordered, if an order is given."""
-    rows = rows.orderBy(order) if order else rows
-    rows.select(F.format_string(">%s\n%s", name, sequence)).write.text(path)
+def write_fasta(rows: DataFrame, path: str, name: str = "refseq", sequence: str = "sequence", order: Sequence[str] | None = None, mode: str = "error") -> None:
+    """Records of two lines each; ordered over all part files, if an order is given."""
+    rows = rows.orderBy(*order) if order else rows
+    rows.select(F.format_string(">%s\n%s", name, sequence)).write.mode(mode).text(path)
 
 
 def write_fastq(rows: DataFrame, path: str) -> None:
@@ -86,16 +156,17 @@ def write_fastq(rows: DataFrame, path: str) -> None:
     rows.select(F.format_string("@%s\n%s\n+\n%s", "name", "sequence", "quality")).write.option("compression", "gzip").text(path)
 
 
-def write_taxonomy(rows: DataFrame, path: str, header: str) -> None:
-    """Comment lines, then id and lineage; one file, as the header has to come first."""
-    body = rows.select(F.lit(1).alias("o"), "refseq", F.concat_ws("\t", "refseq", "lineage").alias("value"))
-    top = rows.sparkSession.createDataFrame([(0, "", header)], "o int, refseq string, value string")
-    top.unionByName(body).repartition(1).sortWithinPartitions("o", "refseq").select("value").write.text(path)
+def write_taxonomy(rows: DataFrame, path: str, header: str, order: Sequence[str] = ("refseq",), mode: str = "error") -> None:
+    """Comment lines, then id and lineage, ordered over all part files; the comments come first."""
+    body = rows.select(F.lit(1).alias("o"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(order)), F.concat_ws("\t", "refseq", "lineage").alias("value"))
+    top = rows.sparkSession.createDataFrame([(0, header)], "o int, value string")
+    keys = [f"k{i}" for i in range(len(order))]
+    top.unionByName(body, allowMissingColumns=True).orderBy("o", *keys).select("value").write.mode(mode).text(path)
 
 
 def write_tsv(rows: DataFrame, path: str, order: str) -> None:
     """One tab-separated file with a header."""
-    rows.orderBy(order).coalesce(1).write.csv(path, sep="\t", header=True)
+    rows.orderBy(order).coalesce(1).write.csv(path, sep="\t", header=True, mode="overwrite")
 
 
 def model_config(names: DataFrame, column: str = "components") -> DataFrame:

@@ -1,7 +1,10 @@
 """Sequence functions, sources, sinks and a whole run with planted truth."""
 
 import gzip
+import hashlib
+import json
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -9,14 +12,16 @@ from pyspark.sql import functions as F
 
 from medley.functions import sequence as S
 from medley.operators import composition as C
-from medley.operators import mapper, sampling, validation
+from medley.operators import mapper, provenance, sampling, validation
 from medley.operators.database import genome_database
 from medley.operators.posterior import InferenceOptions
 from medley.plans.options import Options
+from medley.__main__ import main, options, parser
+from medley.plans import experiments
 from medley.plans.run import compose, matrix_plan, run_samples
 from medley.sources import tables
 from medley.sources.sequences import fasta_records, fastq_records, register
-from medley.streaming.counts import running_counts
+from medley.streaming.counts import running_counts, windowed_counts
 
 SMALL = Options(fwd_primer="ACGTAC", rev_primer="GGATCC", primer_mismatches=0, sim_n_per_ref=40, mapper=mapper.MapperOptions(k=9), infer=InferenceOptions(mode="mle", presence=False, steps=800))
 
@@ -75,6 +80,18 @@ def test_em_recovers_planted_composition(spark):
     obs = spark.createDataFrame([(s, f"r{j}", int(round(1e6 * (theta @ a)[j]))) for s in "xy" for j in range(4)], "sample string, refseq string, n long")
     got = {(r.sample, r.genome): r.theta for r in C.em(obs, matrix, 400, ["sample"]).collect()}
     assert all(abs(got[s, f"g{i}"] - theta[i]) < 2e-3 for s in "xy" for i in range(3))
+    few, same = ({(r.sample, r.genome): r.theta for r in C.em(obs, matrix, 7, ["sample"], packed=n).collect()} for n in (100, 0))
+    assert few.keys() == same.keys() and all(abs(few[k] - same[k]) < 1e-12 for k in few)
+    one = {r.genome: r.theta for r in C.em(obs.where("sample = 'x'").drop("sample"), matrix, 7, packed=0).collect()}
+    assert all(abs(one[g] - few["x", g]) < 1e-12 for g in one)
+
+
+def test_bootstrap_replicates(spark):
+    obs = spark.createDataFrame([("s", "a", 4), ("s", "b", 900), ("s", "c", 0)], "sample string, refseq string, n long")
+    rows = C.replicates(obs, 400, 3, ["sample"]).toPandas()
+    stats = rows.groupby("refseq")["n"].agg(["mean", "var"])
+    assert abs(stats["mean"]["a"] - 4) < 0.5 and 3 < stats["var"]["a"] < 5.2
+    assert abs(stats["mean"]["b"] - 900) < 6 and 700 < stats["var"]["b"] < 1150 and stats["mean"]["c"] == 0
 
 
 def test_simulation_rates(spark):
@@ -93,12 +110,26 @@ def test_simulation_rates(spark):
 def test_reservoir_is_uniform_and_stable(spark):
     rows = spark.range(20).withColumnRenamed("id", "k")
     hits = np.zeros(20)
-    for seed in range(60):
+    for seed in range(16):
         for r in sampling.reservoir(rows, 5, seed, ["k"]).collect():
             hits[r.k] += 1
-    assert hits.sum() == 300 and hits.min() > 3
+    assert hits.sum() == 80 and hits.min() > 0
     a, b = (sorted(r.k for r in sampling.reservoir(rows.repartition(n), 5, 3, ["k"]).collect()) for n in (1, 7))
     assert a == b and sampling.reservoir(rows, 0, 3, ["k"]).count() == 20
+    many = spark.range(30_000).selectExpr("id as k", "if(id % 10 = 0, null, 'x') as g")
+    want = {g: sorted((hashlib.md5(f"3|{k}".encode()).hexdigest(), k) for k in range(30_000) if (k % 10 == 0) == (g is None))[:5000] for g in (None, "x")}
+    got = sampling.reservoir(many, 5000, 3, ["k"], ["g"]).collect()
+    assert {g: {r.k for r in got if r.g == g} for g in want} == {g: {k for _, k in v} for g, v in want.items()}
+    assert "SinglePartition" not in sampling.reservoir(many, 5000, 3, ["k"], ["g"])._jdf.queryExecution().toString()
+    assert sampling.reservoir(rows.limit(0), 5, 3, ["k"]).count() == 0 == sampling.reservoir(many.limit(0), 5, 3, ["k"], ["g"]).count()
+
+
+def test_running_index(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "RUN", 7)
+    rows = spark.createDataFrame([(s, f, i) for s in "ab" for f in (0, 1) for i in range(30) if (i + f) % 3], "sample string, file_no int, ordinal long")
+    out = sampling.running_index(rows.repartition(5), "sample", "file_no", "ordinal", "at").collect()
+    for s in "ab":
+        assert [r["at"] for r in sorted(out, key=lambda r: (r.file_no, r.ordinal)) if r["sample"] == s] == list(range(40))
 
 
 def test_records_lenient_and_strict():
@@ -151,19 +182,48 @@ def test_genome_database(spark):
         genome_database(genomes.withColumn("taxonomy", F.lit("a;;b")), records)
 
 
+def test_genome_list_and_database_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.fa").write_text(">x\nAC\n>y\nGT\n")
+    with gzip.open(tmp_path / "b.fa.gz", "wt") as f:
+        f.write(">x\nTT\n")
+    (tmp_path / "g.yml").write_text("genomes:\n- {id: B, taxonomy: Bacteria;Genus, fasta: a.fa}\n- {id: A, taxonomy: Bacteria; Genus ;Species, fasta: b.fa.gz}\n".replace("Bacteria; Genus ;Species", '"Bacteria; Genus ;Species"'))
+    main(["database", "--genomes", f"{tmp_path}/g.yml", "--prefix", f"{tmp_path}/db/set"], spark)
+    text = lambda p: "".join(f.read_text() for f in sorted(p.glob("part-*")))
+    assert text(tmp_path / "db/set.fasta") == ">B|0|x\nAC\n>B|1|y\nGT\n>A|0|x\nTT\n"
+    assert text(tmp_path / "db/set.tax").splitlines()[2:] == ["#levels: Taxonomy_1 Taxonomy_2 Taxonomy_3 Subspecies", "B|0|x\tBacteria;Genus;unclassified;B", "B|1|y\tBacteria;Genus;unclassified;B", "A|0|x\tBacteria;Genus;Species;A"]
+    monkeypatch.setattr(tables, "write_taxonomy", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        main(["database", "--genomes", f"{tmp_path}/g.yml", "--prefix", f"{tmp_path}/db/other"], spark)
+    assert sorted(f.name for f in (tmp_path / "db").iterdir() if not f.name.endswith(".crc")) == ["set.fasta", "set.tax"]
+    for bad in ("genomes: []", "- x", "genomes:\n- 3"):
+        (tmp_path / "g.yml").write_text(bad)
+        with pytest.raises(ValueError):
+            tables.read_genomes(spark, f"{tmp_path}/g.yml")
+
+
 def test_matrix_rules(spark):
     refs = spark.createDataFrame([("a",), ("b",)], "refseq string")
     rules = lambda rows: sorted((r.id, r.rule) for r in validation.matrix_violations(spark.createDataFrame(rows, "src string, dst string, p double"), refs).collect())
     assert rules([("a", "a", 1.0), ("b", "b", 1.0)]) == []
+    assert rules([("a", "b", 1.0), ("b", "b", 1.0)]) == []  # a is never hit
     assert ("a", "row does not sum to one") in rules([("a", "a", 0.9), ("b", "b", 1.0)])
     assert ("c", "column is unknown") in rules([("a", "a", 0.5), ("a", "c", 0.5), ("b", "b", 1.0)])
     assert ("b", "entry is no probability") in rules([("a", "a", 1.0), ("b", "b", 2.0), ("b", "a", -1.0)])
 
 
-def fixture(spark, tmp_path):
-    """Two genomes of two copies, 0.7 and 0.3, reads with one percent of errors, primers included."""
+def test_a_matrix_makes_the_round_trip(spark, tmp_path):
+    refs = spark.createDataFrame([("a",), ("b",), ("c",)], "refseq string")
+    m = spark.createDataFrame([("a", "b", 1.0), ("b", "b", 1.0), ("c", "a", 1.0)], "src string, dst string, p double")
+    tables.write_matrix(m, f"{tmp_path}/m", refs.toDF("dst"))
+    back = tables.read_matrix(spark, f"{tmp_path}/m")
+    assert validation.matrix_violations(back, refs).isEmpty()
+    assert {(r.src, r.dst) for r in back.where("p > 0").collect()} == {("a", "b"), ("b", "b"), ("c", "a")} and back.count() == 9
+
+
+def fixture(spark, tmp_path, n=400, name="reads", seed=42, present=("g1", "g2")):
+    """Two genomes of two copies, 0.7 and 0.3, reads with one percent of errors, primers included; a third one is absent."""
     r = random.Random(42)
-    base = "".join(r.choice("ACGT") for _ in range(120))
+    base = "".join(r.choice("ACGT") for _ in range(230))
     rc = S.reverse_complement_text(SMALL.rev_primer)
 
     def changed(s, n):
@@ -172,27 +232,158 @@ def fixture(spark, tmp_path):
             s[i] = r.choice([b for b in "ACGT" if b != s[i]])
         return "".join(s)
 
-    refs = {f"{g}|{c}|x": changed(base, 6) for g in ("g1", "g2") for c in (0, 1)}
+    refs = {f"{g}|{c}|x": changed(base, 6) for g in ("g1", "g2", "g3") for c in (0, 1)}
     (tmp_path / "refs.fasta").write_text("".join(f">{k}\n{SMALL.fwd_primer}{v}{rc}\n" for k, v in refs.items()))
-    with gzip.open(tmp_path / "reads.fastq.gz", "wt") as f:
-        for i in range(400):
-            ref = refs[f"{'g1' if r.random() < 0.7 else 'g2'}|{r.randrange(2)}|x"]
+    r = random.Random(seed)
+    with gzip.open(tmp_path / f"{name}.fastq.gz", "wt") as f:
+        for i in range(n):
+            ref = refs[f"{present[0] if r.random() < 0.7 else present[1]}|{r.randrange(2)}|x"]
             seq = SMALL.fwd_primer + "".join(r.choice("ACGT") if r.random() < 0.01 else b for b in ref) + rc
             f.write(f"@read{i}\n{seq}\n+\n{'I' * len(seq)}\n")
     return refs
 
 
-def test_whole_run(spark, tmp_path):
-    fixture(spark, tmp_path)
+def table(spark, path):
+    return spark.read.csv(str(path), header=True, inferSchema=True)
+
+
+def test_planted_composition_with_the_gate(spark, tmp_path):
+    """1,500 reads, the default variational fit with the gate."""
+    fixture(spark, tmp_path, 1500)
+    o = replace(SMALL, sim_n_per_ref=200, infer=InferenceOptions(steps=1500, num_samples=200))
     samples = spark.createDataFrame([("s1", [f"{tmp_path}/reads.fastq.gz"], "illumina", f"{tmp_path}/refs.fasta", None)], tables.SAMPLES)
-    run_samples(spark, samples, f"{tmp_path}/out", SMALL)
-    got = {r.genome_id: r for r in spark.read.parquet(f"{tmp_path}/out/composition").collect()}
-    assert abs(got["g1"].inferred_mean - 0.7) < 0.08 and abs(got["g1"].inferred_mean + got["g2"].inferred_mean - 1) < 1e-6
-    facts = spark.read.parquet(f"{tmp_path}/out/diagnostics").first()
-    assert facts.n_reads == 400 and facts.mean_diagonal > 0.9
-    matrix = spark.read.parquet(f"{tmp_path}/out/matrix")
-    refs = matrix.select(F.col("src").alias("refseq")).distinct()
-    assert validation.matrix_violations(matrix, refs).isEmpty()
+    run_samples(spark, samples, f"{tmp_path}/out", o)
+    got = {r.genome_id: r for r in table(spark, tmp_path / "out/samples/inferred_composition").collect()}
+    truth = {"g1": 0.7, "g2": 0.3, "g3": 0.0}
+    assert sum(abs(got[g].inferred_mean - t) for g, t in truth.items()) < 0.08
+    assert {g for g in got if got[g].presence_prob >= 0.5} == {"g1", "g2"}
+    assert all(got[g].inferred_lo <= got[g].inferred_mean <= got[g].inferred_hi for g in ("g1", "g2"))
+    facts = table(spark, tmp_path / "out/samples/inference_diagnostics").first()
+    assert facts.n_reads == 1500 and facts.mean_diagonal > 0.9 and "n_present" in facts.extra
+    assert table(spark, tmp_path / "out/samples/loss_trace").count() == 1500
+
+
+def test_samples_of_equal_references_share_a_matrix(spark, tmp_path):
+    fixture(spark, tmp_path)
+    fixture(spark, tmp_path, name="more", seed=7, present=("g2", "g3"))
+    (tmp_path / "copy.fasta").write_text((tmp_path / "refs.fasta").read_text())
+    (tmp_path / "other.fasta").write_text("".join((tmp_path / "refs.fasta").read_text().splitlines(True)[:8]))
+    rows = [("s2", "more", "copy"), ("s1", "reads", "refs"), ("s3", "reads", "other")]
+    (tmp_path / "s.yml").write_text("".join(f"- {{id: {i}, reads: {r}.fastq.gz, references: {f}.fasta, platform: illumina}}\n" for i, r, f in rows))
+    args = ["run", "--input", f"{tmp_path}/s.yml", "--outdir", f"{tmp_path}/out", "--mode", "mle", "--no-presence", "--steps", "600", "--sim-n-per-ref", "30", "--fwd-primer", SMALL.fwd_primer, "--rev-primer", SMALL.rev_primer, "--primer-mismatches", "0"]
+    main(args, spark)
+    groups = spark.read.csv(f"{tmp_path}/out/mismapping/groups.tsv", sep="\t", header=True).collect()
+    assert sorted(g.samples for g in groups) == ["s1,s2", "s3"] and {g.source for g in groups} == {"generated"}
+    got = {(r.sample, r.genome_id): r.inferred_mean for r in table(spark, tmp_path / "out/samples/inferred_composition").collect()}
+    assert abs(got["s1", "g1"] - 0.7) < 0.08 and abs(got["s2", "g2"] - 0.7) < 0.08 and got["s2", "g1"] < 0.05 and abs(got["s3", "g1"] - 0.7) < 0.08
+    for g in groups:
+        bundle = tmp_path / "out/mismapping" / g.matrix_key
+        paper = json.loads((bundle / "provenance.json").read_text())
+        assert paper["matrix_key"] == g.matrix_key and [m["id"] for m in paper["members"]] == g.samples.split(",") and paper["settings"]["sim_n_per_ref"] == "30"
+        assert sorted(r.sample_id for r in spark.read.csv(f"{bundle}/samples.tsv", sep="\t", header=True).collect()) == g.samples.split(",")
+        refs = tables.read_index(spark, f"{bundle}/reference").where("amplifiable")
+        assert validation.matrix_violations(tables.read_matrix(spark, f"{bundle}/mismapping_matrix.csv"), refs).isEmpty()
+        assert spark.read.format("fasta").load(f"{bundle}/reference/amplicons.fasta").count() == refs.count()
+    shared = next(g for g in groups if g.samples == "s1,s2")
+    # a matrix that the engine wrote can be given back to it
+    (tmp_path / "s.yml").write_text("- {id: s1, reads: reads.fastq.gz, references: refs.fasta}\n")
+    again = [*args, "--mismapping-matrix", f"{tmp_path}/out/mismapping/{shared.matrix_key}/mismapping_matrix.csv"]
+    again[4] = f"{tmp_path}/again"
+    main(again, spark)
+    assert spark.read.csv(f"{tmp_path}/again/mismapping/groups.tsv", sep="\t", header=True).first().source == "supplied"
+    same = {r.genome_id: r.inferred_mean for r in table(spark, tmp_path / "again/samples/inferred_composition").collect()}
+    assert all(abs(same[g] - got["s1", g]) < 1e-6 for g in same)
+    with pytest.raises(ValueError, match="trained"):
+        run_samples(spark, tables.read_samples(spark, f"{tmp_path}/s.yml"), f"{tmp_path}/x", replace(SMALL, sim_error_model="trained"))
+
+
+def test_hit_tables_to_a_composition(spark, tmp_path):
+    fixture(spark, tmp_path)
+    main(["matrix", "--references", f"{tmp_path}/refs.fasta", "--outdir", f"{tmp_path}/m", "--sim-n-per-ref", "5", "--fwd-primer", SMALL.fwd_primer, "--rev-primer", SMALL.rev_primer], spark)
+    refs = [f"g{g}|{c}|x" for g in (1, 2, 3) for c in (0, 1)]
+    (tmp_path / "sim.tsv").write_text("#c\n" + "".join(f"{r}:{i}\t{r if i < 8 else refs[0]}\t9\t0.99\n" for r in refs for i in range(10)) + "zz:1\tg1|0|x\t9\t0.99\n")
+    (tmp_path / "obs.tsv").write_text("".join(f"q{i}\t{refs[2 if i % 10 < 6 else 0]}\t9\t0.99\n" for i in range(500)) + "q\tg3|0|x\t1\t<bad\n")
+    fit = ["--reference-dir", f"{tmp_path}/m/reference", "--mode", "mle", "--no-presence", "--steps", "500", "--min-identity", "0.5"]
+    main(["hits", "--simulated", f"{tmp_path}/sim.tsv", "--observed", f"{tmp_path}/obs.tsv", "--outdir", f"{tmp_path}/o", "--sample-id", "s", *fit], spark)
+    got = {r.genome_id: r for r in table(spark, tmp_path / "o/inferred_composition").collect()}
+    assert got["g2"].inferred_mean > got["g2"].observed_rel_abundance == 0.6 and got["g1"]["sample"] == "s"
+    main(["hits", "--simulated", f"{tmp_path}/sim.tsv", "--build-mismapping", "--outdir", f"{tmp_path}/b", *fit], spark)
+    m = {(r.src, r.dst): r.p for r in tables.read_matrix(spark, f"{tmp_path}/b/mismapping_matrix.csv").collect()}
+    assert m["g2|0|x", "g1|0|x"] == 0.2 and not (tmp_path / "b/inferred_composition").exists()
+
+
+def test_command_line_rules():
+    base = ["hits", "--reference-dir", "r", "--outdir", "o"]
+    for bad in (
+        [], ["run"], [*base, "--observed", "x"], [*base, "--simulated", "a", "--mismapping-matrix", "b", "--observed", "x"], [*base, "--simulated", "a"],
+        [*base, "--mismapping-matrix", "b", "--build-mismapping"], ["run", "--input", "a", "--outdir", "o", "--flat-sub-rate", "1.5"],
+        ["run", "--input", "a", "--outdir", "o", "--mode", "nuts"], ["run", "--input", "a", "--outdir", "o", "--sim-n-per-ref", "0"], ["matrix", "--references", "a", "--outdir", "o", "--min-identity", "2"],
+    ):
+        with pytest.raises(SystemExit):
+            main(bad, spark=object())
+    assert options(parser().parse_args(["run", "--input", "a", "--outdir", "o"])) == Options()
+
+
+def test_experiment_grids(spark):
+    r = random.Random(1)
+    base = [r.choice("ACGT") for _ in range(60)]
+    refs = []
+    for g in range(4):
+        seq = list(base)
+        for i in r.sample(range(60), 1):
+            seq[i] = "ACGT"["ACGT".index(seq[i]) - 1]
+        refs.append((f"g{g}|0|x", f"g{g}", "".join(seq)))
+    refs = spark.createDataFrame(refs, "refseq string, genome string, sequence string")
+    o = replace(SMALL, sim_n_per_ref=20, infer=InferenceOptions(mode="vi", steps=400, num_samples=50))
+    truth = sampling.random_truth(refs.select("genome"), ("g0", "g1"), 3, 0.1, 5)
+    rows = experiments.presence_sweep(refs, truth.withColumn("sample", F.lit("0")), ("g0", "g1"), o, priors=(0.1,), temperatures=(1.0,), cutoffs=(0.01,), n_reads=300)
+    assert rows.count() == 3 and set(rows.columns) >= {"method", "prior", "temp", "replicate", "jaccard", "l1", "pair_low"}
+    summary, best = experiments.sweep_result(rows)
+    assert summary.count() == 3 and best.count() == 1 and best.first().l1 < 0.25
+    rates = experiments.error_rate_sensitivity(refs, truth, o, generators=(0.01,), candidates=(0.01, 0.15), n_reads=300).collect()
+    got = {x.candidate: x for x in rates}
+    assert set(got) == {None, "0.01", "0.15", "reseeded"} and got["0.01"].m_dist == 0 < got["0.15"].m_dist and got["0.01"].l1 < 0.4
+
+
+def test_mapper_scores_every_reference_that_can_win(spark):
+    r = random.Random(8)
+    base = [r.choice("ACGT") for _ in range(90)]
+    seqs = []
+    for _ in range(30):
+        s = list(base)
+        for i in r.sample(range(90), r.randrange(0, 4)):
+            s[i] = r.choice("ACGT")
+        seqs.append("".join(s))
+    refs = [(f"r{i:02d}", s) for i, s in enumerate([*seqs, *seqs[:5], "ACG"])]
+    reads = []
+    for i in range(120):
+        s = list(r.choice(seqs))
+        for j in r.sample(range(len(s)), r.randrange(0, 9)):
+            s[j] = r.choice(["", "A", "C", "GT"])
+        reads.append((f"q{i}", "".join(s)[r.randrange(3) :]))
+    reads += [("same1", seqs[0]), ("same2", seqs[0]), ("short", "ACG"), ("none", "T" * 40)]
+
+    def grams(s, k=7):
+        return {s[i : i + k] for i in range(len(s) - k + 1)} if len(s) >= k else {s}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    df = lambda rows, names: spark.createDataFrame(rows, names)
+    got = {x.query: x for x in mapper.map_reads(df(reads, "query string, sequence string"), df(refs, "refseq string, sequence string"), mapper.MapperOptions(k=7)).collect()}
+    for q, s in reads:
+        scored = [(1 - edits(s, t) / max(len(s), len(t)), n) for n, t in refs if grams(s) & grams(t)]
+        if not scored:
+            assert q not in got
+            continue
+        best = max(scored)[0]
+        tied = [n for v, n in scored if v == best]
+        assert got[q].identity == pytest.approx(best) and got[q].hit == min(tied, key=lambda n: hashlib.md5(f"{q}|{n}".encode()).hexdigest())
 
 
 def test_supplied_matrix_is_checked(spark, tmp_path):
@@ -210,6 +401,8 @@ def test_matrix_is_shared_by_equal_references(spark):
     samples = spark.createDataFrame([("s2", ["a"], "illumina", "x", None), ("s1", ["a"], "illumina", "y", None), ("s3", ["a"], "illumina", "z", None)], tables.SAMPLES)
     groups = {r.representative: [m.id for m in r.members] for r in matrix_plan(samples, amps, Options()).collect()}
     assert groups == {"s1": ["s1", "s2"], "s3": ["s3"]}
+    facts = provenance.provenance(matrix_plan(samples, amps, Options()), Options().matrix_settings()).collect()
+    assert sorted(len(json.loads(r.provenance)["members"]) for r in facts) == [1, 2]
     per = matrix_plan(samples, amps, Options(sim_error_model="trained"))
     assert per.count() == 3
     with pytest.raises(validation.Violation):
@@ -223,4 +416,11 @@ def test_streaming_counts(spark, tmp_path):
     q = running_counts(stream, refs).writeStream.outputMode("complete").format("memory").queryName("running").option("checkpointLocation", f"{tmp_path}/c").start()
     q.processAllAvailable()
     q.stop()
+    timed = spark.createDataFrame([("r1", "2024-01-01 00:00:10"), ("r1", "2024-01-01 00:00:50"), ("r1", "2024-01-01 00:01:10"), ("zz", "2024-01-01 00:01:10")], "hit string, at string")
+    timed.selectExpr("hit", "cast(at as timestamp) as at").write.parquet(f"{tmp_path}/timed")
+    timed = spark.readStream.schema("hit string, at timestamp").parquet(f"{tmp_path}/timed")
+    q = windowed_counts(timed, refs, "at", "1 minute", "10 seconds").writeStream.outputMode("complete").format("memory").queryName("windowed").option("checkpointLocation", f"{tmp_path}/w").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted((r.window.start.minute, r.n) for r in spark.table("windowed").collect()) == [(0, 2), (1, 1)]
     assert sorted((r.sample, r.hit, r.n) for r in spark.table("running").collect()) == [("s", "r1", 2), ("t", "r2", 1)]
