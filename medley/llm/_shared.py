@@ -2,53 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows of (id) tables that may be broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 500_000
+from ..functions.scratch import BROADCAST_ROWS, new_dir, shared_dir, sized, written
+
+__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "folders", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "table", "words_of", "worker_held", "written"]
 
 #: The six characters that separate words in every contract: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; set to a new one where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = new_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that is no longer read."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it has at most limit rows, else as it is (then the join shuffles).
-
-    df should be a written table: it is counted here.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder; none if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().toString() for f in fs.listStatus(where) if f.isDirectory()) if fs.exists(where) else []
 
 
 def bound(value: Column, body) -> Column:
@@ -63,9 +43,16 @@ def words_of(text: Column) -> Column:
 
 
 def open_fs(uri: str):
-    """(file system, path) of a URI such as file:/x, s3://b/x or hdfs://h/x."""
+    """(file system, path) of a URI such as file:/x, s3a://b/x, gs://b/x or hdfs://h/x.
+
+    Spark's connectors know object stores by other schemes than pyarrow does.
+    """
     from pyarrow import fs
 
+    for theirs, ours in (("s3a:", "s3:"), ("s3n:", "s3:"), ("abfss:", "abfs:")):
+        if uri.startswith(theirs):
+            uri = ours + uri[len(theirs) :]
+
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if uri.startswith("/"):
@@ -84,5 +71,13 @@ def put_file(uri: str, chunks) -> None:
     system.move(part, path)
 
 
+def worker_held(name: str, key: object, make):
+    """What make() gave for this key in this worker process: it outlives a task. One value is held for each name."""
+    held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker")).__dict__
+    if held.get(name, (None,))[0] != key:
+        held[name] = (key, make())
+    return held[name][1]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

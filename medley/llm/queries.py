@@ -69,11 +69,15 @@ def _quoted(text: str) -> str:
 def _secret_sql() -> str:
     parts = []
     for i, r in enumerate(secret_scan.RULES):
-        p = _quoted(r.pattern)
+        # a look behind and runs taken whole are said with the character before, which is no part of the span
+        behind = r.pattern.startswith("(?<![")
+        plain = r.pattern.replace("}+", "}")
+        p = _quoted("(^|[^" + plain[5:].replace("])", "])(", 1) + ")" if behind else plain)
+        lead, more = ("length(b[j+1])", f", regexp_extract_all(t, {p}, 1) AS b") if behind else ("0", "")
         parts.append(
             f"""SELECT doc_id, {i} AS rank, {_quoted(r.kind)} AS kind,
-  unnest(list_transform(range(len(m)), lambda j: {{'s': list_sum([length(x) FOR x IN p[1:j+1]])::BIGINT + coalesce(list_sum([length(x) FOR x IN m[1:j]]), 0)::BIGINT, 'n': length(m[j+1]), 'g': length(g[j+1])}})) AS f
-FROM (SELECT doc_id, string_split_regex(t, {p}) AS p, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {r.group}) AS g FROM d WHERE regexp_matches(t, {p}))"""
+  unnest(list_transform(range(len(m)), lambda j: {{'s': list_sum([length(x) FOR x IN p[1:j+1]])::BIGINT + coalesce(list_sum([length(x) FOR x IN m[1:j]]), 0)::BIGINT + {lead}, 'n': length(m[j+1]) - {lead}, 'g': length(g[j+1])}})) AS f
+FROM (SELECT doc_id, string_split_regex(t, {p}) AS p, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {r.group}) AS g{more} FROM d WHERE regexp_matches(t, {p}))"""
         )
     least = "CASE rank " + " ".join(f"WHEN {i} THEN {r.least}" for i, r in enumerate(secret_scan.RULES)) + " END"
     n = lambda kind: f"count(*) FILTER (WHERE kind = '{kind}')"

@@ -1,12 +1,12 @@
 """Secret scans over an incremental blob ledger (DataFrame functions only).
 
-Every version of every path is content-addressed by SHA-256. The ledger is a folder of Parquet tables:
-``versions`` (path, blob) of one scan, and ``scanned`` with a row per blob and scan: the rule versions that were run and
-their findings. A scan runs only the (blob, rule version) pairs that no earlier scan has in the ledger, each distinct
-blob once, and joins the findings back to all paths.
+Every version of every path is content-addressed by SHA-256. The ledger is a folder of Parquet tables: ``versions``
+(path, blob) of each scan, ``scanned`` with a row per blob and scan (the rule versions that were run), and ``findings``
+with a row per finding. A scan runs only the (blob, rule version) pairs that no earlier scan has in the ledger, each distinct
+blob once, and joins the findings back to all paths. compact() folds the history into one folder per table.
 
 Defined results: a null text counts as empty; a null path keeps its row; equal texts share one blob and so get equal
-findings; repeated rows stay repeated; an empty table gives an empty result. Offsets count code points, end exclusive.
+findings; repeated rows stay repeated; an empty table gives an empty result; long texts are scanned whole, in time linear in their length. Offsets count code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import bound, new_dir
+from ._shared import bound, folders, new_dir, removed, sized, written
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,8 @@ BASE = (
 )
 ADDED = (
     Rule("pem", 1, r"-----BEGIN\x20[A-Z\x20]{0,40}PRIVATE\x20KEY-----", 0, 1),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    # starts where a run of its characters starts, and takes runs whole: long runs stay linear
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 1),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     Rule("forge", 1, r"gh[opsu]_[A-Za-z0-9]{30,}", 0, 1),
 )
@@ -83,7 +84,10 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-SCANNED = f"blob string, rules array<string>, findings array<{SPAN}>"
+SCANNED = "blob string, rules array<string>"
+FINDINGS = f"blob string, f {SPAN}"
+#: Parts into which the paths of a blob are dealt where findings are too many to be sent to every task.
+SALTS = 16
 
 
 def scan(versions: DataFrame, ledger: str, *, path: str = "path", content: str = "content", rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -93,36 +97,58 @@ def scan(versions: DataFrame, ledger: str, *, path: str = "path", content: str =
     """
     spark = versions.sparkSession
     text = F.coalesce(F.col(content), F.lit(""))
-    scan_dir = new_dir(spark, "scan").rpartition("/")[2]
-    paths_at = f"{ledger}/versions/{scan_dir}"
+    name = new_dir(spark, "scan").rpartition("/")[2]
+    paths_at = f"{ledger}/versions/{name}"
     versions.select(F.col(path).alias("path"), F.sha2(text, 256).alias("blob")).write.parquet(paths_at)
     paths = spark.read.parquet(paths_at)
 
-    wanted = F.array(*(F.lit(r.label) for r in rules))
     # distinct blobs, less the rule versions that the ledger has for them
-    seen = _read(spark, f"{ledger}/scanned/*", SCANNED)
-    known = seen.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("done"))
-    todo = paths.groupBy("blob").agg(F.min("path").alias("path")).join(known, "blob", "left")
-    todo = todo.select("blob", "path", F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>"))).alias("need")).where(F.size("need") > 0)
-
-    # the text of one version of each such blob; a blob repeated under one path is taken once
-    source = versions.select(F.col(path).alias("_path"), text.alias("text")).withColumn("_blob", F.sha2("text", 256))
-    fetched = source.join(todo.hint("shuffle_hash"), (source["_blob"] == todo["blob"]) & source["_path"].eqNullSafe(todo["path"]))
-    spans = [F.when(F.array_contains("need", r.label), matches(F.col("text"), r, i)).otherwise(F.array().cast(f"array<{SPAN}>")) for i, r in enumerate(rules)]
-    scanned_at = f"{ledger}/scanned/{scan_dir}"
-    fetched.select("blob", F.col("need").alias("rules"), F.sort_array(F.concat(*spans)).alias("findings")).write.parquet(scanned_at)
-
     labels = [r.label for r in rules]
-    rank = {r.label: i for i, r in enumerate(rules)}
-    hits = _read(spark, f"{ledger}/scanned/*", SCANNED).where(F.size("findings") > 0)
-    hits = hits.select("blob", F.explode("findings").alias("f")).where(F.concat_ws("@", "f.kind", "f.version").isin(labels)).distinct()
-    order = F.create_map(*(x for k, v in rank.items() for x in (F.lit(k), F.lit(v))))
-    hits = hits.select("blob", F.struct("f.start", order[F.concat_ws("@", "f.kind", "f.version")].alias("rank"), "f.end", "f.kind", "f.version").alias("f"))
-    hits = hits.groupBy("blob").agg(F.sort_array(F.collect_list("f")).alias("findings"))
-    out = paths.join(hits, "blob", "left")
+    wanted = F.array(*(F.lit(x) for x in labels))
+    known = _read(spark, f"{ledger}/scanned/*", SCANNED).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("done"))
+    todo = paths.groupBy("blob").agg(F.min(F.xxhash64("path")).alias("at")).join(known, "blob", "left")
+    todo = todo.select("blob", "at", F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>"))).alias("need")).where(F.size("need") > 0)
+
+    # The text of one version of each such blob. Rows are dealt by blob and path, so a blob on many paths is not one task's; rows
+    # that repeat both lie together and are one then.
+    source = versions.select(text.alias("text"), F.xxhash64(path).alias("at")).withColumn("blob", F.sha2("text", 256))
+    fetched = source.join(todo.hint("shuffle_hash"), ["blob", "at"]).dropDuplicates(["blob", "at"])
+    spans = [F.when(F.array_contains("need", r.label), matches(F.col("text"), r, i)).otherwise(F.array().cast(f"array<{SPAN}>")) for i, r in enumerate(rules)]
+    found = written(fetched.select("blob", F.col("need").alias("rules"), F.concat(*spans).alias("findings")), "scan")
+    # findings first: a scan that ends between the two writes is done again
+    found.select("blob", F.explode("findings").alias("f")).write.parquet(f"{ledger}/findings/{name}")
+    found.select("blob", "rules").write.parquet(f"{ledger}/scanned/{name}")
+
+    # the findings of these rules, ranked as the rules are; a scan that was done again left equal rows
+    rank = F.create_map(*(x for i, label in enumerate(labels) for x in (F.lit(label), F.lit(i))))
+    label = F.concat_ws("@", "f.kind", "f.version")
+    hits = _read(spark, f"{ledger}/findings/*", FINDINGS).where(label.isin(labels))
+    hits = hits.select("blob", F.struct("f.start", rank[label].alias("rank"), "f.end", "f.kind", "f.version").alias("f"))
+    hits = written(hits.groupBy("blob").agg(F.sort_array(F.collect_set("f")).alias("findings")), "hits")
+    out = with_findings(paths, hits)
     return out.select("path", "blob", F.coalesce("findings", F.array().cast(f"array<{SPAN}>")).alias("findings"))
 
 
+def with_findings(paths: DataFrame, hits: DataFrame) -> DataFrame:
+    """paths with the findings of their blobs: broadcast if they are few, else dealt by blob and salt."""
+    if (small := sized(hits)) is not hits:
+        return paths.join(small, "blob", "left")
+    salted = paths.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)))
+    return salted.join(hits.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["blob", "salt"], "left")
+
+
+def compact(spark: SparkSession, ledger: str) -> None:
+    """Fold the ledger's history into one folder per table; the old folders go once the new one stands."""
+    done = F.array_sort(F.array_distinct(F.flatten(F.collect_list("rules")))).alias("rules")
+    folds = {"findings": (FINDINGS, lambda df: df.distinct()), "scanned": (SCANNED, lambda df: df.groupBy("blob").agg(done))}
+    for table, (schema, fold) in folds.items():
+        old = folders(spark, f"{ledger}/{table}")
+        if len(old) > 1:
+            fold(spark.read.schema(schema).parquet(*old)).write.parquet(f"{ledger}/{table}/{new_dir(spark, 'scan').rpartition('/')[2]}")
+            for path in old:
+                removed(spark, path)
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
