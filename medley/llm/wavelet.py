@@ -6,16 +6,14 @@ count of ones before each chunk. So a token, the count of an id in a prefix, and
 read one chunk per plane. A document directory maps documents to positions.
 
 Defined results: a null text counts as empty and holds the end id only; null ids sort first; rows with equal ids are
-ordered by text and all stay; an empty table gives an empty result. A text is encoded whole, however long.
+ordered by a hash of the text, then by the text, and all stay; an empty table gives an empty result. A text is encoded whole, however long.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
-import sys
-import types
 import zlib
 from array import array
 from bisect import bisect_right
@@ -28,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import new_dir, open_fs, put_file
+from ._shared import new_dir, open_fs, put_file, worker_held
 
 MAGIC = b"WAVELET1"
 CHUNK_BITS = 1 << 16
@@ -186,18 +184,22 @@ class Shard:
 # ---- tokens --------------------------------------------------------------------------------------------------------
 
 
-#: Texts of these characters are normalised by rule: blanks that separate, printable ASCII, and the letters of Latin-1, all
-#: of them in composed form, with one lower-case letter each.
-PLAIN = re.compile(r"[\n\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
-#: What the vocabulary's own split pattern finds in such a text.
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+").findall
+# The normaliser and the split of vocabularies that drop blanks and never join what stands on both sides of one.
+BLANK_FREE = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+)
 
 
-def byte_letters() -> dict[int, str]:
-    """The letters that stand for bytes above ASCII in byte-level vocabularies."""
-    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(kept)]
-    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
+def separable(tokenizer_path: str) -> bool:
+    """Whether a text's ids are those of its pieces between spaces and line feeds, one after the other."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        found = json.load(f)
+    added = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) and not set(t["content"]) & set(" \n") for t in found["added_tokens"])
+    return added and not found["truncation"] and not found["post_processor"] and (found["normalizer"], found["pre_tokenizer"]) == BLANK_FREE
 
 
 class Known(dict):
@@ -217,46 +219,20 @@ class Known(dict):
 
 
 def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
+    """Encodes a text to little-endian uint32 ids by the library.
+
+    Where the vocabulary drops blanks, the library gets the pieces between them, and what it gave for a short piece is
+    remembered; else it gets the whole text.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer, letters = Tokenizer.from_file(tokenizer_path), byte_letters()
-    tokenize = tokenizer.model.tokenize
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-
-    def of_part(part: str) -> list[int]:
-        return [t.id for t in tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(letters))]
-
-    part = Known(of_part).__getitem__
-
-    def of_piece(piece: str) -> list[int]:
-        return tokenizer.encode(piece, add_special_tokens=False).ids
-
-    odd = Known(of_piece).__getitem__
-
-    def plain(text: str) -> bool:
-        return bool(PLAIN(text)) and not any(s in text for s in special)
-
-    def encode(text: str) -> bytes:
-        if plain(text):
-            return b"".join(map(part, PARTS(text.lower())))
-        pieces = text.replace("\n", " ").split(" ")
-        return b"".join(b"".join(map(part, PARTS(p.lower()))) if plain(p) else odd(p) for p in pieces)
-
-    return encode
-
-
-def worker_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
-    """Encodes a text to little-endian uint32 ids; one per worker process, so that what it knows outlives a task.
-
-    The vocabulary's tokens never cross a space or a line feed and both are dropped, so a text's ids are those of its
-    pieces between them. Plain texts are split by rule and go to the library's model, the pieces of others that are not
-    plain through its whole pipeline.
-    """
-    held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker"))
-    if getattr(held, "encoder", (None,))[0] != tokenizer_path:
-        held.encoder = (tokenizer_path, make_encoder(tokenizer_path))
-    return held.encoder[1]
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    of_piece = lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids
+    if not separable(tokenizer_path):
+        return lambda text: array("I", of_piece(text)).tobytes()
+    known = Known(of_piece).__getitem__
+    return lambda text: b"".join(map(known, text.replace("\n", " ").split(" ")))
 
 
 def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -265,13 +241,14 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str
     end = struct.pack("<I", end_id)
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = worker_encoder(tokenizer_path), TaskContext.get().partitionId()
+        encode, part = worker_held("encoder", tokenizer_path, lambda: make_encoder(tokenizer_path)), TaskContext.get().partitionId()
+        attempt = TaskContext.get().taskAttemptId()  # an attempt that does not count leaves files that no manifest names
         rows, keys, held, size = [], [], [], 0
 
         def close() -> None:
             nonlocal keys, held, size
             counts = np.array([len(b) // 4 for b in held], np.uint64)
-            name = f"{out_dir}/part-{part:06d}-{len(rows):05d}.wavelet"
+            name = f"{out_dir}/part-{part:06d}-{attempt}-{len(rows):05d}.wavelet"
             put_file(name, packed(np.frombuffer(b"".join(held), "<u4"), keys, counts))
             rows.append({"part": part, "seq": len(rows), "file": name, "n_docs": len(keys), "n_tokens": int(counts.sum())})
             keys, held, size = [], [], 0
@@ -288,7 +265,9 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str
             close()
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k").sortWithinPartitions("k", "t")
+    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).withColumn("h", F.xxhash64("t"))
+    # an id that many rows repeat is dealt to several ranges by the hash of the text
+    ordered = ordered.repartitionByRange("k", "h").sortWithinPartitions("k", "h", "t").select("k", "t")
     made = ordered.mapInArrow(shards, "part int, seq int, file string, n_docs long, n_tokens long")
     made.write.parquet(f"{out_dir}/manifest")
     manifest = spark.read.parquet(f"{out_dir}/manifest")
