@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import BROADCAST_ROWS, new_dir, shared_dir, sized, written
 
-__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "folders", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "table", "words_of", "worker_held", "written"]
+__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "folders", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_held", "written"]
 
 #: The six characters that separate words in every contract: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -71,6 +71,21 @@ def put_file(uri: str, chunks) -> None:
     system.move(part, path)
 
 
+#: Parts into which the rows of one key are dealt where the other side is too large to be sent to every task.
+SALTS = 16
+
+
+def spread_join(rows: DataFrame, small: DataFrame, on: str, by: Column, how: str = "left") -> DataFrame:
+    """rows joined with small, which has each key once: by broadcast if small is, else by key and salt, the hash of by.
+
+    So a key that a third of the rows share is never one task's.
+    """
+    if (sent := sized(small)) is not small:
+        return rows.join(sent, on, how)
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS))).join(small.withColumn("_salt", F.explode(salts)), [on, "_salt"], how).drop("_salt")
+
+
 def worker_held(name: str, key: object, make):
     """What make() gave for this key in this worker process: it outlives a task. One value is held for each name."""
     held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker")).__dict__

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import bound, folders, new_dir, removed, sized, written
+from ._shared import bound, folders, new_dir, removed, spread_join, written
 
 
 @dataclass(frozen=True)
@@ -86,8 +86,6 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 SCANNED = "blob string, rules array<string>"
 FINDINGS = f"blob string, f {SPAN}"
-#: Parts into which the paths of a blob are dealt where findings are too many to be sent to every task.
-SALTS = 16
 
 
 def scan(versions: DataFrame, ledger: str, *, path: str = "path", content: str = "content", rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -125,18 +123,10 @@ def scan(versions: DataFrame, ledger: str, *, path: str = "path", content: str =
     hits = _read(spark, f"{ledger}/findings/*", FINDINGS).where(label.isin(labels))
     hits = hits.select("blob", F.struct("f.start", rank[label].alias("rank"), "f.end", "f.kind", "f.version").alias("f"))
     hits = written(hits.groupBy("blob").agg(F.sort_array(F.collect_set("f")).alias("findings")), "hits")
-    out = with_findings(paths, hits)
+    out = spread_join(paths, hits, "blob", F.col("path"))
     return out.select("path", "blob", F.coalesce("findings", F.array().cast(f"array<{SPAN}>")).alias("findings"))
 
 
-def with_findings(paths: DataFrame, hits: DataFrame) -> DataFrame:
-    """paths with the findings of their blobs: broadcast if they are few, else dealt by blob and salt."""
-    if (small := sized(hits)) is not hits:
-        return paths.join(small, "blob", "left")
-    salted = paths.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)))
-    return salted.join(hits.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["blob", "salt"], "left")
-
-
 def compact(spark: SparkSession, ledger: str) -> None:
     """Fold the ledger's history into one folder per table; the old folders go once the new one stands."""
     done = F.array_sort(F.array_distinct(F.flatten(F.collect_list("rules")))).alias("rules")

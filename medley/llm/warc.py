@@ -6,8 +6,10 @@ GAP bytes is read through, a range stays under RANGE bytes) and parses the recor
 
 Of records with equal payloads of at least LEAST bytes, the one with the smallest page_id is a response and the others
 revisit it, with no payload of their own. Defined results: a null html counts as empty; a null url is left out; a null
-page_id is never anyone's revisit and never revisited; rows that repeat the smallest page_id with the same
-payload are all responses; an empty table gives no archive and an empty result.
+page_id is never anyone's revisit and never revisited, and its records are all named urn:page:none; rows that repeat a
+page_id keep a record each, under one WARC-Record-ID; those that repeat the smallest page_id with the same payload are all
+responses; an empty table gives no archive and an empty result; long pages are written whole. A task that is tried
+again writes files of other names, and the index, which Spark commits, names those that count.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import new_dir, open_fs, sized, written
+from ._shared import new_dir, open_fs, sized, spread_join, written
 
 LEAST = 100
 FILE_BYTES = 1 << 26
@@ -66,12 +68,14 @@ def write_archives(pages: DataFrame, out_dir: str, *, date: str = "1970-01-01T00
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), html.alias("html"), F.sha2(html, 256).alias("digest"))
     digests = pages.where((F.octet_length("html") >= LEAST) & F.col("page_id").isNotNull()).select("page_id", "digest")
     firsts = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("last > refers_to")
-    # Each digest stands once in firsts, so a payload that a third of the pages share only makes its own rows again.
-    revisits = digests.join(firsts.select("digest", "refers_to"), "digest").where("page_id > refers_to").distinct()
+    firsts = written(firsts.select("digest", "refers_to"), "firsts")
+    revisits = spread_join(digests, firsts, "digest", F.col("page_id"), "inner").where("page_id > refers_to").distinct()
+    # by page and digest, so a payload that a third of the pages share lies all over
     pages = pages.join(sized(written(revisits, "revisits")), ["page_id", "digest"], "left")
 
     def archives(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, out, at, rows = TaskContext.get().partitionId(), 0, None, 0, []
+        # an attempt that does not count leaves files of its own, to which no committed index points
+        part, seq, out, at, rows = f"{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId()}", 0, None, 0, []
         system, folder = open_fs(out_dir)
         system.create_dir(folder, recursive=True)
 
@@ -85,7 +89,7 @@ def write_archives(pages: DataFrame, out_dir: str, *, date: str = "1970-01-01T00
         for batch in batches:
             for r in batch.to_pylist():
                 if out is None:
-                    name = f"part-{part:06d}-{seq:05d}.warc.gz"
+                    name = f"part-{part}-{seq:05d}.warc.gz"
                     temp = f"{folder}/{name}.{uuid.uuid4().hex}.part"
                     out = system.open_output_stream(temp, compression=None)
                 member = record(r["page_id"], r["url"], r["html"].encode(), r["digest"], r["refers_to"], date)
