@@ -382,6 +382,140 @@ def test_quotation_chains_of_any_length(spark):
     assert all(x.thread == 0 and x.body == f"message {x.turn}" and x.reply_to == (x.turn - 1 if x.turn else None) for x in out)
 
 
+def plain_links(rows):
+    """(reply_to, thread, place, body) per (conv, turn), by trying every earlier message; turns are unique."""
+    punct = chat_quotes.PUNCTUATION
+
+    def norm(x):
+        return re.sub(r"\s+", " ", x.lower(), flags=re.A).strip(punct)
+
+    def split(text):
+        out = []
+        for line in re.split(r"\r?\n", text):
+            rest = line.lstrip(chat_quotes.MARKS)
+            n = line[: len(line) - len(rest)].count(">")
+            out.append((n, rest if n else line))
+        return out
+
+    def pieces(text):
+        """Normalised lines, and parts as (first, last, text)."""
+        lines, parts = [], set()
+        for p in re.split(r"\n\s*\n", text):
+            mine = [t for t in map(norm, p.split("\n")) if t]
+            if mine:
+                parts.add((len(lines), len(lines) + len(mine) - 1, norm(p)))
+                parts |= {(len(lines) + i, len(lines) + i, t) for i, t in enumerate(mine)}
+                lines += mine
+        return parts
+
+    def in_order(ms):
+        best = []
+        for m in sorted(ms):
+            best.append((m, m[1] - m[0] + 1 + max((n for o, n in best if o[1] < m[0] and o[3] < m[2]), default=0)))
+        return max((n for _, n in best), default=0)
+
+    bodies, out = {}, {}
+    for c, t, text in sorted(rows):
+        lines = split(text)
+        quotes = any(n for n, _ in lines)
+        body = "\n".join(x for n, x in lines if n == 0 and not (quotes and re.match(r"on\b.{0,200}\bwrote ?:\s*$", x, re.I))).strip(" \t\r\n")
+        runs = []
+        for n, x in lines:
+            if runs and runs[-1][0] == n:
+                runs[-1][1].append(x)
+            else:
+                runs.append((n, [x]))
+        linked = []
+        for pos, (n, xs) in enumerate([r for r in runs if r[0] and norm("\n".join(r[1]))]):
+            passage = "\n".join(xs)
+            whole = [u for u, b in bodies.get(c, {}).items() if norm(passage) in {norm(b), *map(norm, re.split(r"\n\s*\n", b)), *map(norm, b.split("\n"))}]
+            if whole:
+                linked.append((n, pos, min(whole)))
+                continue
+            mine, scored = pieces(passage), []
+            for u, b in bodies.get(c, {}).items():
+                ms = {(f, l, hf, hl) for f, l, x in mine for hf, hl, y in pieces(b) if x == y}
+                if ms:
+                    scored.append((-in_order(ms), u))
+            if scored:
+                linked.append((n, pos, min(scored)[1]))
+        bodies.setdefault(c, {})[t] = body
+        out[c, t] = (min(linked)[2] if linked else None, body)
+    kids = defaultdict(list)
+    for (c, t), (up, _) in sorted(out.items()):
+        if up is not None:
+            kids[c, up].append(t)
+    final = {}
+
+    def walk(c, t, root, n):
+        final[c, t] = (out[c, t][0], root, n, out[c, t][1])
+        n += 1
+        for k in kids[c, t]:
+            n = walk(c, k, root, n)
+        return n
+
+    for (c, t), (up, _) in out.items():
+        if up is None:
+            walk(c, t, t, 0)
+    return final
+
+
+def quoting_messages(seed, n_conv=12, n=25):
+    """Random messages that quote all or part of earlier ones, nested, and what they should answer."""
+    r = random.Random(seed)
+    lines = [f"line {i} of many words" for i in range(60)] + ["Thanks!", "ok", "yes..."]
+    rows, planted = [], {}
+    for c in range(n_conv):
+        past = []
+        for t in range(n):
+            own = [r.choice(lines) if r.random() < 0.2 else f"c{c} t{t} says {i}" for i in range(r.randrange(1, 5))]
+            if r.random() < 0.3:
+                own.insert(r.randrange(len(own)), "")
+            text = list(own)
+            if past and r.random() < 0.7:
+                k = r.randrange(len(past))
+                quote = past[k].split("\n")
+                kind = r.random()
+                if kind < 0.5 and len(quote) > 1:
+                    lo = r.randrange(len(quote))
+                    quote = quote[lo : r.randrange(lo, len(quote)) + 1]
+                marked = [r.choice(["> ", ">", ">\t"]) + x for x in quote]
+                if any(f"c{c} t{k} " in x and "> " not in x[2:] for x in marked):
+                    planted[c, t] = k
+                text = ["On Monday they wrote:", *marked, "", *own] if r.random() < 0.5 else [*marked, *own]
+            past.append("\n".join(text))
+            rows.append((c, t, past[-1]))
+    return rows, planted
+
+
+def test_quotations_against_brute_force(spark):
+    rows, planted = quoting_messages(1)
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(x.conv_id, x.turn): (x.reply_to, x.thread, x.place, x.body) for x in chat_quotes.linked(df.repartition(5)).collect()}
+    want = plain_links(rows)
+    assert got == want
+    assert len(planted) > 100 and np.mean([got[k][0] == t for k, t in planted.items()]) >= 0.9
+
+
+def test_conversations_in_reply_order(spark, monkeypatch):
+    monkeypatch.setattr(chat_quotes, "PART", 2)
+    monkeypatch.setattr(chat_quotes, "TURNS", 2)
+    rows = [(1, 0, "first"), (1, 1, "> first\nA"), (1, 2, "> first\nB"), (1, 3, "> A\nAA"), (1, 4, "> > first\n> B\nBB"), (1, 5, "> first\nC"), (1, 6, "alone"), (1, 7, "> AA\nAAA"), (2, 0, "x"), (2, 0, "x"), (None, 1, "n"), (3, None, "n")]
+    df = chat_quotes.linked(spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string"))
+    out = sorted(chat_quotes.conversations(df).collect(), key=lambda x: (x.conv_id, x.thread, x.part))
+    assert [m.body for x in out if (x.conv_id, x.thread) == (1, 0) for m in x.messages] == ["first", "A", "AA", "AAA", "B", "C", "BB"] or [m.body for x in out if (x.conv_id, x.thread) == (1, 0) for m in x.messages] == ["first", "A", "AA", "AAA", "B", "BB", "C"]
+    assert [len(x.messages) for x in out if x.thread == 0 and x.conv_id == 1] == [2, 2, 2, 1]
+    assert [(x.messages[0].body, x.messages[0].n) for x in out if x.conv_id == 2] == [("x", 2)] and len(out) == 6
+
+
+def test_quotation_marks_of_any_length(spark):
+    rows = [(1, 0, "u", "hello"), (1, 1, "u", ">" * 100_000 + " hello\nyes"), (1, 2, "u", "> " * 50_000 + "\n>" + "!" * 1_000_000 + "\n> > hello\nno"), (1, 3, "u", "a" + "!" * 1_000_000 + "b" + " " * 200_000 + "."), (1, 4, "u", "\n" * 100_000 + "> hello")]
+    began = time.time()
+    out = {x.turn: x for x in chat_quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert time.time() - began < 90
+    assert out[1].reply_to == out[2].reply_to == out[4].reply_to == 0 and out[1].quote_levels == 100_000 and out[1].body == "yes" and out[3].reply_to is None
+
+
 # ---- 7 -------------------------------------------------------------------------------------------------------------
 
 
