@@ -205,12 +205,12 @@ def separable(tokenizer_path: str) -> bool:
 class Known(dict):
     """Ids (little-endian uint32) of what has been encoded, up to a bounded number of short strings."""
 
-    def __init__(self, encode: Callable[[str], list[int]]):
+    def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, text: str) -> bytes:
-        ids = array("I", self.encode(text)).tobytes()
+        ids = self.encode(text)
         if len(text) <= CACHED_CHARS:
             if len(self) >= CACHED:
                 self.clear()
@@ -218,21 +218,35 @@ class Known(dict):
         return ids
 
 
+#: Marks that such a split never joins with a letter or digit before them.
+MARKS = ",.;:!?"
+
+
 def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     """Encodes a text to little-endian uint32 ids by the library.
 
-    Where the vocabulary drops blanks, the library gets the pieces between them, and what it gave for a short piece is
-    remembered; else it gets the whole text.
+    Where the vocabulary drops blanks, the library gets the pieces between them, without the marks that end them, and what
+    it gave for a short piece is remembered; words of the letters A to Z, which its normaliser only lower-cases and its split leaves
+    whole, go to its model alone. Any other vocabulary gets the whole text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    of_piece = lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids
+    whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     if not separable(tokenizer_path):
-        return lambda text: array("I", of_piece(text)).tobytes()
-    known = Known(of_piece).__getitem__
-    return lambda text: b"".join(map(known, text.replace("\n", " ").split(" ")))
+        return lambda text: array("I", whole(text)).tobytes()
+    words = tokenizer.model.tokenize
+
+    def of_piece(piece: str) -> bytes:
+        word = piece.rstrip(MARKS)
+        if len(word) < len(piece) and word[-1:].isascii() and word[-1:].isalnum():
+            return known[word] + known[piece[len(word) :]]
+        ids = [t.id for t in words(piece.lower())] if piece.isascii() and piece.isalpha() else whole(piece)
+        return array("I", ids).tobytes()
+
+    known = Known(of_piece)
+    return lambda text: b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:

@@ -197,7 +197,7 @@ def test_tokens_by_the_library_itself():
     from tokenizers import Tokenizer
 
     r = random.Random(2)
-    alphabet = ["a", "B", "é", "e\u0301", "\u0301", " ", "\n", "\t", "\xa0", "\u3000", "\x1c", "Σ", "İ", "ß", "7", "٣", "'s", "'LL", "<|endoftext|>", "<|", "!", "—", "日本", "\u200d", "👩", "\ufb01", "\r\n"]
+    alphabet = ["a", "B", "é", "e\u0301", "\u0301", " ", "\n", "\t", "\xa0", "\u3000", "\x1c", "Σ", "İ", "ß", "7", "٣", "'s", "'LL", "<|endoftext|>", "<|", "!", "—", "日本", "\u200d", "👩", "\ufb01", "\r\n", ",", ".", "?!", "\u0338", "it", "<"]
     texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(25))) for _ in range(3000)]
     for name, piecewise in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
         path = public_tokenizers.path(name)
