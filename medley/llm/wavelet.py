@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import struct
 import zlib
 from array import array
@@ -218,32 +219,30 @@ class Known(dict):
         return ids
 
 
-#: Marks that such a split never joins with a letter or digit before them.
-MARKS = ",.;:!?"
-
-
 def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     """Encodes a text to little-endian uint32 ids by the library.
 
-    Where the vocabulary drops blanks, the library gets the pieces between them, without the marks that end them, and what
-    it gave for a short piece is remembered; words of the letters A to Z, which its normaliser only lower-cases and its split leaves
-    whole, go to its model alone. Any other vocabulary gets the whole text.
+    Where the vocabulary drops blanks, the library gets the pieces between them, without the marks that end them (a
+    letter or digit and a mark after it are always split), and what it gave for a short piece is remembered, words of
+    the letters A to Z in lower case. Any other vocabulary gets the whole text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    whole = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
     if not separable(tokenizer_path):
-        return lambda text: array("I", whole(text)).tobytes()
-    words = tokenizer.model.tokenize
+        return whole
+    # marks of special tokens stay where they are
+    marks = "".join(set(string.punctuation) - {c for t in tokenizer.get_added_tokens_decoder().values() for c in t.content})
 
     def of_piece(piece: str) -> bytes:
-        word = piece.rstrip(MARKS)
+        word = piece.rstrip(marks)
         if len(word) < len(piece) and word[-1:].isascii() and word[-1:].isalnum():
             return known[word] + known[piece[len(word) :]]
-        ids = [t.id for t in words(piece.lower())] if piece.isascii() and piece.isalpha() else whole(piece)
-        return array("I", ids).tobytes()
+        if piece.isascii() and piece.isalpha() and not piece.islower():
+            return known[piece.lower()]
+        return whole(piece)
 
     known = Known(of_piece)
     return lambda text: b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
