@@ -233,6 +233,7 @@ def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     whole = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
     if not separable(tokenizer_path):
         return whole
+    words = tokenizer.model.tokenize  # what its normaliser and its split leave as it is needs the model alone
     # marks of special tokens stay where they are
     marks = "".join(set(string.punctuation) - {c for t in tokenizer.get_added_tokens_decoder().values() for c in t.content})
 
@@ -240,8 +241,8 @@ def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
         word = piece.rstrip(marks)
         if len(word) < len(piece) and word[-1:].isascii() and word[-1:].isalnum():
             return known[word] + known[piece[len(word) :]]
-        if piece.isascii() and piece.isalpha() and not piece.islower():
-            return known[piece.lower()]
+        if piece.isascii() and piece.isalpha():
+            return array("I", [t.id for t in words(piece)]).tobytes() if piece.islower() else known[piece.lower()]
         return whole(piece)
 
     known = Known(of_piece)
