@@ -12,16 +12,22 @@ position, so ordering by position interleaves all sources at their weights.
 
 Defined results: a null source is a source of its own; a document without words has no tokens and is never drawn;
 rows that repeat an id are drawn together and count each; a document may be drawn several times, once per epoch; an empty
-table gives an empty result. A quota is met to within the tokens of one document.
+table gives an empty result. A quota is met to within the tokens of one document. A budget that would need more than
+max_repeats passes over all there is is cut to that many, so no source is ever passed over more often. Texts are counted whole.
+
+Blocks hold about BLOCK_TOKENS tokens; a source has MAX_BLOCKS of them at most, so those of larger sources are larger. All draws are
+ordered by MD5 of their keys: the same for every partitioning, and SQL can say it.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.uniform import hash_order
 from ._shared import sized, words_of, written
 
 BLOCK_TOKENS = 1 << 16
@@ -71,22 +77,47 @@ def exponent(sources: DataFrame, *, budget_passes: float, entropy_gain: float |
 
 
 def _order(*cols: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *cols)
+    """The first 60 bits of the MD5 of seed and columns (nulls left out)."""
+    return F.conv(F.substring(hash_order(seed, *cols), 1, 15), 16, 10).cast("long")
 
 
-def mixed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", budget: float | None = None, entropy_gain: float | None = 0.5, max_repeats: float | None = 4.0, seed: int = 42) -> DataFrame:
-    """The drawn rows of docs, one per epoch in which a row is drawn, with _epoch, _tokens, _block, _position and _weight.
+def token_table(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    """_k, _source and _tokens of every row, written."""
+    return written(docs.select(F.col(key).alias("_k"), F.col(source).alias("_source"), token_count(F.col(text)).alias("_tokens")), "tokens")
 
-    budget is in tokens; by default as many as there are.
-    """
-    k, s = F.col(key), F.col(source)
-    tokens = written(docs.select(k.alias("_k"), s.alias("_source"), token_count(F.col(text)).alias("_tokens")), "tokens")
+
+@dataclass
+class Schedule:
+    """Per source its weight and blocks, and per block and epoch its position and how far it is drawn."""
+
+    plan: DataFrame
+    visits: DataFrame
+    seed: int
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """rows with the plan of their _source and with their _block."""
+        p = self.plan.withColumnRenamed("_source", "_p")
+        out = rows.join(p, rows["_source"].eqNullSafe(p["_p"])).drop("_p")
+        return out.withColumn("_block", F.pmod(_order(F.col("_k"), seed=self.seed), F.col("_n_blocks")))
+
+    def cut_order(self) -> Column:
+        return _order(F.col("_k"), F.col("_full"), seed=self.seed + 1)
+
+    def drawn(self, rows: DataFrame) -> DataFrame:
+        """rows (with _k and _source), one for each epoch in which they are drawn, with _epoch, _block, _position and _weight."""
+        visits = self.visits.withColumnsRenamed({"_source": "_s2", "_block": "_b2"})
+        out = self.placed(rows).join(visits, F.col("_source").eqNullSafe(F.col("_s2")) & (F.col("_block") == F.col("_b2")))
+        return out.where(F.col("_whole") | (self.cut_order() <= F.col("_cut")))
+
+
+def scheduled(tokens: DataFrame, *, budget: float | None, entropy_gain: float | None, max_repeats: float | None, seed: int) -> Schedule | None:
+    """The schedule of a token table; None if there are no tokens."""
     sources = tokens.groupBy("_source").agg(F.sum("_tokens").alias("_t")).where("_t > 0")
     total = sources.agg(F.sum("_t")).first()[0] or 0
     if not total:
-        none = F.lit(None)
-        return docs.limit(0).select("*", none.cast("int").alias("_epoch"), none.cast("long").alias("_tokens"), none.cast("long").alias("_block"), none.cast("double").alias("_position"), none.cast("double").alias("_weight"))
+        return None
     budget = float(total if budget is None else budget)
+    budget = budget if max_repeats is None else min(budget, max_repeats * total)
     sources = written(sources.withColumn("share", F.col("_t") / F.lit(float(total))), "sources")
     e = exponent(sources, budget_passes=budget / total, entropy_gain=entropy_gain, max_repeats=max_repeats)
     z = _sums(sources, [e])[e][0]
@@ -95,17 +126,12 @@ def mixed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: s
     quota = weight * F.lit(budget)
     n_blocks = F.least(F.ceil(F.col("_t") / BLOCK_TOKENS), F.lit(MAX_BLOCKS))
     plan = sources.select("_source", "_t", weight.alias("_weight"), quota.alias("_quota"), F.floor(quota / F.col("_t") + 1e-9).cast("int").alias("_full"), n_blocks.alias("_n_blocks"))
-    plan = sized(written(plan, "plan"))
-    block = F.pmod(_order(F.col("_k"), seed=seed), F.col("_n_blocks"))
-    cut_order = _order(F.col("_k"), F.col("_full"), seed=seed + 1)
-
-    def placed(rows: DataFrame) -> DataFrame:
-        p = plan.withColumnRenamed("_source", "_p")
-        return rows.join(p, rows["_source"].eqNullSafe(p["_p"])).drop("_p").withColumn("_block", block)
+    out = Schedule(sized(written(plan, "plan")), plan, seed)
 
-    blocks = placed(tokens).groupBy("_source", "_block", "_t", "_weight", "_quota", "_full").agg(F.sum("_tokens").alias("_bt"))
+    blocks = out.placed(tokens).groupBy("_source", "_block", "_t", "_weight", "_quota", "_full").agg(F.sum("_tokens").alias("_bt"))
     visits = blocks.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_full"))))
-    w = Window.partitionBy("_source", "_epoch").orderBy(_order(F.col("_source"), F.col("_block"), F.col("_epoch"), seed=seed + 2), "_block").rowsBetween(Window.unboundedPreceding, -1)
+    order = _order(F.col("_source"), F.col("_block"), F.col("_epoch"), seed=seed + 2)
+    w = Window.partitionBy("_source", "_epoch").orderBy(order, "_block").rowsBetween(Window.unboundedPreceding, -1)  # MAX_BLOCKS rows at most
     done = F.coalesce(F.sum("_bt").over(w), F.lit(0)) + F.col("_epoch") * F.col("_t")
     visits = visits.withColumn("_done", done).where("_done < _quota")
     visits = visits.withColumn("_left", F.col("_quota") - F.col("_done")).withColumn("_position", F.col("_done") / F.col("_quota"))
@@ -113,25 +139,38 @@ def mixed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: s
 
     # the boundary block of a source: its documents in hash order up to the quota
     edge = visits.where("_left < _bt").select(F.col("_source").alias("_e"), F.col("_block").alias("_eb"), "_epoch", "_left")
-    inside = placed(tokens).join(sized(edge), F.col("_source").eqNullSafe(F.col("_e")) & (F.col("_block") == F.col("_eb")))
+    inside = out.placed(tokens).join(sized(edge), F.col("_source").eqNullSafe(F.col("_e")) & (F.col("_block") == F.col("_eb")))
     upto = Window.partitionBy("_source", "_block").orderBy("_cut").rangeBetween(Window.unboundedPreceding, 0)
-    cuts = inside.withColumn("_cut", cut_order).withColumn("_sum", F.sum("_tokens").over(upto)).where("_sum <= _left")
+    cuts = inside.withColumn("_cut", out.cut_order()).withColumn("_sum", F.sum("_tokens").over(upto)).where("_sum <= _left")
     cuts = cuts.groupBy(F.col("_source").alias("_e"), F.col("_block").alias("_eb"), F.col("_epoch").alias("_ee")).agg(F.max("_cut").alias("_cut"))
-    schedule = visits.join(cuts, visits["_source"].eqNullSafe(cuts["_e"]) & (visits["_block"] == cuts["_eb"]) & (visits["_epoch"] == cuts["_ee"]), "left")
-    schedule = schedule.select(F.col("_source").alias("_s2"), F.col("_block").alias("_b2"), "_epoch", "_position", (F.col("_left") >= F.col("_bt")).alias("_whole"), "_cut")
-    schedule = sized(written(schedule, "schedule"))
+    visits = visits.join(cuts, visits["_source"].eqNullSafe(cuts["_e"]) & (visits["_block"] == cuts["_eb"]) & (visits["_epoch"] == cuts["_ee"]), "left")
+    visits = visits.select("_source", "_block", "_epoch", "_position", (F.col("_left") >= F.col("_bt")).alias("_whole"), "_cut")
+    out.visits = sized(written(visits, "schedule"))
+    return out
 
-    columns = docs.columns
-    rows = docs.select(*columns, k.alias("_k"), s.alias("_source"), token_count(F.col(text)).alias("_tokens")).where("_tokens > 0")
-    out = placed(rows).join(schedule, F.col("_source").eqNullSafe(F.col("_s2")) & (F.col("_block") == F.col("_b2")))
-    out = out.where(F.col("_whole") | (cut_order <= F.col("_cut")))
-    return out.select(*columns, "_epoch", "_tokens", "_block", "_position", "_weight")
 
+def mixed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", budget: float | None = None, entropy_gain: float | None = 0.5, max_repeats: float | None = 4.0, seed: int = 42) -> DataFrame:
+    """The drawn rows of docs, one per epoch in which a row is drawn, with _epoch, _block, _position and _weight.
 
-def mixing_report(docs: DataFrame, **options) -> DataFrame:
-    """One row per drawn document and epoch."""
-    out = mixed(docs.select("doc_id", "source", "text"), **options)
-    return out.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"), F.col("_block").alias("block"), F.round("_position", 9).alias("position"), F.round("_weight", 9).alias("weight"))
+    budget is in tokens; by default as many as there are.
+    """
+    schedule = scheduled(token_table(docs, key, text, source), budget=budget, entropy_gain=entropy_gain, max_repeats=max_repeats, seed=seed)
+    if schedule is None:
+        none = {"_epoch": "int", "_block": "long", "_position": "double", "_weight": "double"}
+        return docs.limit(0).select("*", *(F.lit(None).cast(kind).alias(c) for c, kind in none.items()))
+    # rows without words are never drawn; the others need not be counted again
+    rows = docs.where(F.col(text).rlike(r"[^\x20\x09-\x0D]")).withColumns({"_k": F.col(key), "_source": F.col(source)})
+    return schedule.drawn(rows).select(*docs.columns, "_epoch", "_block", "_position", "_weight")
+
+
+def mixing_report(docs: DataFrame, *, budget: float | None = None, entropy_gain: float | None = 0.5, max_repeats: float | None = 4.0, seed: int = 42) -> DataFrame:
+    """One row per drawn document and epoch: doc_id, source, epoch, n_tokens, block, position and weight."""
+    tokens = token_table(docs, "doc_id", "text", "source")
+    schedule = scheduled(tokens, budget=budget, entropy_gain=entropy_gain, max_repeats=max_repeats, seed=seed)
+    if schedule is None:
+        return docs.sparkSession.createDataFrame([], "doc_id long, source string, epoch int, n_tokens long, block long, position double, weight double")
+    out = schedule.drawn(tokens.where("_tokens > 0"))
+    return out.select(F.col("_k").alias("doc_id"), F.col("_source").alias("source"), F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"), F.col("_block").alias("block"), F.round("_position", 9).alias("position"), F.round("_weight", 9).alias("weight"))
 
 
 def drawn(docs: DataFrame, **options) -> DataFrame:

@@ -107,4 +107,36 @@ e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r(doc_id, m) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.doc_id WHERE r.m < e.b)
 SELECT n.doc_id, n.n AS n_shingles, min(m) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL"""
 
-ORACLE = {"op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
+
+
+def _mixing_sql(gain: float = 0.5, most: float = 4.0, seed: int = 42) -> str:
+    order = lambda n, *cols: f"('0x' || substr(md5(concat_ws('|', '{seed + n}', {', '.join(cols)})), 1, 15))::UBIGINT::BIGINT"
+    sums = lambda e: (f"list_sum(list_transform(l, lambda x: pow(x, {e})))", f"list_sum(list_transform(l, lambda x: pow(x, {e}) * ln(x)))")
+
+    def met(e: str) -> str:
+        z, zl = sums(e)
+        return f"(ln({z}) - {e} * {zl} / {z} <= target + 1e-12 AND pow(least, {e} - 1) / {z} <= {most} * (1 + 1e-12))"
+
+    grid = mixing.GRID
+    return f"""WITH RECURSIVE tok AS (SELECT doc_id AS k, source AS s, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n FROM documents),
+src AS (SELECT s, sum(n)::DOUBLE AS t, sum(n) / (SELECT sum(n) FROM tok)::DOUBLE AS share FROM tok GROUP BY s HAVING sum(n) > 0),
+par AS (SELECT l, len(l) AS n, l[1] AS least, -list_sum(list_transform(l, lambda x: x * ln(x))) AS nat FROM (SELECT list(share ORDER BY share) AS l FROM src)),
+tar AS (SELECT *, nat + {gain} * (ln(n) - nat) AS target FROM par),
+it(i, lo, hi) AS (SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE UNION ALL
+  SELECT i + 1, CASE WHEN j = 1 THEN lo ELSE g[j - 1] END, CASE WHEN j = {grid} THEN hi ELSE g[j] END FROM (
+    SELECT i, lo, hi, g, coalesce(list_position(list_transform(g, lambda e: {met("e")}), true), {grid}) AS j
+    FROM (SELECT i, lo, hi, l, least, target, list_transform(range(1, {grid}), lambda q: lo + (hi - lo) * q / {grid}) AS g FROM it, tar WHERE i < {mixing.PASSES}))),
+ex AS (SELECT CASE WHEN n <= 1 THEN 1.0 WHEN {met("0.0::DOUBLE")} THEN 0.0 ELSE hi END AS e, l FROM it, tar WHERE i = {mixing.PASSES}),
+plan AS (SELECT s, t, w, w * b AS quota, floor(w * b / t + 1e-9)::BIGINT AS full_, least(ceil(t / {mixing.BLOCK_TOKENS}), {mixing.MAX_BLOCKS})::BIGINT AS nb
+  FROM (SELECT s, t, pow(share, e) / {sums("e")[0]} AS w, (SELECT sum(t) FROM src) AS b FROM src, ex)),
+d AS (SELECT k, n, plan.*, {order(0, "k::VARCHAR")} % nb AS block, {order(1, "k::VARCHAR", "full_::VARCHAR")} AS cut FROM tok JOIN plan ON tok.s IS NOT DISTINCT FROM plan.s),
+bl AS (SELECT s, block, t, quota, full_, sum(n) AS bt FROM d GROUP BY ALL),
+vi AS (SELECT *, quota - done AS left_ FROM (SELECT *, epoch * t + coalesce(sum(bt) OVER (PARTITION BY s, epoch ORDER BY {order(2, "s", "block::VARCHAR", "epoch::VARCHAR")}, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
+  FROM (SELECT *, unnest(range(full_ + 1)) AS epoch FROM bl)) WHERE done < quota),
+cu AS (SELECT s, block, epoch, max(cut) AS upto FROM (SELECT vi.s, vi.block, epoch, left_, cut, sum(d.n) OVER (PARTITION BY vi.s, vi.block ORDER BY cut) AS had FROM vi JOIN d ON vi.s IS NOT DISTINCT FROM d.s AND vi.block = d.block WHERE left_ < bt) WHERE had <= left_ GROUP BY ALL)
+SELECT k AS doc_id, d.s AS source, vi.epoch::INT AS epoch, n AS n_tokens, d.block AS block, round(done / vi.quota, 9) AS position, round(w, 9) AS weight
+FROM d JOIN vi ON d.s IS NOT DISTINCT FROM vi.s AND d.block = vi.block LEFT JOIN cu ON cu.s IS NOT DISTINCT FROM vi.s AND cu.block = vi.block AND cu.epoch = vi.epoch
+WHERE n > 0 AND (left_ >= bt OR cut <= upto)"""
+
+
+ORACLE = {"op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}

@@ -1,6 +1,7 @@
 """Each operator against a plain version, with nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -123,11 +124,12 @@ def test_mixing_meets_weights_and_budget(spark):
         w = {s: p**e / z for s, p in share.items()}
         met = -sum(x * np.log(x) for x in w.values()) <= target and max(total * w[s] / tokens[s] for s in w) <= 3.0
         lo, hi = (lo, e) if met else (e, hi)
+    n_tokens = {(i, s): len((x or "").split()) for i, x, _, s, _ in rows}
     got, weight = Counter(), {}
     for x in out:
-        got[x.source] += x._tokens
+        got[x.source] += n_tokens[x.doc_id, x.source]
         weight[x.source] = x._weight
-        assert x._tokens > 0 and 0 <= x._position < 1
+        assert n_tokens[x.doc_id, x.source] > 0 and 0 <= x._position < 1
     for s in share:
         assert weight[s] == pytest.approx(w[s], abs=1e-6)
         assert abs(got[s] - w[s] * total) <= 62, s
@@ -136,8 +138,21 @@ def test_mixing_meets_weights_and_budget(spark):
     again = mixing.mixed(docs.repartition(7), entropy_gain=0.6, max_repeats=3.0).collect()
     assert Counter((x.doc_id, x._epoch) for x in again) == Counter((x.doc_id, x._epoch) for x in out)
     assert mixing.drawn(docs).columns == docs.columns
+    report = mixing.mixing_report(docs, entropy_gain=0.6, max_repeats=3.0).collect()
+    assert Counter((x.doc_id, x.epoch, x.block) for x in report) == Counter((x.doc_id, x._epoch, x._block) for x in out)
+    assert all(x.n_tokens == n_tokens[x.doc_id, x.source] for x in report)
     assert mixing.mixing_report(table(spark, [])).count() == 0
-    assert mixing.mixing_report(table(spark, [None, ""])).count() == 0
+    assert mixing.mixing_report(table(spark, [None, ""])).count() == 0 == mixing.mixed(table(spark, [None, ""])).count()
+
+
+def test_mixing_never_repeats_more_than_allowed(spark):
+    docs = spark.range(300).selectExpr("id as doc_id", "if(id = 0, repeat('w ', 20000), 'a b c') as text", "if(id < 30, 'x', 'y') as source")
+    for repeats in (2.0, 1.5):
+        out = mixing.mixed(docs, budget=1e7, max_repeats=repeats).collect()
+        n = Counter(x.doc_id for x in out)
+        assert max(n.values()) <= math.ceil(repeats) and sum(1 for v in n.values() if v > repeats) <= 0.6 * 300
+        if repeats == 2.0:
+            assert set(n.values()) == {2} and len(n) == 300
 
 
 def test_mixing_blocks_and_repeats(spark, monkeypatch):
@@ -147,7 +162,7 @@ def test_mixing_blocks_and_repeats(spark, monkeypatch):
     n = Counter(x.doc_id for x in out if x.source == "rare")
     got = Counter()
     for x in out:
-        got[x.source] += x._tokens
+        got[x.source] += 3
     assert abs(got["rare"] - 2.5 * 120) <= 3 and set(n.values()) == {2, 3} and len(n) == 40
     orders = [[x._block for x in sorted(out, key=lambda x: x._position) if x.source == "rare" and x._epoch == e] for e in (0, 1)]
     assert [k for k, _ in Counter(orders[0]).items()] != [k for k, _ in Counter(orders[1]).items()]
