@@ -2,10 +2,11 @@
 
 Text measures come from one expression per row. A labelled holdout then chooses, per stratum and rule, a
 cutoff whose false rejection rate is certified: with n good holdout texts of which k exceed the cutoff, the exact
-binomial tail P(Bin(n, alpha) <= k) must be at most delta over the number of (stratum, rule) pairs. Cutoffs of a rule
-are tested from the loosest to the strictest and the testing stops at the first failure (fixed sequence), so the
-correction needs to count pairs only. Among certified cutoffs the one that rejects most bad texts wins, ties go
-to the loosest; a rule that rejects no bad text is not used.
+binomial tail P(Bin(n, a) <= k) must be at most delta over the number of (stratum, rule) pairs. Only rules that reject a bad
+text of the stratum are tested, and share alpha there; the bounds look at good texts only, so that choice does not bias
+them. Cutoffs of a rule are tested from the loosest to the strictest and the testing stops at the first failure (fixed
+sequence), so the correction needs to count pairs only. Among certified cutoffs the one that rejects most bad texts wins, ties
+go to the loosest.
 
 Defined results: a null text counts as empty and fails the base rule (under 50 words); a null stratum is a stratum
 of its own; a stratum without enough labels keeps all that pass the base rule; labels that are null are dropped and
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from ._shared import BLANKS, bound, sized, words_of, written
 
 SYMBOLS = "#*$%&|<>"
+#: The share of good texts that may be rejected in a stratum, and the chance that this fails anywhere.
+ALPHA, DELTA = 0.02, 0.1
 #: Rule -> cutoffs from the loosest to the strictest; a text is rejected when the measure exceeds the cutoff.
 RULES: dict[str, Sequence[float]] = {
     "symbol_ratio": (4.0, 2.0, 1.0, 0.5, 0.25, 0.1),
@@ -42,16 +45,21 @@ def kept_only(text: Column, wanted: str) -> Column:
 def with_measures(docs: DataFrame, text: str = "text", into: str = "_m") -> DataFrame:
     """docs with a struct of the counts of each text.
 
-    A word counts as repeated when it stands in a 3-word window found at least twice: windows are sorted with
-    their positions, equal neighbours give the positions, and gaps of under three words overlap. Each step is a
-    column of its own, so that it is evaluated once and by generated code.
+    A word counts as repeated when it stands in a 3-word window found at least twice: the windows' 64-bit hashes are sorted
+    with their positions, equal neighbours with equal words give the positions, and gaps of under three words overlap. Each step
+    is a column of its own, so that it is evaluated once and by generated code.
     """
     columns = docs.columns
     t, w, s, p = (F.col(c) for c in ("_t", "_w", "_s", "_p"))
     m = F.size(w) - 2
-    windows = F.arrays_zip(F.slice(w, 1, m).alias("a"), F.slice(w, 2, m).alias("b"), F.slice(w, 3, m).alias("c"), F.sequence(F.lit(0), m - 1).alias("p"))
-    no_windows = F.array().cast("array<struct<a:string,b:string,c:string,p:int>>")
-    same = lambda x, y: F.when((x["c"] == y["c"]) & (x["b"] == y["b"]) & (x["a"] == y["a"]), F.array(x["p"], y["p"]))
+    words = F.arrays_zip(F.slice(w, 1, m).alias("a"), F.slice(w, 2, m).alias("b"), F.slice(w, 3, m).alias("c"))
+    windows = F.transform(words, lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("p")))
+    no_windows = F.array().cast("array<struct<h:bigint,p:int>>")
+
+    def same(x: Column, y: Column) -> Column:
+        equal = (x["h"] == y["h"]) & (w[x["p"]] == w[y["p"]]) & (w[x["p"] + 1] == w[y["p"] + 1]) & (w[x["p"] + 2] == w[y["p"] + 2])
+        return F.when(equal, F.array(x["p"], y["p"]))
+
     k = F.size(s) - 1
     twice = F.filter(F.zip_with(F.slice(s, 1, k), F.slice(s, 2, k), same), lambda x: x.isNotNull())
     none = F.array().cast("array<int>")
@@ -90,10 +98,10 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
 
 
-def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """log P(Bin(n, p) <= k), summed exactly from term to term in log space."""
-    odds = F.lit(p / (1 - p))
-    first = n * F.log(F.lit(1 - p))
+def log_binomial_cdf(k: Column, n: Column, p: Column) -> Column:
+    """log P(Bin(n, p) <= k), summed exactly from term to term in log space; 0 where k is over the mean."""
+    odds = p / (1 - p)
+    first = n * F.log(1 - p)
 
     def step(acc: Column, i: Column) -> Column:
         t = acc["t"] + F.log((n - i + 1) / i * odds)
@@ -108,9 +116,9 @@ def certified_cutoffs(labelled: DataFrame, stratum: str, good: str, alpha: float
     """(stratum, one column per rule with its cutoff or null), a row per stratum with good labels.
 
     labelled has the stratum, the label (1 good, 0 bad) and a column per rule. alpha bounds the rate of good
-    texts rejected per stratum and is shared out evenly over the rules; delta is the chance that any bound fails.
+    texts rejected per stratum and is shared out evenly over the rules that reject a bad one there; delta is the chance that
+    any bound fails.
     """
-    each = alpha / len(rules)
     tests = [(r, i, c) for r, cuts in rules.items() for i, c in enumerate(cuts)]
     is_good, is_bad = F.col(good) == 1, F.col(good) == 0
     counts = labelled.groupBy(F.col(stratum).alias("_stratum")).agg(
@@ -118,17 +126,20 @@ def certified_cutoffs(labelled: DataFrame, stratum: str, good: str, alpha: float
         *(F.count_if(is_good & (F.col(r) > c)).alias(f"_k_{r}_{i}") for r, i, c in tests),
         *(F.count_if(is_bad & (F.col(r) > c)).alias(f"_b_{r}_{i}") for r, i, c in tests),
     )
-    counts = written(counts.where(F.col("_n") > 0), "strata")
+    useful = sum((F.greatest(F.lit(0), *(F.col(f"_b_{r}_{i}") for i in range(len(cuts)))) > 0).cast("int") for r, cuts in rules.items())
+    counts = counts.where(F.col("_n") > 0).withColumn("_m", useful).withColumn("_each", F.lit(float(alpha)) / F.greatest(F.col("_m"), F.lit(1)))
+    counts = written(counts, "strata")
     # Only strata that could be certified with no false rejection at all, were they the only one, are tested and counted.
-    n_strata = counts.where(F.col("_n") * F.log(F.lit(1 - each)) <= F.log(F.lit(delta / len(rules)))).count()
-    counts = counts.withColumn("_level", F.log(F.lit(delta / (max(1, n_strata) * len(rules)))))
+    able = counts.where((F.col("_m") > 0) & (F.col("_n") * F.log(1 - F.col("_each")) <= F.log(F.lit(float(delta)) / F.col("_m"))))
+    pairs = able.agg(F.sum("_m")).first()[0] or 1
+    counts = counts.withColumn("_level", F.log(F.lit(delta / pairs)))
 
     def chosen(rule: str, cuts: Sequence[float]) -> Column:
         """Of the certified run of cutoffs from the loosest on, the first that rejects most bad texts."""
         steps = F.array(*(F.struct(F.lit(float(c)).alias("c"), F.col(f"_k_{rule}_{i}").alias("k"), F.col(f"_b_{rule}_{i}").alias("b")) for i, c in enumerate(cuts)))
 
         def step(acc: Column, x: Column) -> Column:
-            alive = acc["alive"] & (log_binomial_cdf(x["k"], F.col("_n"), each) <= F.col("_level"))
+            alive = acc["alive"] & (log_binomial_cdf(x["k"], F.col("_n"), F.col("_each")) <= F.col("_level"))
             better = alive & (x["b"] > acc["b"])
             return F.struct(alive.alias("alive"), F.when(better, x["b"]).otherwise(acc["b"]).alias("b"), F.when(better, x["c"]).otherwise(acc["c"]).alias("c"))
 
@@ -138,7 +149,7 @@ def certified_cutoffs(labelled: DataFrame, stratum: str, good: str, alpha: float
     return counts.select("_stratum", *(chosen(r, cuts).alias(f"_cut_{r}") for r, cuts in rules.items()))
 
 
-def judged(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", alpha: float = 0.01, delta: float = 0.1, carry: Sequence[str] | None = None) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA, carry: Sequence[str] | None = None) -> DataFrame:
     """The rows of docs (columns carry, all by default) with _m (counts), _base_failed and _kept.
 
     The measured rows are written once, with what is carried; cutoffs and verdicts read that table.

@@ -139,4 +139,33 @@ FROM d JOIN vi ON d.s IS NOT DISTINCT FROM vi.s AND d.block = vi.block LEFT JOIN
 WHERE n > 0 AND (left_ >= bt OR cut <= upto)"""
 
 
-ORACLE = {"op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
+def _quality_sql() -> str:
+    q = quality_rules
+    tests = ", ".join(f"('{r}', {i}, {float(c)}::DOUBLE)" for r, cuts in q.RULES.items() for i, c in enumerate(cuts))
+    values = {
+        "symbol_ratio": "n_symbols / greatest(n_words, 1)", "dup_line_ratio": "n_dup_lines / greatest(n_lines, 1)", "repeat_ratio": "n_repeat_words / greatest(n_words, 1)",
+        "upper_ratio": "n_upper / greatest(word_chars, 1)", "mean_word": "word_chars / greatest(n_words, 1)",
+    }
+    value = "CASE r " + " ".join(f"WHEN '{r}' THEN {v}" for r, v in values.items()) + " END"
+    tail = "ln(list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(p) + (n - j) * ln(1 - p)))))"
+    only = lambda wanted: f"length(regexp_replace(t, '[^{wanted}]+', '', 'g'))"
+    return f"""WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+l AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+win AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM l)),
+rep AS (SELECT doc_id, count(*) AS n_repeat_words FROM (SELECT DISTINCT doc_id, p + o AS at FROM win, range(3) r(o) WHERE c > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, {only(q.SYMBOLS)} AS n_symbols, len(ls) AS n_lines,
+  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, {only("A-Z")} AS n_upper FROM l LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+te AS (SELECT * FROM (VALUES {tests}) v(r, i, c)),
+held AS (SELECT b.*, q FROM b JOIN (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IN (0, 1) GROUP BY doc_id) USING (doc_id) WHERE NOT base_failed),
+cnt AS (SELECT lang, r, i, any_value(c) AS c, count(*) FILTER (q = 1) AS n, count(*) FILTER (q = 1 AND {value} > c) AS k, count(*) FILTER (q = 0 AND {value} > c) AS bad FROM held, te GROUP BY lang, r, i),
+st AS (SELECT lang, any_value(n) AS n, count(DISTINCT r) FILTER (bad > 0) AS mm, {q.ALPHA}::DOUBLE / greatest(count(DISTINCT r) FILTER (bad > 0), 1) AS p FROM cnt GROUP BY lang),
+lev AS (SELECT ln({q.DELTA}::DOUBLE / coalesce(sum(mm), 1)) AS level FROM st WHERE n > 0 AND mm > 0 AND n * ln(1 - p) <= ln({q.DELTA}::DOUBLE / mm)),
+ok AS (SELECT lang, r, i, c, bad, bool_and(CASE WHEN k >= n OR k > n * p THEN 0.0 <= level ELSE {tail} <= level END) OVER (PARTITION BY lang, r ORDER BY i) AS alive
+  FROM (SELECT cnt.*, st.p, level FROM cnt JOIN st ON cnt.lang IS NOT DISTINCT FROM st.lang, lev WHERE st.n > 0)),
+cut AS (SELECT lang, r, c FROM (SELECT *, row_number() OVER (PARTITION BY lang, r ORDER BY bad DESC, i) AS rk FROM ok WHERE alive AND bad > 0) WHERE rk = 1),
+fails AS (SELECT DISTINCT b.doc_id FROM b JOIN cut ON b.lang IS NOT DISTINCT FROM cut.lang WHERE {value} > c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM fails) AS kept FROM b"""
+
+
+ORACLE = {"op7_quality_rules": _quality_sql(), "op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}

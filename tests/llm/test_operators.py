@@ -562,7 +562,7 @@ def test_binomial_tail_is_exact(spark):
 
     rows = [(k, n) for n in (1, 5, 400) for k in (0, 1, 3) if k <= n]
     p = 0.02
-    out = spark.createDataFrame(rows, "k long, n long").select("k", "n", quality_rules.log_binomial_cdf(F.col("k"), F.col("n"), p).alias("l")).collect()
+    out = spark.createDataFrame(rows, "k long, n long").select("k", "n", quality_rules.log_binomial_cdf(F.col("k"), F.col("n"), F.lit(p)).alias("l")).collect()
     for x in out:
         exact = log(sum(comb(x.n, i) * p**i * (1 - p) ** (x.n - i) for i in range(x.k + 1)))
         assert x.l == pytest.approx(0.0 if x.k >= x.n or x.k > x.n * p else exact, abs=1e-9)
@@ -584,7 +584,7 @@ def test_cutoffs_use_all_labels_and_strata(spark, monkeypatch):
     for name, v in (("MAX_LABELLED", 40), ("MAX_STRATA", 1)):  # caps there once were
         monkeypatch.setattr(quality_rules, name, v, raising=False)
     rows = [(f"{s}{i}", " ".join(f"{s}{i}w{j}" + "#" * 3 * (i >= 60) for j in range(60)), s, int(i < 60)) for s in "abc" for i in range(80)]
-    rows = [r for r in rows if r[2] != "c" or int(r[0][1:]) >= 50]  # ten good labels certify nothing
+    rows = [r for r in rows if r[2] != "c" or int(r[0][1:]) >= 57]  # three good labels certify nothing
     docs = spark.createDataFrame(rows, "doc_id string, text string, lang string, quality int")
     got = {r.doc_id for r in quality_rules.quality_report(docs.drop("quality"), docs.select("doc_id", "quality"), alpha=0.5).where("kept").collect()}
     assert got == {r[0] for r in rows if r[3] or r[2] == "c"}
