@@ -35,7 +35,7 @@ CHUNK_BITS = 1 << 16
 SHARD_TOKENS = 1 << 22
 END_ID = 1
 #: Encoded pieces that a worker remembers, and the longest piece that is remembered.
-CACHED, CACHED_CHARS = 500_000, 64
+CACHED, CACHED_CHARS = 400_000, 64
 
 
 # ---- the file format -----------------------------------------------------------------------------------------------
@@ -204,16 +204,19 @@ def separable(tokenizer_path: str) -> bool:
 
 
 class Known(dict):
-    """Ids (little-endian uint32) of what has been encoded, up to a bounded number of short strings."""
+    """Ids (little-endian uint32) of what has been encoded: at most CACHED short strings, and as many that were used before them."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.encode(text)
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.encode(text)
         if len(text) <= CACHED_CHARS:
             if len(self) >= CACHED:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -230,7 +233,8 @@ def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    whole = lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    # the call for batches also has a form that keeps no offsets
+    whole = lambda text: array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
     if not separable(tokenizer_path):
         return whole
     words = tokenizer.model.tokenize  # what its normaliser and its split leave as it is needs the model alone
