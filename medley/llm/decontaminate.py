@@ -6,21 +6,30 @@ finds all pieces in one pass over a text; each hit gives a window in which the i
 cannot hold enough of the item's q-grams are dropped (k edits destroy at most q * k of them), and the rest are verified by
 Myers' bit-parallel distance of the item to any substring.
 
-Defined results: null and empty texts hold nothing; items of fewer than LEAST characters are not searched; of repeated
-items each is reported under its id (a null id as null), rows with equal ids and equal texts once; every
-document row that holds an item gives a row per item; an empty table gives an empty result. Texts are searched whole.
+An item so short that its budget is no edit at all must stand as whole words: no letter or digit may touch its ends.
+
+Items are a stated query set that is searched in all rows, in blocks of at most BLOCK_CHARS characters; a block is what is sent to
+every task, and a worker makes its automaton once.
+
+Defined results: null and empty texts hold nothing; empty items are not searched, nor, if least is given, those with fewer
+characters than that; of repeated items each is reported under its id (a null id as null), rows with equal ids and equal texts
+once; every document row that holds an item gives a row per item; an empty table gives an empty result. Texts are
+searched whole, however long.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import worker_held
+
 RATE = 0.08
-LEAST = 20
 Q = 4
 #: Characters of items that one automaton may hold; a larger set goes against all rows in several blocks.
 BLOCK_CHARS = 8_000_000
@@ -101,11 +110,26 @@ class Matcher:
             found[i] = merged
         return found
 
+    @staticmethod
+    def words_at(text: str, item: str, lo: int, hi: int) -> Iterator[int]:
+        """Ends of the places in a window where an item stands as whole words."""
+        at = text.find(item, lo, hi)
+        while at >= 0:
+            end = at + len(item)
+            if not (at and text[at - 1].isalnum() and item[0].isalnum()) and not (text[end : end + 1].isalnum() and item[-1].isalnum()):
+                yield end
+            at = text.find(item, at + 1, hi)
+
     def find(self, text: str) -> Iterator[tuple[int | None, int, int]]:
         """(item id, edits, end of the passage) of each item within budget; the best passage, the first among equals."""
         for i, spans in self.windows(text).items():
             item_id, item = self.items[i]
             k, best = self.budget[i], None
+            if k == 0:
+                ends = (end for lo, hi in spans for end in self.words_at(text, item, lo, hi))
+                if (end := next(ends, None)) is not None:
+                    yield item_id, 0, end
+                continue
             if i not in self.grams:
                 self.grams[i] = [item[j : j + Q] for j in range(len(item) - Q + 1)]
                 self.masks[i] = peq(item)
@@ -123,53 +147,56 @@ class Matcher:
                 yield item_id, *best
 
 
-def blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks of bounded size."""
+def blocks(items: DataFrame, least: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in blocks of bounded size, one after the other."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     for b in range(n):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()
         block = sorted({(r["item_id"], normal(r["text"])) for r in rows}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        if block := [x for x in block if len(x[1]) >= LEAST]:
+        if block := [x for x in block if len(x[1]) >= max(1, least)]:
             yield block
 
 
-def matches(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:
+def searched(rows: DataFrame, place: int, block: list[tuple[int | None, str]], rate: float, ddl, found) -> DataFrame:
+    """rows mapped by found(matcher, batches) for a block of items; place is its number."""
+    shared = rows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block))
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, items = shared.value
+        yield from found(worker_held(f"matcher{place}", key, lambda: Matcher(items, rate)), batches)
+
+    return rows.mapInArrow(search, ddl)
+
+
+MATCHES = "doc_id long, item_id long, edits int, end long"
+
+
+def matches(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", rate: float = RATE, least: int = 1) -> DataFrame:
     """doc_id, item_id, edits and end (in the normalised text) of every benchmark item that a document holds."""
-    spark = docs.sparkSession
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()), ("end", pa.int64())])
-    ddl = "doc_id long, item_id long, edits int, end long"
+
+    def found(matcher: Matcher, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, *m) for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for m in matcher.find(normal(t.as_py() or ""))]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = spark.createDataFrame([], ddl)
-    for block in blocks(items):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
-            for batch in batches:
-                found = []
-                for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    found += [(k, *m) for m in matcher.find(normal(t.as_py() or ""))]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
-
-        found = rows.mapInArrow(search, ddl)
-        out = found if out.isLocal() else out.unionByName(found)
-    return out
+    each = [searched(rows, i, block, rate, MATCHES, found) for i, block in enumerate(blocks(items, least))]
+    return reduce(DataFrame.unionByName, each) if each else docs.sparkSession.createDataFrame([], MATCHES)
 
 
-def clean(docs: DataFrame, items: DataFrame, *, text: str = "text", rate: float = RATE) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, *, text: str = "text", rate: float = RATE, least: int = 1) -> DataFrame:
     """The rows of docs that hold no item, with the columns of docs."""
-    schema, ddl = docs.schema, docs.schema
     at = docs.columns.index(text)
-    for block in blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def keep(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
-            for batch in batches:
-                yield batch.filter(pa.array([next(matcher.find(normal(t.as_py() or "")), None) is None for t in batch.column(at)], pa.bool_()))
+    def kept(matcher: Matcher, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([next(matcher.find(normal(t.as_py() or "")), None) is None for t in batch.column(at)], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, ddl)
-    return docs if docs.schema == schema else docs.select(*schema.names)
+    out = docs
+    for i, block in enumerate(blocks(items, least)):  # rows that one block finds are not searched for the next
+        out = searched(out, i, block, rate, docs.schema, kept)
+    return out

@@ -321,7 +321,7 @@ def test_myers_is_edit_distance():
         assert decontaminate.myers(p, w) == edits(p, w)
 
 
-def test_decontamination_against_brute_force(spark):
+def test_decontamination_against_brute_force(spark, monkeypatch):
     r = random.Random(9)
     word = lambda: "".join(r.choice("aeiounrst") for _ in range(r.randrange(2, 8)))
     items = [" ".join(word() for _ in range(r.randrange(6, 16))) for _ in range(12)]
@@ -338,18 +338,27 @@ def test_decontamination_against_brute_force(spark):
         for n in (0, k // 2, k, k + 3):
             texts.append(" ".join(word() for _ in range(20)) + "\n\t" + hurt(item, n).upper() + "  " + " ".join(word() for _ in range(9)))
         texts.append(item[: len(item) // 2])
-    bench = spark.createDataFrame([*enumerate(items), (99, None), (98, "tiny"), (None, items[0]), (3, items[3])], "item_id long, text string")
+    texts += ["it is TINY.", "destiny tinyx 2tiny", "tinytiny (tiny)", "a " * 300_000 + items[1] + " b" * 300_000, "five5"]
+    bench = spark.createDataFrame([*enumerate(items), (99, None), (97, " "), (98, " tiny"), (96, "5"), (None, items[0]), (3, items[3])], "item_id long, text string")
     docs = table(spark, texts, extra=True)
     got = {(x.doc_id, x.item_id): x.edits for x in decontaminate.matches(docs, bench).collect()}
     want = {}
     for i, x in enumerate(texts):
+        if i in (len(texts) - 5, len(texts) - 3):
+            want[i, 98] = 0
         for j, item in enumerate(items):
+            if len(x or "") > 100_000:  # brute force takes a part around the passage
+                x = x[599_000 : 601_000 + len(items[1])]
             d, _ = edits(decontaminate.normal(item), decontaminate.normal(x or ""))
             if d <= int(len(decontaminate.normal(item)) * decontaminate.RATE):
                 want[i, j] = d
                 if j == 0:
                     want[i, None] = d
     assert got == want and len(want) > 30
+    assert {k for k in got if k[1] in (96, 97, 98)} == {(len(texts) - 5, 98), (len(texts) - 3, 98)}
+    assert {(x.doc_id, x.item_id) for x in decontaminate.matches(docs, bench, least=5).collect()} == {k for k in want if k[1] != 98}
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
+    assert {(x.doc_id, x.item_id): x.edits for x in decontaminate.matches(docs, bench).collect()} == want
     kept = decontaminate.clean(docs, bench)
     assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == set(range(len(texts))) - {i for i, _ in want}
     assert decontaminate.matches(table(spark, []), bench).count() == 0
