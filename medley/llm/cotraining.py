@@ -1,16 +1,22 @@
 """Quality classifier by co-training of two views.
 
-The text view sees hashed words and shape buckets of the text, the metadata view language, source and length. Both are
-logistic regressions. Over some rounds each labels the unlabelled texts that it is surest about for the other one; then each
-is calibrated on a labelled holdout and a last logistic regression combines the calibrated views. There are two heads,
-quality and toxicity; a document is kept when it is likelier good than not and likelier harmless than not.
+The text view sees hashed words and shape buckets of the text's content, the metadata view language, source and length; no feature is in
+both. Both are logistic regressions. Over some rounds each labels the unlabelled texts that it is surest about for the
+other one; then each is calibrated on a labelled holdout and a last logistic regression combines the calibrated views.
+There are two heads, quality and toxicity; a document is kept when it is likelier good than not and likelier harmless
+than not.
 
-Models are fitted on bounded samples: at most MAX_LABELLED labelled and MAX_POOL unlabelled documents, chosen by
-a hash of the id. All documents are scored, whole, in one pass.
+Models are fitted on bounded samples, chosen by a hash of the id: about max_labelled labelled documents at most, and
+pool_share times as many unlabelled ones as there are labelled ones in the sample. In each round a view passes on per_round of
+the pool, in the proportion of the classes, if it is sure enough. All documents are scored, whole, in one pass.
+
+The rows of the sample are sorted by id, and the holdout (one in FOLDS) goes by a hash of the text, so the result
+does not depend on partitions, and copies of a text lie on one side of the split.
 
 Defined results: a null text counts as empty; null metadata is a value of its own; labels that are null are dropped
-and of several labels of one id the best quality and the worst toxicity count; a head without both classes in its labels
-gives its constant rate; repeated rows are scored each; an empty table gives an empty result.
+and of several labels of one id the best quality and the worst toxicity count; of several documents with one id that with the
+least hash is fitted on, and each is scored; a head without both classes in its labels gives its constant rate; an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,11 +32,13 @@ from pyspark.sql import functions as F
 
 from ._shared import sized, written
 
-MAX_LABELLED, MAX_POOL = 8_000, 4_000
+#: Most labelled documents that are fitted on, unlabelled ones per labelled one, and the holdout's share.
+MAX_LABELLED, POOL_SHARE, FOLDS = 8_000, 0.5, 5
 BITS = 20
 N_SHAPES = 64
 META_BITS = 12
-ROUNDS, PER_ROUND, SURE = 3, 300, 0.95
+#: Rounds of exchange, the share of the pool that a view labels in each, and how sure it has to be.
+ROUNDS, PER_ROUND, SURE = 3, 0.075, 0.95
 LEAST_DF, LEAST_CHI2 = 3, 12.0
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>!^~=_")] = True
@@ -49,7 +57,7 @@ class WordIndex(dict):
 
 
 def text_features(text: str, index: WordIndex) -> np.ndarray:
-    """Distinct features of a text: buckets of its shape, then its words without case and outer punctuation."""
+    """Distinct features of a text: buckets of its shape (not of its length), then its words without case and outer punctuation."""
     raw = text.encode()
     b = np.frombuffer(raw, np.uint8)
     words = raw.lower().split()
@@ -57,9 +65,9 @@ def text_features(text: str, index: WordIndex) -> np.ndarray:
     letters = max(1, int(((b | 32) >= 97).sum()))
     shapes = (
         int(10 * SYMBOLS[b].sum() / n), int(20 * ((b >= 65) & (b <= 90)).sum() / letters),
-        int(10 * len(set(words)) / n), int(len(raw) / n), int(20 * ((b >= 48) & (b <= 57)).sum() / max(1, len(raw))), int(np.log2(n)),
+        int(10 * len(set(words)) / n), int(len(raw) / n), int(20 * ((b >= 48) & (b <= 57)).sum() / max(1, len(raw))),
     )
-    sizes = (10, 10, 11, 14, 9, 10)
+    sizes = (10, 10, 11, 14, 9)
     out, at = [], 0
     for v, size in zip(shapes, sizes, strict=True):
         out.append(at + min(max(v, 0), size - 1))
@@ -137,29 +145,29 @@ class Head:
         return 1 / (1 + np.exp(-np.clip(z @ self.mix[:2] + self.mix[2], -30, 30)))
 
 
-def cotrained(text: list[np.ndarray], meta: list[np.ndarray], y: np.ndarray, pool_text: list[np.ndarray], pool_meta: list[np.ndarray]) -> Head:
-    """One head from labelled rows (every fifth is held out) and an unlabelled pool."""
+def cotrained(text: list[np.ndarray], meta: list[np.ndarray], y: np.ndarray, held: np.ndarray, pool_text: list[np.ndarray], pool_meta: list[np.ndarray], rounds: int = ROUNDS, per_round: float = PER_ROUND, sure_at: float = SURE) -> Head:
+    """One head from labelled rows, of which those in held calibrate and the others are fitted on, and an unlabelled pool."""
     rate = float(y.mean()) if len(y) else 0.5
-    if len(y) < 20 or rate in (0.0, 1.0):
+    both = lambda v: 0.0 < v.mean() < 1.0 if len(v) else False
+    if len(y) < 20 or not both(y[held]) or not both(y[~held]):
         flat = lambda dim: Linear(np.zeros(dim, np.float32), 0.0)
         rate = min(max(rate, 1e-3), 1 - 1e-3)
         return Head(flat(1 << BITS), flat(1 << META_BITS), np.array([0.0, 0.0, np.log(rate / (1 - rate))]))
-    held = np.arange(len(y)) % 5 == 0
     train = np.flatnonzero(~held)
     pseudo: tuple[dict[int, float], dict[int, float]] = ({}, {})  # by place in the pool: what the text view and the metadata view are given
     views = ((text, pool_text, 1 << BITS, LEAST_DF, LEAST_CHI2), (meta, pool_meta, 1 << META_BITS, 1, 0.0))
     models: list[Linear] = []
-    for turn in range(ROUNDS + 1):
+    for turn in range(rounds + 1):
         models = []
         for (rows, pool, dim, least, chi2), given in zip(views, pseudo, strict=True):
             models.append(fitted([rows[i] for i in train] + [pool[i] for i in given], np.concatenate([y[train], np.array(list(given.values()))]), dim, least_df=least, least_chi2=chi2))
-        if turn == ROUNDS or not pool_text:
+        if turn == rounds or not pool_text:
             break
         for view, other in ((0, 1), (1, 0)):
             p = 1 / (1 + np.exp(-models[view].logits(views[view][1])))
             # the surest of each class, in the proportion of the labels
-            for label, sure, quota in ((1.0, p, PER_ROUND * rate), (0.0, 1 - p, PER_ROUND * (1 - rate))):
-                order = [i for i in np.argsort(-sure, kind="stable") if sure[i] >= SURE and i not in pseudo[other]]
+            for label, sure, quota in ((1.0, p, per_round * len(p) * rate), (0.0, 1 - p, per_round * len(p) * (1 - rate))):
+                order = [i for i in np.argsort(-sure, kind="stable") if sure[i] >= sure_at and i not in pseudo[other]]
                 pseudo[other].update((int(i), label) for i in order[: max(1, int(quota))])
     h = np.flatnonzero(held)
     logits = []
@@ -170,48 +178,55 @@ def cotrained(text: list[np.ndarray], meta: list[np.ndarray], y: np.ndarray, poo
 
 
 def _features(rows: DataFrame) -> DataFrame:
+    names = ["_id", "quality", "toxic", "fold"]
+
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = WordIndex()
         for batch in batches:
             cols = dict(zip(batch.schema.names, batch.columns, strict=True))
             t = [text_features(x.as_py() or "", index) for x in cols["text"]]
             m = [meta_features(*x) for x in zip(*(cols[c].to_pylist() for c in ("lang", "source", "n_chars")), strict=True)]
-            yield pa.RecordBatch.from_arrays([cols["quality"], cols["toxic"], pa.array([x.tolist() for x in t], pa.list_(pa.int32())), pa.array(m, pa.list_(pa.int32()))], names=["quality", "toxic", "t", "m"])
+            found = [pa.array([x.tolist() for x in t], pa.list_(pa.int32())), pa.array(m, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(cols[c] for c in names), *found], names=[*names, "t", "m"])
 
-    return rows.select("quality", "toxic", "text", "lang", "source", "n_chars").mapInArrow(build, "quality int, toxic int, t array<int>, m array<int>")
+    return rows.select(*names, "text", "lang", "source", "n_chars").mapInArrow(build, "_id long, quality int, toxic int, fold int, t array<int>, m array<int>")
 
 
-def sample(ids: DataFrame, most: int, seed: int) -> DataFrame:
-    """About most ids (fewer if there are fewer), by a hash of the id."""
+def sample(ids: DataFrame, most: float, seed: int) -> DataFrame:
+    """About most rows of ids (all if there are fewer), by a hash of the id."""
     n = ids.count()
     return ids if n <= most else ids.where(F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * most / n))
 
 
-def trained(docs: DataFrame, labels: DataFrame, seed: int = 42) -> tuple[Head, Head]:
+def trained(docs: DataFrame, labels: DataFrame, seed: int = 42, max_labelled: int = MAX_LABELLED, pool_share: float = POOL_SHARE, rounds: int = ROUNDS, per_round: float = PER_ROUND) -> tuple[Head, Head]:
     """The quality and the toxicity head."""
     docs = docs.withColumnRenamed("doc_id", "_id")
     marked = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
-    chosen = written(sample(marked, MAX_LABELLED, seed), "labelled")
-    ids = docs.select("_id").where("_id is not null")
-    pool = written(sample(ids, MAX_POOL, seed + 1).join(labels.select(F.col("doc_id").alias("_id")), "_id", "left_anti").distinct(), "pool")
+    chosen = written(sample(marked, max_labelled, seed), "labelled")
+    free = docs.select("_id").where("_id is not null").join(sized(written(marked.select("_id"), "marked")), "_id", "left_anti").distinct()
+    pool = written(sample(written(free, "free"), pool_share * chosen.count(), seed + 1), "pool")
     none = F.lit(None).cast("int")
     wanted = sized(written(chosen.unionByName(pool.select("_id", none.alias("quality"), none.alias("toxic"))), "wanted"))
-    rows = _features(docs.join(wanted, "_id")).toPandas()  # bounded by the two limits
+    # one row per id, so what comes to the driver is bounded by the two samples
+    found = docs.join(wanted, "_id").withColumn("fold", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int"))
+    columns = ["quality", "toxic", "fold", "text", "lang", "source", "n_chars"]
+    one = found.groupBy("_id").agg(F.min_by(F.struct(*columns), F.struct(F.xxhash64("text", "lang", "source", "n_chars"), "text")).alias("r")).select("_id", "r.*")
+    rows = _features(one).orderBy("_id").toPandas()
     text, meta = [np.asarray(x, np.int64) for x in rows["t"]], [np.asarray(x, np.int64) for x in rows["m"]]
-    free = np.flatnonzero((rows["quality"].isna() & rows["toxic"].isna()).to_numpy())
+    unmarked = np.flatnonzero((rows["quality"].isna() & rows["toxic"].isna()).to_numpy())
     heads = []
     for name in ("quality", "toxic"):
         have = np.flatnonzero(rows[name].notna().to_numpy())
-        y = rows[name].to_numpy(float)[have]
-        heads.append(cotrained([text[i] for i in have], [meta[i] for i in have], y, [text[i] for i in free], [meta[i] for i in free]))
+        y, held = rows[name].to_numpy(float)[have], rows["fold"].to_numpy()[have] == 0
+        heads.append(cotrained([text[i] for i in have], [meta[i] for i in have], y, held, [text[i] for i in unmarked], [meta[i] for i in unmarked], rounds, per_round))
     return heads[0], heads[1]
 
 
-def scored(docs: DataFrame, labels: DataFrame, seed: int = 42) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, quality and toxicity scores, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
     parts = lambda m: (m.weights, m.bias, m.scale, m.shift)
-    shared = docs.sparkSession.sparkContext.broadcast([(parts(h.text), parts(h.meta), h.mix) for h in trained(docs, labels, seed)])
+    shared = docs.sparkSession.sparkContext.broadcast([(parts(h.text), parts(h.meta), h.mix) for h in trained(docs, labels, **options)])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = WordIndex()

@@ -632,13 +632,26 @@ def test_cotraining_on_held_out_labels(spark):
     assert cotraining.scored(docs.limit(5), seen.limit(0)).count() == 5
 
 
+def test_cotraining_does_not_depend_on_partitions(spark):
+    docs, labels = labelled_corpus(spark, 400)
+    marks = spark.createDataFrame(labels[:200], "doc_id long, quality int, toxic int")
+    hot = docs.limit(1).crossJoin(spark.range(50)).drop("id")
+    docs = docs.unionByName(hot).unionByName(spark.createDataFrame([(7, "w " * 500_000, None, None, None)], DOCS))
+    a, b = (sorted(tuple(x) for x in cotraining.scored(docs.repartition(n), marks.repartition(n)).collect()) for n in (1, 6))
+    assert a == b and len(a) == 451
+
+
 def test_cotraining_rounds_exchange_labels():
+    """The labelled texts say nothing of the words of the pool; the metadata view knows its classes and teaches them to the text view."""
     r = np.random.default_rng(0)
-    y = (r.random(40) < 0.5).astype(float)
-    rows = lambda ys: [np.array([100 + int(v), 200 + int(r.integers(5))]) for v in ys]
-    pool = (r.random(200) < 0.5).astype(float)
-    head = cotraining.cotrained(rows(y), rows(y), y, rows(pool), rows(pool))
-    assert (np.abs(head.scores(rows(pool), rows(pool)) - pool) < 0.5).all()
+    y, pool = (r.random(300) < 0.5).astype(float), (r.random(600) < 0.5).astype(float)
+    rows = lambda ys, word: [np.array(sorted({word + int(v), 5000 + int(r.integers(40))})) for v in ys]
+    meta = lambda ys: [np.array([10 + int(v)]) for v in ys]
+    held = np.arange(300) % 5 == 0
+    data = (rows(y, 100), meta(y), y, held, rows(pool, 200), meta(pool))
+    fresh = (r.random(400) < 0.5).astype(float)
+    right = [np.mean((cotraining.cotrained(*data, rounds=n).text.logits(rows(fresh, 200)) > 0) == fresh) for n in (0, 3)]
+    assert right[0] < 0.65 and right[1] > 0.95
 
 
 # ---- 9 -------------------------------------------------------------------------------------------------------------
