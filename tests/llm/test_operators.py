@@ -283,17 +283,63 @@ def test_pii_em_finds_the_reliable_labelers():
     truth = r.random(20_000) < 0.4
     good = [0.95, 0.9, 0.85, 0.7, 0.55]
     votes = np.stack([np.where(r.random(20_000) < g, truth, ~truth) * 2 for g in good], 1)
-    codes = np.zeros(20_000, int)
-    for i in range(pii.LABELERS):
-        codes = codes * 3 + votes[:, i]
-    patterns, counts = np.unique(codes * pii.N_LENGTHS * pii.N_SEPARATORS, return_counts=True)
+    codes = np.array([pii.pattern_code(0, tuple(v)) for v in votes.tolist()])
+    patterns, counts = np.unique(codes, return_counts=True)
     p, table_ = pii.em_posteriors(patterns, counts.astype(float))
     found = [table_[0, i, 1, pii.YES] for i in range(pii.LABELERS)]
     assert np.allclose(found, good, atol=0.03)
-    each = p[np.searchsorted(patterns, codes * pii.N_LENGTHS * pii.N_SEPARATORS)]
+    each = p[np.searchsorted(patterns, codes)]
     assert ((each > 0.5) == truth).mean() > 0.96
-    final = pii.accepted(list(zip(patterns.tolist(), counts.tolist())), 0.5)
-    assert (np.isin(codes * pii.N_LENGTHS * pii.N_SEPARATORS, list(final)) == truth).mean() > 0.95
+    rows = [[i * 3 + v for i, v in enumerate(vs)] for vs in votes.tolist()[:3000]]
+    w = pii.trained(rows, each[:3000], np.ones(3000))
+    assert np.mean([(w[x].sum() + w[-1] > 0) == t for x, t in zip(rows, truth)]) > 0.95
+
+
+def test_pii_labelers_abstain_and_read_whole_words():
+    known = pii.Gazetteers()
+
+    def cast(text, kind):
+        a, k, b, _ = next(c for c in pii.candidates(text) if pii.KINDS[c[1]] == kind)
+        return dict(zip(("form", "test", "gaz", "context", "edge"), pii.votes(text, a, k, b, known)))
+
+    assert cast("a ship 8.8.4.4 said", "ip")["context"] == pii.ABSTAIN and cast("my IP: 8.8.4.4", "ip")["context"] == pii.YES
+    assert cast("at 10100.1.1.1 x", "ip")["test"] == pii.NO and cast("version 8.8.4.4", "ip")["context"] == pii.NO
+    for words in ("Telefon", "teléfono", "téléphone", "phone"):
+        assert cast(f"{words} +49 30 1234567", "phone")["context"] == pii.YES
+    assert cast("+890 30 1234567", "phone")["gaz"] == pii.NO and cast("(212) 555-0188", "phone")["gaz"] == pii.ABSTAIN
+    assert cast("Frau Zoë Müller", "name") == {"form": 1, "test": 1, "gaz": 1, "context": 1, "edge": 1} and cast("Sra. Carmen Ruiz", "name")["gaz"] == pii.YES
+    assert cast("123-45-6789", "idnum")["gaz"] == cast("123-45-6789", "idnum")["form"] == pii.ABSTAIN
+
+
+def test_pii_classifier_reads_the_context(spark):
+    r = random.Random(4)
+    number = lambda: f"{r.randrange(200, 1000)}-{r.randrange(100, 1000)}-{r.randrange(1000, 10000)}"
+    texts, truth = [], []
+    for i in range(1500):
+        yes = r.random() < 0.5
+        before = r.choice(("please call me", "my telephone", "Telefon Büro", "mobile is")) if yes else r.choice(("invoice no", "the order", "commande", "section"))
+        texts.append(f"some words {before} {number()} and more {r.choice('abc')}")
+        truth.append(yes)
+    got = by_id(pii.personal_report(table(spark, texts), sample=400))
+    found = np.array([got[i].n_spans > 0 for i in range(1500)])
+    assert found[truth].mean() > 0.95 and found[~np.array(truth)].mean() < 0.05
+    assert all(got[i].has_personal == bool(got[i].spans) for i in range(1500))
+
+
+def test_pii_added_spans_overlap_nothing():
+    r = random.Random(6)
+    for _ in range(500):
+        cands = []
+        for _ in range(r.randrange(12)):
+            a = r.randrange(60)
+            cands.append({"start": a, "rank": r.randrange(6), "end": a + r.randrange(1, 15), "base": r.random() < 0.3, "feats": [r.randrange(40)]})
+        weights = np.array([r.uniform(-2, 4) for _ in range(41)])
+        out = pii.chosen(sorted(cands, key=lambda c: c["start"]), weights, 0.8)
+        added = []  # by hand: the likeliest first
+        for c in sorted((c for c in cands if not c["base"] and weights[c["feats"][0]] + weights[-1] >= np.log(4)), key=lambda c: (-float(weights[c["feats"]].sum() + weights[-1]), c["start"], c["rank"], c["end"])):
+            if not any(c["start"] < o["end"] and o["start"] < c["end"] for o in added + [o for o in cands if o["base"]]):
+                added.append(c)
+        assert sorted(map(str, out)) == sorted(map(str, added + [c for c in cands if c["base"]]))
 
 
 def test_long_runs_stay_linear():
