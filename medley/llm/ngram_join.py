@@ -12,13 +12,19 @@ n - ceil(t * n) + 1 members.
 3. Groups within one component are done. The others are joined whole: small groups by pairs, large ones by pairs of
    blocks of similar size. What two sets share in their rare ends and what can lie beyond bounds their overlap; pairs
    whose bound is too low are left out. No step drops a candidate that could link.
-4. Each task builds a trie over its targets, walks it with every probe, carries the overlap of the shared path down, and
-   prunes subtrees whose remaining lengths cannot reach the overlap that the threshold asks for.
+4. What is left of a group goes into tries, each pair in the one group of its least shared n-gram: a task builds a trie over the
+   group's targets, walks it with all its probes, carries the overlap of the shared path down, and prunes subtrees whose
+   remaining lengths cannot reach the overlap that the threshold asks for. Large groups are dealt to several tries by target and
+   probe.
 
 Components of the links come from alternating star contraction. Defined results: texts with fewer words than n have their
 whole sequence as one shingle; texts without words (or null) have an empty set and link with nothing; rows
 with a null id get a null component and link with nothing; rows that repeat an id count as one document with several
-texts; an empty table gives an empty result. Distinct n-grams are told apart by a 64-bit hash.
+texts; an empty table gives an empty result; texts are read whole; other columns are not read. Distinct n-grams are told apart
+by a 64-bit hash.
+
+An n-gram outside the table of frequent ones was found under COUNTED_FROM times in each run of COUNTED n-grams, or less often
+than all in the table, so none that a fixed share of the texts hold is among those whose holders one task orders.
 """
 
 from __future__ import annotations
@@ -43,8 +49,8 @@ FREQUENT, FREQUENT_FROM = 1 << 18, 20
 COUNTED, COUNTED_FROM = 1 << 22, 3
 #: Groups up to SMALL are joined by pairs, larger ones by blocks of so many sets or n-grams, over BY_SIZE apart by size.
 SMALL, WIDE_BLOCK, BLOCK_NGRAMS, BY_SIZE = 24, 256, 20_000_000, 4096
-#: Most targets of one trie.
-BLOCK = 64
+#: Most targets of one trie, probes that walk it, and n-grams of either.
+BLOCK, WALKS, TRIE_NGRAMS = 256, 1024, 5_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD6E8FEB86659FD93
 
@@ -384,7 +390,7 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     a = open_small.select("code", F.col("id").alias("a"), F.col("n").alias("na"), F.col("end").alias("ea"), F.col("pos").alias("pa"), F.col("group").alias("ga"))
     b = open_small.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("end").alias("eb"), F.col("pos").alias("pb"), F.col("group").alias("gb"))
     pairs = a.join(b, "code").where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & compatible(F.col("na"), F.col("nb"), percent))
-    pairs = pairs.groupBy("a", "b", "na", "nb", "ea", "eb", "ga", "gb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    pairs = pairs.groupBy("a", "b", "na", "nb", "ea", "eb", "ga", "gb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.min("code").alias("code"))
     big = sized(written(large_counts, "large-counts"))
     pairs = pairs.join(big.select(F.col("id").alias("a"), F.col("big").alias("ba")), "a", "left").join(big.select(F.col("id").alias("b"), F.col("big").alias("bb")), "b", "left")
     # What they can have in common: what their rare ends share, and what lies beyond. The rare end that stops first in the
@@ -394,13 +400,10 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     rest = lambda n: F.ceil(F.col(n) * percent / 100) - 1
     beyond = F.when(F.col("ea") == F.col("eb"), F.least(rest("na"), rest("nb"))).when(F.col("ea") > F.col("eb"), rest("na")).otherwise(rest("nb"))
     most = both + F.least(beyond, F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    pairs = pairs.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "ga", "gb")
-    pairs = written(pairs.unionByName(block_pairs(open_large, placed, percent)).distinct(), "pairs")
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("chunks"), F.first("ga").alias("ga"))
-    targets = pairs.drop("ga").join(chunks, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("chunks"))).alias("unit"), F.col("b").alias("id"), F.col("gb").alias("group"), F.lit(1).alias("side"))
-    probes = chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    probes = probes.select(F.xxhash64("a", F.col("chunk")).alias("unit"), F.col("a").alias("id"), F.col("ga").alias("group"), F.lit(0).alias("side"))
-    units = targets.unionByName(probes)
+    pairs = pairs.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", "ga", "gb", "code")
+    pairs = pairs.unionByName(block_pairs(open_large, placed, percent))
+    pairs = written(pairs.groupBy("a", "b", "na", "nb", "ga", "gb").agg(F.min("code").alias("code")), "pairs")
+    units = group_units(pairs)
     more = verified(units, texts, frequent, n, percent)
 
     # components over both rounds; classes that stand alone need no row
@@ -412,6 +415,28 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     return out.select("id", "n", component.alias("component"))
 
 
+def group_units(pairs: DataFrame) -> DataFrame:
+    """Units (unit, id, group, side) for pairs (a, b, na, nb, ga, gb, code): per code its a as probes and its b as targets.
+
+    A code with many of either is dealt to several units, and only to those in which a pair of its own meets.
+    """
+
+    def dealt(side: str, most: int) -> DataFrame:
+        """Per code the number of parts into which its sets of a side are dealt."""
+        sets = pairs.select("code", F.col(side).alias("id"), F.col(f"n{side}").alias("n")).distinct()
+        parts = F.greatest(F.ceil(F.count(F.lit(1)) / most), F.ceil(F.sum("n") / TRIE_NGRAMS))
+        return sets.groupBy("code").agg(parts.alias(f"{side}_parts")).where(F.col(f"{side}_parts") > 1)
+
+    rows = pairs
+    for side, most in (("a", WALKS), ("b", BLOCK)):
+        rows = rows.join(sized(written(dealt(side, most), "parts")), "code", "left")
+    part = lambda side: F.pmod(F.xxhash64(side), F.coalesce(f"{side}_parts", F.lit(1)))
+    rows = rows.withColumn("unit", F.xxhash64("code", part("a"), part("b")))
+    both = rows.select("unit", F.explode(F.array(*(F.struct(F.col(s).alias("id"), F.col(f"g{s}").alias("group"), F.lit(i).alias("target")) for i, s in enumerate("ab")))).alias("x"))
+    sides = both.groupBy("unit", "x.id", "x.group").agg(F.min("x.target").alias("least"), F.max("x.target").alias("most"))
+    return sides.select("unit", "id", "group", F.when(F.col("least") < F.col("most"), 2).otherwise(F.col("most")).alias("side"))
+
+
 def block_units(entries: DataFrame, percent: int) -> DataFrame:
     """Units over large groups (code, id, n, m): all pairs of their blocks; very large ones only those of compatible sizes."""
     ratio = (100.0 / percent) ** 0.5
@@ -428,11 +453,11 @@ def block_units(entries: DataFrame, percent: int) -> DataFrame:
     mine, theirs = F.struct("size", "salt"), F.struct(F.col("near.size").alias("size"), F.col("other").alias("salt"))
     unit = F.xxhash64("code", F.least(mine, theirs), F.greatest(mine, theirs))
     block = F.when(mine == theirs, 2).when(mine < theirs, 0).otherwise(1)
-    return other.select(unit.alias("unit"), "id", "probe", block.alias("block"))
+    return other.select(unit.alias("unit"), "code", "id", "probe", block.alias("block"))
 
 
 def block_pairs(entries: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, ga, gb) of large groups that can link.
+    """Pairs (a, b, na, nb, ga, gb, code) of large groups that can link.
 
     A unit brings two blocks together with what each of their sets shares of its rare end, a small part of the set; so what a pair
     has in common there is known exactly, and what may lie beyond is bounded by the size of the other part.
@@ -461,10 +486,10 @@ def block_pairs(entries: DataFrame, shared: DataFrame, percent: int) -> DataFram
             can &= (group[lo:hi] != group[i]) & (ids[lo:hi] != ids[i]) & ((block[lo:hi] != block[i]) | (block[i] == 2))
             for t in np.flatnonzero(can) + lo:
                 a, b = (i, t) if ids[i] < ids[t] else (t, i)
-                out.append((ids[a], ids[b], group[a], group[b]))
-        return pd.DataFrame(out, columns=["a", "b", "ga", "gb"], dtype="int64").drop_duplicates()
+                out.append((ids[a], ids[b], n[a], n[b], group[a], group[b], pdf["code"].iloc[0]))
+        return pd.DataFrame(out, columns=["a", "b", "na", "nb", "ga", "gb", "code"], dtype="int64").drop_duplicates()
 
-    return units.groupBy("unit").applyInPandas(pairs, "a long, b long, ga long, gb long")
+    return units.groupBy("unit").applyInPandas(pairs, "a long, b long, na long, nb long, ga long, gb long, code long")
 
 
 def jaccard_report(docs: DataFrame, **options) -> DataFrame:

@@ -752,7 +752,7 @@ def near_copies(seed=0):
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_components(spark, monkeypatch, small):
     if small:  # frequent n-grams, large groups and blocks at test size
-        for name, v in (("FREQUENT_FROM", 4), ("COUNTED_FROM", 2), ("SMALL", 3), ("BLOCK", 5), ("WIDE_BLOCK", 7), ("BY_SIZE", 30)):
+        for name, v in (("FREQUENT_FROM", 4), ("COUNTED_FROM", 2), ("SMALL", 3), ("BLOCK", 5), ("WALKS", 6), ("WIDE_BLOCK", 7), ("BY_SIZE", 30)):
             monkeypatch.setattr(ngram_join, name, v)
     texts = near_copies(int(small))
     n, comp = plain_components(texts)
@@ -781,6 +781,22 @@ def test_jaccard_leader_that_links_with_nobody(spark):
     assert [x.component_id for x in ngram_join.jaccard_report(table(spark, texts)).orderBy("doc_id").collect()] == comp
 
 
+def test_jaccard_pairs_meet_in_one_unit(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "WALKS", 4)
+    r = random.Random(2)
+    want = {(a, b, c) for c in (1, 2, 3) for a, b in (sorted(r.sample(range(30), 2)) for _ in range(40 * c))}
+    pairs = spark.createDataFrame([(a, b, 5, 5, a, b, c) for a, b, c in want], "a long, b long, na long, nb long, ga long, gb long, code long")
+    units = defaultdict(lambda: (set(), set()))
+    for x in ngram_join.group_units(pairs).collect():
+        if x.side != 1:
+            units[x.unit][0].add(x.id)
+        if x.side != 0:
+            units[x.unit][1].add(x.id)
+    assert all(any(a in p and b in t for p, t in units.values()) for a, b, _ in want) and len(units) > 20
+    assert max(len(t) for _, t in units.values()) <= 9 and max(len(p) for p, _ in units.values()) <= 12
+
+
 def test_trie_finds_all_links():
     r = np.random.default_rng(4)
     sets = []
