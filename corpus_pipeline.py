@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; all but the last return the columns of
 documents. A stage reads its other tables from sf_dir.
+
+Defined results: a row with a null text, or with under 50 words, falls to the quality rules; a null id is judged like any other, is never
+a near copy and keeps a place in the token files; rows that repeat an id are judged each for itself, and all stay if their id is
+that of their group; of a group of near copies the least id stays; a null language or source is a value of its own; no labels
+leave the base rules alone, no benchmark item cleans nothing; an empty table gives an empty result. Texts are read whole by every
+stage; other columns pass through, and may have any name that does not begin with an underscore.
 """
 
 from __future__ import annotations
