@@ -45,21 +45,17 @@ def kept_only(text: Column, wanted: str) -> Column:
 def with_measures(docs: DataFrame, text: str = "text", into: str = "_m") -> DataFrame:
     """docs with a struct of the counts of each text.
 
-    A word counts as repeated when it stands in a 3-word window found at least twice: the windows' 64-bit hashes are sorted
-    with their positions, equal neighbours with equal words give the positions, and gaps of under three words overlap. Each step
-    is a column of its own, so that it is evaluated once and by generated code.
+    A word counts as repeated when it stands in a 3-word window found at least twice: windows are sorted with
+    their positions, equal neighbours give the positions, and gaps of under three words overlap. Each step is a
+    column of its own, so that it is evaluated once and by generated code. (Sorting the windows' hashes takes longer: a hash
+    for each window costs more than comparing words, which mostly differ in their first letters.)
     """
     columns = docs.columns
     t, w, s, p = (F.col(c) for c in ("_t", "_w", "_s", "_p"))
     m = F.size(w) - 2
-    words = F.arrays_zip(F.slice(w, 1, m).alias("a"), F.slice(w, 2, m).alias("b"), F.slice(w, 3, m).alias("c"))
-    windows = F.transform(words, lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("p")))
-    no_windows = F.array().cast("array<struct<h:bigint,p:int>>")
-
-    def same(x: Column, y: Column) -> Column:
-        equal = (x["h"] == y["h"]) & (w[x["p"]] == w[y["p"]]) & (w[x["p"] + 1] == w[y["p"] + 1]) & (w[x["p"] + 2] == w[y["p"] + 2])
-        return F.when(equal, F.array(x["p"], y["p"]))
-
+    windows = F.arrays_zip(F.slice(w, 1, m).alias("a"), F.slice(w, 2, m).alias("b"), F.slice(w, 3, m).alias("c"), F.sequence(F.lit(0), m - 1).alias("p"))
+    no_windows = F.array().cast("array<struct<a:string,b:string,c:string,p:int>>")
+    same = lambda x, y: F.when((x["c"] == y["c"]) & (x["b"] == y["b"]) & (x["a"] == y["a"]), F.array(x["p"], y["p"]))
     k = F.size(s) - 1
     twice = F.filter(F.zip_with(F.slice(s, 1, k), F.slice(s, 2, k), same), lambda x: x.isNotNull())
     none = F.array().cast("array<int>")
