@@ -168,4 +168,43 @@ fails AS (SELECT DISTINCT b.doc_id FROM b JOIN cut ON b.lang IS NOT DISTINCT FRO
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM fails) AS kept FROM b"""
 
 
-ORACLE = {"op7_quality_rules": _quality_sql(), "op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
+def _quotes_sql() -> str:
+    c = chat_quotes
+    marks, punctuation = (_quoted(x).replace("\t", "' || chr(9) || '") for x in (c.MARKS, c.PUNCTUATION))
+    norm = lambda x: f"trim(regexp_replace(lower({x}), '[\\x09-\\x0D\\x20]+', ' ', 'g'), {punctuation})"
+    paragraphs, nl = r"'\n[\x09-\x0D\x20]*\n'", "chr(10)"
+
+    def parts(source: str, keys: str, text: str) -> str:
+        """keys, f, l, h of the lines of a text and of its paragraphs."""
+        return f"""(SELECT DISTINCT * FROM (WITH pa AS (SELECT {keys}, unnest(ps) AS p, unnest(range(len(ps))) AS k FROM (SELECT *, string_split_regex({text}, {paragraphs}) AS ps FROM {source})),
+  li AS (SELECT {keys}, p, k, list_filter(list_transform(string_split(p, {nl}), lambda x: {norm("x")}), lambda x: x <> '') AS ls FROM pa),
+  nu AS (SELECT *, coalesce(sum(len(ls)) OVER (PARTITION BY {keys} ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a FROM li)
+  SELECT {keys}, a AS f, a + len(ls) - 1 AS l, {norm("p")} AS h FROM nu WHERE len(ls) > 0 UNION ALL SELECT {keys}, a + i, a + i, h FROM (SELECT {keys}, a, unnest(ls) AS h, unnest(range(len(ls))) AS i FROM nu)))"""
+
+    chain = """list_max(list_transform(list_reduce(list_transform(list_sort(list({'f': f, 'l': l, 'hf': hf, 'hl': hl})), lambda x: [{'l': x.l, 'hl': x.hl, 'f': x.f, 'hf': x.hf, 'n': x.l - x.f + 1}]),
+  lambda acc, x: list_concat(acc, [{'l': x[1].l, 'hl': x[1].hl, 'f': x[1].f, 'hf': x[1].hf, 'n': x[1].n + coalesce(list_max(list_transform(list_filter(acc, lambda y: y.l < x[1].f AND y.hl < x[1].hf), lambda y: y.n)), 0)}])), lambda y: y.n))"""
+    return f"""WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id AS c, turn AS t, role, string_split_regex(coalesce(text, ''), '\\r?\\n') AS ls FROM conversations),
+ln AS (SELECT rid, c, t, unnest(ls) AS x, unnest(range(len(ls))) AS i FROM m),
+lv AS (SELECT *, length(mk) - length(replace(mk, '>', '')) AS n, ltrim(x, {marks}) AS rest FROM (SELECT *, x[1:length(x) - length(ltrim(x, {marks}))] AS mk FROM ln)),
+top AS (SELECT rid, max(n) AS n FROM lv GROUP BY rid),
+own AS (SELECT rid, string_agg(x, {nl} ORDER BY i) AS b FROM lv JOIN top USING (rid) WHERE lv.n = 0 AND NOT (top.n > 0 AND regexp_matches(x, {_quoted(c.ATTRIBUTION.replace("(?i)", ""))}, 'i')) GROUP BY rid),
+msg AS (SELECT m.rid, c, t, role, trim(coalesce(b, ''), ' ' || chr(9) || chr(13) || {nl}) AS body, top.n AS quote_levels FROM m JOIN top USING (rid) LEFT JOIN own USING (rid)),
+runs AS (SELECT rid, c, t, n, run, string_agg(rest, {nl} ORDER BY i) AS q FROM (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS run FROM
+  (SELECT *, (n <> coalesce(lag(n) OVER (PARTITION BY rid ORDER BY i), -1))::INT AS new FROM lv)) WHERE n > 0 GROUP BY ALL),
+pas AS (SELECT rid, c, t, n, q, row_number() OVER (PARTITION BY rid ORDER BY run) - 1 AS pos, {norm("q")} AS h FROM runs WHERE {norm("q")} <> ''),
+qs AS (SELECT DISTINCT c, t, pos, n, q, h FROM pas WHERE c IS NOT NULL AND t IS NOT NULL),
+ho AS (SELECT c, h, min(t) AS u FROM (SELECT c, t, unnest(list_transform(list_concat([body], string_split_regex(body, {paragraphs}), string_split(body, {nl})), lambda x: {norm("x")})) AS h FROM msg WHERE t IS NOT NULL AND c IN (SELECT c FROM qs)) WHERE h <> '' GROUP BY c, h),
+wh AS (SELECT qs.*, u FROM qs JOIN ho ON qs.c = ho.c AND qs.h = ho.h AND u < t),
+re AS (SELECT * FROM qs ANTI JOIN wh USING (c, t, pos, n, h)),
+bo AS (SELECT c, body, min(t) AS u FROM msg WHERE t IS NOT NULL AND c IN (SELECT c FROM re) GROUP BY c, body),
+sc AS (SELECT c, t, pos, n, u, {chain} AS w FROM (SELECT a.c, a.t, a.pos, a.n, b.u, b.body, a.f, a.l, b.f AS hf, b.l AS hl
+  FROM {parts("re", "c, t, pos, n", "q")} a JOIN {parts("bo", "c, u, body", "body")} b ON a.c = b.c AND a.h = b.h AND b.u < a.t) GROUP BY c, t, pos, n, u, body),
+lk AS (SELECT c, t, arg_min(u, (n, pos)) AS up, count(DISTINCT pos) AS n_linked FROM (SELECT c, t, pos, n, u FROM wh UNION ALL SELECT c, t, pos, n, arg_min(u, (-w, u)) FROM sc GROUP BY c, t, pos, n) GROUP BY c, t),
+tr(c, t, root, path) AS (SELECT DISTINCT c, up, up, [up] FROM lk WHERE (c, up) NOT IN (SELECT (c, t) FROM lk) UNION ALL SELECT tr.c, lk.t, tr.root, list_append(path, lk.t) FROM tr JOIN lk ON lk.c = tr.c AND lk.up = tr.t),
+pl AS (SELECT c, t, root, row_number() OVER (PARTITION BY c, root ORDER BY path) - 1 AS place FROM tr)
+SELECT msg.c AS conv_id, msg.t AS turn, role, body, quote_levels, coalesce(nq, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, up AS reply_to, coalesce(root, msg.t) AS thread,
+  CASE WHEN msg.t IS NOT NULL THEN coalesce(place, 0) END AS place
+FROM msg LEFT JOIN (SELECT rid, count(*) AS nq FROM pas GROUP BY rid) USING (rid) LEFT JOIN lk ON lk.c = msg.c AND lk.t = msg.t LEFT JOIN pl ON pl.c = msg.c AND pl.t = msg.t"""
+
+
+ORACLE = {"op6_quotation_links": _quotes_sql(), "op7_quality_rules": _quality_sql(), "op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}

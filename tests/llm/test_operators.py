@@ -567,6 +567,22 @@ def test_quotations_against_brute_force(spark):
     assert len(planted) > 100 and np.mean([got[k][0] == t for k, t in planted.items()]) >= 0.9
 
 
+def test_quotation_sql_against_brute_force():
+    """The tables hold no quotes, so the query's SQL is held against the plain version here."""
+    duckdb = pytest.importorskip("duckdb")
+    import pandas as pd
+
+    from medley.llm.queries import ORACLE
+
+    rows, _ = quoting_messages(5, 20)
+    c = duckdb.connect()
+    c.register("conversations", pd.DataFrame([(a, b, "u", x) for a, b, x in rows], columns=["conv_id", "turn", "role", "text"]))
+    out = c.execute(ORACLE["op6_quotation_links"])
+    names = [d[0] for d in out.description]
+    got = [dict(zip(names, r)) for r in out.fetchall()]
+    assert {(r["conv_id"], r["turn"]): (r["reply_to"], r["thread"], r["place"], r["body"]) for r in got} == plain_links(rows) and len(got) == len(rows)
+
+
 def test_conversations_in_reply_order(spark, monkeypatch):
     monkeypatch.setattr(chat_quotes, "PART", 2)
     monkeypatch.setattr(chat_quotes, "TURNS", 2)
