@@ -133,7 +133,6 @@ def test_each_stage_against_a_plain_version(spark, tmp_path):
         want.append((r["doc_id"], start, len(raw), zlib.crc32(raw.tobytes())))
         start += len(raw)
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in done[4])
-    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in corpus_pipeline.run(spark, at).collect())
 
 
 def test_pipeline_of_empty_tables(spark, tmp_path):
