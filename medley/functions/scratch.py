@@ -23,8 +23,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Scratch folders that this process has named, in order.
+MADE: list[str] = []
+
+
 def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return MADE[-1]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
