@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import BROADCAST_ROWS, new_dir, shared_dir, sized, written
 
-__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "folders", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_held", "written"]
+__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "counted_join", "folders", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_held", "written"]
 
 #: The six characters that separate words in every contract: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -86,6 +86,25 @@ def spread_join(rows: DataFrame, small: DataFrame, on: str, by: Column, how: str
     return rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS))).join(small.withColumn("_salt", F.explode(salts)), [on, "_salt"], how).drop("_salt")
 
 
+#: Rows of one key from which that key is joined apart from the others.
+HOT = 1000
+
+
+def counted_join(rows: DataFrame, small: DataFrame, on: str, n: str, by: Column) -> DataFrame:
+    """rows left-joined with small, a written table that has each key once and, in n, how many rows have it; n is dropped.
+
+    By broadcast if small is. Else keys of more than HOT rows, of which there are few, are broadcast and the others join by key, so
+    no task gets more than HOT rows of one. If even those are too many to send, all keys are salted by the hash of by.
+    """
+    if (sent := sized(small)) is not small:
+        return rows.join(sent.drop(n), on, "left")
+    hot = small.where(F.col(n) > HOT).drop(n)
+    if (sent := sized(hot)) is hot:
+        return spread_join(rows, small.drop(n), on, by)
+    cold = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(small.where(F.col(n) <= HOT).drop(n), on, "left")
+    return rows.join(sent, on).unionByName(cold)
+
+
 def worker_held(name: str, key: object, make):
     """What make() gave for this key in this worker process: it outlives a task. One value is held for each name."""
     held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker")).__dict__

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_quotes, cotraining, decontaminate, mixing, ngram_join, pii, quality_rules, secret_scan, warc, wavelet
+from . import chat_quotes, cotraining, decontaminate, fill_in_middle, filter_audit, mixing, ngram_join, pii, quality_rules, secret_scan, token_counts, warc, wavelet
 from ._shared import table
 
 
@@ -48,6 +48,18 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_report(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.middle_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
@@ -59,6 +71,9 @@ QUERIES = {
     "op8_cotraining": op8_cotraining,
     "op9_ngram_join": op9_ngram_join,
     "op10_warc_index": op10_warc_index,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_counts": op12_token_counts,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
@@ -207,4 +222,27 @@ SELECT msg.c AS conv_id, msg.t AS turn, role, body, quote_levels, coalesce(nq, 0
 FROM msg LEFT JOIN (SELECT rid, count(*) AS nq FROM pas GROUP BY rid) USING (rid) LEFT JOIN lk ON lk.c = msg.c AND lk.t = msg.t LEFT JOIN pl ON pl.c = msg.c AND pl.t = msg.t"""
 
 
-ORACLE = {"op6_quotation_links": _quotes_sql(), "op7_quality_rules": _quality_sql(), "op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
+AUDIT_SQL = """WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+f AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+m AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS x FROM f),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, x, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, x),
+n AS (SELECT unnest(range(1, 6)) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM n a, n b, n c, n d, n e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT c.*, o, k, o[k] AS f, x[o[k]] AS fails, list_bool_or(list_transform(o[1:k - 1], lambda j: x[j])) IS NOT DISTINCT FROM true AS gone, len(list_filter(x, lambda y: y)) AS failed
+  FROM c, o, (SELECT i AS k FROM n)),
+g AS (SELECT part, o, k, f, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant,
+  coalesce(sum(n) FILTER (fails AND failed = 1), 0) AS unique_fails, coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS toxic_lost FROM s GROUP BY part, o, k, f)
+SELECT part, array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order, k::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM g"""
+
+MIDDLE_SQL = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS k, list_transform(range(4), lambda i: ('0x' || h[8 * i + 1:8 * i + 8])::UBIGINT::BIGINT) AS h4 FROM d),
+c AS (SELECT *, len(k) AS n, least(h4[1] % (len(k) + 1), h4[2] % (len(k) + 1)) AS lo, greatest(h4[1] % (len(k) + 1), h4[2] % (len(k) + 1)) AS hi,
+  CASE WHEN t = '' OR regexp_matches(t, '<P>|<S>|<M>') OR h4[3] % 100 >= 50 THEN 'plain' WHEN h4[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(k[1:lo], '') AS p, array_to_string(k[lo + 1:hi], '') AS m, array_to_string(k[hi + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(p || m || s) AS restored_sha256 FROM p"""
+
+
+ORACLE = {"op11_filter_audit": AUDIT_SQL, "op13_fill_in_middle": MIDDLE_SQL, "op6_quotation_links": _quotes_sql(), "op7_quality_rules": _quality_sql(), "op2_mixing": _mixing_sql(), "op9_ngram_join": JACCARD_SQL, "op1_secret_scan": _secret_sql(), "op10_warc_index": WARC_SQL}
