@@ -8,69 +8,41 @@ a near copy and keeps a place in the token files; rows that repeat an id are jud
 that of their group; of a group of near copies the least id stays; a null language or source is a value of its own; no labels
 leave the base rules alone, no benchmark item cleans nothing; an empty table gives an empty result. Texts are read whole by every
 stage; other columns pass through, and may have any name that does not begin with an underscore.
+
+Each operator frees the scratch tables that its result does not read before it returns, so a stage leaves its decisions only.
+Stages share nothing: any number of them and of whole runs can go on in one session. run() frees a stage's docs once the next
+stage's are written.
 """
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.functions import scratch
+from medley.functions.scratch import freed, written
 from medley.llm import decontaminate, mixing, ngram_join, quality_rules, wavelet
-from medley.llm._shared import table, written
-
-
-#: Scratch folders of stages whose results have not been seen as a later stage's docs.
-_LEFT: list[str] = []
-
-
-def stage(work):
-    """A stage that first removes what earlier stages left in the shared folder, but for what docs itself is read from.
-
-    A stage's result is written before the next stage is called, so by then nothing reads that. The last stage's files stay.
-    """
-
-    @wraps(work)
-    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        read = docs.inputFiles() if _LEFT else []
-        for path in [p for p in _LEFT if not any(p.rpartition("/")[2] in f for f in read)]:
-            scratch.removed(spark, path)
-            _LEFT.remove(path)
-        before = len(scratch.MADE)
-        out = work(spark, docs, sf_dir)
-        if work is not token_files.__wrapped__:
-            _LEFT.extend(scratch.MADE[before:])
-        return out
-
-    return staged
+from medley.llm._shared import table
 
 
-@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs."""
     return quality_rules.passing(docs, table(spark, sf_dir, "labels"))
 
 
-@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the n-gram Jaccard join: that with the least id."""
     return ngram_join.one_of_each(docs)
 
 
-@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within its error budget."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-@stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at the sources' target weights; one row per epoch in which a document is drawn."""
     return mixing.drawn(docs)
 
 
-@stage
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, read back: one row per document with its place and checksum."""
     return wavelet.token_report(docs)
@@ -86,9 +58,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            freed(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

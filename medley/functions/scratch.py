@@ -23,13 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Scratch folders that this process has named, in order.
-MADE: list[str] = []
-
-
 def new_dir(spark: SparkSession, name: str) -> str:
-    MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return MADE[-1]
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def removed(spark: SparkSession, path: str) -> None:
@@ -43,7 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def freed(*tables: DataFrame) -> None:
+    """Delete the files of written tables. The caller made them, and all that reads them has been written."""
+    for table in tables:
+        removed(table.sparkSession, table._scratch)
 
 
 def estimated_bytes(df: DataFrame) -> int:
