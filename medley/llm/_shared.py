@@ -9,21 +9,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scratch import BROADCAST_ROWS, new_dir, shared_dir, sized, written
+from ..functions.scratch import BROADCAST_ROWS, freed, new_dir, removed, shared_dir, sized, written
 
-__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "counted_join", "folders", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_held", "written"]
+__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "counted_join", "folders", "freed", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_held", "written"]
 
 #: The six characters that separate words in every contract: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that is no longer read."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def folders(spark: SparkSession, path: str) -> list[str]:
     """The folders in a folder; none if it is not there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

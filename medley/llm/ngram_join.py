@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import sized, written
+from ._shared import freed, sized, written
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -240,17 +240,21 @@ def components(links: DataFrame) -> DataFrame:
         # large star: what is greater than a node goes to its least neighbour
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        edges = written(edges, "large-star")
+        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = written(large, "large-star")
+        freed(edges)
         # small star: a node and its smaller neighbours go to the least of them
-        least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-        edges = edges.join(least, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        edges = large.join(least, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
         edges = written(edges, "small-star")
+        freed(large)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo") % 1_000_000_007)).first()
         if now == mark:
             break
         mark = now
-    return edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
+    out = written(edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")), "roots")
+    freed(edges)
+    return out
 
 
 # ---- the join ------------------------------------------------------------------------------------------------------
@@ -308,10 +312,8 @@ def with_sets(texts: DataFrame, frequent, keep: str, n: int = WORDS, percent: in
 def verified(units: DataFrame, texts: DataFrame, frequent, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) within units (unit, id, group, side), each unit a trie join in one task."""
     units = written(units, "units")
-    needed = sized(written(units.select("id").distinct(), "needed"))
-    wanted = with_sets(texts.join(needed, "id", "left_semi"), frequent, "all", n, percent).select("id", "codes")
-    if needed.isEmpty():
-        return units.sparkSession.createDataFrame([], "a long, b long")
+    needed = written(units.select("id").distinct(), "needed")
+    wanted = with_sets(texts.join(sized(needed), "id", "left_semi"), frequent, "all", n, percent).select("id", "codes")
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["id"].tolist()
@@ -319,7 +321,9 @@ def verified(units: DataFrame, texts: DataFrame, frequent, n: int = WORDS, perce
         found = [(ids[i], ids[j]) for i, j in trie_links(sets, pdf["group"].tolist(), pdf["side"].tolist(), percent)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return written(units.join(wanted, "id").groupBy("unit").applyInPandas(join, "a long, b long"), "links")
+    links = written(units.join(wanted, "id").groupBy("unit").applyInPandas(join, "a long, b long"), "links")
+    freed(units, needed)
+    return links
 
 
 def compatible(a: Column, b: Column, percent: int) -> Column:
@@ -327,23 +331,34 @@ def compatible(a: Column, b: Column, percent: int) -> Column:
     return (100 * a >= percent * b) & (100 * b >= percent * a)
 
 
-def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs: id, n (size of its set), component (least id reachable by links)."""
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of docs: id, n (size of its set), component (least id reachable by links). Options as in joined()."""
+    return joined(docs, **options)[0]
+
+
+def joined(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of jaccard_components(), and the written tables that they still read: a row per text and one per class.
+
+    All other tables are freed as soon as what reads them is written.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_ngrams(texts.select("text"), n))
     n_frequent = len(frequent.value)
-    rows = written(with_sets(texts, frequent, "rare", n, percent), "rare-ends")
+    ends = written(with_sets(texts, frequent, "rare", n, percent), "rare-ends")
+    rows = written(ends.drop("codes"), "sets")
     texts = texts.where("id is not null")
 
     # 1. classes of equal sets, named by their least id
     known = rows.where("id is not null and n > 0")
     classes = written(known.groupBy("k1", "k2").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
-    copied = sized(written(classes.where("copies > 1"), "copied"))
-    copies = known.select("id", "k1", "k2").join(copied, ["k1", "k2"]).where(F.col("id") != F.col("class"))
-    heads = known.join(sized(written(copies.select("id", "k1", "k2").distinct(), "copies")), ["id", "k1", "k2"], "left_anti")
+    copied = written(classes.where("copies > 1"), "copied")
+    copies = known.select("id", "k1", "k2").join(sized(copied), ["k1", "k2"]).where(F.col("id") != F.col("class"))
+    copies = written(copies.select("id", "k1", "k2").distinct(), "copies")
+    freed(copied)
+    first = lambda sets: sets.where("id is not null and n > 0").join(sized(copies), ["id", "k1", "k2"], "left_anti")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
-    entries = heads.select("id", "n", F.posexplode("codes").alias("pos", "code"))
+    entries = first(ends).select("id", "n", F.posexplode("codes").alias("pos", "code"))
 
     # 2. groups of classes that share a member of their rare ends. Rare members have small groups, so one shuffle brings
     # each together; groups of frequent ones, FREQUENT at most, are summed before they meet their members.
@@ -352,10 +367,11 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     rare = entries.where(~is_frequent).withColumn("m", F.count(F.lit(1)).over(by_code)).where("m > 1")
     rare = rare.withColumn("band", band).withColumn("lead", F.min("id").over(by_band))
     often = written(entries.where(is_frequent).withColumn("band", band), "frequent-entries")
-    sizes = F.broadcast(written(often.groupBy("code").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "frequent-groups"))
-    leads = sized(written(often.groupBy("code", "band").agg(F.min("id").alias("lead")), "frequent-leads"))
-    often = often.join(sizes, "code").join(leads, ["code", "band"]).select(*rare.columns)
-    shared = written(rare.unionByName(often), "shared")
+    sizes = written(often.groupBy("code").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "frequent-groups")  # FREQUENT rows at most
+    leads = written(often.groupBy("code", "band").agg(F.min("id").alias("lead")), "frequent-leads")
+    shared = rare.unionByName(often.join(F.broadcast(sizes), "code").join(sized(leads), ["code", "band"]).select(*rare.columns))
+    shared = written(shared, "shared")
+    freed(ends, often, sizes, leads)
 
     # a star per class: the leader with which it shares most
     best = shared.where("lead < id").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
@@ -368,22 +384,26 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     units = targets.select(unit.alias("unit"), "id", F.col("id").alias("group"), F.lit(1).alias("side"))
     units = units.unionByName(probes.select(unit.alias("unit"), F.col("lead").alias("id"), F.col("lead").alias("group"), F.lit(0).alias("side")))
     links = verified(units, texts, frequent, n, percent)
-    roots = written(components(links), "roots")
+    roots = components(links)
+    freed(stars, links)
 
     # 3. groups that still hold several components
-    ends = sized(written(heads.select("id", "end").join(sized(written(shared.select("id").distinct(), "sharing")), "id", "left_semi"), "ends"))
-    placed = shared.drop("band", "lead").join(sized(roots), "id", "left").withColumn("group", F.coalesce("root", "id")).drop("root").join(ends, "id")
+    sharing = written(shared.select("id").distinct(), "sharing")
+    last = written(first(rows).select("id", "end").join(sized(sharing), "id", "left_semi"), "ends")
+    placed = shared.drop("band", "lead").join(sized(roots), "id", "left").withColumn("group", F.coalesce("root", "id")).drop("root").join(sized(last), "id")
     g1, g2 = F.min("group"), F.max("group")
     rare = placed.where(~is_frequent).withColumn("g1", g1.over(by_code)).withColumn("g2", g2.over(by_code)).where("g1 <> g2")
     often = placed.where(is_frequent)
-    stats = F.broadcast(written(often.groupBy("code").agg(g1.alias("g1"), g2.alias("g2")).where("g1 <> g2"), "frequent-stats"))
-    placed = written(rare.unionByName(often.join(stats, "code").select(*rare.columns)), "placed")
+    stats = written(often.groupBy("code").agg(g1.alias("g1"), g2.alias("g2")).where("g1 <> g2"), "frequent-stats")
+    placed = written(rare.unionByName(often.join(F.broadcast(stats), "code").select(*rare.columns)), "placed")
+    freed(shared, sharing, last, stats, copies)
     open_small = placed.where(F.col("m") <= SMALL)
     # of large groups with the same members one is enough, with the place nearest the rare end that each set has in any of them
     large = placed.where(F.col("m") > SMALL)
     alike = large.groupBy("code").agg(F.first("m").alias("m"), F.min("g1").alias("g1"), F.max("g2").alias("g2"), F.sum(F.xxhash64("id") % (1 << 40)).alias("sig"))
     one = alike.withColumn("one", F.min("code").over(Window.partitionBy("m", "sig", "g1", "g2"))).where("one <> code").select("code", "one")
-    merged = large.join(sized(written(one, "alike-groups")), "code", "left").groupBy(F.coalesce("one", "code").alias("code"), "id")
+    one = written(one, "alike-groups")
+    merged = large.join(sized(one), "code", "left").groupBy(F.coalesce("one", "code").alias("code"), "id")
     open_large = written(merged.agg(F.first("n").alias("n"), F.first("m").alias("m"), F.min("pos").alias("pos"), F.count(F.lit(1)).alias("big")), "large-entries")
     large_counts = open_large.groupBy("id").agg(F.sum("big").alias("big"))
 
@@ -391,7 +411,8 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     b = open_small.select("code", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("end").alias("eb"), F.col("pos").alias("pb"), F.col("group").alias("gb"))
     pairs = a.join(b, "code").where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & compatible(F.col("na"), F.col("nb"), percent))
     pairs = pairs.groupBy("a", "b", "na", "nb", "ea", "eb", "ga", "gb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.min("code").alias("code"))
-    big = sized(written(large_counts, "large-counts"))
+    large_counts = written(large_counts, "large-counts")
+    big = sized(large_counts)
     pairs = pairs.join(big.select(F.col("id").alias("a"), F.col("big").alias("ba")), "a", "left").join(big.select(F.col("id").alias("b"), F.col("big").alias("bb")), "b", "left")
     # What they can have in common: what their rare ends share, and what lies beyond. The rare end that stops first in the
     # order has all its common members in the other's, so only the rest of that set can add to them; and nothing
@@ -403,20 +424,24 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     pairs = pairs.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb", "ga", "gb", "code")
     pairs = pairs.unionByName(block_pairs(open_large, placed, percent))
     pairs = written(pairs.groupBy("a", "b", "na", "nb", "ga", "gb").agg(F.min("code").alias("code")), "pairs")
-    units = group_units(pairs)
+    freed(placed, one, open_large, large_counts)
+    units, parts = group_units(pairs)
     more = verified(units, texts, frequent, n, percent)
+    freed(pairs, *parts)
 
     # components over both rounds; classes that stand alone need no row
     final = components(more.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))))
     special = classes.join(final.withColumnRenamed("id", "class"), "class", "left").where("copies > 1 or root is not null")
-    special = special.select("k1", "k2", F.coalesce("root", "class").alias("component"))
-    out = rows.select("id", "n", "k1", "k2").join(sized(written(special, "components")), ["k1", "k2"], "left")
+    special = written(special.select("k1", "k2", F.coalesce("root", "class").alias("component")), "components")
+    frequent.unpersist()
+    freed(more, roots, final, classes)
+    out = rows.select("id", "n", "k1", "k2").join(sized(special), ["k1", "k2"], "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")))
-    return out.select("id", "n", component.alias("component"))
+    return out.select("id", "n", component.alias("component")), [rows, special]
 
 
-def group_units(pairs: DataFrame) -> DataFrame:
-    """Units (unit, id, group, side) for pairs (a, b, na, nb, ga, gb, code): per code its a as probes and its b as targets.
+def group_units(pairs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Units (unit, id, group, side) for pairs (a, b, na, nb, ga, gb, code): per code its a as probes and its b as targets; and what they read.
 
     A code with many of either is dealt to several units, and only to those in which a pair of its own meets.
     """
@@ -427,14 +452,14 @@ def group_units(pairs: DataFrame) -> DataFrame:
         parts = F.greatest(F.ceil(F.count(F.lit(1)) / most), F.ceil(F.sum("n") / TRIE_NGRAMS))
         return sets.groupBy("code").agg(parts.alias(f"{side}_parts")).where(F.col(f"{side}_parts") > 1)
 
-    rows = pairs
-    for side, most in (("a", WALKS), ("b", BLOCK)):
-        rows = rows.join(sized(written(dealt(side, most), "parts")), "code", "left")
+    rows, parts = pairs, [written(dealt(side, most), "parts") for side, most in (("a", WALKS), ("b", BLOCK))]
+    for p in parts:
+        rows = rows.join(sized(p), "code", "left")
     part = lambda side: F.pmod(F.xxhash64(side), F.coalesce(f"{side}_parts", F.lit(1)))
     rows = rows.withColumn("unit", F.xxhash64("code", part("a"), part("b")))
     both = rows.select("unit", F.explode(F.array(*(F.struct(F.col(s).alias("id"), F.col(f"g{s}").alias("group"), F.lit(i).alias("target")) for i, s in enumerate("ab")))).alias("x"))
     sides = both.groupBy("unit", "x.id", "x.group").agg(F.min("x.target").alias("least"), F.max("x.target").alias("most"))
-    return sides.select("unit", "id", "group", F.when(F.col("least") < F.col("most"), 2).otherwise(F.col("most")).alias("side"))
+    return sides.select("unit", "id", "group", F.when(F.col("least") < F.col("most"), 2).otherwise(F.col("most")).alias("side")), parts
 
 
 def block_units(entries: DataFrame, percent: int) -> DataFrame:
@@ -500,7 +525,7 @@ def jaccard_report(docs: DataFrame, **options) -> DataFrame:
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     """The rows of docs whose id is the least of its component, with the columns of docs; rows with a null id stay."""
-    out = jaccard_components(docs, key=key, **options)
+    out, tables = joined(docs, key=key, **options)
     gone = written(out.where("component <> id").select(F.col("id").alias("_gone")).distinct(), "gone")
-    gone = sized(gone)
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    freed(*tables)
+    return docs.join(sized(gone), F.col(key) == F.col("_gone"), "left_anti")
