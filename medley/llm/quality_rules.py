@@ -4,13 +4,14 @@ Text measures come from one expression per row. A labelled holdout then chooses,
 cutoff whose false rejection rate is certified: with n good holdout texts of which k exceed the cutoff, the exact
 binomial tail P(Bin(n, a) <= k) must be at most delta over the number of (stratum, rule) pairs. Only rules that reject a bad
 text of the stratum are tested, and share alpha there; the bounds look at good texts only, so that choice does not bias
-them. Cutoffs of a rule are tested from the loosest to the strictest and the testing stops at the first failure (fixed
+them. A text counts once in its stratum however many rows hold it, as copies are no further draws. Cutoffs of a rule are tested from the loosest to the strictest and the testing stops at the first failure (fixed
 sequence), so the correction needs to count pairs only. Among certified cutoffs the one that rejects most bad texts wins, ties
 go to the loosest.
 
 Defined results: a null text counts as empty and fails the base rule (under 50 words); a null stratum is a stratum
 of its own; a stratum without enough labels keeps all that pass the base rule; labels that are null are dropped and
-of several labels of one id the best counts; repeated rows are judged each for itself; an empty table gives an
+of several labels of one id, and of equal texts of a stratum, the best counts; repeated rows are judged each for itself, and are one row
+of the holdout; an empty table gives an
 empty result; without labels no cutoff is certified. Other columns pass through untouched.
 """
 
@@ -145,24 +146,33 @@ def certified_cutoffs(labelled: DataFrame, stratum: str, good: str, alpha: float
     return counts.select("_stratum", *(chosen(r, cuts).alias(f"_cut_{r}") for r, cuts in rules.items()))
 
 
+def holdout(docs: DataFrame, labels: DataFrame, *, key: str, text: str, stratum: str) -> DataFrame:
+    """_s, _q and the rules' values of the labelled texts that pass the base rules: one row per distinct text and stratum."""
+    best = labels.select(F.col(key).alias("_key"), F.col("quality").alias("_q")).where("_q in (0, 1) and _key is not null").groupBy("_key").agg(F.max("_q").alias("_q"))
+    rows = docs.select(F.col(key).alias("_key"), F.col(stratum).alias("_s0"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    held = with_measures(rows.join(sized(written(best, "labels")), "_key"), "_text").where(~base_failed(F.col("_m")))
+    held = held.select(F.col("_s0").alias("_s"), "_q", F.sha2("_text", 256).alias("_digest"), *(v.alias(r) for r, v in rule_values(F.col("_m")).items()))
+    return held.groupBy("_s", "_digest").agg(F.max("_q").alias("_q"), *(F.any_value(r).alias(r) for r in RULES)).drop("_digest")
+
+
 def judged(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA, carry: Sequence[str] | None = None) -> DataFrame:
     """The rows of docs (columns carry, all by default) with _m (counts), _base_failed and _kept.
 
-    The measured rows are written once, with what is carried; cutoffs and verdicts read that table.
+    Cutoffs come from the labelled rows; the verdicts are then a map over all rows, joined with the table of cutoffs, which is
+    sent to every task. Nothing of the texts is written.
     """
     carry = list(docs.columns if carry is None else carry)
-    rows = docs.select(*carry, F.col(key).alias("_key"), F.col(stratum).alias("_s0"), F.col(text).alias("_text"))
-    measured = written(with_measures(rows, "_text").drop("_text").withColumnRenamed("_s0", "_s"), "measured")
-    best = labels.select(F.col(key).alias("_key"), F.col("quality").alias("_q")).where("_q in (0, 1) and _key is not null").groupBy("_key").agg(F.max("_q").alias("_q"))
-    held = best.join(measured.select("_key", "_s", "_m"), "_key").where(~base_failed(F.col("_m")))
-    held = written(held.select("_key", "_s", "_q", *(v.alias(r) for r, v in rule_values(F.col("_m")).items())), "holdout")
+    held = written(holdout(docs, labels, key=key, text=text, stratum=stratum), "holdout")
     cuts = certified_cutoffs(held, "_s", "_q", alpha, delta)
     cuts = sized(written(cuts.where(reduce(lambda a, b: a | b, (F.col(f"_cut_{r}").isNotNull() for r in RULES))), "cutoffs"))
-    out = measured.join(cuts, measured["_s"].eqNullSafe(cuts["_stratum"]), "left")
+    rows = docs.select(*carry, F.col(stratum).alias("_s0"), F.col(text).alias("_text"))
+    measured = with_measures(rows, "_text").drop("_text")
+    out = measured.join(cuts, measured["_s0"].eqNullSafe(cuts["_stratum"]), "left")
     values = rule_values(F.col("_m"))
     fails = reduce(lambda a, b: a | b, (F.coalesce(v > F.col(f"_cut_{r}"), F.lit(False)) for r, v in values.items()))
-    out = out.withColumn("_base_failed", base_failed(F.col("_m"))).withColumn("_kept", ~F.col("_base_failed") & ~fails)
-    return out.select(*carry, "_m", "_base_failed", "_kept")
+    # one condition that also reads the cutoffs: no part of it is moved below the join, where the counts would be made again
+    kept = F.when(F.col("_stratum").isNull(), ~base_failed(F.col("_m"))).otherwise(~base_failed(F.col("_m")) & ~fails)
+    return out.select(*carry, "_m", base_failed(F.col("_m")).alias("_base_failed"), kept.alias("_kept"))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
