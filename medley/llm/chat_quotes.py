@@ -1,4 +1,4 @@
-"""Quotation linking in conversations (DataFrame functions).
+"""Quotation linking in conversations (DataFrame functions; the alignment of partly quoted passages in pandas).
 
 Quote levels are the '>' marks before a line, nested ones included ('> > text' is level 2); blanks may stand before, between and
 after them. A quoted passage is a run of lines of one message at one level; passages and the unquoted paragraphs and
@@ -12,7 +12,8 @@ position in that order. conversations() gives the messages of each thread in tha
 of PART places each, so no row holds an unbounded thread.
 
 Only one row per conversation and hash enters the join of whole passages, so a text that many messages share does not
-multiply. For the other passages each message with another body that shares a part is weighed. Roots of threads are found by
+multiply. For the other passages each message with another body that shares a part is weighed once, by an alignment row by row: lines
+of the passage times lines of the message in time, lines of the message in memory, however often a line is repeated. Roots of threads are found by
 pointer doubling over the linked messages alone, and places by ranking the list of their entries and exits in the same
 way; both end after log2(longest thread) rounds, and no task orders a whole thread.
 
@@ -24,6 +25,11 @@ columns of the table are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,16 +81,30 @@ def parts(text: Column) -> Column:
     return bound(found, numbered)
 
 
-def most_in_order(matches: Column) -> Column:
-    """The most lines that matches (first, last; h_first, h_last in the holder), sorted, cover in the order of both."""
-
-    def step(done: Column, x: Column) -> Column:
-        before = F.filter(done, lambda y: (y["last"] < x["first"]) & (y["h_last"] < x["h_first"]))
-        n = x["last"] - x["first"] + 1 + F.coalesce(F.array_max(F.transform(before, lambda y: y["n"])), F.lit(0))
-        return F.concat(done, F.array(F.struct(x["last"].alias("last"), x["h_last"].alias("h_last"), n.alias("n"))))
+def most_in_order(parts: Iterable[dict], held: Iterable[dict]) -> int:
+    """The most lines of a passage that parts which a message holds too cover, in the order of both.
 
-    none = F.array().cast("array<struct<last:int,h_last:int,n:int>>")
-    return F.aggregate(matches, none, step, lambda done: F.array_max(F.transform(done, lambda y: y["n"])))
+    parts and held: first, last and hash of lines and paragraphs. One row is kept: the most lines up to here of the passage for
+    each number of lines of the message; and the row where a paragraph began, until it ends.
+    """
+    where: dict[str, tuple[list[int], list[int]]] = {}
+    for p in held:
+        firsts, ends = where.setdefault(p["hash"], ([], []))
+        firsts.append(p["first"])
+        ends.append(p["last"] + 1)
+    found = sorted(((p["last"], p["first"], p["hash"]) for p in parts if p["hash"] in where))
+    at = {h: (np.array(f), np.array(e)) for h, (f, e) in where.items()}
+    row = np.zeros(1 + max((e for _, ends in where.values() for e in ends), default=0), np.int64)
+    opens, begun = sorted({first for last, first, _ in found if first < last}, reverse=True), {}
+    for last, group in groupby(found, key=lambda x: x[0]):
+        while opens and opens[-1] <= last:  # nothing ends between a paragraph's first line and here that this row lacks
+            begun[opens.pop()] = row
+        new = row.copy()
+        for _, first, h in group:
+            firsts, ends = at[h]
+            np.maximum.at(new, ends, (row if first == last else begun[first])[firsts] + last - first + 1)
+        row = np.maximum.accumulate(new)
+    return int(row[-1])
 
 
 def parsed(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -127,13 +147,22 @@ def parsed(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn", ro
 def partly(rest: DataFrame, rows: DataFrame) -> DataFrame:
     """(passage, holder) of passages that no message holds as a whole: the first of the messages that hold most of their lines in order."""
     passage = ["conv_id", "turn", "pos", "level", "hash"]
-    wanted = rest.select(*passage, F.explode("parts").alias("p")).select(*passage, "p.first", "p.last", F.col("p.hash").alias("part"))
     own = rows.where(F.col("turn").isNotNull()).join(sized(written(rest.select("conv_id").distinct(), "partly-quoted")), "conv_id", "left_semi")
     # of messages with the same body the first holds as much as the others
-    own = own.groupBy("conv_id", "body").agg(F.min("turn").alias("holder")).select("conv_id", "holder", F.sha2("body", 256).alias("own"), F.explode(parts(F.col("body"))).alias("p"))
-    own = own.select("conv_id", "holder", "own", F.col("p.first").alias("h_first"), F.col("p.last").alias("h_last"), F.col("p.hash").alias("part"))
-    found = wanted.join(own, ["conv_id", "part"]).where("holder < turn").groupBy(*passage, "holder", "own")
-    found = found.agg(most_in_order(F.sort_array(F.collect_list(F.struct("first", "last", "h_first", "h_last")))).alias("n"))
+    own = own.groupBy("conv_id", "body").agg(F.min("turn").alias("holder")).select("conv_id", "holder", F.sha2("body", 256).alias("own"), parts(F.col("body")).alias("held"))
+    own = written(own, "bodies")
+    each = lambda ps: F.explode(F.array_distinct(F.transform(ps, lambda p: p["hash"]))).alias("part")
+    pairs = rest.select(*passage, each("parts")).join(own.select("conv_id", "holder", "own", each("held")), ["conv_id", "part"])
+    pairs = pairs.where("holder < turn").select(*passage, "holder", "own").distinct()
+    both = pairs.join(rest.select(*passage, "parts"), passage).join(own, ["conv_id", "holder", "own"])
+
+    def weighed(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            pdf["n"] = [most_in_order(p, h) for p, h in zip(pdf["parts"], pdf["held"], strict=True)]
+            yield pdf[[*passage, "holder", "n"]]
+
+    kinds = dict(pairs.dtypes)
+    found = both.mapInPandas(weighed, ", ".join(f"{c} {kinds[c]}" for c in [*passage, "holder"]) + ", n long")
     return found.groupBy(*passage).agg(F.min_by("holder", F.struct(F.negative("n"), "holder")).alias("holder"))
 
 

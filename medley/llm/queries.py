@@ -168,11 +168,12 @@ def _quality_sql() -> str:
 l AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
 win AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM l)),
 rep AS (SELECT doc_id, count(*) AS n_repeat_words FROM (SELECT DISTINCT doc_id, p + o AS at FROM win, range(3) r(o) WHERE c > 1) GROUP BY doc_id),
-m AS (SELECT doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, {only(q.SYMBOLS)} AS n_symbols, len(ls) AS n_lines,
+m AS (SELECT doc_id, lang, t, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, {only(q.SYMBOLS)} AS n_symbols, len(ls) AS n_lines,
   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, {only("A-Z")} AS n_upper FROM l LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 te AS (SELECT * FROM (VALUES {tests}) v(r, i, c)),
-held AS (SELECT b.*, q FROM b JOIN (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IN (0, 1) GROUP BY doc_id) USING (doc_id) WHERE NOT base_failed),
+held AS (SELECT lang, t, max(q) AS q, any_value(n_words) AS n_words, any_value(word_chars) AS word_chars, any_value(n_symbols) AS n_symbols, any_value(n_lines) AS n_lines, any_value(n_dup_lines) AS n_dup_lines,
+  any_value(n_repeat_words) AS n_repeat_words, any_value(n_upper) AS n_upper FROM b JOIN (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IN (0, 1) GROUP BY doc_id) USING (doc_id) WHERE NOT base_failed GROUP BY lang, t),
 cnt AS (SELECT lang, r, i, any_value(c) AS c, count(*) FILTER (q = 1) AS n, count(*) FILTER (q = 1 AND {value} > c) AS k, count(*) FILTER (q = 0 AND {value} > c) AS bad FROM held, te GROUP BY lang, r, i),
 st AS (SELECT lang, any_value(n) AS n, count(DISTINCT r) FILTER (bad > 0) AS mm, {q.ALPHA}::DOUBLE / greatest(count(DISTINCT r) FILTER (bad > 0), 1) AS p FROM cnt GROUP BY lang),
 lev AS (SELECT ln({q.DELTA}::DOUBLE / coalesce(sum(mm), 1)) AS level FROM st WHERE n > 0 AND mm > 0 AND n * ln(1 - p) <= ln({q.DELTA}::DOUBLE / mm)),
@@ -212,8 +213,8 @@ ho AS (SELECT c, h, min(t) AS u FROM (SELECT c, t, unnest(list_transform(list_co
 wh AS (SELECT qs.*, u FROM qs JOIN ho ON qs.c = ho.c AND qs.h = ho.h AND u < t),
 re AS (SELECT * FROM qs ANTI JOIN wh USING (c, t, pos, n, h)),
 bo AS (SELECT c, body, min(t) AS u FROM msg WHERE t IS NOT NULL AND c IN (SELECT c FROM re) GROUP BY c, body),
-sc AS (SELECT c, t, pos, n, u, {chain} AS w FROM (SELECT a.c, a.t, a.pos, a.n, b.u, b.body, a.f, a.l, b.f AS hf, b.l AS hl
-  FROM {parts("re", "c, t, pos, n", "q")} a JOIN {parts("bo", "c, u, body", "body")} b ON a.c = b.c AND a.h = b.h AND b.u < a.t) GROUP BY c, t, pos, n, u, body),
+sc AS (SELECT c, t, pos, n, u, {chain} AS w FROM (SELECT a.c, a.t, a.pos, a.n, a.q, b.u, b.body, a.f, a.l, b.f AS hf, b.l AS hl
+  FROM {parts("re", "c, t, pos, n, q", "q")} a JOIN {parts("bo", "c, u, body", "body")} b ON a.c = b.c AND a.h = b.h AND b.u < a.t) GROUP BY c, t, pos, n, q, u, body),
 lk AS (SELECT c, t, arg_min(u, (n, pos)) AS up, count(DISTINCT pos) AS n_linked FROM (SELECT c, t, pos, n, u FROM wh UNION ALL SELECT c, t, pos, n, arg_min(u, (-w, u)) FROM sc GROUP BY c, t, pos, n) GROUP BY c, t),
 tr(c, t, root, path) AS (SELECT DISTINCT c, up, up, [up] FROM lk WHERE (c, up) NOT IN (SELECT (c, t) FROM lk) UNION ALL SELECT tr.c, lk.t, tr.root, list_append(path, lk.t) FROM tr JOIN lk ON lk.c = tr.c AND lk.up = tr.t),
 pl AS (SELECT c, t, root, row_number() OVER (PARTITION BY c, root ORDER BY path) - 1 AS place FROM tr)

@@ -602,6 +602,38 @@ def test_quotation_marks_of_any_length(spark):
     assert out[1].reply_to == out[2].reply_to == out[4].reply_to == 0 and out[1].quote_levels == 100_000 and out[1].body == "yes" and out[3].reply_to is None
 
 
+def test_repeated_lines_quoted_in_part(spark):
+    """Lines that repeat cost their product, not its square."""
+    ok = "\n".join(["ok"] * 2000)
+    rows = [(1, 0, "user", ok), (1, 1, "user", ok + "\nand so on"), (1, 2, "assistant", "\n".join([*["> ok"] * 1999, "> fine"]) + "\nyes"), (1, 3, "user", "\n".join(["> ok", "> ok", "> and so on", "> else"]) + "\nno")]
+    began = time.time()
+    out = {x.turn: x for x in chat_quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert time.time() - began < 40 and out[2].reply_to == 0 and out[3].reply_to == 1
+
+
+def test_alignment_row_by_row():
+    """Against the best chain of all pairs of equal parts."""
+    r = random.Random(8)
+
+    def parted(n):
+        ends, out = 0, []
+        while ends < n:
+            size = r.randrange(1, 4)
+            out += [{"first": ends, "last": ends + size - 1, "hash": r.choice("xyzabc")}] * (size > 1) + [{"first": ends + j, "last": ends + j, "hash": r.choice("abc")} for j in range(size)]
+            ends += size
+        return out
+
+    for _ in range(300):
+        a, b = parted(r.randrange(0, 9)), parted(r.randrange(0, 9))
+        best = {}
+        for p in sorted(a, key=lambda p: p["last"]):
+            for q in b:
+                if p["hash"] == q["hash"]:
+                    before = [n for (last, h_last, _), n in best.items() if last < p["first"] and h_last < q["first"]]
+                    best[p["last"], q["last"], len(best)] = p["last"] - p["first"] + 1 + max(before, default=0)
+        assert chat_quotes.most_in_order(a, b) == max(best.values(), default=0)
+
+
 # ---- 7 -------------------------------------------------------------------------------------------------------------
 
 
@@ -661,6 +693,18 @@ def test_cutoffs_use_all_labels_and_strata(spark, monkeypatch):
     assert got == {r[0] for r in rows if r[3] or r[2] == "c"}
 
 
+def test_copies_certify_nothing(spark):
+    """One text is one draw, in however many rows and under however many ids it stands."""
+    good, bad = " ".join(f"w{j}" for j in range(60)), " ".join(f"v{j}####" for j in range(60))
+    rows = [(i, good, "en", 1) for i in range(800)] + [(5, good, "en", 1)] * 300 + [(900, bad, "en", 0), (901, bad, "en", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    report = lambda d: quality_rules.quality_report(d.drop("quality"), d.select("doc_id", "quality"))
+    assert report(docs).where("not kept").count() == 0
+    # as many different texts do
+    other = spark.createDataFrame([(i, f"{x} a{i}", s, q) for i, (_, x, s, q) in enumerate(rows)], docs.schema)
+    assert {r.doc_id for r in report(other).where("not kept").collect()} == {len(rows) - 2, len(rows) - 1}
+
+
 # ---- 8 -------------------------------------------------------------------------------------------------------------
 
 
@@ -804,7 +848,7 @@ def test_jaccard_pairs_meet_in_one_unit(spark, monkeypatch):
     want = {(a, b, c) for c in (1, 2, 3) for a, b in (sorted(r.sample(range(30), 2)) for _ in range(40 * c))}
     pairs = spark.createDataFrame([(a, b, 5, 5, a, b, c) for a, b, c in want], "a long, b long, na long, nb long, ga long, gb long, code long")
     units = defaultdict(lambda: (set(), set()))
-    for x in ngram_join.group_units(pairs).collect():
+    for x in ngram_join.group_units(pairs)[0].collect():
         if x.side != 1:
             units[x.unit][0].add(x.id)
         if x.side != 0:
