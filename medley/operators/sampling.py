@@ -44,8 +44,8 @@ def reservoir(rows: DataFrame, k: int, seed: int, keys: Sequence[str], by: Seque
     return rows
 
 
-#: Records that are numbered together.
-RUN = 1 << 16
+#: Ordinals of records that are numbered together: those that begin in 16 MB of a file (an ordinal is a byte times 65,536).
+RUN = 1 << 40
 
 
 def running_index(rows: DataFrame, group: str, file: str, ordinal: str, into: str) -> DataFrame:

@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..functions.scratch import new_dir, written
 from ..functions.uniform import uniform
 from ..operators import composition as C
 from ..operators import database, mapper, metrics, provenance, sampling, validation
-from ..sources.tables import model_config
+from ..sources.fetch import fasta_index, fetched
+from ..sources.sequences import register
+from ..sources.tables import model_config, write_fastq
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -321,6 +324,36 @@ def sequences(spark, d, table="benchmark", key="item_id"):
 SEQS = f"seqs AS (SELECT 'b' || item_id AS refseq, item_id AS ordinal, {DNA_SQL} AS sequence FROM benchmark)"
 
 
+DOC_SEQS = f"seqs AS (SELECT 'd' || doc_id AS name, {DNA_SQL} AS s FROM documents)"
+#: Bytes of a file for one task: small, so that small tables are split too.
+SPLIT = "200000"
+
+
+def document_sequences(spark, d):
+    rows = t(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("name"), dna().alias("sequence"))
+    return rows.where(F.length("sequence") > 0)
+
+
+@query("fastq_records", f"WITH {DOC_SEQS} SELECT name, length(s) AS bases, md5(s) AS sequence_md5, md5(translate(s, 'ACGT', '@I+5')) AS quality_md5 FROM seqs WHERE length(s) > 0")
+def fastq_records(spark, d):
+    """Texts as FASTQ with qualities that begin like headers, written and read back in parts."""
+    register(spark)
+    at = new_dir(spark, "fastq")
+    write_fastq(document_sequences(spark, d).withColumn("quality", F.translate("sequence", "ACGT", "@I+5")), at, "none")
+    back = spark.read.schema("name string, sequence string, quality string").format("fastq").options(strict="true", splitBytes=SPLIT).load(at)
+    return back.select("name", F.length("sequence").alias("bases"), F.md5("sequence").alias("sequence_md5"), F.md5("quality").alias("quality_md5"))
+
+
+@query("fasta_ranges", f"WITH {DOC_SEQS} SELECT name AS header, length(s) // 3 AS start, length(s) // 2 AS stop, substr(s, (length(s) // 3 + 1)::INT, (length(s) // 2 - length(s) // 3)::INT) AS sequence FROM seqs WHERE length(s) > 0")
+def fasta_ranges(spark, d):
+    """Texts as FASTA of 60 bases a line; of each a part is fetched through an index."""
+    at, seqs = new_dir(spark, "fasta"), document_sequences(spark, d)
+    seqs.select(F.format_string(">%s\n%s", "name", F.regexp_replace("sequence", "(.{60})(?=.)", "$1\n"))).write.text(at)
+    index = written(fasta_index(spark, at, splitBytes=SPLIT), "fasta-index")
+    third, half = F.floor(F.col("length") / 3), F.floor(F.col("length") / 2)
+    return fetched(index, written(index.select("header", third.alias("start"), half.alias("stop")), "wanted"))
+
+
 def rc_sql(x: str) -> str:
     return f"reverse(translate({x}, '{S.CODES}', '{S.COMPLEMENTS}'))"
 

@@ -26,6 +26,10 @@ from ..sources.sequences import register
 from .options import Options
 
 
+#: The columns of reads that a run uses.
+READS = "file_no int, ordinal long, name string, sequence string"
+
+
 @dataclass
 class Result:
     composition: DataFrame
@@ -123,7 +127,7 @@ def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Option
     supplied = tables.read_matrix(spark, o.mismapping_matrix) if o.mismapping_matrix else None
     papers = {r["matrix_key"]: r["provenance"] for r in V.provenance(groups, o.matrix_settings()).collect()}
     for i, g in enumerate(found):
-        reads = [spark.read.format("fastq").load(",".join(sheet[m["id"]]["reads"])).withColumn("sample", F.lit(m["id"])) for m in g["members"]]
+        reads = [spark.read.schema(READS).format("fastq").load(",".join(sheet[m["id"]]["reads"])).withColumn("sample", F.lit(m["id"])) for m in g["members"]]
         refs = references.where(F.col("references") == sheet[g["representative"]]["references"]).drop("references")
         key, at = g["matrix_key"], f"mismapping/{g['matrix_key']}/mismapping_matrix.csv"
         result = compose(reduce(DataFrame.unionByName, reads), refs, o, supplied, key, at)

@@ -151,9 +151,9 @@ def write_fasta(rows: DataFrame, path: str, name: str = "refseq", sequence: str
     rows.select(F.format_string(">%s\n%s", name, sequence)).write.mode(mode).text(path)
 
 
-def write_fastq(rows: DataFrame, path: str) -> None:
-    """Gzipped records of name, sequence, quality."""
-    rows.select(F.format_string("@%s\n%s\n+\n%s", "name", "sequence", "quality")).write.option("compression", "gzip").text(path)
+def write_fastq(rows: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Records of name, sequence, quality; gzipped unless another compression, or none, is asked for."""
+    rows.select(F.format_string("@%s\n%s\n+\n%s", "name", "sequence", "quality")).write.option("compression", compression).text(path)
 
 
 def write_taxonomy(rows: DataFrame, path: str, header: str, order: Sequence[str] = ("refseq",), mode: str = "error") -> None:

@@ -4,6 +4,8 @@ import gzip
 import hashlib
 import json
 import random
+import struct
+import zlib
 from dataclasses import replace
 
 import numpy as np
@@ -20,7 +22,9 @@ from medley.__main__ import main, options, parser
 from medley.plans import experiments
 from medley.plans.run import compose, matrix_plan, run_samples
 from medley.sources import tables
-from medley.sources.sequences import fasta_records, fastq_records, register
+from medley.sources import sequences
+from medley.sources.fetch import fasta_index, fetched
+from medley.sources.sequences import register
 from medley.streaming.counts import running_counts, windowed_counts
 
 SMALL = Options(fwd_primer="ACGTAC", rev_primer="GGATCC", primer_mismatches=0, sim_n_per_ref=40, mapper=mapper.MapperOptions(k=9), infer=InferenceOptions(mode="mle", presence=False, steps=800))
@@ -132,14 +136,101 @@ def test_running_index(spark, monkeypatch):
         assert [r["at"] for r in sorted(out, key=lambda r: (r.file_no, r.ordinal)) if r["sample"] == s] == list(range(40))
 
 
-def test_records_lenient_and_strict():
-    assert list(fasta_records(iter(["junk", ">a b", "ac", "gt", "", ">c", "nn"]), False)) == [("a", "ACGT"), ("c", "NN")]
-    for bad in (["junk", ">a", "c"], [">a", ">b", "c"], [">"], []):
+def block_gzip(data, block):
+    """data as gzip members that tell their length, and the empty one that ends such files."""
+    out = b""
+    for raw in [*(data[i : i + block] for i in range(0, len(data), block)), b""]:
+        squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = squeeze.compress(raw) + squeeze.flush()
+        out += b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(raw), len(raw))
+    return out
+
+
+def read_parts(batches, path, split, strict=True, names=None):
+    columns, out = ["name", "header", "sequence", "quality", "ordinal"], []
+    for at, number, size in [(p, i, n) for i, (p, n) in enumerate(sequences.listed(str(path)))]:
+        for part in sequences.parts_of(at, number, size, split):
+            for found in batches(part, strict, columns, names):
+                out += zip(*(found[c].to_pylist() for c in columns if c in found), strict=True)
+    return out
+
+
+@pytest.mark.parametrize("kind", ["txt", "gz", "block.gz"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_are_the_same_for_any_split(tmp_path, monkeypatch, kind, end):
+    r = random.Random(1)
+    pack = {"txt": lambda x: x, "gz": gzip.compress, "block.gz": lambda x: block_gzip(x, r.choice([37, 300]))}[kind]
+    sizes = [r.randrange(0, 30) for _ in range(30)]
+    reads = [(f"r{i}", "".join(r.choice("acgtn") for _ in range(n)), "".join(r.choice("@+I>5") for _ in range(n))) for i, n in enumerate(sizes)]
+    text = "".join(f"@{a} note\n{b}\n+{a if len(b) % 3 else ''}\n{c}\n" for a, b, c in reads)
+    fasta = "junk\n" + "".join(f">h{i} x>y\n" + "".join(r.choice("acgt") + "\n" * (r.random() < 0.1) for _ in range(9 * i)) + "\n" for i in range(20))
+    for tail in ("\n", "\n\n\n", ""):
+        (tmp_path / f"a.{kind}").write_bytes(pack((text.rstrip("\n") + tail).replace("\n", end).encode()))
+        (tmp_path / f"f.{kind}").write_bytes(pack((fasta.rstrip("\n") + tail).replace("\n", end).encode()))
+        for piece in (90 if kind == "txt" else 2000, 1 << 20):
+            monkeypatch.setattr(sequences, "PIECE", piece)
+            for name, batches, strict in (("a", sequences.fastq_batches, True), ("f", sequences.fasta_batches, False)):
+                path = tmp_path / f"{name}.{kind}"
+                whole = read_parts(batches, path, 0, strict)
+                if name == "a":
+                    assert [x[:3] for x in whole] == [(a, b.upper(), c) for a, b, c in reads]
+                else:
+                    assert [x[0] for x in whole] == [f"h{i}" for i in range(20)]
+                assert [x[-1] for x in whole] == sorted({x[-1] for x in whole})
+                for split in (path.stat().st_size // 3, path.stat().st_size // 40 + 1):
+                    assert read_parts(batches, path, split, strict) == whole
+                assert read_parts(batches, path, 200, strict, {"r3", "h3"}) == [x for x in whole if x[0] in ("r3", "h3")]
+
+
+def test_broken_records(tmp_path):
+    def of(batches, text, strict=True, split=0):
+        (tmp_path / "x").write_text(text)
+        return [x[:-1] for x in read_parts(batches, tmp_path / "x", split, strict)]
+
+    assert of(sequences.fasta_batches, "junk\n>a b\nac\ngt\n\n>c\nnn", False) == [("a", "ACGT"), ("c", "NN")]
+    for bad in ("junk\n>a\nc\n", ">a\n>b\nc\n", ">\n", ""):
         with pytest.raises(ValueError):
-            list(fasta_records(iter(bad), True))
-    assert list(fastq_records(iter(["@r x\n", "acg\n", "+\n", "III\n"]), True)) == [("r", "ACG", "III")]
+            of(sequences.fasta_batches, bad)
+    assert of(sequences.fastq_batches, "@r x\nacg\n+\nIII\n") == [("r", "ACG", "III")] and of(sequences.fastq_batches, "") == []
+    for bad in ("@r\nacg\nx\nIII\n", "@r\nacg\n+\nII\n", "r\nacg\n+\nIII\n", "@r\nacg\n+\n", "@r\na\n+\nI\n\n@s\na\n+\nI\n"):
+        with pytest.raises(ValueError):
+            of(sequences.fastq_batches, bad)
+    assert of(sequences.fastq_batches, "@r\nacg\nx\nII\n@s\nac", False) == [("r", "ACG", "II"), ("s", "AC", "")]
     with pytest.raises(ValueError):
-        list(fastq_records(iter(["@r\n", "acg\n", "x\n", "III\n"]), True))
+        of(sequences.fastq_batches, "x\n" * 40, False, 10)
+
+
+def test_sources_push_columns_and_filters(spark, tmp_path):
+    register(spark)
+    for f in "ab":
+        (tmp_path / f"{f}.fq").write_text("".join(f"@{f}{i}\nAC\n+\nII\n" for i in range(50)))
+    rows = spark.read.schema("sequence string, name string").format("fastq").option("splitBytes", "100").load(f"{tmp_path}/*.fq")
+    assert rows.columns == ["sequence", "name"] and rows.count() == 100 and rows.rdd.getNumPartitions() > 8
+    assert rows.where("name = 'a7'").collect() == [("AC", "a7")] and rows.where("name in ('a7', 'b9') and length(name) = 2").count() == 2
+    all_of = spark.read.format("fastq").load(f"{tmp_path}/*.fq")
+    one = all_of.where("file_no = 1")
+    assert one.count() == 50 and one.rdd.getNumPartitions() == 1 and one.where(f"path = '{tmp_path}/a.fq'").count() == 0
+
+
+def test_fetch_through_an_index(spark, tmp_path):
+    r = random.Random(2)
+    seqs = {f"h{i}": "".join(r.choice("ACGT") for _ in range(n)) for i, n in enumerate([0, 1, 59, 60, 61, 600, 1234, 90_000])}
+    wrap = lambda s, n: "\n".join(s[i : i + n] for i in range(0, len(s), n))
+    (tmp_path / "a.fa").write_text("".join(f">{h} note\n{wrap(s, 60).lower()}\n" for h, s in seqs.items()))
+    (tmp_path / "b.fa").write_text(f">odd\r\nAC\r\nACGT\r\nA\r\n>crlf\r\nACGT\r\nTTGG\r\nC\r\n>last\nAC")
+    index = fasta_index(spark, f"{tmp_path}/*.fa", splitBytes="500").cache()
+    assert {x.header: x.length for x in index.collect()} == {**{h: len(s) for h, s in seqs.items()}, "odd": 7, "crlf": 9, "last": 2}
+    assert {x.header: x.line_bases for x in index.where("header in ('odd', 'crlf', 'h5')").collect()} == {"odd": None, "crlf": 4, "h5": 60}
+    seqs |= {"odd": "ACACGTA", "crlf": "ACGTTTGGC", "last": "AC"}
+    wanted = [(h, None, None) for h in seqs] + [(h, a, a + r.randrange(0, 200)) for h, s in seqs.items() for a in (r.randrange(0, len(s) + 5) for _ in range(6))]
+    wanted += [("none", 0, 5), ("h5", -3, 5), ("h5", 9, 4), ("h5", 10, 20), ("h5", 10, 20), (None, 0, 1)]
+    got = fetched(index, spark.createDataFrame(wanted, "header string, start long, stop long")).collect()
+    cut = lambda h, a, b: seqs[h][max(a or 0, 0) : max(len(seqs[h]) if b is None else b, a or 0)]
+    assert sorted(map(str, map(tuple, got))) == sorted(str((h, a, b, cut(h, a, b))) for h, a, b in wanted if h in seqs)
+    with gzip.open(tmp_path / "c.fa.gz", "wt") as f:
+        f.write(">a\nA\n")
+    with pytest.raises(Exception, match="plain text"):
+        fasta_index(spark, f"{tmp_path}/c.fa.gz").collect()
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -148,7 +239,7 @@ def test_sources_and_sinks(spark, tmp_path):
     with gzip.open(tmp_path / "a.fasta.gz", "wt") as f:
         f.write(">z\nTT\n")
     got = spark.read.format("fasta").load(f"{tmp_path}/*.fasta*").orderBy("file_no", "ordinal").collect()
-    assert [(r.file_no, r.ordinal, r.header, r.sequence) for r in got] == [(0, 0, "z", "TT"), (1, 0, "x|0|o", "ACGTAC"), (1, 1, "y", "GG")]
+    assert [(r.file_no, r.ordinal >> 16, r.header, r.sequence) for r in got] == [(0, 0, "z", "TT"), (1, 0, "x|0|o", "ACGTAC"), (1, 20, "y", "GG")]
     fq = spark.createDataFrame([("r1", "ACG", "III"), ("r2", "TT", "II")], "name string, sequence string, quality string")
     tables.write_fastq(fq.coalesce(1), f"{tmp_path}/fq")
     back = spark.read.format("fastq").option("strict", "true").load(f"{tmp_path}/fq/*.gz").collect()
