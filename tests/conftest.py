@@ -15,7 +15,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # short runs: quick compilation pays
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m")  # short runs: quick compilation pays; room for the code of all tests
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -477,6 +477,34 @@ def test_mapper_scores_every_reference_that_can_win(spark):
         assert got[q].identity == pytest.approx(best) and got[q].hit == min(tied, key=lambda n: hashlib.md5(f"{q}|{n}".encode()).hexdigest())
 
 
+def test_candidates_do_not_grow_with_near_identical_references(spark):
+    """References that differ in one base each: what lies between the joins, and the edit distances, stay few per read."""
+    r = random.Random(4)
+    base = "".join(r.choice("ACGT") for _ in range(400))
+    changed = lambda s, i, b: s[:i] + b + s[i + 1 :]
+    every = [changed(base, i, b) for i in range(400) for b in "ACGT" if b != base[i]]
+    r.shuffle(every)
+    o = mapper.MapperOptions(k=11)
+    for n in (150, 1200):
+        refs = spark.createDataFrame([(f"r{i:04d}", s) for i, s in enumerate(every[:n])], "refseq string, sequence string")
+        index = mapper.cluster_references(refs, o)
+        assert index.clusters.where("rep <> center").count() > n / 2
+        reads = []
+        for i in range(60):
+            s = every[i]
+            for j in r.sample(range(400), i % 4):
+                s = changed(s, j, r.choice("ACGT"))
+            reads.append((f"q{i}", s))
+        reads = spark.createDataFrame(reads, "query string, sequence string")
+        distinct = reads.selectExpr("hash(sequence) as r1", "length(query) as r2", "sequence").distinct()
+        classes = mapper.read_classes(distinct, index, o).cache()
+        counts = sorted(x["count"] for x in mapper.candidates(classes, mapper.seeded(distinct, classes, index, o), index).groupBy("r1", "r2").count().collect())
+        # but for reads in which errors hide the k-mers that decide, a few references are candidates, however many there are
+        assert counts[50] <= 6
+        # a read is as near to its hit as to what it was made of
+        assert all(x.identity >= 1 - int(x.query[1:]) % 4 / 400 - 1e-9 for x in mapper.map_reads(reads, index, o).collect())
+
+
 def test_supplied_matrix_is_checked(spark, tmp_path):
     fixture(spark, tmp_path)
     register(spark)
