@@ -150,8 +150,10 @@ def holdout(docs: DataFrame, labels: DataFrame, *, key: str, text: str, stratum:
     """_s, _q and the rules' values of the labelled texts that pass the base rules: one row per distinct text and stratum."""
     best = labels.select(F.col(key).alias("_key"), F.col("quality").alias("_q")).where("_q in (0, 1) and _key is not null").groupBy("_key").agg(F.max("_q").alias("_q"))
     rows = docs.select(F.col(key).alias("_key"), F.col(stratum).alias("_s0"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    held = with_measures(rows.join(sized(written(best, "labels")), "_key"), "_text").where(~base_failed(F.col("_m")))
-    held = held.select(F.col("_s0").alias("_s"), "_q", F.sha2("_text", 256).alias("_digest"), *(v.alias(r) for r, v in rule_values(F.col("_m")).items()))
+    held = with_measures(rows.join(sized(written(best, "labels")), "_key"), "_text").select("_s0", "_q", F.sha2("_text", 256).alias("_digest"), "_m")
+    # written, so that no filter on the counts is moved to where they would be made again and again
+    held = written(held, "measured").where(~base_failed(F.col("_m")))
+    held = held.select(F.col("_s0").alias("_s"), "_q", "_digest", *(v.alias(r) for r, v in rule_values(F.col("_m")).items()))
     return held.groupBy("_s", "_digest").agg(F.max("_q").alias("_q"), *(F.any_value(r).alias(r) for r in RULES)).drop("_digest")
 
 
