@@ -50,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--no-trim-primers", action="store_true")
     run.add_argument("--obs-max-reads", type=int, default=100_000)
     run.add_argument("--mismapping-matrix")
+    run.add_argument("--error-model-scope", choices=["per-sample", "pooled"], default=Options.error_model_scope)
+    run.add_argument("--error-model-max-reads", type=int, default=Options.error_model_max_reads)
     matrix = commands.add_parser("matrix", help="the confusion matrix of a reference file")
     matrix.add_argument("--references", required=True)
     hits = commands.add_parser("hits", help="hit tables of one sample to its composition")
@@ -76,7 +78,7 @@ def options(a: argparse.Namespace) -> Options:
     """The options that a command names; ranges are checked where they are held."""
     given = vars(a)
     pick = lambda *names: {n: given[n] for n in names if n in given}
-    more: dict = pick("seed", "fwd_primer", "rev_primer", "primer_mismatches", "sim_error_model", "flat_sub_rate", "flat_ins_rate", "flat_del_rate", "sim_n_per_ref", "sim_read_len", "obs_max_reads", "mismapping_matrix", "min_identity")
+    more: dict = pick("seed", "fwd_primer", "rev_primer", "primer_mismatches", "sim_error_model", "flat_sub_rate", "flat_ins_rate", "flat_del_rate", "sim_n_per_ref", "sim_read_len", "obs_max_reads", "mismapping_matrix", "min_identity", "error_model_scope", "error_model_max_reads")
     if "no_trim_primers" in given:
         more["trim_primers"] = not a.no_trim_primers
     if "kmer" in given:

@@ -15,7 +15,7 @@ from ..functions import sequence as S
 from ..functions.scratch import new_dir, written
 from ..functions.uniform import uniform
 from ..operators import composition as C
-from ..operators import database, mapper, metrics, provenance, sampling, validation
+from ..operators import database, error_model, mapper, metrics, provenance, sampling, validation
 from ..sources.fetch import fasta_index, fetched
 from ..sources.sequences import register
 from ..sources.tables import model_config, write_fastq
@@ -506,6 +506,52 @@ def random_truth(spark, d):
 # ---- mapping -------------------------------------------------------------------------------------------------------
 
 K = 11
+LEARN_SUB, LEARN_READS = 0.05, 2
+LEARN_SQL = f"""ba AS (SELECT refseq, i, sequence AS f, unnest(range(length(sequence))) AS pos, unnest(string_split(sequence, '')) AS b FROM seqs, range({LEARN_READS}) r(i) WHERE regexp_matches(sequence, '^[ACGT]+$')),
+lu AS (SELECT substr(f, (greatest(pos - 3, 0) + 1)::INT, least(pos, 3)::INT) AS c3, b, CASE WHEN {u_sql("'42'", 'refseq', 'i::VARCHAR', '(pos::VARCHAR)', "'m'")} < {LEARN_SUB}
+  THEN substr('ACGT', ((instr('ACGT', b) + floor({u_sql("'42'", 'refseq', 'i::VARCHAR', '(pos::VARCHAR)', "'s'")} * 3)::INT) % 4) + 1, 1) ELSE b END AS x FROM ba)"""
+
+
+def _learning(spark, d):
+    """Pairs of sequences and reads of them with substitutions only, so that SQL can say their alignment."""
+    refs = sequences(spark, d)
+    reads = sampling.simulated_reads(refs, LEARN_READS, 42, sub=LEARN_SUB, ins=0.0, dele=0.0)
+    return reads.select("refseq", F.col("sequence").alias("read")).join(refs.select("refseq", F.col("sequence").alias("reference")), "refseq")
+
+
+@query("error_table", with_sql(SEQS, LEARN_SQL) + "SELECT right(c3, 1) AS context, b AS base, x AS outcome, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY right(c3, 1), b), 9) AS p FROM lu GROUP BY 1, 2, 3")
+def error_table(spark, d):
+    """Outcomes of bases by the base before, learned from aligned reads."""
+    return error_model.model_table(error_model.context_counts(_learning(spark, d)), 1).withColumn("p", F.round("p", 9))
+
+
+@query(
+    "error_model_aic",
+    with_sql(SEQS, LEARN_SQL, "g AS (SELECT k, CASE WHEN k = 0 THEN '' ELSE right(c3, k) END AS c, b, x, count(*) AS n FROM lu, (SELECT unnest(range(4)) AS k) GROUP BY ALL)", "h AS (SELECT *, sum(n) OVER (PARTITION BY k, c, b) AS t FROM g)")
+    + f"SELECT 'k' || k AS model_id, k::INT AS ordinal, round({2 * error_model.PARAMETERS} * count(DISTINCT c || b) - 2 * sum(n * ln(n / t)), 4) AS aic FROM h GROUP BY k",
+)
+def error_model_aic(spark, d):
+    """AIC of the models with contexts of none to three bases."""
+    scores = error_model.model_scores(written(error_model.context_counts(_learning(spark, d)), "error-counts"))
+    return scores.select("model_id", "ordinal", F.round("aic", 4).alias("aic"))
+
+
+@query(
+    "model_reads",
+    with_sql(
+        SEQS, LEARN_SQL, "cells AS (SELECT c, b, x, sum(n) OVER (PARTITION BY c, b ORDER BY x) / sum(n) OVER (PARTITION BY c, b) AS cum FROM (SELECT c, b, x, count(*) AS n FROM (SELECT right(c3, 1) AS c, b, x FROM lu WHERE c3 <> '' UNION ALL SELECT '', b, x FROM lu) GROUP BY ALL))",
+        f"""fr AS (SELECT refseq, i, CASE WHEN length(sequence) <= {READ} THEN sequence ELSE substr(sequence, floor({u_sql("'9'", 'refseq', 'i::VARCHAR', "'f'")} * (length(sequence) - {READ - 1}))::INT + 1, {READ}) END AS f FROM seqs, range(3) r(i))""",
+        f"""mb AS (SELECT *, CASE WHEN pos = 0 THEN '' ELSE substr(f, pos::INT, 1) END AS c, {u_sql("'9'", 'refseq', 'i::VARCHAR', '(pos::VARCHAR)', "'m'")} AS u FROM (SELECT refseq, i, f, unnest(range(length(f))) AS pos, unnest(string_split(f, '')) AS b FROM fr WHERE regexp_matches(f, '^[ACGT]+$')))""",
+        "mx AS (SELECT refseq, i, pos, min(x) FILTER (u < cum) AS x FROM mb JOIN cells USING (c, b) GROUP BY ALL)",
+    )
+    + "SELECT refseq, refseq || ':' || i AS name, string_agg(x, '' ORDER BY pos) AS sequence FROM mx GROUP BY refseq, i",
+)
+def model_reads(spark, d):
+    """Reads simulated by the learned table."""
+    model = error_model.model_table(error_model.context_counts(_learning(spark, d)), 1)
+    return error_model.model_reads(sequences(spark, d), model, 3, 9, read_len=READ)
+
+
 MAP_SQL = f"""rk AS (SELECT DISTINCT refseq, unnest(list_transform(range(1, length(sequence) - {K - 2}), lambda i: substr(sequence, i, {K}))) AS kmer FROM seqs),
 qs AS (SELECT DISTINCT sequence FROM sim WHERE sequence <> ''),
 qk AS (SELECT DISTINCT sequence, unnest(CASE WHEN length(sequence) >= {K} THEN list_transform(range(1, length(sequence) - {K - 2}), lambda i: substr(sequence, i, {K})) ELSE [sequence] END) AS kmer FROM qs),

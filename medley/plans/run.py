@@ -6,17 +6,19 @@ settings before anything is simulated, and each group is simulated and mapped on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scratch import written
+from ..functions.scratch import sized, written
 from ..functions.sequence import trimmed_read
 from ..operators import composition as C
 from ..operators import provenance as V
 from ..operators.database import amplified, reference_index
+from ..operators.error_model import model_reads, read_model, trained_model, write_model
 from ..operators.mapper import ReferenceIndex, cluster_references, map_reads, usable_hits
 from ..operators.posterior import diagnostics, infer
 from ..operators.sampling import reservoir, running_index, simulated_reads
@@ -40,14 +42,16 @@ class Result:
     unknown: DataFrame
     translation: DataFrame
     index: DataFrame
+    #: The error model that reads were simulated by; None if it was flat or a matrix was supplied.
+    model: DataFrame | None = None
 
 
-def prepared_reads(reads: DataFrame, o: Options) -> DataFrame:
-    """sample, query, sequence: at most so many reads per sample, trimmed to the amplicon, empty ones left out.
+def prepared_reads(reads: DataFrame, o: Options, most: int | None = None, by: Sequence[str] = ("sample",)) -> DataFrame:
+    """sample, query, sequence: at most so many reads per sample (or of all, if by is empty), trimmed to the amplicon, empty ones left out.
 
     The names get the running index of the reads that are left, in order of file and record.
     """
-    reads = reservoir(reads, o.obs_max_reads, o.seed, ["sample", "file_no", "ordinal"], ["sample"])
+    reads = reservoir(reads, o.obs_max_reads if most is None else most, o.seed, ["sample", "file_no", "ordinal"], by)
     if o.trim_primers:
         reads = reads.withColumn("sequence", trimmed_read(F.col("sequence"), o.fwd_primer, o.rev_primer, o.primer_mismatches))
     reads = written(reads.where(F.length("sequence") > 0).select("sample", "file_no", "ordinal", "name", "sequence"), "reads")
@@ -55,41 +59,61 @@ def prepared_reads(reads: DataFrame, o: Options) -> DataFrame:
     return numbered.select("sample", F.concat_ws("_", "name", "at").alias("read"), F.concat_ws("\t", "sample", F.concat_ws("_", "name", "at")).alias("query"), "sequence")
 
 
-def simulated_hits(refs: DataFrame, index: ReferenceIndex, o: Options) -> DataFrame:
-    """Usable hits of reads that are simulated of every reference (refseq, sequence)."""
-    if o.sim_error_model != "flat":
-        raise ValueError("trained error models need their own trainer, which is not part of this engine; use flat, or supply a matrix")
-    reads = simulated_reads(refs, o.sim_n_per_ref, o.seed, read_len=o.sim_read_len, sub=o.flat_sub_rate, ins=o.flat_ins_rate, dele=o.flat_del_rate)
+def simulated_hits(refs: DataFrame, index: ReferenceIndex, o: Options, model: DataFrame | None = None) -> DataFrame:
+    """Usable hits of reads that are simulated of every reference (refseq, sequence), by a model or the flat rates."""
+    if model is not None:
+        reads = model_reads(refs, model, o.sim_n_per_ref, o.seed, read_len=o.sim_read_len)
+    elif o.sim_error_model == "flat":
+        reads = simulated_reads(refs, o.sim_n_per_ref, o.seed, read_len=o.sim_read_len, sub=o.flat_sub_rate, ins=o.flat_ins_rate, dele=o.flat_del_rate)
+    else:
+        raise ValueError("a trained error model needs reads to be trained on")
     return usable_hits(map_reads(reads.select(F.col("name").alias("query"), "sequence"), index, o.mapper), o.min_identity)
 
 
-def build_matrix(refs: DataFrame, o: Options, index: ReferenceIndex | None = None) -> tuple[DataFrame, DataFrame]:
+def build_matrix(refs: DataFrame, o: Options, index: ReferenceIndex | None = None, model: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The confusion matrix (src, dst, p) of references (refseq, sequence), and the counts of what it leaves out."""
-    hits = written(simulated_hits(refs, index or cluster_references(refs, o.mapper), o).select("query", "hit"), "simulated-hits")
+    hits = written(simulated_hits(refs, index or cluster_references(refs, o.mapper), o, model).select("query", "hit"), "simulated-hits")
     return written(C.row_stochastic(C.confusion_counts(hits, refs), refs), "matrix"), C.unknown_counts(hits, refs)
 
 
-def compose(reads: DataFrame, references: DataFrame, o: Options = Options(), matrix: DataFrame | None = None, group_id: str | None = None, matrix_path: str | None = None) -> Result:
+def mapped(seqs: DataFrame, clustered: ReferenceIndex, o: Options) -> DataFrame:
+    return written(usable_hits(map_reads(seqs.select("query", "sequence"), clustered, o.mapper), o.min_identity), "hits")
+
+
+def learned(seqs: DataFrame, hits: DataFrame, refs: DataFrame) -> DataFrame:
+    """The error model of reads (query, sequence) with their hits."""
+    pairs = hits.select("query", F.col("hit").alias("refseq")).join(seqs.select("query", F.col("sequence").alias("read")), "query")
+    return written(trained_model(pairs.join(sized(refs.select("refseq", F.col("sequence").alias("reference"))), "refseq")), "error-model")
+
+
+def compose(reads: DataFrame, references: DataFrame, o: Options = Options(), matrix: DataFrame | None = None, group_id: str | None = None, matrix_path: str | None = None, model: DataFrame | None = None, training: DataFrame | None = None) -> Result:
     """Compositions of all samples of one reference set.
 
-    reads: sample, file_no, ordinal, name, sequence; references: ordinal, header, sequence; matrix: a supplied src, dst, p.
+    reads: sample, file_no, ordinal, name, sequence; references: ordinal, header, sequence; matrix: a supplied src, dst, p; model: a
+    supplied error model. A trained model is learned from training (columns of reads), by default from the reads themselves.
     """
     index = written(reference_index(references, o.fwd_primer, o.rev_primer, o.primer_mismatches), "index")
     refs = written(amplified(index), "amplicons")
     clustered = cluster_references(refs, o.mapper)
     translation = C.translation_table(refs.select("refseq", "genome"))
+    seqs = prepared_reads(reads, o)
+    hits = mapped(seqs, clustered, o)
     if matrix is None:
-        matrix, unknown = build_matrix(refs, o, clustered)
+        if o.sim_error_model == "trained" and model is None:
+            if training is None:
+                model = learned(seqs, hits, refs)
+            else:
+                pooled = prepared_reads(training, o, o.error_model_max_reads, ())
+                model = learned(pooled, mapped(pooled, clustered, o), refs)
+        matrix, unknown = build_matrix(refs, o, clustered, model)
     else:
         require(matrix_violations(matrix, refs), "supplied matrix")
-        unknown = refs.sparkSession.createDataFrame([], "src string, dst string, n long")
-    seqs = prepared_reads(reads, o)
-    hits = usable_hits(map_reads(seqs.select("query", "sequence"), clustered, o.mapper), o.min_identity)
+        unknown, model = refs.sparkSession.createDataFrame([], "src string, dst string, n long"), None
     named = hits.withColumn("sample", F.split_part("query", F.lit("\t"), F.lit(1)))
     observed = written(C.observed_counts(named, refs, ["sample"]), "observed")
     fits = infer(observed, translation, matrix, o.infer)
     facts = diagnostics(observed, C.mean_diagonal(matrix, refs), o.infer, fits, o.min_identity, group_id, matrix_path or o.mismapping_matrix)
-    return Result(fits.composition, fits.loss, facts, matrix, unknown, translation, index)
+    return Result(fits.composition, fits.loss, facts, matrix, unknown, translation, index, model)
 
 
 def matrix_plan(samples: DataFrame, amplicons: DataFrame, o: Options) -> DataFrame:
@@ -97,6 +121,9 @@ def matrix_plan(samples: DataFrame, amplicons: DataFrame, o: Options) -> DataFra
     require(sample_violations(samples), "samples")
     refs = V.content_hash(amplicons, ["references"], "ordinal", "refseq", "sequence")
     named = V.model_identity(samples, o.sim_error_model, o.error_model_scope, o.mismapping_matrix).join(refs, "references")
+    # samples share a supplied model only if it is the same one
+    own = (F.col("identity") == "supplied") & F.lit(o.mismapping_matrix is None)
+    named = named.withColumn("identity", F.when(own, F.concat_ws(":", "identity", "error_model")).otherwise(F.col("identity")))
     keyed = named.withColumn("matrix_key", V.matrix_key(F.col("reference_sha256"), V.settings_text(o.matrix_settings()), F.col("identity")))
     return V.matrix_groups(keyed)
 
@@ -111,10 +138,9 @@ def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Option
     """Samples of a sheet to out_dir, one matrix per group of samples that share references and settings.
 
     Each group has a bundle in mismapping/<matrix key>, and groups.tsv lists them. Each sample has its CSV tables in
-    samples/sample=<id>. A trained error model is an error, as its trainer is not part of this engine.
+    samples/sample=<id>. Under a trained error model each sample has its own, or its platform's (from the reads of all its samples), or the
+    one that the sheet names for it.
     """
-    if o.sim_error_model != "flat" and o.mismapping_matrix is None:
-        raise ValueError("trained error models need their own trainer, which is not part of this engine; use flat, or supply a matrix")
     register(spark)
     sheet = {s["id"]: s for s in samples.collect()}  # a sample sheet, a few hundred rows
     references = read_references(spark, sorted({s["references"] for s in sheet.values()}))
@@ -127,10 +153,16 @@ def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Option
     supplied = tables.read_matrix(spark, o.mismapping_matrix) if o.mismapping_matrix else None
     papers = {r["matrix_key"]: r["provenance"] for r in V.provenance(groups, o.matrix_settings()).collect()}
     for i, g in enumerate(found):
-        reads = [spark.read.schema(READS).format("fastq").load(",".join(sheet[m["id"]]["reads"])).withColumn("sample", F.lit(m["id"])) for m in g["members"]]
+        reads_of = lambda ids: reduce(DataFrame.unionByName, [spark.read.schema(READS).format("fastq").load(",".join(sheet[i]["reads"])).withColumn("sample", F.lit(i)) for i in ids])
         refs = references.where(F.col("references") == sheet[g["representative"]]["references"]).drop("references")
         key, at = g["matrix_key"], f"mismapping/{g['matrix_key']}/mismapping_matrix.csv"
-        result = compose(reduce(DataFrame.unionByName, reads), refs, o, supplied, key, at)
+        lead, model, training = sheet[g["representative"]], None, None
+        if o.sim_error_model == "trained" and supplied is None:
+            if lead["error_model"]:
+                model = read_model(spark, lead["error_model"])
+            elif o.error_model_scope == "pooled":
+                training = reads_of([i for i, s in sheet.items() if s["platform"] == lead["platform"] and not s["error_model"]])
+        result = compose(reads_of([m["id"] for m in g["members"]]), refs, o, supplied, key, at, model, training)
         write_bundle(result, f"{out_dir}/mismapping/{key}", papers[key], V.group_members(groups.where(F.col("matrix_key") == key)))
         mode = "overwrite" if i == 0 else "append"
         for name, df in (("inferred_composition", result.composition), ("inference_diagnostics", flat(result.diagnostics)), ("loss_trace", result.loss)):
@@ -150,6 +182,8 @@ def write_bundle(result: Result, folder: str, paper: str, members: DataFrame) ->
     tables.write_tsv(members.select("sample_id", "platform"), f"{folder}/samples.tsv", "sample_id")
     tables.write_text(spark, f"{folder}/provenance.json", paper + "\n")
     tables.write_tsv(result.unknown, f"{folder}/unknown_hits.tsv", "src")
+    if result.model is not None:
+        write_model(result.model, f"{folder}/error_model.csv")
     tables.write_reference(result.index, result.translation, f"{folder}/reference")
 
 

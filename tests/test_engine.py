@@ -384,8 +384,6 @@ def test_samples_of_equal_references_share_a_matrix(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/again/mismapping/groups.tsv", sep="\t", header=True).first().source == "supplied"
     same = {r.genome_id: r.inferred_mean for r in table(spark, tmp_path / "again/samples/inferred_composition").collect()}
     assert all(abs(same[g] - got["s1", g]) < 1e-6 for g in same)
-    with pytest.raises(ValueError, match="trained"):
-        run_samples(spark, tables.read_samples(spark, f"{tmp_path}/s.yml"), f"{tmp_path}/x", replace(SMALL, sim_error_model="trained"))
 
 
 def test_hit_tables_to_a_composition(spark, tmp_path):
