@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -100,11 +101,16 @@ def counted_join(rows: DataFrame, small: DataFrame, on: str, n: str, by: Column)
 
 
 def worker_held(name: str, key: object, make):
-    """What make() gave for this key in this worker process: it outlives a task. One value is held for each name."""
+    """What make() gave for this key in this worker process: it outlives a task. Only the last value is held, under whatever name,
+
+    so a worker that serves several operators one after the other has the memory of one.
+    """
     held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker")).__dict__
-    if held.get(name, (None,))[0] != key:
-        held[name] = (key, make())
-    return held[name][1]
+    if held.get("value", (None, None))[0] != (name, key):
+        held.pop("value", None)
+        gc.collect()
+        held["value"] = ((name, key), make())
+    return held["value"][1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
