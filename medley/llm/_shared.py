@@ -100,17 +100,19 @@ def counted_join(rows: DataFrame, small: DataFrame, on: str, n: str, by: Column)
     return rows.join(sent, on).unionByName(cold)
 
 
-def worker_held(name: str, key: object, make):
-    """What make() gave for this key in this worker process: it outlives a task. Only the last value is held, under whatever name,
+def worker_held(name: str, key: object, make, place: int = 0):
+    """What make() gave for this key in this worker process: it outlives a task. One value is held for each place of a name.
 
-    so a worker that serves several operators one after the other has the memory of one.
+    Values of other names are dropped, so a worker that serves several operators one after the other has the memory of one.
     """
     held = sys.modules.setdefault("medley_worker", types.ModuleType("medley_worker")).__dict__
-    if held.get("value", (None, None))[0] != (name, key):
-        held.pop("value", None)
+    if held.get("name") != name:
+        held["name"], held["values"] = name, {}
         gc.collect()
-        held["value"] = ((name, key), make())
-    return held["value"][1]
+    if held["values"].get(place, (None,))[0] != key:
+        held["values"].pop(place, None)
+        held["values"][place] = (key, make())
+    return held["values"][place][1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

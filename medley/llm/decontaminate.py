@@ -165,7 +165,7 @@ def searched(rows: DataFrame, place: int, block: list[tuple[int | None, str]], r
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, items = shared.value
-        yield from found(worker_held(f"matcher{place}", key, lambda: Matcher(items, rate)), batches)
+        yield from found(worker_held("matcher", key, lambda: Matcher(items, rate), place), batches)
 
     return rows.mapInArrow(search, ddl)
 
