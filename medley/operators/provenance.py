@@ -5,17 +5,43 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import sized, written
 
-def content_hash(rows: DataFrame, by: list[str], order: str, *parts: str) -> DataFrame:
-    """SHA-256 per group over its rows as FASTA text, in order.
 
-    Each row is hashed first, so a group gathers 64 characters per row and not its sequences.
+#: Records, or digests, that one row of a digest tree gathers; ordinals whose records are ranked together (16 MB of a file).
+GATHERED, SPAN = 4096, 1 << 40
+
+
+def content_hash(rows: DataFrame, by: list[str], order: str, *parts: str, gathered: int = GATHERED, span: int = SPAN) -> DataFrame:
+    """SHA-256 per group over its rows as FASTA text, in order, as the root of a tree of digests.
+
+    Each row is hashed; runs of so many hashes in order are joined and hashed, and runs of those again, until a group has one. So a group
+    of up to gathered rows has the digest of all its hashes, and no row gathers more of them, however many there are. Rows are
+    ranked span by span of the order column, a number, and moved by the counts of the spans before.
     """
     line = F.sha2(F.concat_ws("\n", *(F.col(p) for p in parts)), 256)
-    return rows.groupBy(*by).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("h")))), lambda x: x["h"]), "\n"), 256).alias("reference_sha256"))
+    lines = rows.select(*by, F.col(order).alias("_o"), line.alias("_h"), F.floor(F.col(order) / span).alias("_span"))
+    lines = written(lines, "record-hashes")
+    counts = lines.groupBy(*by, "_span").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)  # a row for each span of a group
+    starts = written(counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), "spans")
+    most = starts.agg(F.max(F.col("_start") + F.col("_n"))).first()[0] or 0
+    key = F.struct(*by, "_span")
+    ranked = lines.withColumn("_k", key).join(sized(starts.select(key.alias("_k"), "_start")), "_k").drop("_k")
+    rank = F.row_number().over(Window.partitionBy(*by, "_span").orderBy("_o", "_h")) - 1
+    level = ranked.select(*by, (F.col("_start") + rank).alias("_at"), "_h")
+    first = True
+    while first or most > 1:
+        run = F.floor(F.col("_at") / gathered)
+        joined = F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_h"))), lambda x: x["_h"]), "\n"), 256)
+        # above the records, what stands alone is the digest already
+        digest = joined if first else F.when(F.count(F.lit(1)) == 1, F.min("_h")).otherwise(joined)
+        level = level.groupBy(*by, run.alias("_run")).agg(digest.alias("_h")).withColumnRenamed("_run", "_at")
+        most, first = -(-most // gathered), False
+    return level.select(*by, F.col("_h").alias("reference_sha256"))
 
 
 def settings_text(settings: Mapping[str, object]) -> str:

@@ -12,8 +12,6 @@ from ..functions.sequence import BASES, fragment, is_acgt
 from ..functions.uniform import hash_order, uniform
 
 
-#: Classes of a categorical draw.
-MAX_CLASSES = 100_000
 #: Hex digits of the hash by which a cut is looked for: 65,536 bins of each group.
 BIN_DIGITS = 4
 
@@ -89,21 +87,35 @@ def simulated_reads(refs: DataFrame, n_per_ref: int, seed: int, *, read_len: int
     return out.where(F.length("sequence") > 0)
 
 
+def cumulated(classes: DataFrame, order: str, value: str) -> DataFrame:
+    """classes with _lo and _hi: the sums of a value before and up to each row in order.
+
+    Ranges of rows are summed each for itself and moved by the sums of the ranges before, so no task orders all rows.
+    """
+    ranges = written(classes.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sums = ranges.groupBy("_range").agg(F.sum(value).alias("_s"))
+    starts = sums.select("_range", F.coalesce(F.sum("_s").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_start"))  # a row for each range
+    within = F.sum(value).over(Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    out = ranges.withColumn("_upto", within).join(F.broadcast(starts), "_range").withColumn("_hi", F.col("_start") + F.col("_upto"))
+    return out.withColumn("_lo", F.col("_hi") - F.col(value)).drop("_range", "_upto", "_start")
+
+
 def categorical(draws: DataFrame, classes: DataFrame, *, u: str = "u", item: str = "item", p: str = "p") -> DataFrame:
-    """Each draw's class by inverse cumulative probability.
+    """Each draw's class by inverse cumulative probability over the classes in order; a draw without one has a null.
 
-    The classes' cumulative table is one row that goes to every task: at most MAX_CLASSES, else an error.
+    The cumulative table is cut into as many stretches of equal width as there are classes, or up to twice as many, and joined on
+    them: a class has a row for each stretch that it touches. A draw meets two classes on average, whatever their number and weights.
     """
-    if (n := classes.count()) > MAX_CLASSES:
-        raise ValueError(f"{n} classes; a draw takes {MAX_CLASSES} at most")
-    table = classes.agg(F.sort_array(F.collect_list(F.struct(item, p))).alias("_cs"))
-    total = F.aggregate("_cs", F.lit(0.0), lambda acc, c: acc + c[p])
-    walk = F.aggregate(
-        "_cs", F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("string").alias("got")),
-        lambda acc, c: F.struct((acc["sum"] + c[p]).alias("sum"), F.when(acc["got"].isNull() & (F.col(u) * total < acc["sum"] + c[p]), c[item].cast("string")).otherwise(acc["got"]).alias("got")),
-        lambda acc: acc["got"],
-    )
-    return draws.join(F.broadcast(table)).withColumn(item, walk).drop("_cs")
+    table = classes.where(F.col(p) > 0).select(F.col(item).cast("string").alias(item), F.col(p).cast("double").alias(p))
+    table = written(cumulated(table, item, p), "cumulated")
+    n, total = table.agg(F.count(F.lit(1)), F.max("_hi")).first()
+    stretches = 1 << max(n - 1, 1).bit_length()
+    total = float(total or 1.0)
+    at = lambda x: F.floor(x / F.lit(total) * stretches)
+    table = table.withColumn("_at", F.explode(F.sequence(at(F.col("_lo")), at(F.col("_hi"))))).select("_at", "_lo", "_hi", F.col(item).alias("_item"))
+    rows = draws.drop(item).withColumn("_x", F.col(u) * F.lit(total)).withColumn("_cell", at(F.col("_x")))
+    meets = (F.col("_cell") == F.col("_at")) & (F.col("_x") >= F.col("_lo")) & (F.col("_x") < F.col("_hi"))
+    return rows.join(sized(written(table, "stretches")) if n else table, meets, "left").drop("_x", "_cell", "_at", "_lo", "_hi").withColumnRenamed("_item", item)
 
 
 def random_truth(genomes: DataFrame, pair: tuple[str, str], n_present: int, low: float, seed: int) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import lineage
 from ..operators.composition import long, wide
+from .onefile import removed, replaced, write_one_file
+from .sequences import file_system
 
 HITS = "query string, hit string, score string, identity string"
 SAMPLES = "id string, reads array<string>, platform string, references string, error_model string"
@@ -73,31 +75,29 @@ def _moved(fs, pairs) -> None:
 
 
 def write_database(rows: DataFrame, header: str, prefix: str) -> tuple[str, str]:
-    """A reference set (refseq, sequence, lineage) as prefix.fasta and prefix.tax, both or none.
+    """A reference set (refseq, sequence, lineage) as the files prefix.fasta and prefix.tax, both or none.
 
-    Rows are in order of entry and ordinal if there are such columns, else of refseq. Both are written under other names first;
-    if either fails, neither is left.
+    Rows are in order of entry and ordinal if there are such columns, else of refseq. Both are written under other names first and then
+    take the place of older ones together: if anything fails, the older files are there as they were.
     """
-    spark = rows.sparkSession
     order = [c for c in ("entry", "ordinal") if c in rows.columns] or ["refseq"]
     fasta, tax = f"{prefix}.fasta", f"{prefix}.tax"
-    fs, fasta_part, fasta_final = _file_system(spark, fasta)
-    _, tax_part, tax_final = _file_system(spark, tax)
+    new = [f"{prefix}.{uuid.uuid4().hex}.{kind}" for kind in ("fasta", "tax")]
     try:
-        write_fasta(rows, fasta_part.toString(), order=order)
-        write_taxonomy(rows, tax_part.toString(), header, order=order)
-        _moved(fs, [(fasta_part, fasta_final), (tax_part, tax_final)])
+        write_fasta(rows, new[0], order=order)
+        write_taxonomy(rows, new[1], header, order=order)
+        replaced([(new[0], fasta), (new[1], tax)])
     finally:
-        fs.delete(fasta_part, True)
-        fs.delete(tax_part, True)
+        for path in new:
+            removed(path, file_system(path)[1])
     return fasta, tax
 
 
 def write_reference(index: DataFrame, translation: DataFrame, folder: str) -> None:
     """The reference tables of an index: amplicons.fasta, amplicons.tax, translation_table.csv, refseq_index.csv."""
     cut = index.where("amplifiable").select("ordinal", "refseq", F.col("amplicon").alias("sequence"), lineage(F.col("refseq")).alias("lineage"))
-    write_fasta(cut, f"{folder}/amplicons.fasta", order=["ordinal"], mode="overwrite")
-    write_taxonomy(cut, f"{folder}/amplicons.tax", AMPLICON_HEADER, order=["ordinal"], mode="overwrite")
+    write_fasta(cut, f"{folder}/amplicons.fasta", order=["ordinal"])
+    write_taxonomy(cut, f"{folder}/amplicons.tax", AMPLICON_HEADER, order=["ordinal"])
     write_matrix(translation, f"{folder}/translation_table.csv", cut.select("refseq"), "genome", "refseq", "weight")
     rows = index.select("refseq", "genome", "amplicon_len", "amplifiable").orderBy("refseq").coalesce(1)
     rows.write.csv(f"{folder}/refseq_index.csv", header=True, mode="overwrite")
@@ -145,10 +145,10 @@ def read_genomes(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, GENOMES)
 
 
-def write_fasta(rows: DataFrame, path: str, name: str = "refseq", sequence: str = "sequence", order: Sequence[str] | None = None, mode: str = "error") -> None:
-    """Records of two lines each; ordered over all part files, if an order is given."""
+def write_fasta(rows: DataFrame, path: str, name: str = "refseq", sequence: str = "sequence", order: Sequence[str] | None = None) -> None:
+    """One file of records of two lines each, in order if one is given; gzipped if path says so."""
     rows = rows.orderBy(*order) if order else rows
-    rows.select(F.format_string(">%s\n%s", name, sequence)).write.mode(mode).text(path)
+    write_one_file(rows.select(F.format_string(">%s\n%s", name, sequence)), path)
 
 
 def write_fastq(rows: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -156,12 +156,9 @@ def write_fastq(rows: DataFrame, path: str, compression: str = "gzip") -> None:
     rows.select(F.format_string("@%s\n%s\n+\n%s", "name", "sequence", "quality")).write.option("compression", compression).text(path)
 
 
-def write_taxonomy(rows: DataFrame, path: str, header: str, order: Sequence[str] = ("refseq",), mode: str = "error") -> None:
-    """Comment lines, then id and lineage, ordered over all part files; the comments come first."""
-    body = rows.select(F.lit(1).alias("o"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(order)), F.concat_ws("\t", "refseq", "lineage").alias("value"))
-    top = rows.sparkSession.createDataFrame([(0, header)], "o int, value string")
-    keys = [f"k{i}" for i in range(len(order))]
-    top.unionByName(body, allowMissingColumns=True).orderBy("o", *keys).select("value").write.mode(mode).text(path)
+def write_taxonomy(rows: DataFrame, path: str, header: str, order: Sequence[str] = ("refseq",)) -> None:
+    """One file: comment lines, then id and lineage in order."""
+    write_one_file(rows.orderBy(*order).select(F.concat_ws("\t", "refseq", "lineage")), path, header)
 
 
 def write_tsv(rows: DataFrame, path: str, order: str) -> None:

@@ -244,8 +244,12 @@ def test_sources_and_sinks(spark, tmp_path):
     tables.write_fastq(fq.coalesce(1), f"{tmp_path}/fq")
     back = spark.read.format("fastq").option("strict", "true").load(f"{tmp_path}/fq/*.gz").collect()
     assert [(r.name, r.sequence, r.quality) for r in back] == [("r1", "ACG", "III"), ("r2", "TT", "II")]
-    tables.write_fasta(fq.coalesce(1), f"{tmp_path}/fa", name="name")
-    assert [r.header for r in spark.read.format("fasta").load(f"{tmp_path}/fa/*.txt").collect()] == ["r1", "r2"]
+    for path in (tmp_path / "o.fa", tmp_path / "o.fa.gz"):
+        for _ in range(2):  # an old file gives way
+            tables.write_fasta(fq.repartition(3), f"{path}", name="name", order=["name"])
+        assert (gzip.open if path.suffix == ".gz" else open)(path, "rt").read() == ">r1\nACG\n>r2\nTT\n"
+    tables.write_fasta(fq.limit(0), f"{tmp_path}/none.fa", name="name")
+    assert (tmp_path / "none.fa").read_text() == "" and not list(tmp_path.glob(".*fa*"))
     (tmp_path / "h.tsv").write_text("#c\nq1\tr1\t10\t0.9\nq2\t\t1\t1\nq3\tr2\t5\t<none\n")
     assert [(r.query, r.identity) for r in tables.read_hits(spark, f"{tmp_path}/h.tsv").orderBy("query").collect()] == [("q1", "0.9"), ("q3", "<none")]
     m = spark.createDataFrame([("a|0|x.y", "a|0|x.y", 0.25), ("a|0|x.y", "b", 0.75), ("b", "b", 1.0)], "src string, dst string, p double")
@@ -279,13 +283,20 @@ def test_genome_list_and_database_files(spark, tmp_path, monkeypatch):
         f.write(">x\nTT\n")
     (tmp_path / "g.yml").write_text("genomes:\n- {id: B, taxonomy: Bacteria;Genus, fasta: a.fa}\n- {id: A, taxonomy: Bacteria; Genus ;Species, fasta: b.fa.gz}\n".replace("Bacteria; Genus ;Species", '"Bacteria; Genus ;Species"'))
     main(["database", "--genomes", f"{tmp_path}/g.yml", "--prefix", f"{tmp_path}/db/set"], spark)
-    text = lambda p: "".join(f.read_text() for f in sorted(p.glob("part-*")))
-    assert text(tmp_path / "db/set.fasta") == ">B|0|x\nAC\n>B|1|y\nGT\n>A|0|x\nTT\n"
-    assert text(tmp_path / "db/set.tax").splitlines()[2:] == ["#levels: Taxonomy_1 Taxonomy_2 Taxonomy_3 Subspecies", "B|0|x\tBacteria;Genus;unclassified;B", "B|1|y\tBacteria;Genus;unclassified;B", "A|0|x\tBacteria;Genus;Species;A"]
+    assert (tmp_path / "db/set.fasta").read_text() == ">B|0|x\nAC\n>B|1|y\nGT\n>A|0|x\nTT\n"
+    assert (tmp_path / "db/set.tax").read_text().splitlines()[2:] == ["#levels: Taxonomy_1 Taxonomy_2 Taxonomy_3 Subspecies", "B|0|x\tBacteria;Genus;unclassified;B", "B|1|y\tBacteria;Genus;unclassified;B", "A|0|x\tBacteria;Genus;Species;A"]
     monkeypatch.setattr(tables, "write_taxonomy", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         main(["database", "--genomes", f"{tmp_path}/g.yml", "--prefix", f"{tmp_path}/db/other"], spark)
-    assert sorted(f.name for f in (tmp_path / "db").iterdir() if not f.name.endswith(".crc")) == ["set.fasta", "set.tax"]
+    assert sorted(f.name for f in (tmp_path / "db").iterdir()) == ["set.fasta", "set.tax"]
+    monkeypatch.undo()
+    # the second move fails: both old files are back
+    old = [(tmp_path / f"db/set.{x}").read_text() for x in ("fasta", "tax")]
+    rows = spark.createDataFrame([("a", "AC", "x;y")], "refseq string, sequence string, lineage string")
+    monkeypatch.setattr(tables, "write_taxonomy", lambda *a, **k: None)
+    with pytest.raises(FileNotFoundError):
+        tables.write_database(rows, "#h", f"{tmp_path}/db/set")
+    assert [(tmp_path / f"db/set.{x}").read_text() for x in ("fasta", "tax")] == old and len(list((tmp_path / "db").iterdir())) == 2
     for bad in ("genomes: []", "- x", "genomes:\n- 3"):
         (tmp_path / "g.yml").write_text(bad)
         with pytest.raises(ValueError):
@@ -526,6 +537,40 @@ def test_matrix_is_shared_by_equal_references(spark):
         matrix_plan(samples.unionByName(samples), amps, Options())
 
 
+def test_digest_trees_gather_runs_only(spark):
+    """Groups of any size: the digest follows from the records in order, not from how they are dealt or numbered."""
+    rows = [(g, 1000 * i, f"n{i}", "ACGT" * i) for g, n in (("a", 1), ("b", 7), ("c", 8), ("d", 50), ("e", 400)) for i in range(n)]
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+
+    def root(hashes, size):
+        level = [sha("\n".join(hashes[i : i + size])) for i in range(0, len(hashes), size)]
+        while len(level) > 1:
+            level = [level[i] if len(level[i : i + size]) == 1 else sha("\n".join(level[i : i + size])) for i in range(0, len(level), size)]
+        return level[0]
+
+    df = spark.createDataFrame(rows, "g string, o long, name string, seq string")
+    want = {g: root([sha(f"{n}\n{s}") for h, _, n, s in rows if h == g], 7) for g in "abcde"}
+    for frame, o, span in ((df, 1, 5000), (df.repartition(9), 1, 1 << 40), (df.withColumn("o", F.col("o") * 3 + 1), 3, 700)):
+        assert {r.g: r.reference_sha256 for r in provenance.content_hash(frame, ["g"], "o", "name", "seq", gathered=7, span=span).collect()} == want
+    assert provenance.content_hash(df.limit(0), ["g"], "o", "name").count() == 0
+
+
+def test_draws_from_any_number_of_classes(spark):
+    r = random.Random(3)
+    weights = [0.0 if i % 7 == 0 else 1e-9 if i % 5 else r.random() * (1000 if i == 11 else 1) for i in range(3000)]
+    items = sorted(f"c{i}" for i in range(3000))
+    classes = spark.createDataFrame(list(zip(items, weights)), "item string, p double").repartition(8)
+    sums, total = np.cumsum(weights), sum(weights)
+    draws = spark.range(4000).withColumn("u", (F.col("id") * 0.61803398875) % 1).withColumn("item", F.lit("x"))
+    got = sampling.categorical(draws, classes).collect()
+    assert len(got) == 4000 and set(got[0].asDict()) == {"id", "u", "item"}
+    for x in got:
+        i = items.index(x.item)
+        assert sums[i] - weights[i] - 1e-9 <= x.u * total < sums[i] + 1e-9
+    assert {x.item for x in sampling.categorical(draws.limit(3), classes.limit(0)).collect()} == {None}
+    assert {x.item for x in sampling.categorical(draws.limit(3), classes.where("item = 'c1'")).collect()} == {"c1"}
+
+
 def test_streaming_counts(spark, tmp_path):
     refs = spark.createDataFrame([("r1",), ("r2",)], "refseq string")
     spark.createDataFrame([("s", "r1"), ("s", "r1"), ("s", "zz"), ("t", "r2")], "sample string, hit string").write.parquet(f"{tmp_path}/in")
