@@ -15,7 +15,7 @@ from ..functions import sequence as S
 from ..functions.scratch import new_dir, written
 from ..functions.uniform import uniform
 from ..operators import composition as C
-from ..operators import database, error_model, mapper, metrics, provenance, sampling, validation
+from ..operators import database, error_model, map_fit, mapper, metrics, provenance, sampling, validation
 from ..sources.fetch import fasta_index, fetched
 from ..sources.sequences import register
 from ..sources.tables import model_config, write_fastq
@@ -203,6 +203,36 @@ def composition_em(spark, d):
     return C.em(C.observed_counts(hits_of(spark, d), refs), a, 25).select("genome", F.round("theta", 6).alias("theta"))
 
 
+MAP_OPTIONS = map_fit.MapOptions(iterations=25, s_grid=(0.5, 1.0), kappa_grid=(3.0,))
+MAP_PSI = lambda x: f"(ln({x} + {map_fit.SHIFT}) - 0.5 / ({x} + {map_fit.SHIFT}) - 1 / (12 * pow({x} + {map_fit.SHIFT}, 2)) + 1 / (120 * pow({x} + {map_fit.SHIFT}, 4)) - 1 / (252 * pow({x} + {map_fit.SHIFT}, 6)) - list_sum(list_transform(range({map_fit.SHIFT}), lambda q: 1 / ({x} + q))))"
+MAP_FIT_SQL = (
+    with_sql(REFS, HITS, OBSERVED, SIMS, COUNTS, MATRIX, TABLE)[:-1].replace("WITH ", "WITH RECURSIVE ", 1)
+    + f""",
+sg AS (SELECT unnest([0.5, 1.0])::DOUBLE AS s),
+ms AS (SELECT s, src, dst, p / sum(p) OVER (PARTITION BY s, src) AS p FROM (SELECT s, src, dst, greatest(sum(p), 0.0::DOUBLE) AS p FROM (SELECT s, src, dst, s * p AS p FROM m, sg UNION ALL SELECT s, refseq, refseq, 1.0::DOUBLE - s FROM refs, sg) GROUP BY s, src, dst)),
+a AS (SELECT s, genome, dst AS refseq, sum(weight * p) AS a FROM tt JOIN ms ON tt.refseq = src GROUP BY s, genome, dst),
+rows AS (SELECT s, genome, list(coalesce(a, 0)::DOUBLE ORDER BY r.refseq) AS l FROM sg CROSS JOIN (SELECT DISTINCT genome FROM refs) g CROSS JOIN (SELECT refseq FROM refs) r LEFT JOIN a USING (s, genome, refseq) GROUP BY s, genome),
+pk AS (SELECT s, list(l ORDER BY genome) AS a, list(genome ORDER BY genome) AS g, (SELECT list(n::DOUBLE ORDER BY refseq) FROM obs) AS y, (SELECT sum(n)::DOUBLE FROM obs) AS n FROM rows GROUP BY s),
+em(i, s, th) AS (SELECT 0, s, list_transform(g, lambda x: 1.0::DOUBLE / len(g)) FROM pk UNION ALL
+  SELECT i + 1, s, list_transform(e, lambda x: x / list_sum(e)) FROM (SELECT i, s, list_transform(range(1, len(th) + 1), lambda k: greatest(th[k] * list_sum(list_transform(range(1, len(w) + 1), lambda j: a[k][j] * w[j])) - 0.5, 0.0::DOUBLE)) AS e
+  FROM (SELECT i, s, th, a, list_transform(range(1, len(c) + 1), lambda j: CASE WHEN y[j] > 0 THEN 3 * n * ({MAP_PSI("(c[j] + y[j])")} - {MAP_PSI("c[j]")}) ELSE 0 END) AS w
+  FROM (SELECT em.*, a, y, n, list_transform(range(1, len(y) + 1), lambda j: 3 * n * list_sum(list_transform(range(1, len(g) + 1), lambda h: th[h] * a[h][j])) + 1e-6) AS c FROM em JOIN pk USING (s) WHERE i < 25)))),
+ft AS (SELECT s, th, a, g, y, n, c, list_sum(list_transform(range(1, len(y) + 1), lambda j: CASE WHEN y[j] > 0 THEN lgamma(c[j] + y[j]) - lgamma(c[j]) ELSE 0 END)) AS fit
+  FROM (SELECT em.*, a, g, y, n, list_transform(range(1, len(y) + 1), lambda j: 3 * n * list_sum(list_transform(range(1, len(g) + 1), lambda h: th[h] * a[h][j])) + 1e-6) AS c FROM em JOIN pk USING (s) WHERE i = 25)),
+be AS (SELECT * FROM ft ORDER BY fit - 0.5 * pow(ln(s) / 0.3, 2) - ln(s) DESC, s LIMIT 1)
+SELECT unnest(g) AS genome, s, round(unnest(th), 6) AS theta FROM be"""
+)
+
+
+@query("map_composition", MAP_FIT_SQL)
+def map_composition(spark, d):
+    """The composition with highest posterior under the Dirichlet-multinomial model."""
+    refs = refs_of(spark, d)
+    observed = C.observed_counts(hits_of(spark, d), refs).withColumn("sample", F.lit("all"))
+    out = map_fit.fitted(observed, C.translation_table(refs), matrix_of(spark, d), refs, MAP_OPTIONS)
+    return out.select("genome", "s", F.round("theta", 6).alias("theta"))
+
+
 @query("amplifiability", "SELECT count(*) AS n_refs, count(*) FILTER (p_size > 25) AS n_amplifiable, count(DISTINCT p_brand) AS n_genomes, count(DISTINCT CASE WHEN p_size > 25 THEN p_brand END) AS n_amplifiable_genomes FROM part")
 def amplifiability(spark, d):
     return C.amplifiability(t(spark, d, "part").select(F.col("p_brand").alias("genome"), (F.col("p_size") > 25).alias("amplifiable")))
