@@ -59,7 +59,7 @@ def running_index(rows: DataFrame, group: str, file: str, ordinal: str, into: st
     return rows.withColumn("_at", within).join(starts, [group, file, "_run"]).withColumn(into, F.col("_start") + F.col("_at")).drop("_run", "_at", "_start")
 
 
-def mutated(seq: Column, key: Sequence[Column], seed: int, sub: float, ins: float, dele: float) -> Column:
+def mutated(seq: Column, key: Sequence[Column], seed: int | Column, sub: float | Column, ins: float, dele: float) -> Column:
     """A sequence under a flat error model: per base a deletion or else a substitution by another base, then a geometric
     number of inserted bases after a base that stays."""
 
@@ -68,7 +68,7 @@ def mutated(seq: Column, key: Sequence[Column], seed: int, sub: float, ins: floa
         u = uniform(seed, *key, i, "m")
         at = F.instr(F.lit(BASES), b)
         other = F.substring(F.lit(BASES), F.pmod(at + F.floor(uniform(seed, *key, i, "s") * 3), F.lit(4)).cast("int") + 1, F.lit(1))
-        kept = F.when((u < dele + sub) & (at > 0), other).otherwise(b)
+        kept = F.when((u < sub + dele) & (at > 0), other).otherwise(b)
         if ins > 0:
             n = F.floor(F.log(F.greatest(uniform(seed, *key, i, "i"), F.lit(2.0**-33))) / F.log(F.lit(ins))).cast("int")
             more = F.transform(F.sequence(F.lit(1), n), lambda j: F.substring(F.lit(BASES), F.floor(uniform(seed, *key, i, "b", j) * 4).cast("int") + 1, F.lit(1)))

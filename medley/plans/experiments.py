@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import written
+from ..functions.sequence import fragment, is_acgt, read_source
 from ..functions.uniform import uniform
 from ..operators import composition as C
-from ..operators import metrics
+from ..operators import map_fit, metrics
 from ..operators.mapper import cluster_references, map_reads, usable_hits
 from ..operators.posterior import infer
 from ..operators.sampling import categorical, mutated
@@ -26,8 +27,11 @@ TEMPERATURES = (0.1, 0.5, 1.0, 2.0)
 CUTOFFS = (1e-4, 1e-3, 1e-2)
 
 
-def planted_hits(refs: DataFrame, truth: DataFrame, n_reads: int, o: Options, index=None) -> DataFrame:
-    """Observed counts (sample, refseq, n) of reads drawn from a truth (sample, genome, theta), mutated and mapped."""
+def planted_hits(refs: DataFrame, truth: DataFrame, n_reads: int, o: Options, index=None, sub_rates: Mapping[str, float] | None = None) -> DataFrame:
+    """Observed counts (sample, refseq, n) of reads drawn from a truth (sample, genome, theta), mutated and mapped.
+
+    sub_rates: the substitution rate of each sample, instead of the one of the options. All samples are mapped together.
+    """
     spread = truth.join(C.translation_table(refs.select("refseq", "genome")), "genome").select("sample", "refseq", (F.col("theta") * F.col("weight")).alias("p")).where("p > 0")
     index = index or cluster_references(refs, o.mapper)
     out = []
@@ -35,7 +39,7 @@ def planted_hits(refs: DataFrame, truth: DataFrame, n_reads: int, o: Options, in
         u = uniform(o.seed, F.lit(name), F.col("id"), "draw")
         drawn = categorical(refs.sparkSession.range(n_reads).withColumn("u", u), spread.where(F.col("sample") == name), item="refseq").drop("u")
         reads = drawn.join(refs.select("refseq", "sequence"), "refseq")
-        reads = reads.withColumn("sequence", mutated(F.col("sequence"), [F.lit(name), F.col("id")], o.seed, o.flat_sub_rate, o.flat_ins_rate, o.flat_del_rate))
+        reads = reads.withColumn("sequence", mutated(F.col("sequence"), [F.lit(name), F.col("id")], o.seed, o.flat_sub_rate if sub_rates is None else sub_rates[name], o.flat_ins_rate, o.flat_del_rate))
         out.append(reads.select(F.concat_ws(":", F.lit(name), "id").alias("query"), F.lit(name).alias("sample"), "sequence"))
     reads = written(reduce(DataFrame.unionByName, out), "planted-reads")
     hits = usable_hits(map_reads(reads.select("query", "sequence"), index, o.mapper), o.min_identity)
@@ -53,6 +57,65 @@ def errors(estimate: DataFrame, truth: DataFrame) -> DataFrame:
     return both.groupBy("sample").agg(F.sum(F.abs(F.coalesce("theta", F.lit(0.0)) - F.coalesce("true_theta", F.lit(0.0)))).alias("l1"))
 
 
+def cell_matrices(refs: DataFrame, cells: Sequence[tuple[str, float, int]], o: Options, index=None) -> DataFrame:
+    """cell, src, dst, p: the confusion matrices of several cells (name, substitution rate, seed), simulated, mapped and counted in one job."""
+    grid = F.array(*(F.struct(F.lit(name).alias("cell"), F.lit(float(rate)).alias("rate"), F.lit(seed).alias("seed")) for name, rate, seed in cells))
+    reads = refs.select("refseq", "sequence", F.explode(grid).alias("c")).select("refseq", "sequence", "c.*").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(o.sim_n_per_ref - 1))))
+    reads = reads.withColumn("_f", fragment(F.col("sequence"), o.sim_read_len, uniform(F.col("seed"), F.col("refseq"), F.col("i"), "f"))).where(is_acgt(F.col("_f")))
+    seq = mutated(F.col("_f"), [F.col("refseq"), F.col("i")], F.col("seed"), F.col("rate"), o.flat_ins_rate, o.flat_del_rate)
+    # the cell is part of the read's name, so equal sequences of all cells are mapped once and ties are split within each cell
+    reads = written(reads.select(F.concat_ws("\t", "cell", F.concat_ws(":", "refseq", "i")).alias("query"), seq.alias("sequence")).where(F.length("sequence") > 0), "cell-reads")
+    hits = usable_hits(map_reads(reads, index or cluster_references(refs, o.mapper), o.mapper), o.min_identity)
+    hits = hits.select(F.split_part("query", F.lit("\t"), F.lit(1)).alias("cell"), read_source(F.split_part("query", F.lit("\t"), F.lit(2))).alias("src"), F.col("hit").alias("dst"))
+    counts = hits.groupBy("cell", "src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    p = F.col("n") / F.sum("n").over(Window.partitionBy("cell", "src"))  # a row of a matrix
+    known = counts.withColumn("p", p).select("cell", "src", "dst", "p")
+    every = refs.select(F.col("refseq").alias("src"), F.explode(F.array(*(F.lit(name) for name, _, _ in cells))).alias("cell"))
+    return written(every.join(known, ["cell", "src"], "left").select("cell", "src", F.coalesce("dst", "src").alias("dst"), F.coalesce("p", F.lit(1.0)).alias("p")), "cell-matrices")
+
+
+def error_rate_grid(refs: DataFrame, theta: DataFrame, o: Options, *, generators: Sequence[float] = (0.005, 0.01), candidates: Sequence[float] = FLAT_RATES, n_reads: int = 50_000, fit: map_fit.MapOptions = map_fit.MapOptions()) -> DataFrame:
+    """The columns of error_rate_sensitivity with point estimates, its grid being one relation: one job simulates and maps all matrices, and one
+    fits all pairs of generator and candidate. Candidate null is the observed shares alone, 'reseeded' the first generator's matrix anew.
+    """
+    index = cluster_references(refs, o.mapper)
+    names = [str(g) for g in generators]
+    truth = theta.select(F.explode(F.array(*(F.lit(x) for x in names))).alias("sample"), "genome", "theta")
+    counts = planted_hits(refs, truth, n_reads, o, index, dict(zip(names, generators, strict=True)))
+    cells = [("base", generators[0], o.seed), ("reseeded", generators[0], o.seed + 57), *((str(c), c, o.seed) for c in candidates)]
+    matrices = cell_matrices(refs, cells, o, index)
+    base = matrices.where("cell = 'base'").select("src", "dst", F.col("p").alias("base"))
+    others = matrices.where("cell <> 'base'")
+    # entries of a cell, and those of the base that it lacks
+    both = others.select("cell", "src", "dst", "p").unionByName(others.select("cell").distinct().join(F.broadcast(base.select("src", "dst"))).withColumn("p", F.lit(0.0)))
+    both = both.groupBy("cell", "src", "dst").agg(F.sum("p").alias("p")).join(base, ["src", "dst"], "left")
+    facts = both.groupBy("cell").agg(F.sqrt(F.sum(F.pow(F.col("p") - F.coalesce("base", F.lit(0.0)), 2))).alias("m_dist"), (F.sum(F.when(F.col("src") == F.col("dst"), F.col("p")).otherwise(0.0)) / F.count_distinct("src")).alias("mean_diag"))
+    fits = map_fit.fitted(counts, C.translation_table(refs.select("refseq", "genome")), others, refs, fit)
+    estimates = fits.select("sample", "cell", "genome", "theta").join(truth.withColumnRenamed("theta", "true_theta"), ["sample", "genome"], "left")
+    l1 = estimates.groupBy("sample", "cell").agg(F.sum(F.abs(F.col("theta") - F.coalesce("true_theta", F.lit(0.0)))).alias("l1"))
+    out = l1.join(F.broadcast(facts), "cell").select(F.col("sample").alias("generator"), F.col("cell").alias("candidate"), "l1", "m_dist", "mean_diag")  # a row for each cell
+    none = lambda kind: F.lit(None).cast(kind)
+    alone = errors(observed_shares(counts, refs), truth).select(F.col("sample").alias("generator"), none("string").alias("candidate"), "l1", none("double").alias("m_dist"), none("double").alias("mean_diag"))
+    return alone.unionByName(out)
+
+
+def presence_grid(refs: DataFrame, truth: DataFrame, pair: tuple[str, str], o: Options, *, priors: Sequence[float] = PRIORS, temperatures: Sequence[float] = TEMPERATURES, n_reads: int = 50_000, fit: map_fit.MapOptions = map_fit.MapOptions()) -> DataFrame:
+    """Score rows of the gate at each prior and temperature and replicate, from one fit: what a fit loses without a genome gives its presence under
+    any setting, so settings are columns."""
+    counts = planted_hits(refs, truth, n_reads, o)
+    matrix, _ = build_matrix(refs, o)
+    fits = written(map_fit.fitted(counts, C.translation_table(refs.select("refseq", "genome")), matrix, refs, fit), "grid-fit")
+    grid = F.array(*(F.struct(F.lit(float(p)).alias("prior"), F.lit(float(t)).alias("temp")) for p in priors for t in temperatures))
+    rows = fits.select("sample", "genome", "theta", "lost", F.explode(grid).alias("x")).select("sample", "genome", "theta", "lost", "x.*")
+    rows = rows.withColumn("pred", metrics.present(map_fit.presence(F.col("lost"), F.col("prior"), F.col("temp")))).withColumn("theta", F.when(F.col("pred"), F.col("theta")).otherwise(0.0))
+    total = F.sum("theta").over(Window.partitionBy("sample", "prior", "temp"))  # a row for each genome
+    rows = rows.withColumn("theta", F.coalesce(F.try_divide("theta", total), F.lit(0.0)))
+    settings = truth.select("sample", "genome", F.col("theta").alias("true_theta"), F.explode(grid).alias("x")).select("sample", "genome", "true_theta", "x.*")
+    rows = settings.join(rows.select("sample", "genome", "prior", "temp", "theta", "pred"), ["sample", "genome", "prior", "temp"], "left")
+    calls = rows.select(F.lit("gate").alias("method"), "prior", "temp", F.col("sample").alias("replicate"), "genome", F.coalesce("theta", F.lit(0.0)).alias("theta"), "true_theta", F.coalesce("pred", F.lit(False)).alias("pred"), (F.col("true_theta") > 0).alias("truth"))
+    return metrics.score_row(calls, *pair, by=["method", "prior", "temp", "replicate"])
+
+
 def error_rate_sensitivity(refs: DataFrame, theta: DataFrame, o: Options, *, generators: Sequence[float] = (0.005, 0.01), candidates: Sequence[float] = FLAT_RATES, n_reads: int = 50_000) -> DataFrame:
     """generator, candidate, l1, m_dist, mean_diag: fits of reads made at each generator rate by matrices of each candidate rate.
 

@@ -16,11 +16,12 @@ from medley.functions import sequence as S
 from medley.operators import composition as C
 from medley.operators import mapper, provenance, sampling, validation
 from medley.operators.database import genome_database
+from medley.operators.map_fit import MapOptions
 from medley.operators.posterior import InferenceOptions
 from medley.plans.options import Options
 from medley.__main__ import main, options, parser
 from medley.plans import experiments
-from medley.plans.run import compose, matrix_plan, run_samples
+from medley.plans.run import build_matrix, compose, matrix_plan, run_samples
 from medley.sources import tables
 from medley.sources import sequences
 from medley.sources.fetch import fasta_index, fetched
@@ -445,6 +446,35 @@ def test_experiment_grids(spark):
     assert set(got) == {None, "reseeded"} and 0 < got["reseeded"].m_dist < 1 and got["reseeded"].l1 < 0.4 and got[None].l1 > 0
 
 
+def test_grids_as_one_relation(spark):
+    """Each cell of a grid is what it is alone: the matrix of its rate, and the presence under its prior."""
+    r = random.Random(1)
+    base = [r.choice("ACGT") for _ in range(60)]
+    refs = []
+    for g in range(4):
+        seq = list(base)
+        for i in r.sample(range(60), 1 + g % 2):
+            seq[i] = "ACGT"["ACGT".index(seq[i]) - 1]
+        refs.append((f"g{g}|0|x", f"g{g}", "".join(seq)))
+    refs = spark.createDataFrame(refs, "refseq string, genome string, sequence string")
+    o, fit = replace(SMALL, sim_n_per_ref=15), MapOptions(iterations=40, s_grid=(1.0,), kappa_grid=(3.0,))
+    both = {(x.cell, x.src, x.dst): x.p for x in experiments.cell_matrices(refs, [("low", 0.005, 42), ("high", 0.08, 42)], o).collect()}
+    alone, _ = build_matrix(refs, replace(o, flat_sub_rate=0.08))
+    sums = {}
+    for (cell, src, _), p in both.items():
+        sums[cell, src] = sums.get((cell, src), 0) + p
+    assert len(sums) == 8 and all(abs(x - 1) < 1e-9 for x in sums.values())
+    # ties are split by the read's name, so entries agree but for those
+    assert sum(abs(both.get(("high", x.src, x.dst), 0.0) - x.p) for x in alone.collect()) < 0.8
+    truth = sampling.random_truth(refs.select("genome"), ("g0", "g1"), 3, 0.1, 5)
+    rows = {(x.generator, x.candidate): x for x in experiments.error_rate_grid(refs, truth, o, generators=(0.005, 0.02), candidates=(0.15,), n_reads=300, fit=fit).collect()}
+    assert set(rows) == {(g, c) for g in ("0.005", "0.02") for c in (None, "reseeded", "0.15")}
+    assert all(x.l1 < 0.6 for x in rows.values()) and rows["0.005", "0.15"].m_dist > 0 and 0 < rows["0.02", "reseeded"].mean_diag <= 1
+    scores = experiments.presence_grid(refs, truth.withColumn("sample", F.lit("0")), ("g0", "g1"), o, priors=(0.5, 0.01), temperatures=(1.0, 2.0), n_reads=300, fit=fit)
+    got = {(x.prior, x.temp): x for x in scores.collect()}
+    assert len(got) == 4 and all(0 <= x.jaccard <= 1 and x.replicate == "0" for x in got.values()) and got[0.5, 1.0].n_pred >= got[0.01, 1.0].n_pred
+
+
 def test_mapper_scores_every_reference_that_can_win(spark):
     r = random.Random(8)
     base = [r.choice("ACGT") for _ in range(90)]
