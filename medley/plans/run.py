@@ -6,6 +6,7 @@ settings before anything is simulated, and each group is simulated and mapped on
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -139,8 +140,9 @@ def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Option
 
     Each group has a bundle in mismapping/<matrix key>, and groups.tsv lists them. Each sample has its CSV tables in
     samples/sample=<id>. Under a trained error model each sample has its own, or its platform's (from the reads of all its samples), or the
-    one that the sheet names for it.
+    one that the sheet names for it. Results are written beside out_dir's and take their place at the end: a run that fails leaves the old ones.
     """
+    staged = f"{out_dir}/.run-{uuid.uuid4().hex}"
     register(spark)
     sheet = {s["id"]: s for s in samples.collect()}  # a sample sheet, a few hundred rows
     references = read_references(spark, sorted({s["references"] for s in sheet.values()}))
@@ -152,7 +154,7 @@ def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Option
         raise ValueError(f"no reference amplifies for samples {sorted(lost)}")
     supplied = tables.read_matrix(spark, o.mismapping_matrix) if o.mismapping_matrix else None
     papers = {r["matrix_key"]: r["provenance"] for r in V.provenance(groups, o.matrix_settings()).collect()}
-    for i, g in enumerate(found):
+    for g in found:
         reads_of = lambda ids: reduce(DataFrame.unionByName, [spark.read.schema(READS).format("fastq").load(",".join(sheet[i]["reads"])).withColumn("sample", F.lit(i)) for i in ids])
         refs = references.where(F.col("references") == sheet[g["representative"]]["references"]).drop("references")
         key, at = g["matrix_key"], f"mismapping/{g['matrix_key']}/mismapping_matrix.csv"
@@ -163,11 +165,11 @@ def run_samples(spark: SparkSession, samples: DataFrame, out_dir: str, o: Option
             elif o.error_model_scope == "pooled":
                 training = reads_of([i for i, s in sheet.items() if s["platform"] == lead["platform"] and not s["error_model"]])
         result = compose(reads_of([m["id"] for m in g["members"]]), refs, o, supplied, key, at, model, training)
-        write_bundle(result, f"{out_dir}/mismapping/{key}", papers[key], V.group_members(groups.where(F.col("matrix_key") == key)))
-        mode = "overwrite" if i == 0 else "append"
+        write_bundle(result, f"{staged}/mismapping/{key}", papers[key], V.group_members(groups.where(F.col("matrix_key") == key)))
         for name, df in (("inferred_composition", result.composition), ("inference_diagnostics", flat(result.diagnostics)), ("loss_trace", result.loss)):
-            df.write.mode(mode).partitionBy("sample").csv(f"{out_dir}/samples/{name}", header=True)
-    tables.write_tsv(V.group_records(groups), f"{out_dir}/mismapping/groups.tsv", "matrix_key")
+            df.write.mode("append").partitionBy("sample").csv(f"{staged}/samples/{name}", header=True)
+    tables.write_tsv(V.group_records(groups), f"{staged}/mismapping/groups.tsv", "matrix_key")
+    tables.moved_in(spark, staged, out_dir)
 
 
 def flat(facts: DataFrame) -> DataFrame:

@@ -74,6 +74,33 @@ def _moved(fs, pairs) -> None:
             raise OSError(f"{part} could not be moved to {final}")
 
 
+def moved_in(spark: SparkSession, staged: str, out_dir: str) -> None:
+    """Move what a folder holds into another one, over what has the same name there, all or none; the first folder goes."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = place(staged), place(out_dir)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    done = []
+    try:
+        for name in sorted(f.getPath().getName() for f in fs.listStatus(source)):
+            final, aside = place(target, name), place(target, f".{name}.{uuid.uuid4().hex}.old")
+            if old := fs.exists(final):
+                fs.rename(final, aside)
+            done.append((final, aside if old else None))
+            if not fs.rename(place(source, name), final):
+                raise OSError(f"{name} could not be moved to {out_dir}")
+    except BaseException:
+        for final, aside in reversed(done):
+            fs.delete(final, True)
+            if aside is not None:
+                fs.rename(aside, final)
+        raise
+    for _, aside in done:
+        if aside is not None:
+            fs.delete(aside, True)
+    fs.delete(source, True)
+
+
 def write_database(rows: DataFrame, header: str, prefix: str) -> tuple[str, str]:
     """A reference set (refseq, sequence, lineage) as the files prefix.fasta and prefix.tax, both or none.
 

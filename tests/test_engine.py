@@ -267,6 +267,17 @@ def test_sources_and_sinks(spark, tmp_path):
     assert C.best_model(tables.read_models(spark, f"{tmp_path}/t.csv")).first().model_id == "m3"
 
 
+def test_folders_are_moved_in_whole(spark, tmp_path):
+    for where, text in (("out", "old"), ("new", "new")):
+        for name in ("a", "b"):
+            (tmp_path / where / name).mkdir(parents=True)
+            (tmp_path / where / name / "x").write_text(text)
+    (tmp_path / "out/kept").mkdir()
+    tables.moved_in(spark, f"{tmp_path}/new", f"{tmp_path}/out")
+    assert [(tmp_path / f"out/{n}/x").read_text() for n in "ab"] == ["new", "new"] and sorted(f.name for f in (tmp_path / "out").iterdir()) == ["a", "b", "kept"]
+    assert not (tmp_path / "new").exists()
+
+
 def test_genome_database(spark):
     genomes = spark.createDataFrame([(0, "A", "Bacteria; Genus", "a.fa"), (1, "B", "Bacteria;Genus;Species", "b.fa")], tables.GENOMES)
     records = spark.createDataFrame([("A", 0, "x", "AC"), ("A", 1, "y", "GT"), ("B", 0, "x", "TT")], "id string, ordinal long, header string, sequence string")
