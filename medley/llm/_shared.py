@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import BROADCAST_ROWS, freed, new_dir, removed, shared_dir, sized, written
 
-__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "counted_join", "folders", "freed", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_held", "written"]
+__all__ = ["BLANKS", "BLANK_RUN", "BROADCAST_ROWS", "bound", "counted_join", "folders", "freed", "new_dir", "open_fs", "put_file", "removed", "shared_dir", "sized", "spread_join", "table", "words_of", "worker_dropped", "worker_held", "written"]
 
 #: The six characters that separate words in every contract: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -115,5 +115,10 @@ def worker_held(name: str, key: object, make, place: int = 0):
     return held["values"][place][1]
 
 
+def worker_dropped() -> None:
+    """Drop what other operators hold in this worker process."""
+    worker_held("", None, lambda: None)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import freed, sized, written
+from ._shared import freed, sized, worker_dropped, written
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -264,6 +264,7 @@ def frequent_ngrams(texts: DataFrame, n: int = WORDS) -> np.ndarray:
     """Hashes of the most frequent n-grams, most frequent first; at most FREQUENT."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_dropped()
         powers, held, size = Powers(), [], 0
 
         def counted() -> pa.RecordBatch:
@@ -291,6 +292,7 @@ def with_sets(texts: DataFrame, frequent, keep: str, n: int = WORDS, percent: in
     """(id, text) as id, n and two 64-bit digests of the set, with its rare end (keep="rare") or whole (keep="all")."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_dropped()
         powers, order = Powers(), Order(frequent.value)
         for batch in batches:
             ids, done = batch.column(0), 0
