@@ -43,7 +43,7 @@ class MapperOptions:
 
 @dataclass(frozen=True)
 class ReferenceIndex:
-    """References made ready for mapping, as written tables."""
+    """References made ready for mapping, as written tables; those that are small are marked for broadcast, once."""
 
     #: kmer, its class (c1, c2), holders and lead: k-mers of one class are held by the same sequences, so many, the least of which is lead.
     kmers: DataFrame
@@ -89,12 +89,13 @@ def cluster_references(refs: DataFrame, options: MapperOptions = MapperOptions()
     first = by_kmer.groupBy(*CLASS).agg(F.min("kmer").alias("kmer"))
     classes = written(held.join(first, "kmer").select(*CLASS, "rep"), "classes")
     clusters = written(similarity_clusters(once, options), "clusters")
-    return ReferenceIndex(by_kmer, classes, references, clusters, clusters.agg(F.max("bases")).first()[0] or 0)
+    longest = clusters.agg(F.max("bases")).first()[0] or 0
+    return ReferenceIndex(sized(by_kmer), sized(classes), sized(references), sized(clusters), longest)
 
 
 def read_classes(distinct: DataFrame, index: ReferenceIndex, options: MapperOptions) -> DataFrame:
     """The classes of each read (r1, r2, sequence), the rarest first: n of its k-mers, those of rarer ones before, lead, holders, place."""
-    each = distinct.select(*READ, F.explode(kmers(F.col("sequence"), options.k)).alias("kmer")).join(sized(index.kmers), "kmer")
+    each = distinct.select(*READ, F.explode(kmers(F.col("sequence"), options.k)).alias("kmer")).join(index.kmers, "kmer")
     found = each.groupBy(*READ, *CLASS).agg(F.count(F.lit(1)).alias("n"), F.first("holders").alias("holders"), F.first("lead").alias("lead"))
     rarest = Window.partitionBy(*READ).orderBy("holders", *CLASS)  # as many rows as a read has k-mers at most
     before = F.coalesce(F.sum("n").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -104,7 +105,7 @@ def read_classes(distinct: DataFrame, index: ReferenceIndex, options: MapperOpti
 def scored(pairs: DataFrame, distinct: DataFrame, index: ReferenceIndex, options: MapperOptions) -> DataFrame:
     """pairs (r1, r2, rep and what else) with edits, identity and shared, the k-mers that both hold."""
     once = index.references.where("refseq = rep").select("rep", "ref_seq")
-    rows = pairs.join(distinct, READ).join(sized(once), "rep")
+    rows = pairs.join(distinct, READ).join(once, "rep")
     edits = F.levenshtein("sequence", "ref_seq")
     shared = F.size(F.array_intersect(kmers(F.col("sequence"), options.k), kmers(F.col("ref_seq"), options.k)))
     rows = rows.withColumn("edits", edits).withColumn("identity", 1 - F.col("edits") / F.greatest(F.length("sequence"), F.length("ref_seq")))
@@ -129,12 +130,12 @@ def seeded(distinct: DataFrame, classes: DataFrame, index: ReferenceIndex, optio
 def candidates(classes: DataFrame, seeds: DataFrame, index: ReferenceIndex) -> DataFrame:
     """r1, r2, rep of the references that can win: the holders of a read's prefix of classes."""
     prefix = classes.select(*READ, *CLASS, "before").join(seeds.select(*READ, "allowed"), READ).where("before <= allowed")
-    return prefix.select(*READ, *CLASS).join(sized(index.classes), CLASS).select(*READ, "rep").distinct()
+    return prefix.select(*READ, *CLASS).join(index.classes, CLASS).select(*READ, "rep").distinct()
 
 
 def winners(pairs: DataFrame, distinct: DataFrame, seeds: DataFrame, index: ReferenceIndex, options: MapperOptions) -> DataFrame:
     """r1, r2, rep, shared, identity of the candidates that win; ties are all there."""
-    rows = pairs.join(sized(index.clusters), "rep").join(seeds.select(*READ, F.col("bases").alias("read_bases"), "reached"), READ)
+    rows = pairs.join(index.clusters, "rep").join(seeds.select(*READ, F.col("bases").alias("read_bases"), "reached"), READ)
     centers = written(scored(rows.select(*READ, F.col("center").alias("rep")).distinct(), distinct, index, options), "centers")
     known = rows.where("rep = center").select(*READ, "rep").join(centers, [*READ, "rep"])
     apart = centers.select(*READ, F.col("rep").alias("center"), F.col("edits").alias("center_edits"))
@@ -160,7 +161,7 @@ def map_reads(reads: DataFrame, refs: DataFrame | ReferenceIndex, options: Mappe
     seeds = written(seeded(distinct, classes, index, options), "seeds")
     pairs = written(candidates(classes, seeds, index), "candidates")
     freed(classes)
-    best = winners(pairs, distinct, seeds, index, options).join(sized(index.references.select("rep", "refseq")), "rep")
+    best = winners(pairs, distinct, seeds, index, options).join(index.references.select("rep", "refseq"), "rep")
     one = F.min_by(F.struct("refseq", "shared", "identity"), hash_order(F.col("query"), F.col("refseq"))).alias("h")
     hits = keyed.select("query", *READ).join(best, READ).groupBy("query").agg(one)
     return hits.select("query", F.col("h.refseq").alias("hit"), F.col("h.shared").cast("double").alias("score"), F.col("h.identity").alias("identity"))
