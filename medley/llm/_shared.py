@@ -117,7 +117,7 @@ def worker_held(name: str, key: object, make, place: int = 0):
 
 def worker_dropped() -> None:
     """Drop what other operators hold in this worker process."""
-    worker_held("", None, lambda: None)
+    worker_held("", 0, lambda: None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
