@@ -108,7 +108,7 @@ def test_two_runs_in_one_session(spark, tmp_path):
     before = set(os.listdir(shared))
     out = corpus_pipeline.run(spark, at)
     left = sorted({x.rsplit("-", 1)[0] for x in set(os.listdir(shared)) - before})
-    assert out.count() > 0 and not {"rare-ends", "shared", "placed", "pairs", "units", "measured", "quality-rules", "n-gram-Jaccard-join"} & set(left)
+    assert out.count() > 0 and not {"rare-ends", "shared", "placed", "pairs", "units", "quality-rules", "n-gram-Jaccard-join"} & set(left)
 
 
 def test_each_stage_against_a_plain_version(spark, tmp_path):
