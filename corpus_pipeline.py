@@ -9,7 +9,8 @@ that of their group; of a group of near copies the least id stays; a null langua
 leave the base rules alone, no benchmark item cleans nothing; an empty table gives an empty result. Texts are read whole by every
 stage; other columns pass through, and may have any name that does not begin with an underscore.
 
-Each operator frees the scratch tables that its result does not read before it returns, so a stage leaves its decisions only.
+Each operator frees the scratch tables that its result does not read before it returns, so a stage leaves its decisions and
+small tables, no copy of its documents.
 Stages share nothing: any number of them and of whole runs can go on in one session. run() frees a stage's docs once the next
 stage's are written.
 """
