@@ -1,6 +1,7 @@
 """Error models learned from mapped reads: what becomes of a base, given the bases before it; and reads simulated by them.
 
-Reads are aligned with what they were mapped to (edit scripts by a banded alignment with traceback). Each reference base has an
+Reads are aligned with what they were mapped to (edit scripts by a banded alignment with traceback). What a gap costs is a
+parameter: 1 gives shortest edit scripts, more suits reads in which gaps are rare. Each reference base has an
 outcome: a letter, or a deletion ('-'); letters that are put in after a base that stays are outcomes of their own ('+A'). Outcomes are counted by
 the base and the K bases before it, within tasks first, so what is shuffled is a table of some thousand rows a task at most. Counts of
 shorter contexts are sums of those, and the length of the context is chosen by AIC.
@@ -12,7 +13,7 @@ each base of a read is one lookup and hashed draws inside one expression. Contex
 Qualities: the distribution of quality letters by what a read base is (a match, a substitution, an insertion) and by its place in the read.
 
 Defined results: pairs with a null or empty side and letters other than ACGT count nowhere; insertions before the first base are left
-out; of equally short edit scripts substitutions are preferred; no reads give an empty table, which simulates reads without errors.
+out; of equally cheap edit scripts the one with substitutions is preferred; no reads give an empty table, which simulates reads without errors.
 """
 
 from __future__ import annotations
@@ -38,28 +39,32 @@ QUALITIES = "kind string, bin int, quality string, n long"
 K, BIN = 3, 10
 #: Free parameters of a context and base: outcomes less one, the chance of an insertion, inserted letters less one.
 PARAMETERS = 8
+#: A cost of a gap at which sequences of equal length are aligned without any.
+UNGAPPED = 1 << 30
 
 
 # ---- alignment -----------------------------------------------------------------------------------------------------
 
 
-def edit_script(read: str, ref: str) -> list[tuple[int, int, int]]:
-    """(place in ref, place in read, inserted letters after it) per reference base, of a shortest edit script; a deleted base has read place -1.
+def edit_script(read: str, ref: str, gap: int = 1) -> list[tuple[int, int, int]]:
+    """(place in ref, place in read, inserted letters after it) per reference base, of a cheapest edit script; a deleted base has read place -1.
 
-    Two sequences of equal length with up to two different letters need no search. Else the band around the diagonal is doubled
-    until the distance lies within it, so time and memory are the length times the distance.
+    A substitution costs 1 and an inserted or deleted letter gap. Gaps of sequences of equal length come in pairs, so those with up to
+    2 * gap different letters need no search. Else the band around the diagonal is doubled until no way out of it is as cheap, so time and
+    memory are the length times the distance.
     """
     n, m = len(ref), len(read)
     a, b = np.frombuffer(ref.encode("latin1", "replace"), np.uint8), np.frombuffer(read.encode("latin1", "replace"), np.uint8)
-    if n == m and int((a != b).sum()) <= 2:
+    if n == m and int((a != b).sum()) <= 2 * gap:
         return [(i, i, 0) for i in range(n)]
-    band, far = abs(n - m) + 8, np.int32(n + m + 1)
+    kind = np.int32 if (n + m + 1) * gap < 1 << 28 else np.int64
+    band, far = abs(n - m) + 8, kind((n + m + 1) * gap)
     while True:
         width = 2 * band + 1
-        t = np.arange(width, dtype=np.int32)
-        table = np.empty((n + 1, width), np.int32)
+        t = np.arange(width, dtype=kind)
+        table = np.empty((n + 1, width), kind)
         j = t - band  # of row 0
-        table[0] = np.where((j >= 0) & (j <= m), j, far)
+        table[0] = np.where((j >= 0) & (j <= m), j * gap, far)
         for i in range(1, n + 1):
             j = t + (i - band)
             inside = (j >= 0) & (j <= m)
@@ -67,11 +72,11 @@ def edit_script(read: str, ref: str) -> list[tuple[int, int, int]]:
             read_at = (j >= 1) & (j <= m)
             same[read_at] = b[j[read_at] - 1] == a[i - 1]
             step = np.where(read_at, table[i - 1] + ~same, far)
-            step[:-1] = np.minimum(step[:-1], table[i - 1, 1:] + 1)
+            step[:-1] = np.minimum(step[:-1], table[i - 1, 1:] + gap)
             step = np.where(inside, step, far)
-            table[i] = np.where(inside, np.minimum.accumulate(step - t) + t, far)
+            table[i] = np.where(inside, np.minimum.accumulate(step - t * gap) + t * gap, far)
         distance = int(table[n, m - n + band])
-        if distance <= band or band > n + m:
+        if distance <= band * gap or band > n + m:
             break
         band *= 2
     out, i, at, more = [], n, m, 0
@@ -80,7 +85,7 @@ def edit_script(read: str, ref: str) -> list[tuple[int, int, int]]:
         if at and table[i - 1, k] + (a[i - 1] != b[at - 1]) == here:
             out.append((i - 1, at - 1, more))
             i, at, more = i - 1, at - 1, 0
-        elif k + 1 < width and table[i - 1, k + 1] + 1 == here:
+        elif k + 1 < width and table[i - 1, k + 1] + gap == here:
             out.append((i - 1, -1, more))
             i, more = i - 1, 0
         else:
@@ -88,10 +93,10 @@ def edit_script(read: str, ref: str) -> list[tuple[int, int, int]]:
     return out[::-1]
 
 
-def outcomes(read: str, ref: str, k: int) -> Iterator[tuple[str, str, str]]:
+def outcomes(read: str, ref: str, k: int, gap: int = 1) -> Iterator[tuple[str, str, str]]:
     """(context, base, outcome) of each reference base, and of each letter put in after it."""
     last = -1
-    for i, at, more in edit_script(read, ref):
+    for i, at, more in edit_script(read, ref, gap):
         context, base = ref[max(0, i - k) : i], ref[i]
         last = at if at >= 0 else last
         if base not in BASES or context.strip(BASES):
@@ -104,14 +109,14 @@ def outcomes(read: str, ref: str, k: int) -> Iterator[tuple[str, str, str]]:
                 yield context, base, f"+{x}"
 
 
-def context_counts(pairs: DataFrame, k: int = K) -> DataFrame:
-    """context, base, outcome, n of pairs (read, reference)."""
+def context_counts(pairs: DataFrame, k: int = K, gap: int = 1) -> DataFrame:
+    """context, base, outcome, n of pairs (read, reference), aligned with this cost of a gap; UNGAPPED where reads have substitutions only."""
 
     def count(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: Counter = Counter()
         for pdf in frames:
             for read, ref in zip(pdf["read"], pdf["reference"], strict=True):
-                found.update(outcomes(read, ref, k))
+                found.update(outcomes(read, ref, k, gap))
         yield pd.DataFrame([(*key, n) for key, n in found.items()], columns=["context", "base", "outcome", "n"])
 
     usable = pairs.where((F.length("read") > 0) & (F.length("reference") > 0)).select("read", "reference")

@@ -42,6 +42,31 @@ def test_edit_scripts_are_shortest_and_whole():
     assert len(E.edit_script("ACGT" * 2000, "ACGT" * 1500 + "TTTT" + "ACGT" * 480)) == 7924
 
 
+def test_a_gap_costs_what_is_asked():
+    r = random.Random(4)
+
+    def cheapest(a, b, gap):
+        row = [j * gap for j in range(len(b) + 1)]
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i * gap
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + gap, row[j - 1] + gap, last + (x != y))
+        return row[-1]
+
+    for n in range(600):
+        ref = "".join(r.choice("ACGT"[: r.choice([2, 4])]) for _ in range(r.randrange(1, 60)))
+        read = "".join(r.choice(["", x, x, x, x, r.choice("ACGT"), x + r.choice("ACGT")]) for x in ref) if n % 2 else "".join(r.choice("ACGT") for _ in ref)
+        gap = r.choice([1, 2, 3, 7, E.UNGAPPED])
+        script = E.edit_script(read, ref, gap)
+        kept = [at for _, at, _ in script if at >= 0]
+        assert kept == sorted(set(kept)) and [i for i, _, _ in script] == list(range(len(ref)))
+        assert sum(gap if at < 0 else read[at] != ref[i] for i, at, _ in script) + gap * (len(read) - len(kept)) == cheapest(read, ref, gap)
+        if gap == E.UNGAPPED and len(read) == len(ref):
+            assert script == [(i, i, 0) for i in range(len(ref))]
+    shifted = ("CACACACA", "ACACACAC")
+    assert len(set(E.outcomes(*shifted, 0))) > 2 and set(E.outcomes(*shifted, 0, E.UNGAPPED)) == {("", "A", "C"), ("", "C", "A")}
+
+
 def counted(pairs, k):
     """Counts by the edit scripts themselves, without Spark."""
     return Counter(x for read, ref in pairs if read and ref for x in E.outcomes(read, ref, k))
