@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import string
 import struct
 import zlib
@@ -36,6 +37,10 @@ SHARD_TOKENS = 1 << 22
 END_ID = 1
 #: Encoded pieces that a worker remembers, and the longest piece that is remembered.
 CACHED, CACHED_CHARS = 400_000, 64
+#: Words that normalisers and splits leave whole, after lower(): each letter is one code point that NFC keeps.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Letters and digits after which a mark begins a new piece in any case.
+BEFORE_MARKS = frozenset(c for c in map(chr, range(256)) if LATIN.fullmatch(c) or c in string.digits)
 
 
 # ---- the file format -----------------------------------------------------------------------------------------------
@@ -203,6 +208,22 @@ def separable(tokenizer_path: str) -> bool:
     return added and not found["truncation"] and not found["post_processor"] and (found["normalizer"], found["pre_tokenizer"]) == BLANK_FREE
 
 
+def byte_letters() -> dict[int, str]:
+    """For str.translate: a letter of Latin-1 as the byte-level split writes its UTF-8 bytes (a byte without a visible letter has one over 255)."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+def set_apart(text: str, mark: str) -> str:
+    """text with a space before each mark that a space follows and a letter or digit precedes."""
+    apart, as_is = f" {mark} ", mark + " "
+    parts = text.split(as_is)
+    last = parts.pop()
+    return "".join([x + (apart if x[-1:] in BEFORE_MARKS else as_is) for x in parts]) + last
+
+
 class Known(dict):
     """Ids (little-endian uint32) of what has been encoded: at most CACHED short strings, and as many that were used before them."""
 
@@ -227,7 +248,7 @@ def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
 
     Where the vocabulary drops blanks, the library gets the pieces between them, without the marks that end them (a
     letter or digit and a mark after it are always split), and what it gave for a short piece is remembered, words of
-    the letters A to Z in lower case. Any other vocabulary gets the whole text.
+    Latin letters in lower case, which its model gets as its normaliser and split would leave them. Any other vocabulary gets the whole text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -238,19 +259,30 @@ def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     if not separable(tokenizer_path):
         return whole
     words = tokenizer.model.tokenize  # what its normaliser and its split leave as it is needs the model alone
+    letters = byte_letters()
     # marks of special tokens stay where they are
     marks = "".join(set(string.punctuation) - {c for t in tokenizer.get_added_tokens_decoder().values() for c in t.content})
 
     def of_piece(piece: str) -> bytes:
+        if LATIN.fullmatch(piece):
+            if not piece.islower():
+                return known[piece.lower()]
+            return array("I", [t.id for t in words(piece if piece.isascii() else piece.translate(letters))]).tobytes()
         word = piece.rstrip(marks)
-        if len(word) < len(piece) and word[-1:].isascii() and word[-1:].isalnum():
+        if len(word) < len(piece) and word[-1:] in BEFORE_MARKS:
             return known[word] + known[piece[len(word) :]]
-        if piece.isascii() and piece.isalpha():
-            return array("I", [t.id for t in words(piece)]).tobytes() if piece.islower() else known[piece.lower()]
         return whole(piece)
 
     known = Known(of_piece)
-    return lambda text: b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
+    often = [c for c in ",." if c in marks]  # set apart before the look-up, so a word is remembered without them
+
+    def of_text(text: str) -> bytes:
+        text = text.replace("\n", " ")
+        for mark in often:
+            text = set_apart(text, mark)
+        return b"".join(map(known.__getitem__, text.split(" ")))
+
+    return of_text
 
 
 def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:

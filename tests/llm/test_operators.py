@@ -898,3 +898,41 @@ def test_archive_reads_only_chosen_ranges(spark):
     one = index.first()
     with open("/" + one.file.removeprefix("file:").lstrip("/"), "rb") as f:
         assert gzip.decompress(f.read()).startswith(b"WARC/1.1\r\n")
+
+
+def test_wavelet_encoder_knows_accented_words_and_sets_marks_apart(monkeypatch):
+    """The ids are the library's; a Latin word, accented or before a mark, costs no call for a text."""
+    import public_tokenizers
+    import tokenizers
+
+    path, calls = public_tokenizers.path("word_bpe_49k.json"), []
+
+    class Counting:
+        @staticmethod
+        def from_file(p):
+            return Counting(tokenizer_of(p))
+
+        def __init__(self, tokenizer):
+            self.tokenizer, self.model = tokenizer, tokenizer.model
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            calls.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    tokenizer_of = tokenizers.Tokenizer.from_file
+    library = tokenizer_of(path)
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    encode = wavelet.make_encoder(path)
+    ids = lambda t: np.frombuffer(encode(t), "<u4").tolist()
+    whole = lambda t: library.encode(t, add_special_tokens=False).ids
+    text = "Déjà vu, élève. Größe, straße. Año, ÇA, œ"
+    assert ids(text) == whole(text) and set(calls) <= {",", ".", "œ", ""}
+    r = random.Random(8)
+    letters = ", . , aezAZéÉçÇßÿŸøØÞ×÷ªºµ'’!?-()<|>019\t\ń̸İıſǅ"
+    for _ in range(3000):
+        t = "".join(r.choice(letters) for _ in range(r.randrange(1, 16)))
+        assert ids(t) == whole(t), ascii(t)
+    assert wavelet.set_apart("a, b!, c,, d , é, 1, ", ",") == "a , b!, c,, d , é , 1 , "
