@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import freed, sized, worker_dropped, written
+from ._shared import freed, sized, text_slices, worker_dropped, written
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -114,17 +114,6 @@ def shingles(texts: pa.Array, powers: Powers, n: int = WORDS) -> Iterator[np.nda
             yield np.zeros(0, np.uint64)
 
 
-def text_slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
-    import pyarrow.compute as pc
-
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
-    lo = 0
-    while lo < len(ends):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
-        yield texts.slice(lo, hi - lo)
-        lo = hi
-
-
 class Order:
     """The global order: frequent n-grams get their rank as code, the others keep their hash."""
 

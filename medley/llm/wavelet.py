@@ -19,16 +19,17 @@ import struct
 import zlib
 from array import array
 from bisect import bisect_right
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import new_dir, open_fs, put_file, worker_held
+from ._shared import new_dir, open_fs, put_file, text_slices, worker_dropped, worker_held
 
 MAGIC = b"WAVELET1"
 CHUNK_BITS = 1 << 16
@@ -36,11 +37,15 @@ CHUNK_BITS = 1 << 16
 SHARD_TOKENS = 1 << 22
 END_ID = 1
 #: Encoded pieces that a worker remembers, and the longest piece that is remembered.
-CACHED, CACHED_CHARS = 400_000, 64
+CACHED, CACHED_CHARS = 200_000, 64
+#: Bytes of texts that are encoded together.
+SLICE = 3 << 19
 #: Words that normalisers and splits leave whole, after lower(): each letter is one code point that NFC keeps.
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Letters and digits after which a mark begins a new piece in any case.
 BEFORE_MARKS = frozenset(c for c in map(chr, range(256)) if LATIN.fullmatch(c) or c in string.digits)
+#: The same as patterns of Arrow: a whole word, the end of one that a mark may follow.
+LATIN_WORD, MARKS_MAY_FOLLOW = rf"\A{LATIN.pattern}\z", r"[0-9A-Za-zÀ-ÖØ-öø-ÿ]\z"
 
 
 # ---- the file format -----------------------------------------------------------------------------------------------
@@ -53,7 +58,8 @@ def packed(ids: np.ndarray, doc_ids: list, counts: np.ndarray) -> Iterator[bytes
     n_chunks = -(-len(ids) // CHUNK_BITS)
     at = np.zeros((bits, n_chunks + 1), np.uint64)
     ones = np.zeros((bits, n_chunks + 1), np.uint64)
-    where, cur = len(MAGIC) + 8, ids.astype(np.uint16) if bits <= 16 else ids
+    n, where, cur = len(ids), len(MAGIC) + 8, ids.astype(np.uint16) if bits <= 16 else ids
+    del ids
     bodies = []
     for level in range(bits):
         mask = (cur & cur.dtype.type(1 << (bits - 1 - level))).astype(bool)
@@ -70,7 +76,7 @@ def packed(ids: np.ndarray, doc_ids: list, counts: np.ndarray) -> Iterator[bytes
     known = np.array([d is not None for d in doc_ids], bool)
     keys = np.array([d or 0 for d in doc_ids], np.int64)
     parts = [x.tobytes() for x in (at, ones, np.packbits(known), keys, counts.astype(np.uint64))]
-    directory = squeeze.compress(struct.pack("<QQQ", len(ids), bits, len(doc_ids)) + b"".join(parts))
+    directory = squeeze.compress(struct.pack("<QQQ", n, bits, len(doc_ids)) + b"".join(parts))
     yield MAGIC + struct.pack("<Q", where)
     yield from bodies
     yield directory
@@ -224,93 +230,139 @@ def set_apart(text: str, mark: str) -> str:
     return "".join([x + (apart if x[-1:] in BEFORE_MARKS else as_is) for x in parts]) + last
 
 
-class Known(dict):
+class Known:
     """Ids (little-endian uint32) of what has been encoded: at most CACHED short strings, and as many that were used before them."""
 
     def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.encode, self.older = encode, {}
-
-    def __missing__(self, text: str) -> bytes:
-        ids = self.older.get(text)
-        if ids is None:
-            ids = self.encode(text)
-        if len(text) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.older = dict(self)
-                self.clear()
-            self[text] = ids
-        return ids
-
-
-def make_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
-    """Encodes a text to little-endian uint32 ids by the library.
-
-    Where the vocabulary drops blanks, the library gets the pieces between them, without the marks that end them (a
-    letter or digit and a mark after it are always split), and what it gave for a short piece is remembered, words of
-    Latin letters in lower case, which its model gets as its normaliser and split would leave them. Any other vocabulary gets the whole text.
+        self.encode, self.newer, self.older = encode, {}, {}
+
+    def of(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each. What is not known is encoded in one go, while the library's tables are at hand."""
+        out = list(map(self.newer.get, texts))
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            text = texts[i]
+            out[i] = ids = self.older.get(text) or self.encode(text)
+            if len(text) <= CACHED_CHARS:
+                if len(self.newer) >= CACHED:
+                    self.older, self.newer = self.newer, {}
+                self.newer[text] = ids
+        return out
+
+
+def strings(texts: pa.Array) -> np.ndarray:
+    return texts.to_numpy(zero_copy_only=False)
+
+
+def spread(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the runs at these places, one after the other, and how many each has. ids: all runs, which have these sizes."""
+    n = sizes[at]
+    ends = np.cumsum(n)
+    places = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - n), n)
+    places += np.arange(len(places))
+    return ids[places], n
+
+
+class Encoder:
+    """Encodes texts by the library.
+
+    Where the vocabulary drops blanks, texts are cut at blanks, and of texts that come together each distinct piece is
+    encoded once: a letter or digit and a mark after it are always split, so the marks that end a piece stand for themselves;
+    words of Latin letters are put in lower case, and the model alone gets them as its normaliser and split would leave
+    them; what the library gave for something short is remembered. Any other vocabulary gets whole texts.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    # the call for batches also has a form that keeps no offsets
-    whole = lambda text: array("I", tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
-    if not separable(tokenizer_path):
-        return whole
-    words = tokenizer.model.tokenize  # what its normaliser and its split leave as it is needs the model alone
-    letters = byte_letters()
-    # marks of special tokens stay where they are
-    marks = "".join(set(string.punctuation) - {c for t in tokenizer.get_added_tokens_decoder().values() for c in t.content})
-
-    def of_piece(piece: str) -> bytes:
-        if LATIN.fullmatch(piece):
-            if not piece.islower():
-                return known[piece.lower()]
-            return array("I", [t.id for t in words(piece if piece.isascii() else piece.translate(letters))]).tobytes()
-        word = piece.rstrip(marks)
-        if len(word) < len(piece) and word[-1:] in BEFORE_MARKS:
-            return known[word] + known[piece[len(word) :]]
-        return whole(piece)
-
-    known = Known(of_piece)
-    often = [c for c in ",." if c in marks]  # set apart before the look-up, so a word is remembered without them
-
-    def of_text(text: str) -> bytes:
-        text = text.replace("\n", " ")
-        for mark in often:
-            text = set_apart(text, mark)
-        return b"".join(map(known.__getitem__, text.split(" ")))
-
-    return of_text
+
+    def __init__(self, tokenizer_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.by_piece = Tokenizer.from_file(tokenizer_path), separable(tokenizer_path)
+        self.words = self.tokenizer.model.tokenize  # what its normaliser and its split leave as it is needs the model alone
+        self.letters, self.known = byte_letters(), Known(self.encoded)
+        # marks of special tokens stay where they are
+        self.marks = "".join(set(string.punctuation) - {c for t in self.tokenizer.get_added_tokens_decoder().values() for c in t.content})
+        self.often = [c for c in ",." if c in self.marks]  # set apart before texts are cut, so there are fewer distinct pieces
+
+    def whole(self, text: str) -> bytes:
+        # the call for batches also has a form that keeps no offsets
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def encoded(self, text: str) -> bytes:
+        """Of a text without blanks; a word of Latin letters is in lower case."""
+        if LATIN.fullmatch(text):
+            return array("I", [t.id for t in self.words(text if text.isascii() else text.translate(self.letters))]).tobytes()
+        return self.whole(text)
+
+    def many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and how many each has."""
+        if not self.by_piece:
+            held = [self.whole(t) for t in texts]
+            return np.frombuffer(b"".join(held), "<u4"), np.array([len(b) // 4 for b in held], np.int64)
+        apart = []
+        for text in texts:
+            text = text.replace("\n", " ")
+            for mark in self.often:
+                text = set_apart(text, mark)
+            apart.append(text)
+        cut = pc.split_pattern(pa.array(apart, pa.large_string()), " ")
+        pieces = cut.values.dictionary_encode()
+        # a piece is a word and the marks that end it, or all a word
+        bare = pc.utf8_rtrim(pieces.dictionary, self.marks)
+        bare = pc.if_else(pc.match_substring_regex(bare, MARKS_MAY_FOLLOW), bare, pieces.dictionary)
+        marked = pc.not_equal(bare, pieces.dictionary).to_numpy(zero_copy_only=False).nonzero()[0]
+        ends = [p[len(b) :] for p, b in zip(strings(pieces.dictionary.take(marked)), strings(bare.take(marked)), strict=True)]
+        bare = pc.if_else(pc.match_substring_regex(bare, LATIN_WORD), pc.utf8_lower(bare), bare)
+        parts = pa.concat_arrays([bare, pa.array(ends, pa.large_string())]).dictionary_encode()
+        held = self.known.of(strings(parts.dictionary))
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        at = parts.indices.to_numpy()
+        order = np.argsort(np.concatenate([np.arange(len(bare)), marked]), kind="stable")
+        ids, n = spread(np.frombuffer(b"".join(held), "<u4"), sizes, at[order])
+        starts = np.arange(len(bare)) + np.searchsorted(marked, np.arange(len(bare)))
+        ids, n = spread(ids, np.add.reduceat(n, starts) if len(starts) else n, pieces.indices.to_numpy())
+        return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[cut.offsets.to_numpy()])
+
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0].tobytes()
+
+
+def make_encoder(tokenizer_path: str) -> Encoder:
+    return Encoder(tokenizer_path)
 
 
 def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, *, key: str = "doc_id", text: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the shards of docs into out_dir; the manifest: part, seq, file, n_docs, n_tokens, start."""
     spark = docs.sparkSession
-    end = struct.pack("<I", end_id)
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = worker_held("encoder", tokenizer_path, lambda: make_encoder(tokenizer_path)), TaskContext.get().partitionId()
+        encoder, part = worker_held("encoder", tokenizer_path, lambda: make_encoder(tokenizer_path)), TaskContext.get().partitionId()
         attempt = TaskContext.get().taskAttemptId()  # an attempt that does not count leaves files that no manifest names
-        rows, keys, held, size = [], [], [], 0
+        rows, keys, held, sizes, size = [], [], [], [], 0
 
         def close() -> None:
-            nonlocal keys, held, size
-            counts = np.array([len(b) // 4 for b in held], np.uint64)
-            name = f"{out_dir}/part-{part:06d}-{attempt}-{len(rows):05d}.wavelet"
-            put_file(name, packed(np.frombuffer(b"".join(held), "<u4"), keys, counts))
-            rows.append({"part": part, "seq": len(rows), "file": name, "n_docs": len(keys), "n_tokens": int(counts.sum())})
-            keys, held, size = [], [], 0
+            nonlocal keys, held, sizes, size
+            counts, ids = np.concatenate(sizes).astype(np.uint64), [np.concatenate(held)]
+            name, doc_ids = f"{out_dir}/part-{part:06d}-{attempt}-{len(rows):05d}.wavelet", keys
+            keys, held, sizes, size = [], [], [], 0  # the ids are there once
+            put_file(name, packed(ids.pop(), doc_ids, counts))
+            rows.append({"part": part, "seq": len(rows), "file": name, "n_docs": len(doc_ids), "n_tokens": int(counts.sum())})
 
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(t.as_py() or "") + end
-                keys.append(k)
-                held.append(ids)
-                size += len(ids) // 4
-                if size >= shard_tokens:
-                    close()
+            ids_of, done = batch.column(0), 0
+            for some in text_slices(batch.column(1), SLICE):
+                ids, counts = encoder.many([t or "" for t in some.to_pylist()])
+                ends = np.cumsum(counts)
+                ids, ends, counts = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1), counts + 1
+                some_keys, lo, before = ids_of.slice(done, len(some)).to_pylist(), 0, 0
+                done += len(some)
+                while lo < len(ends):
+                    hi = min(len(ends), int(np.searchsorted(ends, before + shard_tokens - size)) + 1)
+                    keys += some_keys[lo:hi]
+                    held.append(ids[before : ends[hi - 1]])
+                    sizes.append(counts[lo:hi])
+                    size += int(ends[hi - 1]) - before
+                    lo, before = hi, int(ends[hi - 1])
+                    if size >= shard_tokens:
+                        close()
         if keys:
             close()
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
@@ -333,6 +385,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+        worker_dropped()  # what the writing remembered is not needed to read
         for batch in batches:
             for row in batch.to_pylist():
                 with Shard(row["file"]) as shard:

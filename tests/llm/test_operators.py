@@ -936,3 +936,28 @@ def test_wavelet_encoder_knows_accented_words_and_sets_marks_apart(monkeypatch):
         t = "".join(r.choice(letters) for _ in range(r.randrange(1, 16)))
         assert ids(t) == whole(t), ascii(t)
     assert wavelet.set_apart("a, b!, c,, d , é, 1, ", ",") == "a , b!, c,, d , é , 1 , "
+
+
+def test_wavelet_encoder_takes_distinct_pieces_of_many_texts(monkeypatch):
+    """Each distinct word costs one call of the model and one entry, in whatever case and before whatever marks it stands; ids are the library's."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder, asked = Tokenizer.from_file(path), wavelet.make_encoder(path), []
+    words = encoder.words
+    encoder.words = lambda w: asked.append(w) or words(w)
+    texts = ["Thonheth thonheth%%% THONHETH!!", "", "thonheth, Thonheth. THONHETH*** été&&&", "Été thonheth?!\nthonheth <|endoftext|>"] * 3
+    ids, counts = encoder.many(texts)
+    every = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(every, []) and counts.tolist() == [len(x) for x in every]
+    assert len(asked) == 2 and {w for w in encoder.known.newer if w.isalpha()} == {"thonheth", "été"}
+    monkeypatch.setattr(wavelet, "CACHED", 7)
+    r = random.Random(4)
+    alphabet = [*"aBéÉß×÷ 7,.!%<|>'\n\t\x0b", " ", ", ", ". ", "%%% ", "\xa0", "\x1c", "\u2028", "İ", "ſ", "e\u0301", "H\u0331", "日", "<|endoftext|>", "it's", "'LL"]
+    for _ in range(300):
+        texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(20))) for _ in range(r.randrange(12))]
+        ids, counts = encoder.many(texts)
+        every = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(every, []) and counts.tolist() == [len(x) for x in every], texts
+    assert len(encoder.known.newer) <= 7 and len(encoder.known.older) <= 7
