@@ -89,6 +89,20 @@ def test_audit_of_frequent_texts_beyond_a_broadcast(spark, monkeypatch):
         assert told(filter_audit.audit_report(frame(spark, rows), said)) == want
 
 
+def test_audit_sends_no_more_than_was_counted(spark, monkeypatch):
+    masks = spark.createDataFrame([(i, "p", bytes([i % 3]), i % 3) for i in range(30)], "_key long, _part string, _digest binary, _mask int")
+    said = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    copies = spark.createDataFrame([(bytes([0]), 0, 10), (bytes([1]), 1, 2000)], "_digest binary, _first long, _n long")
+    monkeypatch.setattr(_shared, "sized", lambda df: df)  # too many rows, though Spark finds their files small enough
+    joined = filter_audit.cells(masks, said), _shared.counted_join(masks, copies, "_digest", "_n", F.col("_key"))
+    assert sorted(map(tuple, joined[0].collect())) == [("p", 0, 10, 7, 3), ("p", 1, 10, 7, 4), ("p", 2, 10, 6, 3)] and joined[1].count() == 30
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in joined]
+    assert all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in plans)
+    monkeypatch.setattr(_shared, "sized", lambda df: F.broadcast(df) if df.count() < 2 else df)  # the frequent digest alone can be sent
+    split = _shared.counted_join(masks, copies, "_digest", "_n", F.col("_key"))
+    assert split.where("_first is not null").count() == 20 and "SortMergeJoin" in split._jdf.queryExecution().executedPlan().toString()
+
+
 def test_audit_of_other_filters(spark):
     cells = spark.createDataFrame([("p", 0, 5, 0, 0), ("p", 1, 3, 1, 0), ("p", 3, 2, 0, 2)], "_part string, _mask int, _n long, _good long, _toxic long")
     got = told(filter_audit.evaluated(cells, "xy"))
